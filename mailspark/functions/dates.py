@@ -15,64 +15,37 @@ ZONE_MINUTES = {
     "PST": -480, "PDT": -420,
 }
 
-_MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 _DATE = (
     r"(?i)^\s*(?:[a-z]+,?\s+)?(\d{1,2})\s+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+(\d{4})"
-    r"\s+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s+([+-]\d{4}|[a-z]+))?\s*(?:\([^)]*\))?\s*$"
+    r"\s+(\d{1,2}:\d{2}(?::\d{2})?)(?:\s+([+-]\d{4}|[a-z]+))?\s*(?:\([^)]*\))?\s*$"
 )
 
 
-def _two(col: Column) -> Column:
-    return F.lpad(col, 2, "0")
-
-
-def _group(col: Column, n: int) -> Column:
-    return F.regexp_extract(col, _DATE, n)
-
-
-def _local_text(col: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ss`` in the sender's clock, null where the date does not exist."""
-    month = (F.locate(F.initcap(_group(col, 2)), F.lit(_MONTHS)) + 2) / 3
-    second = F.when(_group(col, 6) == "", "00").otherwise(_group(col, 6))
-    text = F.concat(
-        _group(col, 3), F.lit("-"), _two(month.cast("int").cast("string")), F.lit("-"), _two(_group(col, 1)),
-        F.lit("T"), _two(_group(col, 4)), F.lit(":"), _group(col, 5), F.lit(":"), second,
-    )
-    known = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
-    return F.when(col.rlike(_DATE) & known, text)
+def _local(col: Column) -> Column:
+    """The sender's clock as a UTC timestamp, null where the date does not exist."""
+    plain = F.regexp_replace(col, _DATE, "$1 $2 $3 $4")
+    return F.try_to_timestamp(plain, F.lit("d MMM yyyy H:mm[:ss]"))
 
 
 def tz_offset_minutes(col: Column) -> Column:
     """The sender's offset; null where unknown (``-0000``, no zone, unlisted zone name)."""
-    zone = F.upper(_group(col, 7))
-    hours, minutes = F.substring(zone, 2, 2), F.substring(zone, 4, 2)
-    total = hours.try_cast("int") * 60 + minutes.try_cast("int")
+    zone = F.nullif(F.upper(F.regexp_extract(col, _DATE, 5)), F.lit("-0000"))
     named = F.create_map(*[F.lit(x) for pair in ZONE_MINUTES.items() for x in pair])
-    return (
-        F.when(zone == "-0000", F.lit(None))
-        .when(zone.startswith("+"), total)
-        .when(zone.startswith("-"), -total)
-        .otherwise(F.try_element_at(named, zone))
-        .cast("int")
-    )
+    # "-0330" is the number -330: hours and minutes carry the sign each.
+    number = zone.try_cast("int")
+    numeric = (number / 100).cast("int") * 60 + number % 100
+    return F.coalesce(numeric, F.try_element_at(named, zone)).cast("int")
 
 
 def rfc2822_to_iso(col: Column) -> Column:
     """ISO 8601 text that keeps the sender's offset; null where the date is unreadable."""
     offset = tz_offset_minutes(col)
-    suffix = F.when(offset.isNull(), "").otherwise(
-        F.concat(
-            F.when(offset < 0, "-").otherwise("+"),
-            _two((F.abs(offset) / 60).cast("int").cast("string")), F.lit(":"),
-            _two((F.abs(offset) % 60).cast("string")),
-        )
-    )
-    return F.concat(_local_text(col), suffix)
+    clock = F.date_format(F.timestamp_seconds(F.abs(offset) * 60), "HH:mm")
+    suffix = F.concat(F.when(offset < 0, "-").otherwise("+"), clock)
+    return F.concat(F.date_format(_local(col), "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(suffix, F.lit("")))
 
 
 def sent_at(col: Column) -> Column:
     """The instant as TIMESTAMP; an unknown offset is read as UTC."""
     offset = F.coalesce(tz_offset_minutes(col), F.lit(0))
-    local = F.concat(_local_text(col), F.lit("+00:00"))
-    instant = F.try_to_timestamp(local, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    return F.timestamp_seconds(F.unix_timestamp(instant) - offset * 60)
+    return F.timestamp_seconds(F.unix_timestamp(_local(col)) - offset * 60)
