@@ -87,7 +87,7 @@ def count_hits(col: Column, rule: Rule) -> Column:
 def card_numbers(col: Column) -> Column:
     """Digit groups that pass the Luhn check, longest first."""
     found = F.array_distinct(F.regexp_extract_all(col, F.lit(CARD_PATTERN), F.lit(0)))
-    valid = F.filter(found, lambda x: F.luhn_check(F.regexp_replace(x, "[ -]", "")))
+    valid = F.filter(found, lambda x: F.call_function("luhn_check", F.regexp_replace(x, "[ -]", "")))
     return F.reverse(F.array_sort(F.transform(valid, lambda x: F.struct(F.length(x).alias("n"), x.alias("value")))))[
         "value"
     ]

@@ -92,13 +92,16 @@ def leak_audit(df: DataFrame, before: str, after: str, rules: Sequence[Rule] = D
     All counters are one global aggregate, unpivoted at the end: one row per task is
     shuffled, whatever the number of texts.
     """
-    totals, cells = [], []
+    counts, totals, cells = [], [], []
     for i, rule in enumerate(rules):
-        left = pii.count_hits(F.col(after), rule)
+        counts += [
+            pii.count_hits(F.col(before), rule).alias(f"b{i}"),
+            pii.count_hits(F.col(after), rule).alias(f"a{i}"),
+        ]
         totals += [
-            F.coalesce(F.sum(pii.count_hits(F.col(before), rule)), F.lit(0)).alias(f"b{i}"),
-            F.coalesce(F.sum(left), F.lit(0)).alias(f"a{i}"),
-            F.count_if(left > 0).alias(f"r{i}"),
+            F.coalesce(F.sum(f"b{i}"), F.lit(0)).alias(f"b{i}"),
+            F.coalesce(F.sum(f"a{i}"), F.lit(0)).alias(f"a{i}"),
+            F.count_if(F.col(f"a{i}") > 0).alias(f"r{i}"),
         ]
         cells.append(
             F.struct(
@@ -108,4 +111,4 @@ def leak_audit(df: DataFrame, before: str, after: str, rules: Sequence[Rule] = D
                 F.col(f"r{i}").alias("docs_with_residue"),
             )
         )
-    return df.agg(*totals).select(F.inline(F.array(*cells)))
+    return df.select(*counts).agg(*totals).select(F.inline(F.array(*cells)))

@@ -86,5 +86,5 @@ def normalise_model(
     model = F.try_element_at(table, squeezed)
     if not keep_suffix:
         return model
-    suffix = F.regexp_extract(F.coalesce(col, F.lit("")), pattern + r"[ -]([A-Z][A-Za-z0-9]*)", 2)
+    suffix = F.regexp_extract(F.coalesce(col, F.lit("")), pattern + r"[ -](?-i:([A-Z][A-Za-z0-9]*))", 2)
     return F.when(suffix == "", model).otherwise(F.concat_ws(" ", model, suffix))

@@ -1 +1,313 @@
-"""."""
+"""Scrub rules, audit and dictionary over ``documents``, with personal data of every kind
+put in by one expression that both engines run."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from mailspark.functions import pii
+from mailspark.operators import ledger as L
+from mailspark.operators import model as M
+from mailspark.operators import requests as R
+from mailspark.operators import responses as A
+from mailspark.operators import scrub as P
+from mailspark.session import work_dir
+from registered.base import Tables, query
+
+# Every document gets one line of each kind; the numbers vary with the document.
+PERSONAL = """concat(text, chr(10), 'mail: ', source, '.user+', doc_id, '@', lang, '-corp.example.com; cc müller', doc_id, '@firma.de', chr(10),
+  'call +49-30-', 1000000 + doc_id, ' or 电话13', 800000000 + doc_id, '元 tel: 030 ', 10000 + doc_id, ' fax.(0', doc_id % 90 + 10, ') 555 1', chr(10),
+  'WeChat: wx_', doc_id, 'abc QQ号：', 10000 + doc_id, ' Telegram id: @bot', doc_id, chr(10),
+  'Order No. AB-', 20240 + doc_id, ', invoice #', 7000 + doc_id, ' 合同编号：HT', 99000 + doc_id, ' order 5 units', chr(10),
+  'SN-HR-2024-', doc_id, ' serial number: X', 1000 + doc_id, 'Z S/N#', 55555 + doc_id, chr(10),
+  'host 10.', doc_id % 256, '.3.4 and 172.', doc_id % 32, '.1.1 v1.2.3 nas', doc_id, '.corp vpn-gw.internal', chr(10),
+  'id 110105', 1950 + doc_id % 50, '0', doc_id % 9 + 1, '12123X card ', 4111111111111111 + doc_id, chr(10),
+  'see https://docs.example.org/a', doc_id, '?token=s', doc_id, '&x=1 and https://example.org/b#c torque 12.5 Nm')"""
+
+_W = r"\b"
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+RULES_RE2: dict[str, tuple[str, str]] = {
+    "url_query": (r"(https?://[^\s?#<>]+)\?[^\s<>)]+", r"\1"),
+    "email": (r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>"),
+    "national_id": (
+        rf"{_W}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_W}",
+        "<ID_NUMBER>",
+    ),
+    "order_id": (
+        r"(?i)(order|contract|invoice|订单|合同|发票)(\s?(?:no\.|no|number|id|号|编号)?\s?[:：#]?\s?)[A-Z]{0,4}-?\d[\dA-Z-]{3,30}",
+        r"\1\2<ORDER_ID>",
+    ),
+    "serial_label": (
+        rf"(?i)(serial number|serial no\.|serial|{_W}S/N|序列号)(\s?[:：#]\s?)[A-Z0-9-]{{5,40}}",
+        r"\1\2<SERIAL>",
+    ),
+    "serial": (rf"{_W}SN-[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>"),
+    "ip": (rf"{_W}{_OCTET}(?:\.{_OCTET}){{3}}{_W}", "<IP>"),
+    "internal_host": (rf"(?i){_W}[a-z0-9][a-z0-9.-]*\.(?:corp|internal|intranet|lan|local|vpn){_W}", "<HOST>"),
+    "messenger": (
+        rf"(?i)(wechat|weixin|微信|{_W}qq|telegram)(\s?(?:id|no|号)?\s?[:：]\s?)@?[A-Za-z0-9_-]{{4,32}}",
+        r"\1\2<ACCOUNT>",
+    ),
+    "phone_label": (
+        r"(?i)(phone|tel|fax|mobile|whatsapp|电话|手机|传真)(\s?[.:：]?\s?)\+?\d[\d ()-]{5,18}\d",
+        r"\1\2<PHONE>",
+    ),
+    "phone_international": (r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){3,5}", "<PHONE>"),
+    "phone_mobile": (rf"{_W}1[3-9]\d{{9}}{_W}", "<PHONE>"),
+}
+
+
+def _sql_rule(name: str, x: str) -> str:
+    pattern, replacement = RULES_RE2[name]
+    return f"regexp_replace({x}, '{pattern}', '{replacement}', 'g')"
+
+
+def _sql_hits(name: str, x: str) -> str:
+    return f"len(regexp_extract_all({x}, '{RULES_RE2[name][0]}'))"
+
+
+_CARD = rf"{_W}\d(?:[ -]?\d){{12,18}}{_W}"
+_DIGITS = "string_split(reverse(regexp_replace(c, '[ -]', '', 'g')), '')"
+_DOUBLED = f"list_transform({_DIGITS}, lambda d, i: CASE WHEN i % 2 = 0 THEN (d::INT * 2) // 10 + (d::INT * 2) % 10 ELSE d::INT END)"
+_VALID = f"list_filter(list_distinct(regexp_extract_all(x, '{_CARD}')), lambda c: list_sum({_DOUBLED}) % 10 = 0)"
+
+
+def _sql_cards(x: str) -> str:
+    """Replace every card candidate whose digits pass the Luhn sum."""
+    cards = _VALID.replace("(x,", f"({x},")
+    longest_first = f"list_reverse_sort(list_transform({cards}, lambda c: {{'n': len(c), 'c': c}}))"
+    texts = f"list_transform({longest_first}, lambda s: s.c)"
+    return f"list_reduce(list_concat([{x}], {texts}), lambda acc, c: replace(acc, c, '<CARD>'))"
+
+
+def _sql_scrub(x: str) -> str:
+    for name in RULES_RE2:
+        x = _sql_rule(name, x)
+    return x
+
+
+_SOURCE = f"(SELECT doc_id, {PERSONAL} AS md FROM documents)"
+
+
+def _documents(t: Tables):
+    return t.documents.select("doc_id", F.expr(PERSONAL).alias("md"))
+
+
+def _by_rules(query_name: str, *rules: pii.Rule):
+    sql = "md"
+    for rule in rules:
+        sql = _sql_rule(rule.name, sql)
+
+    @query(query_name, f"SELECT doc_id, {sql} AS md FROM {_SOURCE}")
+    def run(t: Tables):
+        return P.scrub(_documents(t), "md", rules, cards=False)
+
+
+_by_rules("p1_email", pii.EMAIL)
+_by_rules("p2_phone", pii.PHONE_LABEL, pii.PHONE_INTERNATIONAL, pii.PHONE_MOBILE)
+_by_rules("p3_messenger", pii.MESSENGER)
+_by_rules("p4_order_id", pii.ORDER)
+_by_rules("p5_serial", pii.SERIAL_LABEL, pii.SERIAL)
+
+
+@query(
+    "p6_ip_and_host",
+    f"""SELECT doc_id, {_sql_rule('internal_host', _sql_rule('ip', 'md'))} AS md, n_private AS n_private_ip, n_total - n_private AS n_public_ip
+        FROM (SELECT *, {_sql_hits('ip', 'md')} AS n_total,
+                     len(list_filter(regexp_extract_all(md, '{RULES_RE2['ip'][0]}'),
+                         lambda a: a LIKE '10.%' OR a LIKE '192.168.%' OR regexp_matches(a, '^172\\.(1[6-9]|2\\d|3[01])\\.'))) AS n_private
+              FROM {_SOURCE})""",
+)
+def p6(t: Tables):
+    return P.scrub(P.classify_ips(_documents(t), "md"), "md", (pii.IP, pii.INTERNAL_HOST), cards=False)
+
+
+@query("p7_card_and_id", f"SELECT doc_id, {_sql_rule('national_id', _sql_cards('md'))} AS md FROM {_SOURCE}")
+def p7(t: Tables):
+    return P.scrub(_documents(t), "md", (pii.NATIONAL_ID,), cards=True)
+
+
+_NAMED = """concat(text, chr(10), 'Dear Dr. ', source, ' Weber and ', lang, ' Desk, regards ', source, ' Weber, Jo')"""
+
+
+@query(
+    "p8_header_names",
+    f"""SELECT doc_id, replace(replace(replace({_NAMED}, concat('Dr. ', source, ' Weber'), '<NAME>'), concat(source, ' Weber'), '<NAME>'), concat(lang, ' Desk'), '<NAME>') AS md
+        FROM documents""",
+)
+def p8(t: Tables):
+    headed = t.documents.select(
+        "doc_id",
+        F.expr(_NAMED).alias("md"),
+        F.expr("""concat('"Dr. ', source, ' Weber" <w@example.org>, ', source, ' Weber <x@example.org>')""").alias("from_addr"),
+        F.expr("concat(lang, ' Desk <d@example.org>, bare@example.org')").alias("to_addr"),
+        F.lit("J <j@example.org>").alias("cc_addr"),
+    )
+    return P.scrub_header_names(headed, "md").select("doc_id", "md")
+
+
+_CUSTOMER_NAMED = "concat(text, chr(10), 'Contact ', 'Customer#', lpad(CAST(doc_id * 3 AS STRING), 9, '0'), ', (Customer#000000007).')"
+
+
+@query(
+    "p8_dictionary",
+    """SELECT doc_id, replace(CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_name = concat('Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0')))
+                       THEN replace(md, concat('Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0')), '<NAME>') ELSE md END, 'Customer#000000007', '<NAME>') AS md
+       FROM (SELECT doc_id, concat(text, chr(10), 'Contact ', 'Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0'), ', (Customer#000000007).') AS md FROM documents)""",
+)
+def p8_dictionary(t: Tables):
+    docs = t.documents.select("doc_id", F.expr(_CUSTOMER_NAMED).alias("md"))
+    return P.scrub_dictionary(docs, t.customer.select(F.col("c_name").alias("name")), "md", key="doc_id")
+
+
+@query("p9_link_queries", f"SELECT doc_id, {_sql_rule('url_query', 'md')} AS md FROM {_SOURCE}")
+def p9(t: Tables):
+    return _documents(t).select("doc_id", pii.strip_link_queries(F.col("md")).alias("md"))
+
+
+@query("p10_scrub_all", f"SELECT doc_id, {_sql_scrub(_sql_cards('md'))} AS md FROM {_SOURCE}")
+def p10(t: Tables):
+    return P.scrub(_documents(t), "md")
+
+
+_AUDIT = " UNION ALL ".join(
+    f"SELECT '{n}' AS rule, sum({_sql_hits(n, 'md')})::BIGINT AS hits_before, sum({_sql_hits(n, 'clean')})::BIGINT AS hits_after, "
+    f"count(*) FILTER (WHERE {_sql_hits(n, 'clean')} > 0) AS docs_with_residue FROM scrubbed"
+    for n in RULES_RE2
+)
+
+
+@query(
+    "p11_leak_audit",
+    f"WITH scrubbed AS (SELECT md, {_sql_rule('ip', _sql_rule('email', 'md'))} AS clean FROM {_SOURCE}) {_AUDIT}",
+)
+def p11(t: Tables):
+    docs = _documents(t)
+    docs = docs.withColumn("clean", P.scrub_expression(F.col("md"), (pii.EMAIL, pii.IP), cards=False))
+    return P.leak_audit(docs, "md", "clean")
+
+
+_KEY = "concat('doc-', doc_id, '.md')"
+
+
+@query(
+    "p12_scrub_request",
+    f"""SELECT doc_id, 'system' AS role1, 'Remove personal data.' AS content1, 'user' AS role2,
+               concat('File name (for reference only): ', {_KEY}, chr(10), chr(10), 'Markdown text to be scrubbed:', chr(10), chr(10),
+                      '---------------- BEGIN TEXT ----------------', chr(10), text, chr(10), '---------------- END TEXT ----------------') AS content2
+        FROM documents""",
+)
+def p12(t: Tables):
+    docs = t.documents.select("doc_id", F.expr(_KEY).alias("doc_key"), F.col("text").alias("markdown"))
+    asked = R.scrub_request(docs, "Remove personal data.")
+    first, second = F.col("messages")[0], F.col("messages")[1]
+    return asked.select(
+        "doc_id", first["role"].alias("role1"), first["content"].alias("content1"),
+        second["role"].alias("role2"), second["content"].alias("content2"),
+    )
+
+
+# Answers of every kind, made of the documents themselves.
+def _answers(t: Tables):
+    text = "to_json(struct(text AS markdown))"
+    return t.documents.select(
+        "doc_id",
+        F.expr(
+            f"""CASE doc_id % 9 WHEN 0 THEN {text} WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN concat('{{"markdown":', n_chars, '}}')
+                WHEN 4 THEN concat('[', {text}, ']') WHEN 5 THEN concat({text}, ' done') WHEN 6 THEN '{{"markdown":""}}'
+                WHEN 7 THEN to_json(struct(text AS md)) ELSE concat('  ', {text}, chr(10)) END"""
+        ).alias("response"),
+    )
+
+
+@query(
+    "p13_scrub_response",
+    """SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' WHEN 2 THEN 'empty' WHEN 3 THEN 'no_markdown' WHEN 4 THEN 'not_object'
+                WHEN 5 THEN 'bad_json' WHEN 6 THEN 'ok' WHEN 7 THEN 'no_markdown' ELSE 'ok' END AS status,
+              CASE doc_id % 9 WHEN 0 THEN text WHEN 8 THEN text WHEN 6 THEN '' ELSE NULL END AS markdown FROM documents""",
+)
+def p13(t: Tables):
+    return A.scrubbed_text(_answers(t)).select("doc_id", "status", "markdown")
+
+
+@query(
+    "p14_gate",
+    "SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0)",
+)
+def p14(t: Tables):
+    results = t.labels.select(
+        F.col("doc_id").cast("string").alias("doc_key"), F.when(F.col("toxic") == 0, "ok").otherwise("bad_json").alias("status")
+    )
+    return L.gate(t.documents.select("doc_id", "text"), L.entries(results, "scrub"), "scrub", key="doc_id")
+
+
+def echo_client():
+    """A stand-in for a model: upper-cases ASCII letters of the document and answers in JSON."""
+    import json
+
+    def answer(messages, model, temperature, json_mode):
+        text = messages[1]["content"].split("BEGIN TEXT ----------------\n", 1)[1].rsplit("\n----------------", 1)[0]
+        table = {i: i - 32 for i in range(97, 123)}
+        return json.dumps({"markdown": text.translate(table)}, ensure_ascii=False)
+
+    return answer
+
+
+@query(
+    "x1_call_model",
+    """SELECT doc_id, 'ok' AS status, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS markdown, 1 AS attempts FROM documents""",
+)
+def x1(t: Tables):
+    docs = t.documents.select("doc_id", F.expr(_KEY).alias("doc_key"), F.col("text").alias("markdown"))
+    asked = R.scrub_request(docs, "Remove personal data.")
+    answered = M.call_model(
+        asked, echo_client, model="upper", json_mode=True, concurrency=None, threads=4, tier="raw", public_endpoint=False,
+        answers_path=work_dir(t.spark, "x1"),
+    )
+    answered = answered.withColumnRenamed("status", "call_status").drop("markdown")
+    return A.scrubbed_text(answered).select("doc_id", "status", "markdown", "attempts")
+
+
+def flaky_client():
+    """Fails on the first two tries of each request of three, for good on every fourth length."""
+    from collections import Counter
+
+    tries: Counter = Counter()
+
+    def answer(messages, model, temperature, json_mode):
+        text = messages[1]["content"]
+        tries[text] += 1
+        if len(text) % 4 == 0:
+            raise ValueError("refused")
+        if len(text) % 4 == 1 and tries[text] < 3:
+            raise ConnectionError("lost")
+        if len(text) % 4 == 2:
+            raise ConnectionError("lost")
+        return text
+
+    return answer
+
+
+@query(
+    "x2_retries",
+    """SELECT doc_id, CASE length(text) % 4 WHEN 0 THEN 'error' WHEN 2 THEN 'error' ELSE 'ok' END AS status,
+              CASE length(text) % 4 WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 3 ELSE 1 END AS attempts,
+              CASE length(text) % 4 WHEN 0 THEN 'ValueError: refused' WHEN 2 THEN 'ConnectionError: lost' ELSE NULL END AS error FROM documents""",
+)
+def x2(t: Tables):
+    asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
+    answered = M.call_model(asked, flaky_client, model="m", policy=M.distil_policy(), concurrency=None)
+    return answered.select("doc_id", "status", "attempts", "error")
+
+
+@query(
+    "x5_distinct_calls",
+    "SELECT doc_id, concat(lang, ' ', source) AS response FROM documents",
+)
+def x5(t: Tables):
+    asked = t.documents.select("doc_id", R.messages("", F.concat_ws(" ", "lang", "source")).alias("messages"))
+    return M.call_model(asked, last_message_client, model="m", concurrency=4).select("doc_id", "response")
+
+
+def last_message_client():
+    return lambda messages, **_: messages[-1]["content"]
