@@ -49,10 +49,13 @@ def write_entries(rows: DataFrame, path: str, batch: str) -> None:
     write_documents(rows, path, batch, key="key")
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SCHEMA)
-    return spark.read.schema(SCHEMA + ", batch string").option("basePath", path).parquet(path).drop("batch")
+def read_ledger(spark: SparkSession, path: str, with_batch: bool = False) -> DataFrame:
+    """All entries; ``with_batch`` adds the name of the batch that wrote them."""
+    if path_exists(spark, path):
+        table = spark.read.schema(SCHEMA + ", batch string").option("basePath", path).parquet(path)
+    else:
+        table = spark.createDataFrame([], SCHEMA + ", batch string")
+    return table if with_batch else table.drop("batch")
 
 
 def done_keys(ledger: DataFrame, stage: str, statuses: Sequence[str] = CLOSING) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailspark.functions.jsontext import as_text, kind
+from mailspark.functions.jsontext import as_text, is_type
 from mailspark.functions.text import oneline
 from mailspark.sinks.jsonl import QA_FIELDS
 
@@ -20,24 +20,27 @@ def is_qa(record: Column) -> Column:
 
 def cell(value: Column) -> Column:
     """A JSON value as cell text: booleans with a capital letter, nested values as JSON."""
-    return F.when(kind(value) == "boolean", F.initcap(as_text(value))).otherwise(as_text(value))
+    return F.when(is_type(value, "BOOLEAN"), F.initcap(as_text(value))).otherwise(as_text(value))
 
 
 def tabular_rows(df: DataFrame) -> DataFrame:
-    """Add ``is_qa`` and ``cells MAP<STRING, STRING>`` to parsed lines.
+    """Add ``is_qa``, ``keys ARRAY<STRING>`` and ``cells MAP<STRING, STRING>`` to parsed lines.
 
     QA rows keep their six columns only, the three texts on one line; other rows keep all
     keys and squeeze only what was a string.
     """
     record = F.col("record")
+    qa_keys = F.array(*[F.lit(k) for k in QA_FIELDS])
+    df = df.withColumn("is_qa", is_qa(record))
+    df = df.withColumn("keys", F.when(F.col("is_qa"), qa_keys).otherwise(F.map_keys(record)))
     qa_cells = []
     for name in QA_FIELDS:
         value = cell(F.try_element_at(record, F.lit(name)))
         qa_cells += [F.lit(name), oneline(value) if name in SQUEEZED else value]
-    free = F.transform_values(record, lambda _, v: F.when(kind(v) == "string", oneline(as_text(v))).otherwise(cell(v)))
-    return df.withColumn("is_qa", is_qa(record)).withColumn(
-        "cells", F.when(F.col("is_qa"), F.create_map(*qa_cells)).otherwise(free)
+    free = F.transform_values(
+        record, lambda _, v: F.when(is_type(v, "STRING"), oneline(as_text(v))).otherwise(cell(v))
     )
+    return df.withColumn("cells", F.when(F.col("is_qa"), F.create_map(*qa_cells)).otherwise(free))
 
 
 def column_order(rows: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def column_order(rows: DataFrame) -> DataFrame:
     combining makes tiny; only these lists are taken apart.  The final ranking sees one row
     per column of the result.
     """
-    shapes = rows.groupBy(F.map_keys("cells").alias("keys")).agg(F.min("line_key").alias("line_key"))
+    shapes = rows.groupBy("keys").agg(F.min("line_key").alias("line_key"))
     seen = shapes.select("line_key", F.posexplode("keys").alias("pos", "column_name"))
     first = seen.groupBy("column_name").agg(F.min(F.struct("line_key", "pos")).alias("first"))
     position = F.row_number().over(Window.orderBy("first")) - 1

@@ -65,7 +65,8 @@ def _model_pattern(names: Sequence[str]) -> str:
     spelled = []
     for name in sorted(names, key=lambda n: (-len(n), n)):
         spelled.append("[ -]?".join(re.escape(piece) for piece in re.split(r"[ -]", name)))
-    return r"(?i)(?<![0-9A-Za-z])(" + "|".join(spelled) + r")(?![0-9A-Za-z])"
+    # Atomic: once the longest name fits, no shorter one is tried at the same place.
+    return r"(?i)(?<![0-9A-Za-z])((?>(?:" + "|".join(spelled) + r")(?![0-9A-Za-z])))"
 
 
 def normalise_model(

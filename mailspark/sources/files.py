@@ -54,21 +54,11 @@ def read_files(
         raise EmptyInput(f"no such folder: {root}")
     root = _resolved(spark, root)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-        df = reader.load(root)
-    else:
-        # A glob names the files themselves, so sub-folders stay outside.
-        try:
-            df = reader.load(f"{root.rstrip('/')}/{glob}")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            if on_empty == "error":
-                raise EmptyInput(f"no {glob} in {root}") from None
-            df = spark.createDataFrame([], "path string, content binary")
+    df = reader.option("recursiveFileLookup", recursive).load(root)
     df = df.select(_relative(F.col("path"), root).alias("doc_key"), "content")
-    return check_not_empty(df, f"{glob} in {root}", on_empty) if recursive else df
+    if not recursive:
+        df = df.filter(~F.contains("doc_key", F.lit("/")))
+    return check_not_empty(df, f"{glob} in {root}", on_empty)
 
 
 def read_mail(
