@@ -13,8 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_STRICT = {"allowSingleQuotes": "false"}
+
+
 def _whole(col: Column) -> Column:
-    boxed = F.from_json(F.concat(F.lit('{"v":'), col, F.lit("}")), "map<string,variant>")
+    boxed = F.from_json(F.concat(F.lit('{"v":'), col, F.lit("}")), "map<string,variant>", _STRICT)
     return (~F.contains(col, F.lit("]"))) | F.coalesce(F.size(boxed) == 1, F.lit(False))
 
 
@@ -53,7 +56,7 @@ def parse_object(col: Column) -> Column:
     """MAP<STRING, VARIANT> of a strictly valid JSON object, keys in text order and the
     last of duplicate keys winning; null for anything else."""
     kind_of_map = "map<string,variant>"
-    listed = F.from_json(F.concat(F.lit("["), col, F.lit("]")), f"array<{kind_of_map}>")
+    listed = F.from_json(F.concat(F.lit("["), col, F.lit("]")), f"array<{kind_of_map}>", _STRICT)
     return _only(F.transform(listed, _last_wins), kind_of_map, col)
 
 

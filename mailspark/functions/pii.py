@@ -27,7 +27,8 @@ _B = r"(?<![0-9A-Za-z_])"
 _E = r"(?![0-9A-Za-z_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
-URL_QUERY = Rule("url_query", r"(https?://[^\s?#<>]+)\?[^\s<>)]+", "$1")
+# A link ends where the next one begins, so that no text is read twice.
+URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1")
 EMAIL = Rule("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>")
 PHONE_LABEL = Rule(
     "phone_label",
