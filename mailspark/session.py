@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,12 +20,26 @@ _SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings; everything else is left to the cluster."""
+    """Apply the run-time settings and hand the package to the executors; everything else is
+    left to the cluster."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark, __package__)
     return spark
 
 
+def ship(spark: SparkSession, package: str) -> None:
+    """Send a package of this folder to all executors, once per application.
+
+    Python workers import it from there, so nothing has to be installed on the cluster."""
+    archive = f"{package}.zip"
+    if any(name.endswith("/" + archive) for name in spark.sparkContext.listFiles):
+        return
+    root = Path(__file__).resolve().parent.parent
+    base = Path(tempfile.mkdtemp(prefix="ship-")) / package
+    spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", root, package))
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's checkpoint folder, which all executors share.
 

@@ -53,11 +53,14 @@ def read_files(
     if not path_exists(spark, root):
         raise EmptyInput(f"no such folder: {root}")
     root = _resolved(spark, root)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    df = reader.option("recursiveFileLookup", recursive).load(root)
-    df = df.select(_relative(F.col("path"), root).alias("doc_key"), "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    df = files.load(root)
     if not recursive:
-        df = df.filter(~F.contains("doc_key", F.lit("/")))
+        # By the metadata column, so that files further below are left out before they are read.
+        depth = root.rstrip("/").removeprefix("file:").count("/") + 1
+        spelled = F.regexp_replace("_metadata.file_path", "^file:/+", "/")
+        df = df.filter(F.regexp_count(spelled, F.lit("/")) == depth)
+    df = df.select(_relative(F.col("path"), root).alias("doc_key"), "content")
     return check_not_empty(df, f"{glob} in {root}", on_empty)
 
 

@@ -12,6 +12,7 @@ def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_t
     """Mail files as a stream of ``doc_key, content``; the key is the path as scanned."""
     return (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)

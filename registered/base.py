@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.session import configure
+from mailspark.session import configure, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
+        ship(spark, __package__)
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
