@@ -17,9 +17,12 @@ from mailspark.functions.text import WS_CHARS
 
 
 class Rule(NamedTuple):
+    """``needs`` is a short pattern without which the rule cannot hit; it is cheap to test."""
+
     name: str
     pattern: str
     replacement: str
+    needs: str = ""
 
 
 # Word borders in the ASCII sense: a number next to a Chinese character is still a number.
@@ -28,42 +31,50 @@ _E = r"(?![0-9A-Za-z_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 # A link ends where the next one begins, so that no text is read twice.
-URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1")
-EMAIL = Rule("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>")
+URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1", "://")
+EMAIL = Rule("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>", "@")
 PHONE_LABEL = Rule(
     "phone_label",
     r"(?i)(phone|tel|fax|mobile|whatsapp|电话|手机|传真)(\s?[.:：]?\s?)\+?\d[\d ()-]{5,18}\d",
     "$1$2<PHONE>",
+    "[0-9]",
 )
-PHONE_INTERNATIONAL = Rule("phone_international", r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){3,5}", "<PHONE>")
-PHONE_MOBILE = Rule("phone_mobile", rf"{_B}1[3-9]\d{{9}}{_E}", "<PHONE>")
+PHONE_INTERNATIONAL = Rule("phone_international", r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){3,5}", "<PHONE>", "[0-9]")
+PHONE_MOBILE = Rule("phone_mobile", rf"1(?<![0-9A-Za-z_]1)[3-9]\d{{9}}{_E}", "<PHONE>", "[0-9]")
 MESSENGER = Rule(
     "messenger",
     rf"(?i)(wechat|weixin|微信|{_B}qq|telegram)"
     r"(\s?(?:id|no|号)?\s?[:：]\s?)@?[A-Za-z0-9_-]{4,32}",
     "$1$2<ACCOUNT>",
+    "[:：]",
 )
 ORDER = Rule(
     "order_id",
     r"(?i)(order|contract|invoice|订单|合同|发票)(\s?(?:no\.|no|number|id|号|编号)?\s?[:：#]?\s?)"
     r"[A-Z]{0,4}-?\d[\dA-Z-]{3,30}",
     "$1$2<ORDER_ID>",
+    "[0-9]",
 )
 SERIAL_LABEL = Rule(
     "serial_label",
     rf"(?i)(serial number|serial no\.|serial|{_B}S/N|序列号)"
     r"(\s?[:：#]\s?)[A-Z0-9-]{5,40}",
     "$1$2<SERIAL>",
+    "[:：#]",
 )
-SERIAL = Rule("serial", rf"{_B}SN-[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>")
-IP = Rule("ip", rf"{_B}{_OCTET}(?:\.{_OCTET}){{3}}{_E}", "<IP>")
+SERIAL = Rule("serial", r"SN-(?<![0-9A-Za-z_]SN-)[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>", "SN-")
+IP = Rule("ip", rf"(?=\d){_B}{_OCTET}(?:\.{_OCTET}){{3}}{_E}", "<IP>", "[0-9]")
 INTERNAL_HOST = Rule(
-    "internal_host", rf"(?i){_B}[a-z0-9][a-z0-9.-]{{0,250}}\.(?:corp|internal|intranet|lan|local|vpn){_E}", "<HOST>"
+    "internal_host",
+    rf"(?i){_B}[a-z0-9][a-z0-9.-]{{0,250}}\.(?:corp|internal|intranet|lan|local|vpn){_E}",
+    "<HOST>",
+    r"\.(?i:corp|int|l|vpn)",
 )
 NATIONAL_ID = Rule(
     "national_id",
-    rf"{_B}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_E}",
+    rf"(?=\d){_B}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_E}",
     "<ID_NUMBER>",
+    "[0-9]",
 )
 
 DEFAULT_RULES: tuple[Rule, ...] = (
@@ -71,7 +82,7 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     MESSENGER, PHONE_LABEL, PHONE_INTERNATIONAL, PHONE_MOBILE,
 )
 
-CARD_PATTERN = rf"{_B}\d(?:[ -]?\d){{12,18}}{_E}"
+CARD_PATTERN = rf"(?=\d){_B}\d(?:[ -]?\d){{12,18}}{_E}"
 PRIVATE_IP_PATTERN = (
     rf"{_B}(?:10\.{_OCTET}|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.{_OCTET}\.{_OCTET}{_E}"
 )
@@ -82,7 +93,8 @@ def apply_rule(col: Column, rule: Rule) -> Column:
 
 
 def count_hits(col: Column, rule: Rule) -> Column:
-    return F.regexp_count(F.coalesce(col, F.lit("")), F.lit(rule.pattern)).cast("bigint")
+    hits = F.regexp_count(col, F.lit(rule.pattern)).cast("bigint")
+    return F.when(col.rlike(rule.needs), hits).otherwise(F.lit(0).cast("bigint"))
 
 
 def card_numbers(col: Column) -> Column:

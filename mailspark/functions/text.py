@@ -106,7 +106,8 @@ def normalise_newlines(col: Column) -> Column:
 
 def drop_trailing_blanks(col: Column) -> Column:
     """Remove blanks and tabs in front of a line feed; the last line is left alone."""
-    return F.regexp_replace(col, r"(?<![ \t])[ \t]++\n", "\n")
+    # The look-behind stands after the first blank, so other characters fail on that alone.
+    return F.regexp_replace(col, r"[ \t](?<![ \t][ \t])[ \t]*+\n", "\n")
 
 
 def clean_text(col: Column) -> Column:
@@ -147,13 +148,13 @@ def any_marker(markers: Sequence[str], ignore_case: bool = False, trimmed: bool
 def cut_at(col: Column, marker: str, guard: bool) -> Column:
     """Drop everything from the first marker line on.
 
-    ``guard`` asks for a non-blank line above the marker: the search starts below
-    the first non-blank line.  The pattern is one forward scan: the head is
-    possessive and the lazy part advances one character at a time.
+    ``guard`` asks for a non-blank line above the marker.  The first alternative takes the
+    text down to the first non-blank line and puts it back, so the search for markers begins
+    below it; everywhere else it fails on its anchor.  The text is read once.
     """
     if guard:
-        head = rf"(?dm)\A([{WS}]*+[^\n]++\n[\s\S]*?)^{marker}[\s\S]*+\z"
-        return F.regexp_replace(col, head, "$1")
+        head = rf"(\A[{WS}]*+[^\n]++(?:\n|\z))"
+        return F.regexp_replace(col, rf"(?dm){head}|^{marker}[\s\S]*+\z", "$1")
     return F.regexp_replace(col, rf"(?dm)^{marker}[\s\S]*+\z", "")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mailspark.functions.text import postprocess
 from mailspark.operators.markdown import header_block
 from mailspark.operators.reports import qa_mix
-from mailspark.operators.scrub import scrub_expression
+from mailspark.operators.scrub import scrub
 from mailspark.operators.turns import pair_turns
 from mailspark.operators.vocabulary import category_rules, normalise_model
 
@@ -26,7 +26,7 @@ def clean_turns(turns: DataFrame) -> DataFrame:
         }
     )
     document = F.concat(header_block(), F.lit("\n"), F.col("text"))
-    return headed.select(*turns.columns, scrub_expression(postprocess(document)).alias("markdown"))
+    return scrub(headed.select(*turns.columns, postprocess(document).alias("markdown")), "markdown")
 
 
 def turns_to_qa(turns: DataFrame) -> DataFrame:

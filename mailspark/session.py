@@ -52,6 +52,15 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that is stored in fewer splits than there are cores.
+
+    For work that costs much more per row than moving it.  Tables of many files or row
+    groups have splits enough and pass through unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write once, read back: what follows never recomputes ``df``, also after the loss of
     an executor."""

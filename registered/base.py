@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailspark.session import configure, ship
+from mailspark.session import configure, ship, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,7 +25,7 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
 
 def query(name: str, sql: str | None = None):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailspark.operators import ledger as L
 from mailspark.operators import reports
-from mailspark.operators.scrub import scrub_expression
+from mailspark.operators.scrub import scrub as scrub_rules
 from mailspark.session import work_dir
 from mailspark.streaming.files import run_available, table_stream
 from registered.base import SQL, Tables, query
@@ -115,7 +115,7 @@ def i7(t: Tables):
     docs = t.documents.select("doc_id", "lang", "text")
 
     def scrub(stream):
-        return stream.select("doc_id", "lang", scrub_expression(F.col("text")).alias("markdown"))
+        return scrub_rules(stream.withColumnRenamed("text", "markdown"), "markdown")
 
     for first_load in (True, False):
         load = docs.filter((F.col("lang") == "en") == first_load)
