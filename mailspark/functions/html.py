@@ -22,11 +22,11 @@ _BLOCKS = (
 # runs to the end of the page, as in a browser; so every rule is linear in the page.
 RULES: tuple[tuple[str, str], ...] = (
     # what never shows
-    (r"<!--[\s\S]*?(?:-->|\z)", ""),
-    (r"(?i)<script\b[\s\S]*?(?:</script\s*>|\z)", ""),
-    (r"(?i)<style\b[\s\S]*?(?:</style\s*>|\z)", ""),
-    (r"(?i)<title\b[\s\S]*?(?:</title\s*>|\z)", ""),
-    (r"(?i)<!doctype[^>]*>", ""),
+    (
+        r"(?i)<(?:!--[\s\S]*?(?:-->|\z)|script\b[\s\S]*?(?:</script\s*>|\z)|style\b[\s\S]*?(?:</style\s*>|\z)"
+        r"|title\b[\s\S]*?(?:</title\s*>|\z)|!doctype[^>]*>)",
+        "",
+    ),
     # white space of the source means nothing
     (r"[ \t\n\r\f]+", " "),
     # inline marks
@@ -45,9 +45,8 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"(?i)<h4\b[^>]*>", "\n\n#### "),
     (r"(?i)<h5\b[^>]*>", "\n\n##### "),
     (r"(?i)<h6\b[^>]*>", "\n\n###### "),
-    (r"(?i)</h[1-6]\s*>", "\n\n"),
     (r"(?i)<li\b[^>]*>", "\n- "),
-    (rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?>", "\n\n"),
+    (rf"(?i)</?(?:{_BLOCKS})(?:\s[^>]*)?>|</h[1-6]\s*>", "\n\n"),
     # all other tags
     (r"</?[A-Za-z][^>]*>", ""),
 )
@@ -75,22 +74,29 @@ def _code_point(number: Column) -> Column:
 
 
 def _decode_numeric(col: Column, pattern: str, prefix: str, base: int) -> Column:
-    codes = F.array_distinct(F.regexp_extract_all(col, F.lit(pattern), F.lit(1)))
-    decoded = F.aggregate(
-        codes,
-        col,
-        lambda acc, n: F.replace(
-            acc, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 10).cast("bigint"))
-        ),
-    )
-    return F.when(F.contains(col, F.lit(prefix)), decoded).otherwise(col)
+    """Replace each distinct code; a text without codes gives an empty list and stays."""
+
+    def codes(text: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+
+    def decode(text: Column) -> Column:
+        return F.aggregate(
+            codes(text),
+            text,
+            lambda acc, n: F.replace(
+                acc, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 10).cast("bigint"))
+            ),
+        )
+
+    # The one-element array names the input, which is a long chain, exactly once.
+    return F.transform(F.array(col), decode)[0]
 
 
 def decode_entities(col: Column) -> Column:
     for name, char in ENTITIES:
         col = F.replace(col, F.lit(name), F.lit(char))
     col = _decode_numeric(col, r"&#(\d{1,7});", "&#", 10)
-    col = _decode_numeric(col, r"&#[xX]([0-9A-Fa-f]{1,6});", "&#x", 16)
+    col = _decode_numeric(col, r"&#x([0-9A-Fa-f]{1,6});", "&#x", 16)
     return F.replace(col, F.lit("&amp;"), F.lit("&"))
 
 

@@ -13,6 +13,7 @@ Two conventions hold throughout:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -23,7 +24,15 @@ WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _char_set(chars: str) -> str:
-    return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
+    """Inside of a character class, neighbours written as one range: a regex engine tests a
+    class member by member."""
+    points, ranges = sorted(map(ord, chars)), []
+    for point in points:
+        if ranges and ranges[-1][1] == point - 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges)
 
 
 WS = _char_set(WS_CHARS)
@@ -215,8 +224,9 @@ def cut_forwarded(
     marker = forward_or_contact(forward, contact)
     kept = cut_at(col, marker, guard=False)
     # Only whole blank lines go; blanks at the end of the last kept line stay.
-    kept = F.regexp_replace(kept, rf"(?:\A|([^{WS}][{HSPACE}]*+))[{WS}]*+\z", "$1")
-    kept = F.concat(kept, F.lit("\n"))
+    content = rstrip(kept)
+    tail = F.substring_index(F.substr(kept, F.length(content) + 1), "\n", 1)
+    kept = F.when(content == "", "\n").otherwise(F.concat(content, tail, F.lit("\n")))
     return F.when(col.rlike(rf"(?dm)^{marker}"), kept).otherwise(col)
 
 
@@ -228,3 +238,15 @@ def oneline(col: Column) -> Column:
     null becomes the empty string."""
     body = F.regexp_replace(F.coalesce(col, F.lit("")), rf"(?:{_TERMINATOR})\z", "")
     return F.regexp_replace(body, _TERMINATOR, " ")
+
+
+def any_word(words: Sequence[str]) -> str:
+    """One pattern for a word list: ASCII words stand alone, others may stand inside running
+    text.  A look at the first letter spares most places the alternatives."""
+    plain = [w for w in words if w.isascii()]
+    parts = [re.escape(w) for w in words if not w.isascii()]
+    if plain:
+        firsts = "".join(sorted({re.escape(w[0]) for w in plain}))
+        listed = "|".join(re.escape(w) for w in plain)
+        parts.insert(0, rf"(?=[{firsts}])(?<![0-9A-Za-z_])(?:{listed})(?![0-9A-Za-z_])")
+    return "(?:" + "|".join(parts) + ")"

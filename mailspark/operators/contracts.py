@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailspark.functions import pii
-from mailspark.functions.text import rstrip
+from mailspark.functions.text import any_word, rstrip
 
 # Topics that make a line commercial, logistic or a mere courtesy.
 BUSINESS_WORDS = (
@@ -34,23 +34,16 @@ URL = r"https?://[^\s<>\"')\]]+"
 HAN = r"\p{IsHan}"
 
 
-def _any(words: Sequence[str]) -> str:
-    """An ASCII word must begin and end at a word border, others may stand anywhere."""
-    return "|".join(
-        rf"(?<![0-9A-Za-z_])(?:{w})(?![0-9A-Za-z_])" if w.isascii() else w for w in words
-    )
-
-
 def drop_business_lines(
     col: Column, business: Sequence[str] = BUSINESS_WORDS, technical: Sequence[str] = TECHNICAL_WORDS
 ) -> Column:
     """Remove the lines about business that say nothing technical; right trim."""
-    pattern = rf"(?im)^(?![^\n]*(?:{_any(technical)}))(?=[^\n]*(?:{_any(business)}))[^\n]*+\n?"
+    pattern = rf"(?im)^(?![^\n]*(?:{any_word(technical)}))(?=[^\n]*(?:{any_word(business)}))[^\n]*+\n?"
     return rstrip(F.regexp_replace(col, "(?d)" + pattern, ""))
 
 
 def is_technical(col: Column, technical: Sequence[str] = TECHNICAL_WORDS) -> Column:
-    return F.coalesce(col, F.lit("")).rlike(f"(?i)(?:{_any(technical)})")
+    return F.coalesce(col, F.lit("")).rlike(f"(?i)(?:{any_word(technical)})")
 
 
 def filter_technical(
@@ -60,7 +53,7 @@ def filter_technical(
     technical: Sequence[str] = TECHNICAL_WORDS,
 ) -> DataFrame:
     """Drop business lines, then documents that were about business and keep no technical line."""
-    about_business = F.coalesce(F.col(col), F.lit("")).rlike(f"(?i)(?:{_any(business)})")
+    about_business = F.coalesce(F.col(col), F.lit("")).rlike(f"(?i)(?:{any_word(business)})")
     kept = df.filter(~about_business | is_technical(F.col(col), technical))
     return kept.withColumn(col, drop_business_lines(F.col(col), business, technical))
 

@@ -51,8 +51,9 @@ def column_order(rows: DataFrame) -> DataFrame:
     per column of the result.
     """
     shapes = rows.groupBy("keys").agg(F.min("line_key").alias("line_key"))
-    seen = shapes.select("line_key", F.posexplode("keys").alias("pos", "column_name"))
-    first = seen.groupBy("column_name").agg(F.min(F.struct("line_key", "pos")).alias("first"))
+    # The outer form, so that no filter on the keys is inferred, which would parse every line twice.
+    seen = shapes.select("line_key", F.posexplode_outer("keys").alias("pos", "column_name"))
+    first = seen.filter("column_name IS NOT NULL").groupBy("column_name").agg(F.min(F.struct("line_key", "pos")).alias("first"))
     position = F.row_number().over(Window.orderBy("first")) - 1
     return first.select("column_name", position.cast("bigint").alias("position"))
 

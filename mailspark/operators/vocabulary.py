@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.functions.text import strip
+from mailspark.functions.text import any_word, strip
 
 # The categories a record may have.
 CATEGORIES = ("environment", "sdk", "control", "hardware", "sensor", "other")
@@ -40,24 +40,19 @@ def normalise_category(df: DataFrame, col: str = "category", allowed: Sequence[s
     return df.withColumns({col: F.when(known, name).otherwise(other), "category_known": known})
 
 
-def _words_pattern(words: Sequence[str]) -> str:
-    """ASCII words stand alone, others may stand inside running text."""
-    alternatives = [
-        rf"(?<![0-9a-z_]){re.escape(w)}(?![0-9a-z_])" if w.isascii() else re.escape(w) for w in words
-    ]
-    return "(?:" + "|".join(alternatives) + ")"
-
-
 def category_rules(col: Column, words: Mapping[str, Sequence[str]] = CATEGORY_WORDS, other: str = "other") -> Column:
     """Rule-based stand-in for the model's choice: the category with most keyword hits, the
     first of the mapping where several have as many, ``other`` without a hit."""
     lowered = F.lower(F.coalesce(col, F.lit("")))
-    scores = {c: F.regexp_count(lowered, F.lit(_words_pattern(w))) for c, w in words.items()}
-    best = F.greatest(*scores.values()) if len(scores) > 1 else next(iter(scores.values()))
-    choice = F.when(best == 0, other)
-    for category, score in scores.items():
-        choice = choice.when(score == best, category)
-    return choice
+
+    def entry(score: Column, rank: int, name: str) -> Column:
+        return F.struct(score.alias("score"), F.lit(-rank).alias("rank"), F.lit(name).alias("name"))
+
+    # ``other`` scores nothing but goes first among equals, so it wins only without a hit.
+    entries = [entry(F.lit(0), 0, other)]
+    for rank, (category, terms) in enumerate(words.items(), start=1):
+        entries.append(entry(F.regexp_count(lowered, F.lit(any_word(terms))), rank, category))
+    return F.array_max(F.array(*entries))["name"]
 
 
 def _model_pattern(names: Sequence[str]) -> str:

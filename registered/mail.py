@@ -212,11 +212,11 @@ def m9_mail(t: Tables):
 
 
 _HTML_RULES = [
-    (r"<!--[\s\S]*?(?:-->|$)", ""),
-    (r"(?i)<script\b[\s\S]*?(?:</script\s*>|$)", ""),
-    (r"(?i)<style\b[\s\S]*?(?:</style\s*>|$)", ""),
-    (r"(?i)<title\b[\s\S]*?(?:</title\s*>|$)", ""),
-    (r"(?i)<!doctype[^>]*>", ""),
+    (
+        r"(?i)<!--[\s\S]*?(?:-->|$)|<script\b[\s\S]*?(?:</script\s*>|$)|<style\b[\s\S]*?(?:</style\s*>|$)"
+        r"|<title\b[\s\S]*?(?:</title\s*>|$)|<!doctype[^>]*>",
+        "",
+    ),
     (r"[ \t\n\r\f]+", " "),
     (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', r"![](\1)"),
     (r"(?i)</?(?:strong|b)(?:\s[^>]*)?>", "**"),
