@@ -46,7 +46,10 @@ def _finish(df: DataFrame, spark: SparkSession, stage: str, batch: str, out: str
 
 
 def convert(spark: SparkSession, root: str, out: str, ledger: str, batch: str, overwrite: bool = False, **flags) -> DataFrame:
-    """Mail files below ``root`` to Markdown documents."""
+    """Mail files below ``root`` to Markdown documents.
+
+    Each run reads all files to see by their hash which are new or changed.  For an archive
+    that only grows, ``streaming.files`` lists files and reads the new ones alone."""
     mails = read_mail(spark, root).select(F.col("target_key").alias("doc_key"), "content")
     mails = L.pending(L.with_hash(mails, "content"), L.read_ledger(spark, ledger), "convert", overwrite=overwrite)
     return _finish(mail_to_markdown(mails, **flags), spark, "convert", batch, out, ledger)

@@ -69,7 +69,7 @@ FROM_SQL = "concat('\"Lee, ', upper(role), '\" <', role, '@example.org>')"
     "m1_parse_mail",
     f"""SELECT conv_id, turn, {SUBJECT} AS subject, {FROM_SQL} AS from_addr, {TO} AS to_addr, {CC} AS cc_addr, {DATE} AS date_raw,
                {SHAPE} NOT IN (0, 3) AS is_multipart,
-               CASE {SHAPE} WHEN 0 THEN 1 WHEN 3 THEN 1 WHEN 1 THEN 3 ELSE 4 END AS n_parts, NULL AS parse_error
+               CASE {SHAPE} WHEN 0 THEN 1 WHEN 3 THEN 1 WHEN 1 THEN 3 ELSE 4 END AS n_parts, NULL::VARCHAR AS parse_error
         FROM conversations""",
 )
 def m1(t: Tables):

@@ -80,7 +80,7 @@ _ITEMS_SQL = f"""SELECT *, kinds[i + 1] AS kind FROM (SELECT *, {_KINDS} AS kind
 
 @query(
     "d4_explode_items",
-    f"SELECT conv_id, turn, i AS item_no, CASE WHEN kind = 'j' THEN 'not_object' ELSE 'ok' END AS item_status FROM ({_ITEMS_SQL})",
+    f"SELECT conv_id, turn, i::INT AS item_no, CASE WHEN kind = 'j' THEN 'not_object' ELSE 'ok' END AS item_status FROM ({_ITEMS_SQL})",
 )
 def d4(t: Tables):
     items = A.explode_items(A.extract_items(answers(t)))
@@ -89,7 +89,7 @@ def d4(t: Tables):
 
 @query(
     "d5_qa_records",
-    f"""SELECT {_KEY} AS file, i AS item_no, CASE kind WHEN 'i' THEN role ELSE 'other' END AS category,
+    f"""SELECT {_KEY} AS file, i::INT AS item_no, CASE kind WHEN 'i' THEN role ELSE 'other' END AS category,
                CASE WHEN kind = 'i' AND turn % 2 = 0 THEN 'G1' END AS model, CASE kind WHEN 'i' THEN text ELSE conv_id::VARCHAR END AS issue,
                CASE WHEN kind = 'i' THEN to_json([role, text])::VARCHAR END AS resolution,
                CASE WHEN kind = 'i' AND turn % 3 = 0 THEN text WHEN kind = 'o' AND turn % 2 = 1 THEN '1' ELSE '' END AS code_snippet
@@ -203,7 +203,7 @@ _PHRASED = """CASE doc_id % 6 WHEN 0 THEN concat(text, '建议用户重启') WHE
 
 @query(
     "d10_d11_voice_and_language",
-    f"""SELECT doc_id, 0 AS urls_missing, doc_id % 6 < 2 AS third_person,
+    f"""SELECT doc_id, 0::BIGINT AS urls_missing, doc_id % 6 < 2 AS third_person,
                len(regexp_extract_all(concat(t, r), '\\p{{Han}}')) / length(concat(t, r)) >= 0.3 AS is_chinese
         FROM (SELECT doc_id, {_PHRASED} AS t, '请先检查' AS r FROM documents)""",
 )
@@ -239,7 +239,7 @@ def d12_pair(t: Tables):
 
 
 # All conversations laid end to end as ONE thread whose questions are rare: the skewed case.
-_LONG = "(SELECT 0 AS conv_id, conv_id * 10 + turn AS turn, CASE WHEN conv_id % 50 = 3 AND turn = 0 THEN 'user' ELSE 'assistant' END AS role, text FROM conversations)"
+_LONG = "(SELECT 0::BIGINT AS conv_id, conv_id * 10 + turn AS turn, CASE WHEN conv_id % 50 = 3 AND turn = 0 THEN 'user' ELSE 'assistant' END AS role, text FROM conversations)"
 
 
 @query("d12_one_long_thread", _PAIRS.format(part=100, turns=_LONG))
@@ -267,7 +267,7 @@ def qa(t: Tables):
 
 @query(
     "d13_alternative_records",
-    f"SELECT file, item_no, issue AS question, resolution AS answer, model AS product, coalesce(category, '') AS tags, NULL AS source_note FROM {QA_SQL}",
+    f"SELECT file, item_no, issue AS question, resolution AS answer, model AS product, coalesce(category, '') AS tags, NULL::VARCHAR AS source_note FROM {QA_SQL}",
 )
 def d13(t: Tables):
     return N.to_alternative(qa(t)).withColumn("tags", F.array_join("tags", "|"))
@@ -275,7 +275,7 @@ def d13(t: Tables):
 
 @query(
     "d13_parse_alternative",
-    f"""SELECT file, 0 AS item_no, question, NULL AS answer, product, CASE WHEN turn % 2 = 0 THEN concat(role, '|x') ELSE '' END AS tags, 'note' AS source_note
+    f"""SELECT file, 0 AS item_no, question, NULL::VARCHAR AS answer, product, CASE WHEN turn % 2 = 0 THEN concat(role, '|x') ELSE '' END AS tags, 'note' AS source_note
         FROM (SELECT {_KEY} AS file, turn, role, text AS question, CASE WHEN turn % 3 = 0 THEN 'G1' END AS product FROM conversations)""",
 )
 def d13_parse(t: Tables):
@@ -346,7 +346,7 @@ _LINKED = """concat(text, ' video https://drive.google.com/file/d/', doc_id, '/v
 @query(
     "r5_share_links",
     f"""SELECT doc_id, replace(replace(replace(md, concat('https://drive.google.com/file/d/', doc_id, '/view?usp=x,'), '{pii.SHARE_PHRASE}'),
-               concat('https://www.dropbox.com/s/', lang), '{pii.SHARE_PHRASE}'), 'https://x.sharepoint.com/y', '{pii.SHARE_PHRASE}') AS resolution, 3 AS n_share_links
+               concat('https://www.dropbox.com/s/', lang), '{pii.SHARE_PHRASE}'), 'https://x.sharepoint.com/y', '{pii.SHARE_PHRASE}') AS resolution, 3::BIGINT AS n_share_links
         FROM (SELECT doc_id, lang, {_LINKED} AS md FROM documents)""",
 )
 def r5(t: Tables):
@@ -382,6 +382,6 @@ def a6_rollup(t: Tables):
     return qa_mix(qa(t), subtotals=True)
 
 
-@query("a6_threads_to_mix", "SELECT 'other' AS category, NULL AS model, count(*) AS n FROM conversations WHERE role = 'user'")
+@query("a6_threads_to_mix", "SELECT 'other' AS category, NULL::VARCHAR AS model, count(*) AS n FROM conversations WHERE role = 'user'")
 def a6_threads(t: Tables):
     return turns_to_mix(t.conversations)

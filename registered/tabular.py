@@ -50,7 +50,7 @@ def e2(t: Tables):
     """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN concat(event_type, ' ', event_type) ELSE event_type END AS kind,
               CASE WHEN event_id % 3 = 0 THEN user_id::VARCHAR END AS "user", CASE WHEN event_id % 3 = 0 THEN replace(props, ' ', '') END AS props,
               CASE WHEN event_id % 3 = 2 THEN CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'False' END END AS flag,
-              CASE WHEN event_id % 3 = 2 THEN concat('[', user_id, ',"x"]') END AS list, NULL AS nothing FROM events WHERE event_id % 3 <> 1""",
+              CASE WHEN event_id % 3 = 2 THEN concat('[', user_id, ',"x"]') END AS list, NULL::VARCHAR AS nothing FROM events WHERE event_id % 3 <> 1""",
 )
 def e3(t: Tables):
     rows = E.tabular_rows(lines(t)).filter("NOT is_qa")
