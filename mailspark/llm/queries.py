@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import quality_rules
+from mailspark.llm import byte_bpe, mixing, quality_rules
 from mailspark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,61 @@ def query(name: str, sql: str | None = None):
 def _quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judged(documents(spark, folder), columns=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+_MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS symbols,
+         (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13) AS BIGINT) AS DOUBLE) + 1) / 4503599627370496 AS u
+  FROM documents),
+keyed AS (SELECT doc_id, source, size, pow(u, 1 / ((size + 1) / (size + 1 + symbols))) AS priority FROM sized),
+totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [1.0::DOUBLE, 2, 3][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS share
+  FROM keyed GROUP BY source),
+levels AS (
+  SELECT *, (sum(CAST(source_size AS DOUBLE)) OVER () - coalesce(sum(3.0::DOUBLE * source_size) OVER before, 0))
+            / (sum(share) OVER () - coalesce(sum(share) OVER before, 0)) AS level, 3.0::DOUBLE * source_size / share AS full_at
+  FROM totals
+  WINDOW before AS (ORDER BY 3.0::DOUBLE * source_size / share, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT source, source_size,
+         least(3.0::DOUBLE * source_size, share * (SELECT arg_min(level, full_at) FROM levels WHERE level <= full_at)) AS target
+  FROM levels),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM goals),
+ranked AS (
+  SELECT k.*, p.source_size, p.target, p.epochs, p.target - p.epochs * p.source_size AS budget,
+         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.priority DESC) AS upto,
+         sum(k.size) OVER (PARTITION BY k.source, k.priority) AS alike
+  FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source),
+gaps AS (
+  SELECT *, budget - coalesce(max(CASE WHEN upto <= budget THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM ranked),
+fits AS (
+  SELECT source, arg_max(priority, (-abs(alike - gap), priority)) AS fit
+  FROM gaps WHERE upto > budget AND abs(alike - gap) < gap GROUP BY source)
+SELECT g.doc_id, g.size, g.source_size, g.target,
+       CAST(g.size * (g.epochs + CASE WHEN g.upto <= g.budget OR g.priority = f.fit THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM gaps g LEFT JOIN fits f ON g.source IS NOT DISTINCT FROM f.source
+"""
+
+
+@query("op2_mixing", _MIX_SQL)
+def _mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, folder), columns=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+@query("op3_byte_bpe")
+def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers as public
+
+    path, pattern = public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN
+    encoded = byte_bpe.encoded(documents(spark, folder), path, pattern, columns=["doc_id"])
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+    )
