@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, mixing, quality_rules
+from mailspark.llm import byte_bpe, mixing, quality_rules, token_files
 from mailspark.llm.common import documents
+from mailspark.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -86,3 +87,13 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decoded(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_token_files")
+def _token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers as public
+
+    docs, out = documents(spark, folder), work_dir(spark, "tokens")
+    token_files.write(docs, out, public.path("byte_bpe_50k.json"), end=2)
+
+    return token_files.read(spark, out).select(F.col("doc").alias("doc_id"), "start", F.col("n_tokens").cast("long").alias("n_tokens"), token_files.crc32(F.col("ids")).alias("ids_crc32"))
