@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, mixing, quality_rules, token_files
-from mailspark.llm.common import documents
+from mailspark.llm import byte_bpe, mixing, quality_classifier, quality_rules, token_files
+from mailspark.llm.common import documents, table
 from mailspark.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,11 @@ def _token_files(spark: SparkSession, folder: str) -> DataFrame:
     token_files.write(docs, out, public.path("byte_bpe_50k.json"), end=2)
 
     return token_files.read(spark, out).select(F.col("doc").alias("doc_id"), "start", F.col("n_tokens").cast("long").alias("n_tokens"), token_files.crc32(F.col("ids")).alias("ids_crc32"))
+
+
+@query("op1_quality_classifier")
+def _quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder), table(spark, folder, "labels")
+    model = quality_classifier.learnt(quality_classifier.sample(docs, labels, "quality"))
+    scored = quality_classifier.scored(docs, model, columns=["doc_id"])
+    return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
