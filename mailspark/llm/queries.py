@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, mixing, quality_classifier, quality_rules, token_files
+from mailspark.llm import byte_bpe, mixing, quality_classifier, quality_rules, token_files, toxicity
 from mailspark.llm.common import documents, table
 from mailspark.session import work_dir
 
@@ -105,3 +105,11 @@ def _quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality_classifier.learnt(quality_classifier.sample(docs, labels, "quality"))
     scored = quality_classifier.scored(docs, model, columns=["doc_id"])
     return scored.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op10_toxicity")
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder), table(spark, folder, "labels")
+    categories = toxicity.by_language(docs, labels)
+    chain = toxicity.learnt(toxicity.sample(docs, labels, categories), tuple(categories))
+    return toxicity.scored(docs, chain, columns=["doc_id"]).select("doc_id", "score", "toxic", F.to_json("categories").alias("categories"))
