@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, mixing, quality_classifier, quality_rules, token_files, toxicity
+from mailspark.llm import byte_bpe, fingerprints, mixing, quality_classifier, quality_rules, token_files, toxicity
 from mailspark.llm.common import documents, table
 from mailspark.session import work_dir
 
@@ -113,3 +113,11 @@ def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
     categories = toxicity.by_language(docs, labels)
     chain = toxicity.learnt(toxicity.sample(docs, labels, categories), tuple(categories))
     return toxicity.scored(docs, chain, columns=["doc_id"]).select("doc_id", "score", "toxic", F.to_json("categories").alias("categories"))
+
+
+@query("op9_fingerprints")
+def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.against_next(documents(spark, folder)).select(
+        F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )

@@ -21,7 +21,7 @@ from mailspark.llm.hashing import groups, words
 
 #: Labelled texts that are learnt from, at most: toxic ones of each category, and others.
 TOXIC = 600
-OTHER = 2_500
+OTHER = 5_000
 #: Beginnings of words, in bytes, that are terms of their own.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Terms that the models know, at most; the texts that must show one; how far it leans.
