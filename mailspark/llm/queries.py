@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, fingerprints, mixing, quality_classifier, quality_rules, token_files, toxicity
+from mailspark.llm import byte_bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, token_files, toxicity
 from mailspark.llm.common import documents, table
 from mailspark.session import work_dir
 
@@ -121,3 +121,40 @@ def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next",
     )
+
+
+_LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, no, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS no FROM documents)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (
+  SELECT doc_id, no, lead(no) OVER w AS last, line || chr(10) || lead(line) OVER w AS run FROM lines
+  WINDOW w AS (PARTITION BY doc_id ORDER BY no)
+  UNION ALL SELECT doc_id, no, no, line FROM lines WHERE n_words >= 50),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, no) AS place FROM runs WHERE run IS NOT NULL),
+gone AS (
+  SELECT doc_id, no FROM placed WHERE place > 1 UNION SELECT doc_id, last FROM placed WHERE place > 1),
+split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+kept AS (
+  SELECT s.doc_id, l, coalesce(list(g.no) FILTER (g.no IS NOT NULL), []) AS nos
+  FROM split s LEFT JOIN gone g USING (doc_id) GROUP BY s.doc_id, l)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(nos) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: NOT list_contains(nos, i)), lambda i: l[i]), chr(10))) AS kept_sha256
+FROM kept
+"""
+
+
+@query("op5_line_dedup", _LINES_SQL)
+def _line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.deduplicated(documents(spark, folder)).select(
+        "doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__gone").cast("long").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+@query("op8_jaccard_join")
+def _jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.joined(documents(spark, folder)).withColumnRenamed("id", "doc_id")
