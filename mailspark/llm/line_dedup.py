@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import SPACE
+from mailspark.llm.common import SPACE, words, written
 
 LINES = 2
 LONG = 50
@@ -24,14 +24,15 @@ def fingerprints(docs: DataFrame, name: str, text: str, lines: int, long: int) -
     own = F.split(F.coalesce(docs[text], F.lit("")), "\n", -1)
     df = docs.where(docs[name].isNotNull()).select(docs[name].alias("id"), F.transform(own, lambda x, i: F.struct(i.alias("no"), x.alias("line"))).alias("l"))
     df = df.withColumn("l", F.filter("l", lambda x: x["line"].rlike(SPACE.replace("[", "[^"))))
-    size = lambda x: F.size(F.array_remove(F.split(x["line"], f"{SPACE}+"), ""))
+    size = lambda x: F.size(words(x["line"]))
     df = df.withColumn("l", F.transform("l", lambda x: F.struct(x["no"].alias("no"), F.xxhash64(x["line"]).alias("hash"), (size(x) >= long).alias("long"))))
     least = "array_min(transform(slice(l, {0} + 1, {1}), (y, j) -> struct(y.hash, -j AS j)))"
     windows = f"IF(size(l) >= {lines}, transform(sequence(0, size(l) - {lines}), s -> CAST(s - {least.format('s', lines)}.j AS INT)), CAST(array() AS array<int>))"
     long_ones = "transform(filter(transform(l, (x, i) -> struct(x.long, i AS i)), x -> x.long), x -> x.i)"
     df = df.withColumn("picked", F.expr(f"array_union({windows}, {long_ones})"))
     near = f"slice(l, greatest(at - {lines - 1}, 0) + 1, least(at, {lines - 1}) + {lines})"
-    df = df.select("id", "l", F.explode("picked").alias("at"))
+    # Outer: else the optimizer asks first whether there is anything to explode, by working all of it out.
+    df = df.select("id", "l", F.explode_outer("picked").alias("at")).where("at IS NOT NULL")
     return df.select("id", F.expr("l[at].hash").alias("mark"), F.expr(near).alias("near"), F.expr(f"least(at, {lines - 1})").alias("at"))
 
 
@@ -42,7 +43,7 @@ def repeated(docs: DataFrame, name: str = "doc_id", text: str = "text", lines: i
     first position among all is found by a combined minimum, and every later one is a match.
     Neighbouring matches make up the longest repeated run.
     """
-    marks = fingerprints(docs, name, text, lines, long)
+    marks = written(fingerprints(docs, name, text, lines, long))
     recur = marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
     marks = marks.join(recur, "mark", "left_semi")
     # Extended to both sides: all windows of the lines around that hold the fingerprint.
