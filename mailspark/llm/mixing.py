@@ -2,8 +2,8 @@
 
 Every source gets whole epochs of its documents first; the rest of its budget is filled in the
 order of exponential keys scaled by the documents' quality weights (``u ** (1 / weight)``, the
-largest first), prefix-summed until the next document does not fit; one later document that
-fits the remainder best closes the gap.
+largest first), prefix-summed until the next document does not fit; a few later documents that
+fit the remainder best close the gap.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MAX_EPOCHS = 3
 #: Documents of a source that share one bucket of keys, about: the rows one task ranks.
 PER_BUCKET = 4096
+#: Documents that close the gap after the ranked ones.
+FITS = 4
+#: Sources whose decisions are sent to every task.
+SMALL = 100_000
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -59,7 +63,7 @@ def targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
 def decisions(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
     """One row per source from ``sizes`` (source, size, priority): ``source_size``, ``target``,
     ``epochs``, and what the last, partial epoch takes: all keys in buckets above
-    ``cut_bucket``, in it those from ``cut`` on, and the key ``fit``.
+    ``cut_bucket``, in it those from ``cut`` on, and the keys ``fits``.
 
     A hot source is ranked in many buckets: sums per bucket are prefix-summed, and only the
     bucket in which the budget ends is ranked by key.  Equal keys count as one.
@@ -88,10 +92,16 @@ def decisions(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
         F.min(F.when(fits, F.col("priority"))).alias("cut"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.min("before")).alias("filled")
     )
     cuts = written(cuts.withColumn("gap", F.col("budget") - F.col("filled")).drop("budget", "filled"))
-    rest = of(keys, cuts).where(~in_last_epoch())
-    off = F.abs(F.col("size") - F.col("gap"))
-    best = rest.where(off < F.col("gap")).groupBy("source").agg(F.max_by("priority", F.struct(-off, F.col("priority"))).alias("fit"))
-    return of(of(plan, cuts.drop("gap"), "left"), best, "left").drop("budget")
+    plan = of(plan, cuts, "left").withColumn("fits", F.array().cast("array<double>"))
+    for _ in range(FITS):
+        rest = of(keys.drop("buckets", "budget"), plan.select("source", "cut_bucket", "cut", "gap", "fits")).where(~taken_in_part())
+        off = F.abs(F.col("size") - F.col("gap"))
+        best = rest.where(off < F.col("gap")).groupBy("source").agg(F.max_by(F.struct("priority", "size"), F.struct(-off, F.col("priority"))).alias("best"))
+        plan = of(plan, best, "left")
+        found = F.col("best").isNotNull()
+        plan = plan.withColumn("fits", F.when(found, F.array_append("fits", F.col("best.priority"))).otherwise(F.col("fits")))
+        plan = written(plan.withColumn("gap", F.when(found, F.col("gap") - F.col("best.size")).otherwise(F.col("gap"))).drop("best"))
+    return plan.drop("budget", "gap")
 
 
 def bucket() -> Column:
@@ -104,6 +114,11 @@ def in_last_epoch() -> Column:
     return F.coalesce(F.col("bucket") > F.col("cut_bucket"), F.lit(False)) | (at & F.coalesce(F.col("priority") >= F.col("cut"), F.lit(False)))
 
 
+def taken_in_part() -> Column:
+    """In the source's last, partial epoch."""
+    return in_last_epoch() | F.coalesce(F.array_contains("fits", F.col("priority")), F.lit(False))
+
+
 def weighed(docs: DataFrame, name: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``row`` (the input columns), ``source``, ``size`` in words and ``priority``."""
     size = F.size(words(docs[text])).cast("long")
@@ -122,9 +137,11 @@ def mix(docs: DataFrame, columns: list[str] | None = None, name: str = "doc_id",
     df = weighed(docs, name, text, source)
     sizes = written(df.select("source", "size", "priority"))
     plan = decisions(sizes, weights, most).withColumnRenamed("source", "s")
+    if plan.count() <= SMALL:  # a row per source; of more sources none is hot enough to matter to the skew join
+        plan = F.broadcast(plan)
+    df = df.select(F.struct(F.lit(0).alias("_"), *[F.col("row").getField(c).alias(c) for c in columns]).alias("row"), "source", "size", "priority")
     df = df.join(plan, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("bucket", bucket())
-    taken = in_last_epoch() | F.coalesce(F.col("priority") == F.col("fit"), F.lit(False))
-    results = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "times": F.col("epochs") + taken.cast("long")}
+    results = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "times": F.col("epochs") + taken_in_part().cast("long")}
     return unpacked(df, columns, results)
 
 

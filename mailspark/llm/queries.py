@@ -58,14 +58,18 @@ ranked AS (
          sum(k.size) OVER (PARTITION BY k.source ORDER BY k.priority DESC) AS upto,
          sum(k.size) OVER (PARTITION BY k.source, k.priority) AS alike
   FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source),
-gaps AS (
-  SELECT *, budget - coalesce(max(CASE WHEN upto <= budget THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM ranked),
-fits AS (
-  SELECT source, arg_max(priority, (-abs(alike - gap), priority)) AS fit
-  FROM gaps WHERE upto > budget AND abs(alike - gap) < gap GROUP BY source)
-SELECT g.doc_id, g.size, g.source_size, g.target,
-       CAST(g.size * (g.epochs + CASE WHEN g.upto <= g.budget OR g.priority = f.fit THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM gaps g LEFT JOIN fits f ON g.source IS NOT DISTINCT FROM f.source
+gaps0 AS (
+  SELECT *, upto <= budget AS taken, budget - coalesce(max(CASE WHEN upto <= budget THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM ranked),
+""" + "".join(f"""
+fits{i} AS (
+  SELECT source, arg_max(priority, (-abs(alike - gap), priority)) AS fit, arg_max(alike, (-abs(alike - gap), priority)) AS more
+  FROM gaps{i} WHERE NOT taken AND abs(alike - gap) < gap GROUP BY source),
+gaps{i + 1} AS (
+  SELECT g.* EXCLUDE (taken, gap), taken OR coalesce(priority = fit, false) AS taken, gap - coalesce(more, 0) AS gap
+  FROM gaps{i} g LEFT JOIN fits{i} f ON g.source IS NOT DISTINCT FROM f.source),
+""" for i in range(mixing.FITS)) + f"""
+done AS (SELECT * FROM gaps{mixing.FITS})
+SELECT doc_id, size, source_size, target, CAST(size * (epochs + CASE WHEN taken THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM done
 """
 
 
