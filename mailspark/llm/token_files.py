@@ -25,8 +25,8 @@ PER_SHARD = 16_384
 MOST_SHARDS = 4_096
 MOST_DOCS = 1_000_000
 #: Stretches a worker keeps with their ids; characters it encodes at once.
-CACHED = 400_000
-GROUP = 4_000_000
+CACHED = 250_000
+GROUP = 2_000_000
 
 
 class Encoder:
@@ -39,29 +39,51 @@ class Encoder:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = Tokenizer.from_file(path)  # the pattern does not cut inside letters
+        self.letters.encode_special_tokens = True
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.blank = re.compile(r" (?=\S)")
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.cached, self.known = cached, {}
-
-    def fresh(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(m.ids, self.kind).tobytes() for m in made]
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.bytes_of[number] = len(token)  # a byte-level token has a character for each byte
+        self.cached, self.known, self.older = cached, {}, {}
+
+    def fresh(self, texts: list[str], tokenizer=None, row: int = 256) -> list[bytes]:
+        """Ids of texts, each of which is cut for itself.
+
+        They go to the tokenizer in rows; the bytes that ids stand for tell where a text ends."""
+        out, tokenizer = [], tokenizer or self.tokenizer
+        for start in range(0, len(texts), 64 * row):
+            part = texts[start : start + 64 * row]
+            rows = [part[i : i + row] for i in range(0, len(part), row)]
+            made = tokenizer.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False)
+            ids = np.concatenate([np.array(m.ids, self.kind) for m in made])
+            ends = np.cumsum([len(text.encode()) for text in part])
+            cuts = [0, *(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1).tolist()]
+            out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        return out
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
         cut = [self.blank.split(text) for text in texts]
-        heads = self.fresh([parts[0] for parts in cut])  # the only stretches without a leading blank
-        new = list(set(chain.from_iterable(parts[1:] for parts in cut)).difference(self.known))
-        if len(self.known) + len(new) > self.cached:
-            self.known = {}
-            new = list(set(chain.from_iterable(parts[1:] for parts in cut)))
-        self.known.update(zip(new, self.fresh([" " + text for text in new])))
+        # Only the first stretch of a text has no leading blank; it is left to the tokenizer.
+        heads = [np.array(m.ids, self.kind).tobytes() for m in self.tokenizer.encode_batch_fast([p.pop(0) for p in cut], add_special_tokens=False)]
+        new = set(chain.from_iterable(cut)).difference(self.known)
+        if len(self.known) + len(new) > self.cached:  # what is not asked for again leaves with the older half
+            self.older, self.known = self.known, {}
+            new = set(chain.from_iterable(cut))
+        again = new.intersection(self.older)
+        self.known.update((text, self.older[text]) for text in again)
+        new -= again
+        for own, tokenizer in (([w for w in new if w.isalpha()], self.letters), ([w for w in new if not w.isalpha()], self.tokenizer)):
+            self.known.update(zip(own, self.fresh([" " + w for w in own], tokenizer)))
         get, tail = self.known.__getitem__, np.array([end], self.kind).tobytes()
-        return [head + b"".join(map(get, parts[1:])) + tail for head, parts in zip(heads, cut)]
+        return [head + b"".join(map(get, rest)) + tail for head, rest in zip(heads, cut)]
 
 
 @lru_cache(maxsize=1)
