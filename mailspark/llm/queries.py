@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, token_files, toxicity
+from mailspark.llm import byte_bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity
 from mailspark.llm.common import documents, table
 from mailspark.session import work_dir
 
@@ -162,3 +162,30 @@ def _line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_jaccard_join")
 def _jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.joined(documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+_WINDOWS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, i, word FROM (
+    SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) AS i
+    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents))),
+windows AS (
+  SELECT doc_id, i, """ + " || ' ' || ".join(f"lead(word, {j}) OVER o" for j in range(13)) + r""" AS win
+  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+first AS (SELECT win, min(doc_id) AS least FROM windows WHERE win IS NOT NULL GROUP BY win),
+hits AS (SELECT doc_id, i FROM windows JOIN first USING (win) WHERE doc_id > least),
+marked AS (
+  SELECT w.doc_id, w.i, w.word, count(h.i) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM w LEFT JOIN hits h ON w.doc_id = h.doc_id AND w.i = h.i),
+sums AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id
+"""
+
+
+@query("op4_substring_dedup", _WINDOWS_SQL)
+def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicated(documents(spark, folder)).select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
