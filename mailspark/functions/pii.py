@@ -134,7 +134,7 @@ def display_names(*address_cols: Column) -> Column:
     return F.reverse(F.array_sort(keyed))["value"]
 
 
-# Hosts of private file shares, and the public phrase put in place of a link.
+# Hosts of private file shares, and the public phrase put in place of a link.
 SHARE_HOSTS = (
     "drive.google.com", "docs.google.com", "photos.google.com", "onedrive.live.com", "1drv.ms",
     "sharepoint.com", "dropbox.com", "pan.baidu.com", "weiyun.com", "aliyundrive.com", "wetransfer.com",

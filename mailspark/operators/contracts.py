@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from mailspark.functions import pii
 from mailspark.functions.text import any_word, rstrip
 
-# Topics that make a line commercial, logistic or a mere courtesy.
+# Topics that make a line commercial, logistic or a mere courtesy.
 BUSINESS_WORDS = (
     "quotation", "quote", "invoice", "payment", "wire transfer", "contract", "vat", "refund", "shipping",
     "courier", "tracking number", "customs", "visa", "invitation letter", "holiday", "best wishes",
     "报价", "发票", "付款", "合同", "物流", "快递", "签证", "邀请函", "节日",
 )
 
-# Topics that make a line technical.
+# Topics that make a line technical.
 TECHNICAL_WORDS = (
     "error", "firmware", "driver", "sdk", "api", "motor", "sensor", "lidar", "camera", "imu", "battery",
     "cable", "port", "network", "udp", "tcp", "ros", "timeout", "crash", "calibration", "log", "version",
@@ -30,7 +30,9 @@ THIRD_PERSON = ("建议用户", "用户可以", "用户想知道", "客户想知
 # Phrases that point back to the mail a record came from.
 MAIL_CONTEXT = ("客户邮件", "邮件往来", "上封邮件", "如前文邮件所示", "如邮件所示", "根据客户邮件", "客户在视频中说")
 
-URL = r"https?://[^\s<>\"')\]]+"
+# A link ends before white space, quotes, closing brackets, Han text and wide punctuation, and
+# not on a mark that ends the sentence.
+URL = r"https?://[^\s<>\"')\]\p{IsHan}\u3000-\u303f\uff00-\uffef]*[^\s<>\"')\]\p{IsHan}\u3000-\u303f\uff00-\uffef.,;:!?]"
 HAN = r"\p{IsHan}"
 
 
@@ -59,9 +61,12 @@ def filter_technical(
 
 
 def missing_urls(source: Column, answer: Column) -> Column:
-    """Links of the source that do not stand verbatim in the answer."""
-    urls = F.array_distinct(F.regexp_extract_all(F.coalesce(source, F.lit("")), F.lit(URL), F.lit(0)))
-    return F.filter(urls, lambda u: ~F.contains(F.coalesce(answer, F.lit("")), u))
+    """Links of the source that are no links of the answer."""
+
+    def links(text: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(URL), F.lit(0)))
+
+    return F.array_except(links(source), links(answer))
 
 
 def has_phrase(col: Column, phrases: Sequence[str]) -> Column:
@@ -85,12 +90,11 @@ def check_distilled(df: DataFrame, source: str, min_han: float = 0.3) -> DataFra
     )
 
 
-def replace_share_links(df: DataFrame, cols: Sequence[str] = ("issue", "resolution", "code_snippet"), **options) -> DataFrame:
+def replace_share_links(df: DataFrame, cols: Sequence[str] = ("issue", "resolution", "code_snippet"), hosts: Sequence[str] = pii.SHARE_HOSTS, phrase: str = pii.SHARE_PHRASE) -> DataFrame:
     """Private share links become a phrase; ``n_share_links`` counts them."""
-    counted = sum(
-        (F.regexp_count(F.coalesce(F.col(c), F.lit("")), F.lit(pii.share_link_pattern())) for c in cols), F.lit(0)
-    )
-    changed = {c: pii.replace_share_links(F.col(c), **options) for c in cols}
+    pattern = F.lit(pii.share_link_pattern(hosts))
+    counted = sum((F.regexp_count(F.coalesce(F.col(c), F.lit("")), pattern) for c in cols), F.lit(0))
+    changed = {c: pii.replace_share_links(F.col(c), hosts, phrase) for c in cols}
     return df.withColumns({**changed, "n_share_links": counted.cast("bigint")})
 
 

@@ -12,6 +12,7 @@ import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import tee
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -121,8 +122,9 @@ def call_model(
     temperature: float = 0.1,
     json_mode: bool = False,
     policy: CallPolicy = CallPolicy(),
-    concurrency: int | None = 4,
+    concurrency: int | None = None,
     threads: int = 1,
+    dedupe: bool = False,
     tier: str = "scrubbed",
     public_endpoint: bool = True,
     on_error: str = "status",
@@ -133,39 +135,55 @@ def call_model(
     ``connect()`` runs once per task and returns ``fn(messages, model=, temperature=,
     json_mode=) -> text``; a task without rows never connects.
 
-    Equal requests are called once: requests are reduced to one row per hash before the
-    call (partial aggregation leaves at most one copy per task of a hot request), and the
-    answers come back by an equi-join on the hash, which the runtime skew join splits on the
-    side of the copies.  Answers are written out before anything reads them, so neither a
-    later action nor a lost executor pays for a call twice.
+    Requests are called where their rows lie; no text is shuffled.  With ``dedupe`` equal
+    requests are called once, which costs two shuffles of the requests and pays where many are
+    equal: they are reduced to one row per hash (at most one copy per task of a hot request is
+    moved), and the answers come back by an equi-join on the hash.  Either way answers are
+    written out before anything reads them, so no later action pays for a call twice.
 
-    ``concurrency`` tasks with ``threads`` calls each bound the simultaneous calls; ``None``
-    leaves the number of tasks to the cluster, which is the choice for large tables.
+    ``threads`` calls run at once in each task; the cluster's slots bound the tasks.
+    ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls.
     """
     check_tier(tier, public_endpoint)
     options = {"model": model, "temperature": temperature, "json_mode": json_mode}
-    hashed = df.withColumn("request_hash", F.sha2(F.to_json("messages"), 256))
-    distinct = hashed.groupBy("request_hash").agg(F.first("messages").alias("messages"))
-    if concurrency is not None:
-        distinct = distinct.repartition(max(1, concurrency), "request_hash")
     schema = T.StructType([T.StructField("request_hash", T.StringType()), *ANSWER_FIELDS])
     names = schema.fieldNames()
     width = max(1, threads)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answers_of(columns: Iterator[pd.Series]) -> Iterator[list[tuple]]:
         fn = None
         with ThreadPoolExecutor(width) as callers:
-            for batch in batches:
-                if fn is None and len(batch):
+            for column in columns:
+                if fn is None and len(column):
                     fn = connect()
-                requests = [[dict(m) for m in messages] for messages in batch["messages"]]
+                requests = [[dict(m) for m in messages] for messages in column]
                 answers = list(callers.map(lambda m: _call_once(fn, m, options, policy), requests))
-                rows = [(h, *answer) for h, answer in zip(batch["request_hash"], answers)]
-                if on_error == "fail":
-                    for row in rows:
-                        if row[2] != "ok":
-                            raise RuntimeError(f"model call failed ({row[2]}): {row[4]}")
-                yield pd.DataFrame(rows, columns=names).astype({"attempts": "int32"})
+                for answer in answers:
+                    if on_error == "fail" and answer[1] != "ok":
+                        raise RuntimeError(f"model call failed ({answer[1]}): {answer[3]}")
+                yield answers
+
+    if not dedupe:
+
+        @F.pandas_udf(T.StructType(ANSWER_FIELDS))
+        def call(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for answers in answers_of(columns):
+                yield pd.DataFrame(answers, columns=names[1:]).astype({"attempts": "int32"})
+
+        spread = df if concurrency is None else df.coalesce(max(1, concurrency))
+        called = spread.withColumn("_answer", call.asNondeterministic()("messages"))
+        return materialise(called.select(*df.columns, "_answer.*"), answers_path)
+
+    hashed = df.withColumn("request_hash", F.sha2(F.to_json("messages"), 256))
+    distinct = hashed.groupBy("request_hash").agg(F.first("messages").alias("messages"))
+    if concurrency is not None:
+        distinct = distinct.repartition(max(1, concurrency), "request_hash")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batches, hashes = tee(batches)
+        for batch, answers in zip(hashes, answers_of(b["messages"] for b in batches)):
+            rows = [(h, *answer) for h, answer in zip(batch["request_hash"], answers)]
+            yield pd.DataFrame(rows, columns=names).astype({"attempts": "int32"})
 
     answers = materialise(distinct.mapInPandas(run, schema), answers_path)
     return hashed.join(answers, "request_hash", "left")

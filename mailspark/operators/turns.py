@@ -53,6 +53,29 @@ def running_max(
     return joined.withColumn(out, F.greatest(out, before)).drop(block, before)
 
 
+def answer_turns(
+    df: DataFrame,
+    thread: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    question_role: str = "user",
+    answer_role: str = "assistant",
+) -> DataFrame:
+    """Every turn with the question it belongs to: ``thread, turn, text, question_turn, status``.
+
+    ``status`` is ``question``, ``answer``, ``orphan_answer`` (before the first question) or
+    ``other_role``; the last two have no question.  No group of a thread is formed."""
+    rows = df.select(thread, turn, role, text)
+    is_question = F.coalesce(F.col(role) == question_role, F.lit(False))
+    rows = running_max(rows, [thread], turn, F.when(is_question, F.col(turn)), "question_turn")
+    is_answer = F.coalesce(F.col(role) == answer_role, F.lit(False))
+    status = F.when(is_question, "question").when(~is_answer, "other_role").when(F.col("question_turn").isNull(), "orphan_answer").otherwise("answer")
+    rows = rows.withColumn("status", status)
+    belongs = F.col("status").isin("question", "answer")
+    return rows.select(thread, turn, text, F.when(belongs, F.col("question_turn")).alias("question_turn"), "status")
+
+
 def pair_turns(
     df: DataFrame,
     thread: str = "conv_id",
@@ -61,31 +84,27 @@ def pair_turns(
     text: str = "text",
     question_role: str = "user",
     answer_role: str = "assistant",
-    part_size: int = 1000,
 ) -> DataFrame:
-    """One row per question: ``thread, question_turn, part_no, issue, resolution, n_answers``.
+    """One row per question, whatever the number of its answers: ``thread, turn, status, issue,
+    resolution, n_answers``, the answers joined in order.
 
-    Each question turn takes the answer turns that follow it up to the next question;
-    several answers are joined in order.  Answers more than ``part_size`` turns behind their
-    question go on in further rows of the same question (``part_no`` 1, 2, ..., no issue),
-    so nothing is lost and no group is larger than ``part_size``.
+    Turns that belong to no question keep a row of their own with their text as
+    ``resolution``.  A thread whose answers do not fit one cell is for ``answer_turns``.
     """
-    rows = df.filter(F.col(role).isin(question_role, answer_role)).select(thread, turn, role, text)
-    is_question = F.col(role) == question_role
-    rows = running_max(rows, [thread], turn, F.when(is_question, F.col(turn)), "question_turn")
-    rows = rows.filter(F.col("question_turn").isNotNull())
-    rows = rows.withColumn("part_no", F.floor((F.col(turn) - F.col("question_turn")) / part_size))
-    answer = F.when(F.col(role) == answer_role, F.struct(F.col(turn).alias("turn"), F.col(text).alias("text")))
-    grouped = rows.groupBy(thread, "question_turn", "part_no").agg(
-        F.max(F.when(is_question, F.col(text))).alias("issue"),
+    rows = answer_turns(df, thread, turn, role, text, question_role, answer_role)
+    paired = rows.where(F.col("question_turn").isNotNull())
+    answer = F.when(F.col("status") == "answer", F.struct(F.col(turn).alias("turn"), F.col(text).alias("text")))
+    grouped = paired.groupBy(thread, F.col("question_turn").alias(turn)).agg(
+        F.max(F.when(F.col("status") == "question", F.col(text))).alias("issue"),
         F.array_sort(F.collect_list(answer)).alias("_answers"),
     )
     joined = F.array_join(F.col("_answers")["text"], "\n\n")
-    return grouped.select(
-        thread,
-        "question_turn",
-        "part_no",
-        "issue",
+    questions = grouped.select(
+        thread, turn, F.lit("question").alias("status"), "issue",
         F.when(F.size("_answers") > 0, joined).alias("resolution"),
         F.size("_answers").cast("bigint").alias("n_answers"),
+    )
+    alone = rows.where(F.col("question_turn").isNull()).select(
+        thread, turn, "status", F.lit(None).cast("string").alias("issue"), F.col(text).alias("resolution"), F.lit(0).cast("bigint").alias("n_answers")
     )
+    return questions.unionByName(alone)

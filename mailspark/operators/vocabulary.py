@@ -55,6 +55,10 @@ def category_rules(col: Column, words: Mapping[str, Sequence[str]] = CATEGORY_WO
     return F.array_max(F.array(*entries))["name"]
 
 
+#: Words behind a model that name a variant of it.
+SUFFIXES = ("Air", "Pro", "Plus", "Max", "EDU", "Lite", "Mini", "Ultra")
+
+
 def _model_pattern(names: Sequence[str]) -> str:
     """Longest name first; blanks and hyphens in a name may be written either way or left out."""
     spelled = []
@@ -65,12 +69,13 @@ def _model_pattern(names: Sequence[str]) -> str:
 
 
 def normalise_model(
-    col: Column, vocabulary: Sequence[str] = MODELS, keep_suffix: bool = False, aliases: Mapping[str, str] | None = None
+    col: Column, vocabulary: Sequence[str] = MODELS, keep_suffix: bool = False, aliases: Mapping[str, str] | None = None,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> Column:
     """The vocabulary's spelling of the first model a text names, null if it names none.
 
     At one place the longest name wins.  A variant ("Go2 Air") becomes its main model, or
-    keeps the word behind it with ``keep_suffix``.
+    keeps the variant behind it, one of ``suffixes``, with ``keep_suffix``.
     """
     spellings = {n: n for n in vocabulary} | dict(aliases or {})
     pattern = _model_pattern(list(spellings))
@@ -82,5 +87,7 @@ def normalise_model(
     model = F.try_element_at(table, squeezed)
     if not keep_suffix:
         return model
-    suffix = F.regexp_extract(F.coalesce(col, F.lit("")), pattern + r"[ -](?-i:([A-Z][A-Za-z0-9]*))", 2)
+    # The same place as the model: the variant is optional, so the first model named is the match.
+    variants = "|".join(re.escape(s) for s in suffixes)
+    suffix = F.regexp_extract(F.coalesce(col, F.lit("")), pattern + rf"(?:[ -](?-i:({variants}))(?![0-9A-Za-z]))?", 2)
     return F.when(suffix == "", model).otherwise(F.concat_ws(" ", model, suffix))

@@ -19,8 +19,8 @@ from mailspark.operators.responses import extract_items, explode_items, merge_re
 from mailspark.operators.tabular import column_list, tabular_rows, to_table
 from mailspark.session import materialise
 from mailspark.sinks.csv import write_csv
-from mailspark.sinks.documents import write_documents
-from mailspark.sources.files import read_mail
+from mailspark.sinks.documents import read_documents, write_documents
+from mailspark.sources.files import path_exists, read_mail
 from mailspark.sources.jsonl import parse_lines, read_jsonl
 
 
@@ -87,7 +87,9 @@ def distil(
     listed = extract_items(answered.withColumnRenamed("status", "call_status"))
     status = F.when(F.col("call_status") == "ok", F.col("status")).otherwise(F.col("call_status"))
     done = materialise(listed.withColumn("status", status))
-    write_documents(qa_records(explode_items(done)), out, batch, key="file")
+    # A document that gives no item any more ends the items of its former version.
+    without = done.filter(F.col("status").isin("empty", "no_items")).select(F.col("doc_key").alias("file"))
+    write_documents(qa_records(explode_items(done)), out, batch, key="file", retire=without)
     L.write_entries(L.entries(done, "distil"), ledger, f"distil-{batch}")
     return done
 
@@ -101,14 +103,18 @@ def rewrite(
     record = F.to_json(F.struct(*[c for c in qa.columns if c != "item_no"]), {"ignoreNullFields": "false"})
     keyed = L.with_hash(qa.withColumn("doc_key", key).withColumn("line", record), "line")
     due = L.due(keyed, L.read_ledger(spark, ledger), "rewrite", limit=limit, when="after_skip", overwrite=not resume)
-    if L.nothing_due(due):
+    gone = None
+    if path_exists(spark, out):  # items whose document does not give them any more
+        gone = read_documents(spark, out).select("doc_key").join(keyed.select("doc_key"), "doc_key", "left_anti")
+        gone = materialise(gone)
+    if L.nothing_due(due) and (gone is None or gone.isEmpty()):
         return None
     call = {"policy": M.rewrite_policy(), "json_mode": True} | call
     answered = M.call_model(rewrite_request(due, system), connect, **call).withColumnRenamed("status", "call_status")
     merged = merge_record(parse_lines(answered.drop("messages")))
     merged = merged.select("doc_key", "file", "item_no", "input_hash", "attempts", "error", "status", F.to_json("record").alias("line"))
     done = materialise(merged)
-    write_documents(done.select("doc_key", "file", "item_no", "line"), out, batch)
+    write_documents(done.select("doc_key", "file", "item_no", "line"), out, batch, retire=gone)
     kept = F.when(F.col("status") == "rewritten", "rewritten").otherwise("ok")
     L.write_entries(L.entries(done.withColumn("status", kept), "rewrite"), ledger, f"rewrite-{batch}")
     return done

@@ -31,11 +31,10 @@ def clean_turns(turns: DataFrame) -> DataFrame:
 
 def turns_to_qa(turns: DataFrame) -> DataFrame:
     """Threads to QA records with rule-based category and model."""
-    paired = pair_turns(clean_turns(turns), text="markdown")
+    paired = pair_turns(clean_turns(turns), text="markdown").where("status = 'question'")
     return paired.select(
         F.concat(F.lit("thread-"), F.col("conv_id").cast("string"), F.lit(".md")).alias("file"),
-        F.col("question_turn").alias("item_no"),
-        "part_no",
+        F.col("turn").alias("item_no"),
         category_rules(F.concat_ws("\n", "issue", "resolution")).alias("category"),
         normalise_model(F.col("issue")).alias("model"),
         "issue",

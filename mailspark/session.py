@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -43,24 +44,18 @@ def ship(spark: SparkSession, package: str) -> None:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's checkpoint folder, which all executors share.
 
-    Only where no checkpoint folder is set (tests, a laptop) one is created locally.
+    Where none is set, a local session (tests, a laptop) gets one on its own disk; a cluster must
+    name one, since its executors would not see each other's files.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mailspark-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that is stored in fewer splits than there are cores.
-
-    For work that costs much more per row than moving it.  Tables of many files or row
-    groups have splits enough and pass through unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write once, read back: what follows never recomputes ``df``, also after the loss of
     an executor."""

@@ -4,40 +4,53 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailspark.functions.text import cut_forwarded
 
 
-def write_documents(df: DataFrame, path: str, batch: str, key: str = "doc_key") -> None:
+def write_documents(df: DataFrame, path: str, batch: str, key: str = "doc_key", retire: DataFrame | None = None) -> None:
     """Write one batch of documents.  Writing the same batch again replaces it, so a job
-    that died half-way is simply run again; other batches are never touched."""
+    that died half-way is simply run again; other batches are never touched.
+
+    A row without a key fails the job.  ``retire`` (a table with ``key``) lists documents that
+    are no more: their rows of earlier batches stop counting.
+    """
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", batch):
         raise ValueError(f"not a batch name: {batch!r}")
-    df.filter(F.col(key).isNotNull()).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+    named = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"a row without {key}")).cast(df.schema[key].dataType)).otherwise(F.col(key))
+    rows = df.withColumn(key, named).withColumn(RETIRED, F.lit(False))
+    if retire is not None:
+        gone = retire.select(F.col(key).cast(df.schema[key].dataType).alias(key)).distinct().withColumn(RETIRED, F.lit(True))
+        rows = rows.unionByName(gone, allowMissingColumns=True)
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+#: Marks the rows of a batch that end a document.
+RETIRED = "_retired"
+
+
+def batch_order(batch: Column) -> Column:
+    """Names of batches in the order a reader expects: numbers in them count as numbers."""
+    pieces = F.regexp_extract_all(batch, F.lit(r"\d+|\D+"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"^\d"), F.lpad(F.regexp_replace(p, r"^0+(?=\d)", ""), 32, "0")).otherwise(p)), "")
 
 
-def read_documents(
-    spark: SparkSession, path: str, key: str = "doc_key", broadcast_rows: int = 200_000
-) -> DataFrame:
-    """The current document per key: the one of the highest batch name.
+def read_documents(spark: SparkSession, path: str, key: str = "doc_key") -> DataFrame:
+    """The current rows of each key: those of its newest batch, unless that retired it.
 
-    Only keys and batch names are shuffled to find replaced documents.  Their list is
-    broadcast after it was counted, or joined by shuffle where it is long; the texts of a
-    table without replaced documents are never moved.
+    Only keys and batch names are shuffled to find replaced documents; where there are none,
+    the texts of the table are not moved.
     """
     table = spark.read.option("basePath", path).parquet(path)
-    table = table.withColumn("batch", F.col("batch").cast("string"))
-    newest = table.groupBy(key).agg(F.max("batch").alias("batch"), F.count("*").alias("n"))
-    newest = newest.filter("n > 1").select(F.col(key).alias("_key"), F.col("batch").alias("_newest"))
-    n_replaced = newest.limit(broadcast_rows + 1).count()
-    if n_replaced == 0:
-        return table.drop("batch")
-    if n_replaced <= broadcast_rows:
-        newest = F.broadcast(newest)
-    old = (F.col(key) == F.col("_key")) & (F.col("batch") < F.col("_newest"))
-    return table.join(newest, old, "left_anti").drop("batch")
+    table = table.withColumn("_order", batch_order(F.col("batch").cast("string"))).drop("batch")
+    newest = table.groupBy(key).agg(F.min("_order").alias("_oldest"), F.max("_order").alias("_newest"))
+    newest = newest.filter("_oldest < _newest").select(F.col(key).alias("_key"), "_newest")
+    if not newest.isEmpty():
+        old = (F.col(key) == F.col("_key")) & (F.col("_order") < F.col("_newest"))
+        table = table.join(newest, old, "left_anti")
+    return table.filter(~F.col(RETIRED)).drop("_order", RETIRED)
 
 
 def update_documents(df: DataFrame, col: str = "markdown", **markers) -> DataFrame:

@@ -22,9 +22,8 @@ _KEY = "concat('thread-', conv_id, '-', turn, '.md')"
 @query(
     "d1_distil_request",
     f"""SELECT conv_id, turn, 'system,user' AS roles, 'Extract QA.' AS system_text,
-               concat('Technical support mail thread in Markdown (file name: ', {_KEY}, ').', chr(10), chr(10),
-                      '---------------- BEGIN MAIL ----------------', chr(10), text, chr(10), '---------------- END MAIL ----------------', chr(10), chr(10),
-                      'Answer with one JSON object: {{"items": [{{"category": "...", "model": "...", "issue": "...", "resolution": "...", "code_snippet": "..."}}]}}') AS user_text
+               concat('<thread name="', {_KEY}, '">', chr(10), text, chr(10), '</thread>', chr(10),
+                      'Return JSON only: {{"items": [...]}}, each item with category, model, issue, resolution and code_snippet.') AS user_text
         FROM conversations""",
 )
 def d1(t: Tables):
@@ -226,14 +225,17 @@ def d12_split(t: Tables):
     return t.conversations.select("conv_id", "turn", question.alias("question"), answer.alias("answer"))
 
 
-_PAIRS = """SELECT conv_id, question_turn, (turn - question_turn) // {part} AS part_no, max(text) FILTER (WHERE role = 'user') AS issue,
-       string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS resolution,
-       count(*) FILTER (WHERE role = 'assistant') AS n_answers
-  FROM (SELECT *, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS question_turn FROM {turns} WHERE role <> 'system')
-  WHERE question_turn IS NOT NULL GROUP BY ALL"""
+_PAIRS = """WITH t AS (SELECT *, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS q FROM {turns})
+  SELECT conv_id, q AS turn, 'question' AS status, max(text) FILTER (WHERE role = 'user') AS issue,
+         string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS resolution,
+         count(*) FILTER (WHERE role = 'assistant') AS n_answers
+  FROM t WHERE q IS NOT NULL AND role IN ('user', 'assistant') GROUP BY conv_id, q
+  UNION ALL
+  SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'orphan_answer' ELSE 'other_role' END, NULL, text, 0
+  FROM t WHERE role NOT IN ('user', 'assistant') OR role = 'assistant' AND q IS NULL"""
 
 
-@query("d12_pair_turns", _PAIRS.format(part=1000, turns="conversations"))
+@query("d12_pair_turns", _PAIRS.format(turns="conversations"))
 def d12_pair(t: Tables):
     return U.pair_turns(t.conversations)
 
@@ -242,7 +244,7 @@ def d12_pair(t: Tables):
 _LONG = "(SELECT 0::BIGINT AS conv_id, conv_id * 10 + turn AS turn, CASE WHEN conv_id % 50 = 3 AND turn = 0 THEN 'user' ELSE 'assistant' END AS role, text FROM conversations)"
 
 
-@query("d12_one_long_thread", _PAIRS.format(part=100, turns=_LONG))
+@query("d12_one_long_thread", _PAIRS.format(turns=_LONG))
 def d12_long(t: Tables):
     thread = t.conversations.select(
         F.lit(0).cast("bigint").alias("conv_id"),
@@ -250,7 +252,7 @@ def d12_long(t: Tables):
         F.expr("CASE WHEN conv_id % 50 = 3 AND turn = 0 THEN 'user' ELSE 'assistant' END").alias("role"),
         "text",
     )
-    return U.pair_turns(thread, part_size=100)
+    return U.pair_turns(thread)
 
 
 QA_COLUMNS = [
@@ -305,9 +307,9 @@ def r1(t: Tables):
 
 @query(
     "r2_rewrite_request",
-    f"""SELECT file, item_no, concat('One question/answer record taken from support mail.  Rewrite issue, resolution and code_snippet as the system prompt asks, and answer with one JSON object that has the same keys.',
-          chr(10), chr(10), 'Record as JSON:', chr(10),
-          to_json({{'file': file, 'category': category, 'model': model, 'issue': issue, 'resolution': coalesce(resolution, ''), 'code_snippet': code_snippet}})) AS user_text FROM {QA_SQL}""",
+    f"""SELECT file, item_no, concat('<record>', chr(10),
+          to_json({{'file': file, 'category': category, 'model': model, 'issue': issue, 'resolution': coalesce(resolution, ''), 'code_snippet': code_snippet}}),
+          chr(10), '</record>', chr(10), 'Return this record as JSON, with the same keys and better wording.') AS user_text FROM {QA_SQL}""",
 )
 def r2(t: Tables):
     asked = R.rewrite_request(qa(t), "Rewrite.")

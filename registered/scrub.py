@@ -193,8 +193,8 @@ _KEY = "concat('doc-', doc_id, '.md')"
 @query(
     "p12_scrub_request",
     f"""SELECT doc_id, 'system' AS role1, 'Remove personal data.' AS content1, 'user' AS role2,
-               concat('File name (for reference only): ', {_KEY}, chr(10), chr(10), 'Markdown text to be scrubbed:', chr(10), chr(10),
-                      '---------------- BEGIN TEXT ----------------', chr(10), text, chr(10), '---------------- END TEXT ----------------') AS content2
+               concat('<document name="', {_KEY}, '">', chr(10), text, chr(10), '</document>', chr(10),
+                      'Return it without personal data, as JSON: {{"markdown": "..."}}') AS content2
         FROM documents""",
 )
 def p12(t: Tables):
@@ -246,7 +246,7 @@ def echo_client():
     import json
 
     def answer(messages, model, temperature, json_mode):
-        text = messages[1]["content"].split("BEGIN TEXT ----------------\n", 1)[1].rsplit("\n----------------", 1)[0]
+        text = messages[1]["content"].split(">\n", 1)[1].rsplit("\n</document>", 1)[0]
         table = {i: i - 32 for i in range(97, 123)}
         return json.dumps({"markdown": text.translate(table)}, ensure_ascii=False)
 
@@ -306,7 +306,7 @@ def x2(t: Tables):
 )
 def x5(t: Tables):
     asked = t.documents.select("doc_id", R.messages("", F.concat_ws(" ", "lang", "source")).alias("messages"))
-    return M.call_model(asked, last_message_client, model="m", concurrency=4).select("doc_id", "response")
+    return M.call_model(asked, last_message_client, model="m", concurrency=4, dedupe=True).select("doc_id", "response")
 
 
 def last_message_client():

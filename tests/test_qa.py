@@ -107,7 +107,7 @@ def test_requests(spark):
     for request in (R.scrub_request, R.distil_request):
         system, user = request(df, "Sys {y}").first()["messages"]
         assert (system["role"], system["content"], user["role"]) == ("system", "Sys {y}", "user")
-        assert "a.md" in user["content"] and "\nline {x}\n\n----" in user["content"]
+        assert "a.md" in user["content"] and ">\nline {x}\n\n</" in user["content"]
     custom = R.scrub_request(df, "s", template="<{text}|{name}>").first()["messages"][1]["content"]
     assert custom == "<line {x}\n|a.md>"
 
@@ -176,27 +176,28 @@ def test_split_reply(spark):
     assert got == [("q", "a\n---\n\nReply:\nb"), ("q --- Reply: a", None)]
 
 
-def _pairs(turns, part_size):
+def _pairs(turns):
     out, question = {}, {}
     for conv, turn, role, text in sorted(turns):
         if role == "user":
             question[conv] = turn
-        if role == "system" or conv not in question:
-            continue
-        key = (conv, question[conv], (turn - question[conv]) // part_size)
-        issue, answers = out.setdefault(key, (None, []))
-        out[key] = (text, answers) if role == "user" else (issue, answers + [text])
-    return {k: (i, "\n\n".join(a) if a else None, len(a)) for k, (i, a) in out.items()}
+            out[conv, turn] = ("question", text, [])
+        elif role == "assistant" and conv in question:
+            out[conv, question[conv]][2].append(text)
+        else:
+            out[conv, turn] = ("orphan_answer" if role == "assistant" else "other_role", None, text)
+    return {k: (s, i, ("\n\n".join(a) or None, len(a)) if s == "question" else (a, 0)) for k, (s, i, a) in out.items()}
 
 
-@pytest.mark.parametrize("part_size", [3, 1000])
-def test_pair_turns(spark, part_size):
+def test_pair_turns(spark):
     rng = random.Random(5)
     turns = [(c, t, rng.choice(["user", "assistant", "assistant", "system"]), f"{c}/{t}") for c in range(20) for t in range(rng.randint(1, 30))]
     turns += [(99, t, "user" if t in (5, 2900) else "assistant", f"long/{t}") for t in range(3000)]
+    turns += [(100, 1, "user", "q"), (100, 2, "assistant", "a"), (100, 150_000, "assistant", "far"), (101, 1, "assistant", "first"), (102, 3, None, "nobody")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    got = {(r[0], r[1], r[2]): (r[3], r[4], r[5]) for r in U.pair_turns(df, part_size=part_size).collect()}
-    assert got == _pairs(turns, part_size)
+    got = {(r.conv_id, r.turn): (r.status, r.issue, (r.resolution, r.n_answers)) for r in U.pair_turns(df).collect()}
+    assert got == _pairs([(c, t, r or "", x) for c, t, r, x in turns])
+    assert U.answer_turns(df).count() == len(turns)
 
 
 @pytest.mark.parametrize("width,levels", [(4, 2), (3, 3), (1000, 1)])

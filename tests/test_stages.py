@@ -51,12 +51,41 @@ def test_call_model_once_per_request(spark, tmp_path):
 
         return fn
 
-    got = M.call_model(_asked(spark, ["a", "b", "a", "a", "c"]), connect, model="m", json_mode=True, threads=3)
+    got = M.call_model(_asked(spark, ["a", "b", "a", "a", "c"]), connect, model="m", json_mode=True, threads=3, dedupe=True)
     assert _answers(got)[3] == ("a|m|0.1|True", "ok", 1, None)
     assert got.count() == 5  # another action, no further calls
     assert sorted(Path(log).read_text().split()) == ["a", "b", "c"]
 
 
+def test_call_model_in_place(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def connect():
+        def fn(messages, **_):
+            with open(log, "a") as f:
+                f.write(messages[1]["content"] + "\n")
+            return messages[1]["content"].upper()
+
+        return fn
+
+    got = M.call_model(_asked(spark, ["a", "b", "a"]), connect, model="m", threads=2)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert _answers(got) == {i: (t, "ok", 1, None) for i, t in enumerate("ABA")} and got.count() == 3
+    assert sorted(Path(log).read_text().split()) == ["a", "a", "b"]
+
+
+def test_newest_batch_counts(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for batch, rows in (("9", [("a", "old"), ("b", "only"), ("c", "one"), ("c", "two")]), ("10", [("a", "new")])):
+        write_documents(spark.createDataFrame(rows, "doc_key string, markdown string"), path, batch)
+    assert sorted(tuple(r) for r in read_documents(spark, path).collect()) == [("a", "new"), ("b", "only"), ("c", "one"), ("c", "two")]
+    none = spark.createDataFrame([], "doc_key string, markdown string")
+    write_documents(none, path, "11", retire=spark.createDataFrame([("c",), ("never",)], "doc_key string"))
+    assert sorted(tuple(r) for r in read_documents(spark, path).collect()) == [("a", "new"), ("b", "only")]
+    with pytest.raises(Exception, match="a row without doc_key"):
+        write_documents(spark.createDataFrame([(None, "x")], "doc_key string, markdown string"), path, "12")
+
+
 def test_retry_timeout_and_errors(spark):
     def connect():
         tries = {}
@@ -175,9 +204,8 @@ def test_document_batches(spark, tmp_path):
     assert read_documents(spark, path).count() == 2
     for _ in range(2):
         write_documents(frame(("b", "2"), ("c", "2")), path, "0002")
-    for rows in (200_000, 0):  # list of replaced documents broadcast, then joined by shuffle
-        got = {tuple(r) for r in read_documents(spark, path, broadcast_rows=rows).collect()}
-        assert got == {("a", "1"), ("b", "2"), ("c", "2")}
+    got = {tuple(r) for r in read_documents(spark, path).collect()}
+    assert got == {("a", "1"), ("b", "2"), ("c", "2")}
     with pytest.raises(ValueError):
         write_documents(frame(("a", "1")), path, "../x")
 
@@ -226,7 +254,7 @@ def _mail(subject, body):
 
 def scrub_client():
     def fn(messages, **_):
-        text = messages[1]["content"].split("BEGIN TEXT ----------------\n")[1].rsplit("\n----------------", 1)[0]
+        text = messages[1]["content"].split(">\n", 1)[1].rsplit("\n</document>", 1)[0]
         return "junk" if "unscrubbable" in text else json.dumps({"markdown": text.replace("ann@example.org", "<EMAIL>")})
 
     return fn
