@@ -1,8 +1,9 @@
 """Personal-data rules: a table of patterns, applied in order by ``regexp_replace``.
 
-Patterns are bounded or possessive, so a document is read in linear time, and never match
-a bare number without structure or a label, so that versions, torques, ports and sizes
-in technical text survive.
+Values are read to their end, whatever their length, by possessive patterns, so that no tail
+stays in clear and a document is read in linear time.  Labels have borders, and a bare number
+without structure or a label is never matched, so that versions, torques, ports and sizes in
+technical text survive.
 """
 
 from __future__ import annotations
@@ -29,46 +30,50 @@ class Rule(NamedTuple):
 _B = r"(?<![0-9A-Za-z_])"
 _E = r"(?![0-9A-Za-z_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# Letters of scripts that write without blanks do not belong to an address beside them.
+_LOCAL = r"[\p{L}\p{N}._%+\-&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]"
 
 # A link ends where the next one begins, so that no text is read twice.
 URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1", "://")
-EMAIL = Rule("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>", "@")
+EMAIL = Rule("email", rf"(?<!{_LOCAL}){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>", "@")
 PHONE_LABEL = Rule(
     "phone_label",
-    r"(?i)(phone|tel|fax|mobile|whatsapp|电话|手机|传真)(\s?[.:：]?\s?)\+?\d[\d ()-]{5,18}\d",
+    rf"(?i)({_B}(?:phone|tel|fax|mobile|whatsapp)|电话|手机|传真)(\s?[.:：]?\s?)\+?\d(?:[ ()-]{{0,3}}\d){{5,}}+",
     "$1$2<PHONE>",
     "[0-9]",
 )
-PHONE_INTERNATIONAL = Rule("phone_international", r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){3,5}", "<PHONE>", "[0-9]")
+PHONE_INTERNATIONAL = Rule("phone_international", r"\+(?=(?:[ .()-]{0,2}\d){7})(?:[ .()-]{0,2}\d)++\)?", "<PHONE>", r"\+")
 PHONE_MOBILE = Rule("phone_mobile", rf"1(?<![0-9A-Za-z_]1)[3-9]\d{{9}}{_E}", "<PHONE>", "[0-9]")
+# With a colon any account counts; without one it must begin with a letter and hold a digit or "_".
 MESSENGER = Rule(
     "messenger",
-    rf"(?i)(wechat|weixin|微信|{_B}qq|telegram)"
-    r"(\s?(?:id|no|号)?\s?[:：]\s?)@?[A-Za-z0-9_-]{4,32}",
+    rf"(?i)({_B}(?:wechat|weixin|qq|telegram)|微信)"
+    r"(\s?(?:id|no|号)?\s?[:：]\s?|\s?(?:id|no|号)?\s?(?:is\s|是)?\s?(?=@?[A-Z][A-Z-]*+[0-9_]))@?[A-Za-z0-9_-]{4,}+",
     "$1$2<ACCOUNT>",
-    "[:：]",
+    "(?i)wechat|weixin|微信|qq|telegram",
 )
+# A bare word in running text ("in order 2024-01-01") is no label: it needs "no." or a mark.
 ORDER = Rule(
     "order_id",
-    r"(?i)(order|contract|invoice|订单|合同|发票)(\s?(?:no\.|no|number|id|号|编号)?\s?[:：#]?\s?)"
-    r"[A-Z]{0,4}-?\d[\dA-Z-]{3,30}",
-    "$1$2<ORDER_ID>",
+    rf"(?i)({_B}(?:order|contract|invoice))(\s?(?:no\.|no|number|id)\s?[:：#]?\s?|\s?[:：#]\s?)(?=[A-Z-]*+\d)[A-Z0-9-]{{4,}}+"
+    r"|(订单|合同|发票)((?:号码|编号|号)?是?\s?[:：#]?\s?)(?=[A-Z-]*+\d)[A-Z0-9-]{4,}+",
+    "$1$2$3$4<ORDER_ID>",
     "[0-9]",
 )
 SERIAL_LABEL = Rule(
     "serial_label",
-    rf"(?i)(serial number|serial no\.|serial|{_B}S/N|序列号)"
-    r"(\s?[:：#]\s?)[A-Z0-9-]{5,40}",
+    rf"(?i)({_B}(?:serial number|serial no\.|serial|S/N)|序列号)(\s?[:：#]\s?)[A-Z0-9-]{{5,}}+",
     "$1$2<SERIAL>",
     "[:：#]",
 )
 SERIAL = Rule("serial", r"SN-(?<![0-9A-Za-z_]SN-)[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>", "SN-")
-IP = Rule("ip", rf"(?=\d){_B}{_OCTET}(?:\.{_OCTET}){{3}}{_E}", "<IP>", "[0-9]")
+_VERSION = r"(?<!(?i:firmware|version|ver|release|build|fw|固件|版本)[ .:：]{0,2})"
+IP = Rule("ip", rf"(?=\d){_B}{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}{_E}", "<IP>", "[0-9]")
 INTERNAL_HOST = Rule(
     "internal_host",
-    rf"(?i){_B}[a-z0-9][a-z0-9.-]{{0,250}}\.(?:corp|internal|intranet|lan|local|vpn){_E}",
+    rf"(?i)(?<![0-9A-Za-z_.-])(?:[a-z0-9][a-z0-9.-]*\.(?:corp|internal|intranet|lan|local|vpn)|vpn[a-z0-9-]*(?:\.[a-z0-9-]+)++){_E}",
     "<HOST>",
-    r"\.(?i:corp|int|l|vpn)",
+    r"(?i)\.(?:corp|int|l)|vpn",
 )
 NATIONAL_ID = Rule(
     "national_id",
@@ -126,14 +131,32 @@ def strip_link_queries(col: Column, keep_hosts: Sequence[str] = ()) -> Column:
 
 
 def display_names(*address_cols: Column) -> Column:
-    """Names in front of ``<address>`` in From, To, Cc; at least two characters, longest first."""
+    """Distinct names in front of ``<address>`` in From, To, Cc, longest first."""
     text = F.concat_ws(", ", *address_cols)
     names = F.regexp_extract_all(text, F.lit(r'([^<>,;"]+)"?\s*<'), F.lit(1))
-    names = F.filter(F.transform(names, lambda n: F.trim(n, F.lit(WS_CHARS))), lambda n: F.length(n) >= 2)
+    names = F.filter(F.transform(names, lambda n: F.trim(n, F.lit(WS_CHARS))), lambda n: n != "")
     keyed = F.transform(F.array_distinct(names), lambda n: F.struct(F.length(n).alias("n"), n.alias("value")))
     return F.reverse(F.array_sort(keyed))["value"]
 
 
+def replace_names(col: Column, names: Column, placeholders: Column | str) -> Column:
+    """Replace names that stand by themselves, in array order.
+
+    A name borders on no letter or digit and is no part of a compound ("Li-ion"); its words may
+    be parted by any white space.  Names in Han script are found inside running text.
+    """
+
+    def pattern(name: Column) -> Column:
+        words = F.regexp_replace(F.regexp_replace(name, r"([^\p{L}\p{N}\s\p{Z}])", r"\\$1"), r"[\s\p{Z}]+", r"[\\s\\p{Z}]+")
+        own = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?<![\p{L}\p{N}]-)"), words, F.lit(r"(?![\p{L}\p{N}_])(?!-[\p{L}\p{N}])"))
+        return F.when(name.rlike(r"^\p{IsHan}+$"), words).otherwise(own)
+
+    if isinstance(placeholders, str):
+        return F.aggregate(names, col, lambda acc, x: F.regexp_replace(acc, pattern(x), F.lit(placeholders)))
+    both = F.arrays_zip(names.alias("n"), placeholders.alias("p"))
+    return F.aggregate(both, col, lambda acc, x: F.regexp_replace(acc, pattern(x["n"]), x["p"]))
+
+
 # Hosts of private file shares, and the public phrase put in place of a link.
 SHARE_HOSTS = (
     "drive.google.com", "docs.google.com", "photos.google.com", "onedrive.live.com", "1drv.ms",

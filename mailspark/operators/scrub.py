@@ -53,10 +53,11 @@ def classify_ips(df: DataFrame, col: str) -> DataFrame:
 def scrub_header_names(df: DataFrame, col: str, placeholder: str = "<NAME>") -> DataFrame:
     """Replace the display names of a mail's own From, To and Cc in its text."""
     names = pii.display_names(F.col("from_addr"), F.col("to_addr"), F.col("cc_addr"))
-    return df.withColumn(col, pii.replace_all(F.col(col), names, placeholder))
+    return df.withColumn(col, pii.replace_names(F.col(col), names, placeholder))
 
 
-_TOKEN = r"[^\s,;:!?<>()\"]+"
+_TOKEN = r"[\p{L}\p{N}#&'_.-]+"
+_HAN = r"\p{IsHan}+"
 
 
 def scrub_dictionary(
@@ -66,31 +67,43 @@ def scrub_dictionary(
     key: str = "doc_key",
     name_col: str = "name",
     placeholder: str = "<NAME>",
+    placeholder_col: str | None = None,
 ) -> DataFrame:
-    """Replace the names of a dictionary table wherever they stand as whole tokens.
-
-    A dictionary may grow with the data, so it is neither collected nor forced into a
-    broadcast: each text lists its distinct tokens, an equi-join on the token keeps those in
-    the dictionary, and only these few come back to the text.  Spark broadcasts the
-    dictionary where its size allows; otherwise a token that stands in a large part of all
-    texts is a hot join key, which the runtime skew join splits on the text side.
-    Names of several words are matched word sequence by word sequence of their own length.
+    """Replace the names of a dictionary table wherever they stand by themselves.
+
+    ``placeholder_col`` names a column of the dictionary with a placeholder per entry
+    (organisations, addresses).  A dictionary may grow with the data, so it is neither collected
+    nor forced into a broadcast: each text lists its distinct phrases, an equi-join keeps those
+    in the dictionary, and only these few come back to the text.  Names of several words are
+    looked up as word sequences of their own length, names in Han script as runs of characters.
     """
-    cleaned = names.select(F.trim(F.col(name_col)).alias("_name")).filter("_name <> ''").distinct()
-    words = F.size(F.split("_name", r"\s+"))
-    lengths = [r[0] for r in cleaned.select(words.alias("n")).distinct().orderBy("n").collect()]
-    tokens = F.regexp_extract_all(F.col(col), F.lit(_TOKEN), F.lit(0))
-    tokens = F.transform(tokens, lambda t: F.regexp_replace(t, r"\.+$", ""))
-    texts = df.select(F.col(key), tokens.alias("_tokens"))
-    phrases = F.flatten(F.array(*[_phrases(F.col("_tokens"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
-    candidates = texts.select(F.col(key), F.explode(F.array_distinct(phrases)).alias("_name"))
-    hits = candidates.join(cleaned, "_name", "left_semi")
-    per_text = hits.groupBy(key).agg(
-        F.collect_list(F.struct(F.length("_name").alias("n"), F.col("_name").alias("value"))).alias("_hits")
-    )
-    ordered = F.reverse(F.array_sort("_hits"))["value"]
-    replaced = F.when(F.col("_hits").isNull(), F.col(col)).otherwise(pii.replace_all(F.col(col), ordered, placeholder))
-    return df.join(per_text, key, "left").withColumn(col, replaced).drop("_hits")
+    mark = F.lit(placeholder) if placeholder_col is None else F.coalesce(F.col(placeholder_col), F.lit(placeholder))
+    cleaned = names.select(F.regexp_replace(F.trim(F.col(name_col)), r"\s+", " ").alias("_name"), mark.alias("_mark"))
+    cleaned = cleaned.filter("_name <> ''").groupBy("_name").agg(F.min("_mark").alias("_mark"))
+    han = F.col("_name").rlike(f"^{_HAN}$")
+    size = F.when(han, F.length("_name")).otherwise(F.size(F.split("_name", " ")))
+    kinds = [(r["han"], r["n"]) for r in cleaned.select(han.alias("han"), size.alias("n")).distinct().orderBy("han", "n").collect()]
+    tokens = F.transform(F.regexp_extract_all(F.col(col), F.lit(_TOKEN), F.lit(0)), lambda t: F.regexp_replace(t, r"^['.-]+|['.-]+$", ""))
+    runs = F.regexp_extract_all(F.col(col), F.lit(_HAN), F.lit(0))
+    texts = df.select(F.col(key), tokens.alias("_tokens"), runs.alias("_runs"))
+    found = [_pieces_of(F.col("_runs"), n) if is_han else _phrases(F.col("_tokens"), n) for is_han, n in kinds]
+    phrases = F.flatten(F.array(*found)) if found else F.array().cast("array<string>")
+    candidates = texts.select(F.col(key), F.explode_outer(F.array_distinct(phrases)).alias("_name")).where("_name IS NOT NULL")
+    hits = candidates.join(cleaned, "_name")
+    hit = F.struct(F.length("_name").alias("n"), F.col("_name").alias("value"), F.col("_mark").alias("mark"))
+    per_text = hits.groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(hit))).alias("_hits"))
+    replaced = pii.replace_names(F.col(col), F.col("_hits")["value"], F.col("_hits")["mark"])
+    return df.join(per_text, key, "left").withColumn(col, F.when(F.col("_hits").isNull(), F.col(col)).otherwise(replaced)).drop("_hits")
+
+
+def _pieces_of(runs: Column, n: int) -> Column:
+    """All sequences of ``n`` characters in the runs."""
+
+    def pieces(run: Column) -> Column:
+        starts = F.when(F.length(run) >= n, F.sequence(F.lit(1), F.length(run) - (n - 1)))
+        return F.coalesce(F.transform(starts, lambda i: F.substring(run, i, F.lit(n))), F.array().cast("array<string>"))
+
+    return F.flatten(F.transform(runs, pieces))
 
 
 def _phrases(tokens: Column, n: int) -> Column:
@@ -106,14 +119,19 @@ def leak_audit(df: DataFrame, before: str, after: str, rules: Sequence[Rule] = D
     """Per rule: hits before, hits after, texts with a residue.
 
     All counters are one global aggregate, unpivoted at the end: one row per task is
-    shuffled, whatever the number of texts.
+    shuffled, whatever the number of texts.  What several rules need is looked up once per text.
     """
+    needs = {rule.needs: i for i, rule in enumerate(rules) if rule.needs}
+    df = df.select(F.col(before).alias("b"), F.col(after).alias("a"))
+    df = df.withColumns({name: F.col(name[1]).rlike(pattern) for pattern, i in needs.items() for name in (f"fb{i}", f"fa{i}")})
     counts, totals, cells = [], [], []
     for i, rule in enumerate(rules):
-        counts += [
-            pii.count_hits(F.col(before), rule).alias(f"b{i}"),
-            pii.count_hits(F.col(after), rule).alias(f"a{i}"),
-        ]
+
+        def hits(side: str, rule=rule) -> Column:
+            found = F.regexp_count(F.col(side), F.lit(rule.pattern)).cast("bigint")
+            return F.when(F.col(f"f{side}{needs[rule.needs]}"), found).otherwise(F.lit(0).cast("bigint")) if rule.needs else found
+
+        counts += [hits("b").alias(f"b{i}"), hits("a").alias(f"a{i}")]
         totals += [
             F.coalesce(F.sum(f"b{i}"), F.lit(0)).alias(f"b{i}"),
             F.coalesce(F.sum(f"a{i}"), F.lit(0)).alias(f"a{i}"),

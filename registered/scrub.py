@@ -14,45 +14,56 @@ from mailspark.operators import scrub as P
 from mailspark.session import work_dir
 from registered.base import Tables, query
 
-# Every document gets one line of each kind; the numbers vary with the document.
-PERSONAL = """concat(text, chr(10), 'mail: ', source, '.user+', doc_id, '@', lang, '-corp.example.com; cc müller', doc_id, '@firma.de', chr(10),
-  'call +49-30-', 1000000 + doc_id, ' or 电话13', 800000000 + doc_id, '元 tel: 030 ', 10000 + doc_id, ' fax.(0', doc_id % 90 + 10, ') 555 1', chr(10),
-  'WeChat: wx_', doc_id, 'abc QQ号：', 10000 + doc_id, ' Telegram id: @bot', doc_id, chr(10),
-  'Order No. AB-', 20240 + doc_id, ', invoice #', 7000 + doc_id, ' 合同编号：HT', 99000 + doc_id, ' order 5 units', chr(10),
-  'SN-HR-2024-', doc_id, ' serial number: X', 1000 + doc_id, 'Z S/N#', 55555 + doc_id, chr(10),
-  'host 10.', doc_id % 256, '.3.4 and 172.', doc_id % 32, '.1.1 v1.2.3 nas', doc_id, '.corp vpn-gw.internal', chr(10),
-  'id 110105', 1950 + doc_id % 50, '0', doc_id % 9 + 1, '12123X card ', 4111111111111111 + doc_id, chr(10),
-  'see https://docs.example.org/a', doc_id, '?token=s', doc_id, '&x=1 and https://example.org/b#c torque 12.5 Nm')"""
+# Every document gets lines with data of every kind.  A piece is its text, and the rule that must
+# replace it with what; pieces without a rule stay.  The checks put the expected text together from
+# the pieces; patterns of their own they use on the documents' own text only.
+_LONG_NUMBER, _LONG_CODE, _LONG_NAME = "'" + "7" * 60 + "'", "'" + "A1" * 30 + "'", "'" + "ab1_" * 15 + "'"
+PIECES: list[tuple[str, str | None, str]] = [
+    ("concat(chr(10), 'mail: ')", None, ""), ("concat(source, '.user+', doc_id, '@', lang, '-corp.example.com')", "email", "<EMAIL>"),
+    ("'; cc '", None, ""), ("concat('müller', doc_id, '@firma.de')", "email", "<EMAIL>"),
+    ("' 请将日志发送到'", None, ""), ("concat('support', doc_id, '@firma.de')", "email", "<EMAIL>"), ("'谢谢'", None, ""),
+    ("concat(chr(10), 'call ')", None, ""), ("concat('+49-30-', 1000000 + doc_id)", "phone_international", "<PHONE>"),
+    ("' or 电话'", None, ""), ("concat('13', 800000000 + doc_id)", "phone_label", "<PHONE>"), ("'元 or '", None, ""),
+    ("concat('15', 800000000 + doc_id)", "phone_mobile", "<PHONE>"),
+    ("' tel: '", None, ""), ("concat('030 ', 10000 + doc_id)", "phone_label", "<PHONE>"), ("', fax '", None, ""), (_LONG_NUMBER, "phone_label", "<PHONE>"),
+    ("', Intel 13900 24 cores'", None, ""),
+    ("concat(chr(10), 'WeChat: ')", None, ""), ("concat('wx_', doc_id, 'abc')", "messenger", "<ACCOUNT>"), ("' QQ号：'", None, ""),
+    ("concat(10000 + doc_id, '')", "messenger", "<ACCOUNT>"), ("' Telegram id: '", None, ""), ("concat('@bot', doc_id)", "messenger", "<ACCOUNT>"),
+    ("' 微信 '", None, ""), ("concat('wx_', doc_id)", "messenger", "<ACCOUNT>"), ("' WeChat ID is '", None, ""), ("concat('wx_', doc_id)", "messenger", "<ACCOUNT>"),
+    ("' wechat: '", None, ""), (_LONG_NAME, "messenger", "<ACCOUNT>"), ("', WeChat works'", None, ""),
+    ("concat(chr(10), 'Order No. ')", None, ""), ("concat('ABCDE-', 20240 + doc_id)", "order_id", "<ORDER_ID>"), ("', invoice #'", None, ""),
+    ("concat(7000 + doc_id, '')", "order_id", "<ORDER_ID>"), ("' 合同编号：'", None, ""), ("concat('HT', 99000 + doc_id)", "order_id", "<ORDER_ID>"),
+    ("' 发票号码：'", None, ""), ("concat(12340000 + doc_id, '')", "order_id", "<ORDER_ID>"), ("' 订单号是：'", None, ""),
+    ("concat('A', 12340000 + doc_id)", "order_id", "<ORDER_ID>"), ("' order no. '", None, ""), (_LONG_NUMBER, "order_id", "<ORDER_ID>"),
+    ("' order 5 units, in order 2024-01-01, invoice 2024Q3, the recorder 12345'", None, ""),
+    ("chr(10)", None, ""), ("concat('SN-HR-2024-', doc_id)", "serial", "<SERIAL>"), ("' serial number: '", None, ""),
+    ("concat('X', 1000 + doc_id, 'Z')", "serial_label", "<SERIAL>"), ("' S/N#'", None, ""), ("concat(55555 + doc_id, '')", "serial_label", "<SERIAL>"),
+    ("' serial: '", None, ""), (_LONG_CODE, "serial_label", "<SERIAL>"),
+    ("concat(chr(10), 'host ')", None, ""), ("concat('10.', doc_id % 256, '.3.4')", "ip", "<IP>"), ("' and '", None, ""),
+    ("concat('172.', doc_id % 32, '.1.1')", "ip", "<IP>"), ("' v1.2.3 firmware 1.0.21.3 '", None, ""), ("concat('nas', doc_id, '.corp')", "internal_host", "<HOST>"),
+    ("' '", None, ""), ("'vpn-gw.internal'", "internal_host", "<HOST>"), ("' '", None, ""), ("'vpn.firma.com'", "internal_host", "<HOST>"),
+    ("concat(chr(10), 'id ')", None, ""), ("concat('110105', 1950 + doc_id % 50, '0', doc_id % 9 + 1, '12123X')", "national_id", "<ID_NUMBER>"),
+    ("' card '", None, ""), ("'4111 1111 1111 1111'", "card", "<CARD>"), ("' and 4111111111111112'", None, ""),
+    ("concat(chr(10), 'see https://docs.example.org/a', doc_id)", None, ""), ("concat('?token=s', doc_id, '&x=1')", "url_query", ""),
+    ("' and https://example.org/b#c torque 12.5 Nm'", None, ""),
+]
+PERSONAL = f"concat(text, {', '.join(piece for piece, _, _ in PIECES)})"
 
 _W = r"\b"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# For the documents' own text, which holds e-mail addresses, numbers and keys, but none of the labels.
 RULES_RE2: dict[str, tuple[str, str]] = {
     "url_query": (r"(https?://[^\s?#<>]+)\?[^\s<>)]+", r"\1"),
     "email": (r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>"),
-    "national_id": (
-        rf"{_W}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_W}",
-        "<ID_NUMBER>",
-    ),
-    "order_id": (
-        r"(?i)(order|contract|invoice|订单|合同|发票)(\s?(?:no\.|no|number|id|号|编号)?\s?[:：#]?\s?)[A-Z]{0,4}-?\d[\dA-Z-]{3,30}",
-        r"\1\2<ORDER_ID>",
-    ),
-    "serial_label": (
-        rf"(?i)(serial number|serial no\.|serial|{_W}S/N|序列号)(\s?[:：#]\s?)[A-Z0-9-]{{5,40}}",
-        r"\1\2<SERIAL>",
-    ),
+    "national_id": (rf"{_W}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_W}", "<ID_NUMBER>"),
+    "order_id": (rf"(?i)({_W}(?:order|contract|invoice))(\s?(?:no\.|no|number|id)\s?[:#]?\s?|\s?[:#]\s?)[A-Z-]*\d[A-Z0-9-]{{3,}}", r"\1\2<ORDER_ID>"),
+    "serial_label": (rf"(?i)({_W}(?:serial number|serial no\.|serial|S/N))(\s?[:#]\s?)[A-Z0-9-]{{5,}}", r"\1\2<SERIAL>"),
     "serial": (rf"{_W}SN-[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>"),
     "ip": (rf"{_W}{_OCTET}(?:\.{_OCTET}){{3}}{_W}", "<IP>"),
     "internal_host": (rf"(?i){_W}[a-z0-9][a-z0-9.-]*\.(?:corp|internal|intranet|lan|local|vpn){_W}", "<HOST>"),
-    "messenger": (
-        rf"(?i)(wechat|weixin|微信|{_W}qq|telegram)(\s?(?:id|no|号)?\s?[:：]\s?)@?[A-Za-z0-9_-]{{4,32}}",
-        r"\1\2<ACCOUNT>",
-    ),
-    "phone_label": (
-        r"(?i)(phone|tel|fax|mobile|whatsapp|电话|手机|传真)(\s?[.:：]?\s?)\+?\d[\d ()-]{5,18}\d",
-        r"\1\2<PHONE>",
-    ),
-    "phone_international": (r"\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){3,5}", "<PHONE>"),
+    "messenger": (rf"(?i)({_W}(?:wechat|weixin|qq|telegram))(\s?(?:id|no)?\s?:\s?)@?[A-Za-z0-9_-]{{4,}}", r"\1\2<ACCOUNT>"),
+    "phone_label": (rf"(?i)({_W}(?:phone|tel|fax|mobile|whatsapp))(\s?[.:]?\s?)\+?\d(?:[ ()-]{{0,3}}\d){{5,}}", r"\1\2<PHONE>"),
+    "phone_international": (r"\+(?:[ .()-]{0,2}\d){7,}\)?", "<PHONE>"),
     "phone_mobile": (rf"{_W}1[3-9]\d{{9}}{_W}", "<PHONE>"),
 }
 
@@ -86,7 +97,13 @@ def _sql_scrub(x: str) -> str:
     return x
 
 
-_SOURCE = f"(SELECT doc_id, {PERSONAL} AS md FROM documents)"
+def _expected(rules, text: str = "text") -> str:
+    """The text after the rules: their patterns on the document's own text, the pieces by hand."""
+    rules = list(rules)
+    for name in rules:
+        text = _sql_cards(text) if name == "card" else _sql_rule(name, text)
+    pieces = [f"'{mark}'" if rule in rules else piece for piece, rule, mark in PIECES]
+    return f"concat({text}, {', '.join(pieces)})"
 
 
 def _documents(t: Tables):
@@ -94,11 +111,7 @@ def _documents(t: Tables):
 
 
 def _by_rules(query_name: str, *rules: pii.Rule):
-    sql = "md"
-    for rule in rules:
-        sql = _sql_rule(rule.name, sql)
-
-    @query(query_name, f"SELECT doc_id, {sql} AS md FROM {_SOURCE}")
+    @query(query_name, f"SELECT doc_id, {_expected([r.name for r in rules])} AS md FROM documents")
     def run(t: Tables):
         return P.scrub(_documents(t), "md", rules, cards=False)
 
@@ -112,74 +125,78 @@ _by_rules("p5_serial", pii.SERIAL_LABEL, pii.SERIAL)
 
 @query(
     "p6_ip_and_host",
-    f"""SELECT doc_id, {_sql_rule('internal_host', _sql_rule('ip', 'md'))} AS md, n_private AS n_private_ip, n_total - n_private AS n_public_ip
-        FROM (SELECT *, {_sql_hits('ip', 'md')} AS n_total,
-                     len(list_filter(regexp_extract_all(md, '{RULES_RE2['ip'][0]}'),
+    f"""SELECT doc_id, {_expected(['ip', 'internal_host'])} AS md, n_private + 1 + (doc_id % 32 >= 16)::INT AS n_private_ip,
+               n_total - n_private + (doc_id % 32 < 16)::INT AS n_public_ip
+        FROM (SELECT *, {_sql_hits('ip', 'text')} AS n_total,
+                     len(list_filter(regexp_extract_all(text, '{RULES_RE2['ip'][0]}'),
                          lambda a: a LIKE '10.%' OR a LIKE '192.168.%' OR regexp_matches(a, '^172\\.(1[6-9]|2\\d|3[01])\\.'))) AS n_private
-              FROM {_SOURCE})""",
+              FROM documents)""",
 )
 def p6(t: Tables):
     return P.scrub(P.classify_ips(_documents(t), "md"), "md", (pii.IP, pii.INTERNAL_HOST), cards=False)
 
 
-@query("p7_card_and_id", f"SELECT doc_id, {_sql_rule('national_id', _sql_cards('md'))} AS md FROM {_SOURCE}")
+@query("p7_card_and_id", f"SELECT doc_id, {_expected(['card', 'national_id'])} AS md FROM documents")
 def p7(t: Tables):
     return P.scrub(_documents(t), "md", (pii.NATIONAL_ID,), cards=True)
 
 
-_NAMED = """concat(text, chr(10), 'Dear Dr. ', source, ' Weber and ', lang, ' Desk, regards ', source, ' Weber, Jo')"""
+# Names in every position; a name inside a word or a compound is none.
+_NAMED = """concat(text, chr(10), 'Dear Dr. ', source, ' Weber and ', lang, ' Desk, regards ', source, chr(10), 'Weber, Jo. Li: Lidar and Li-ion, Limit; J')"""
+_NAMED_SQL = "concat(text, chr(10), 'Dear <NAME> and <NAME>, regards <NAME>, Jo. <NAME>: Lidar and Li-ion, Limit; <NAME>')"
 
 
-@query(
-    "p8_header_names",
-    f"""SELECT doc_id, replace(replace(replace({_NAMED}, concat('Dr. ', source, ' Weber'), '<NAME>'), concat(source, ' Weber'), '<NAME>'), concat(lang, ' Desk'), '<NAME>') AS md
-        FROM documents""",
-)
+@query("p8_header_names", f"SELECT doc_id, {_NAMED_SQL} AS md FROM documents")
 def p8(t: Tables):
     headed = t.documents.select(
         "doc_id",
         F.expr(_NAMED).alias("md"),
-        F.expr("""concat('"Dr. ', source, ' Weber" <w@example.org>, ', source, ' Weber <x@example.org>')""").alias("from_addr"),
+        F.expr("""concat('"Dr. ', source, ' Weber" <w@example.org>, ', source, ' Weber <x@example.org>, Li <l@example.org>')""").alias("from_addr"),
         F.expr("concat(lang, ' Desk <d@example.org>, bare@example.org')").alias("to_addr"),
         F.lit("J <j@example.org>").alias("cc_addr"),
     )
     return P.scrub_header_names(headed, "md").select("doc_id", "md")
 
 
-_CUSTOMER_NAMED = "concat(text, chr(10), 'Contact ', 'Customer#', lpad(CAST(doc_id * 3 AS STRING), 9, '0'), ', (Customer#000000007).')"
+_CUSTOMER = "concat('Customer#', lpad(CAST(doc_id * 3 AS {string}), 9, '0'))"
+_CUSTOMER_NAMED = f"concat(text, chr(10), 'Contact ', {_CUSTOMER.format(string='STRING')}, ', (Customer#000000007). Jo and John met Johanna; Anna', chr(10), 'Maria 张伟先生，李明，东海公司')"
 
 
 @query(
     "p8_dictionary",
-    """SELECT doc_id, replace(CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_name = concat('Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0')))
-                       THEN replace(md, concat('Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0')), '<NAME>') ELSE md END, 'Customer#000000007', '<NAME>') AS md
-       FROM (SELECT doc_id, concat(text, chr(10), 'Contact ', 'Customer#', lpad((doc_id * 3)::VARCHAR, 9, '0'), ', (Customer#000000007).') AS md FROM documents)""",
+    f"""SELECT doc_id, concat(text, chr(10), 'Contact ', CASE WHEN {_CUSTOMER.format(string='VARCHAR')} IN (SELECT c_name FROM customer) THEN '<NAME>' ELSE {_CUSTOMER.format(string='VARCHAR')} END,
+               ', (<NAME>). <NAME> and John met Johanna; <NAME> <NAME>先生，<NAME>，<ORG>') AS md FROM documents""",
 )
 def p8_dictionary(t: Tables):
     docs = t.documents.select("doc_id", F.expr(_CUSTOMER_NAMED).alias("md"))
-    return P.scrub_dictionary(docs, t.customer.select(F.col("c_name").alias("name")), "md", key="doc_id")
+    more = t.spark.createDataFrame([("Jo", None), ("Anna Maria", None), ("李明", None), ("张伟", None), ("东海公司", "<ORG>")], "name string, mark string")
+    names = t.customer.select(F.col("c_name").alias("name"), F.lit("<NAME>").alias("mark")).unionByName(more)
+    return P.scrub_dictionary(docs, names, "md", key="doc_id", placeholder_col="mark")
 
 
-@query("p9_link_queries", f"SELECT doc_id, {_sql_rule('url_query', 'md')} AS md FROM {_SOURCE}")
+@query("p9_link_queries", f"SELECT doc_id, {_expected(['url_query'])} AS md FROM documents")
 def p9(t: Tables):
     return _documents(t).select("doc_id", pii.strip_link_queries(F.col("md")).alias("md"))
 
 
-@query("p10_scrub_all", f"SELECT doc_id, {_sql_scrub(_sql_cards('md'))} AS md FROM {_SOURCE}")
+@query("p10_scrub_all", f"SELECT doc_id, {_expected(['card', *RULES_RE2])} AS md FROM documents")
 def p10(t: Tables):
     return P.scrub(_documents(t), "md")
 
 
+# How often each rule hits the pieces: a number behind 电话 is a mobile number as well.
+_INJECTED = {name: sum(rule == name for _, rule, _ in PIECES) for name in RULES_RE2} | {"phone_mobile": 2}
 _AUDIT = " UNION ALL ".join(
-    f"SELECT '{n}' AS rule, sum({_sql_hits(n, 'md')})::BIGINT AS hits_before, sum({_sql_hits(n, 'clean')})::BIGINT AS hits_after, "
-    f"count(*) FILTER (WHERE {_sql_hits(n, 'clean')} > 0) AS docs_with_residue FROM scrubbed"
-    for n in RULES_RE2
+    f"""SELECT '{n}' AS rule, sum({_sql_hits(n, 'text')} + {k})::BIGINT AS hits_before,
+               {'0::BIGINT' if n in ('email', 'ip') else f"sum({_sql_hits(n, 'clean')} + {k})::BIGINT"} AS hits_after,
+               {'0::BIGINT' if n in ('email', 'ip') else 'count(*)'} AS docs_with_residue FROM scrubbed"""
+    for n, k in _INJECTED.items()
 )
 
 
 @query(
     "p11_leak_audit",
-    f"WITH scrubbed AS (SELECT md, {_sql_rule('ip', _sql_rule('email', 'md'))} AS clean FROM {_SOURCE}) {_AUDIT}",
+    f"WITH scrubbed AS (SELECT text, {_sql_rule('ip', _sql_rule('email', 'text'))} AS clean FROM documents) {_AUDIT}",
 )
 def p11(t: Tables):
     docs = _documents(t)
@@ -296,7 +313,7 @@ def flaky_client():
 )
 def x2(t: Tables):
     asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
-    answered = M.call_model(asked, flaky_client, model="m", policy=M.distil_policy(), concurrency=None)
+    answered = M.call_model(asked, flaky_client, model="m", policy=M.distil_policy(), dedupe=True)  # the client fails by text, so copies must be one call
     return answered.select("doc_id", "status", "attempts", "error")
 
 
