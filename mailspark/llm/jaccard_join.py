@@ -215,7 +215,7 @@ def near_links(found: DataFrame, similarity: float) -> DataFrame:
     times = runs(similarity)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in filter(len, batches):
             sketch = np.frombuffer(b"".join(batch["sketch"]), np.uint16).reshape(len(batch), TOKENS)
             of, path = leaves(sketch, similarity, DEPTH, times)
             yield pd.DataFrame({"path": path.view(np.int64), "set": batch["set"].to_numpy()[of]})

@@ -187,7 +187,8 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
                         for s in range(a, b, step):
                             lo, hi = own[s], own[min(s + step, b) - 1] + size
                             out.append((int(at[a]), bool(frequent), rows["id"].iloc[i], rows["tie"].iloc[i], int(lo - begin[i]), symbol[lo:hi].tobytes()))
-                yield pd.DataFrame(out, columns=["anchor", "frequent", "id", "tie", "start", "words"])
+                if out:
+                    yield pd.DataFrame(out, columns=["anchor", "frequent", "id", "tie", "start", "words"])
 
     return every.join(wanted, ["id", "tie"]).mapInPandas(cut, "anchor long, frequent boolean, id long, tie long, start int, words binary")
 
@@ -207,7 +208,7 @@ def search(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.D
         least = least_documents(stretches, ids, size)
         hits = [np.flatnonzero(x < i).astype(np.int32) + s for x, i, s in zip(least, ids, rows["start"])]
         keep = np.array([len(h) > 0 for h in hits])
-        return pd.DataFrame({"id": ids[keep], "tie": rows["tie"].to_numpy()[keep], "hits": [h for h in hits if len(h)]})
+        return pd.DataFrame({"id": ids[keep], "tie": rows["tie"].to_numpy()[keep], "hits": pd.Series([h for h in hits if len(h)], dtype=object)})
 
     for batch in batches:
         held.append(batch)

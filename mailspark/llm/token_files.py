@@ -146,7 +146,7 @@ def counts(ids: DataFrame, kind: type) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in filter(len, batches):
             own = np.bincount(np.frombuffer(b"".join(batch["ids"]), kind), minlength=len(total))
             own[: len(total)] += total
             total = own
@@ -186,9 +186,9 @@ def write(docs: DataFrame, folder: str, path: str, end: int, name: str = "doc_id
     cuts = borders(ids.select(F.col("doc").alias("k")))
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in filter(len, batches):
             own = [table.value[np.frombuffer(i, kind)] for i in batch["ids"]]
-            control, data = zip(*map(packed, own)) if own else ((), ())
+            control, data = zip(*map(packed, own))
             shard = np.searchsorted(cuts, batch["doc"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64), side="left")
             yield pd.DataFrame({"shard": shard, "doc": batch["doc"], "tie": batch["tie"], "n": list(map(len, own)), "control": control, "data": data})
 
