@@ -109,8 +109,11 @@ def against_next(docs: DataFrame, name: str = "doc_id", text: str = "text") -> D
     asked = every.select("id", quarter.alias("k")).distinct().join(successors(every.select("id")), "id")
     asked = asked.select(F.col("next").alias("id"), F.col("id").alias("asker"), "k")
     given = base.join(asked, "id").select("asker", "k", F.substr("text", F.lit(1), F.col("k")).alias("head"), F.col("fingerprint").alias("next_fingerprint"))
-    given = given.groupBy("asker", "k").agg(F.min(F.struct("head", "next_fingerprint")).alias("g"))
-    found = base.withColumn("k", quarter).join(given.withColumnRenamed("k", "own_k"), (F.col("id") == F.col("asker")) & (F.col("k") == F.col("own_k")))
+    given = given.repartition("asker").groupBy("asker", "k").agg(F.min(F.struct("head", "next_fingerprint")).alias("g"))
+    # One entry per length: a condition on it in the join would keep the texts' exchange from being used twice.
+    given = given.groupBy("asker").agg(F.collect_list(F.struct("k", "g")).alias("gs"))
+    found = base.join(given, F.col("id") == F.col("asker")).withColumn("k", quarter)
+    found = found.withColumn("g", F.filter("gs", lambda x: x["k"] == F.col("k"))[0]["g"])
     edited = F.concat(F.substr("text", F.lit(1), F.length("text") - F.col("k")), F.col("g.head"))
     found = found.select("id", "text", "fingerprint", edited.alias("edited"), F.col("g.next_fingerprint").alias("next_fingerprint"))
     alone = with_fingerprint(every.where(F.col("id").isNull()), "text", "fingerprint")

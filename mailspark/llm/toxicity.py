@@ -52,7 +52,10 @@ class Linear:
 
 
 def linear(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 80) -> Linear:
-    """Logistic regression with balanced classes, by accelerated gradient steps."""
+    """Logistic regression with balanced classes, by accelerated gradient steps; where only one
+    class was seen, that class."""
+    if not len(y) or y.min() == y.max():
+        return Linear(np.zeros(x.shape[1]), 5.0 if len(y) and y[0] else -5.0)
     n = np.array([max((y == 0).sum(), 1), max((y == 1).sum(), 1)], np.float64)
     c = (len(y) / 2 / n)[y.astype(int)].astype(np.float32)
     x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mailspark.llm import byte_bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity
 from mailspark.session import work_dir
@@ -323,7 +324,7 @@ def _labelled(spark, n=400):
 def test_quality_classifier(spark, docs, none):
     known, labels = _labelled(spark)
     model = quality_classifier.learnt(quality_classifier.sample(known, labels, "quality"))
-    got = quality_classifier.scored(known, model).withColumn("held", quality_classifier.held_out(known.doc_id)).collect()
+    got = quality_classifier.scored(known, model).withColumn("held", quality_classifier.held_out(F.col("doc_id"))).collect()
     assert len(got) == known.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
     held = [r for r in got if r.held and r.doc_id is not None and r.doc_id < 400]
     assert len(held) > 40 and all(r.predicted == int(r.doc_id % 4 != 0) for r in held)
