@@ -90,41 +90,38 @@ class FMIndex:
         return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
 
 
-def least_documents(stretches: list[np.ndarray], docs: np.ndarray, size: int = WINDOW) -> list[np.ndarray]:
+def least_documents(symbols: np.ndarray, lengths: np.ndarray, docs: np.ndarray, size: int = WINDOW) -> np.ndarray:
     """For each window of each stretch the least of ``docs`` in whose stretches it occurs.
 
-    All stretches are searched side by side, from their ends: the last window word by word, each
-    earlier one by one more word in front and one less behind (the interval of all suffixes that
-    agree in ``size`` words).
+    The stretches' symbols lie end to end.  All stretches are searched side by side, from their
+    ends: the last window word by word, each earlier one by one more word in front and one less
+    behind (the interval of all suffixes that agree in ``size`` words).
     """
-    lengths = np.array([len(s) for s in stretches])
-    _, symbols = np.unique(np.concatenate(stretches), return_inverse=True)
+    _, ids = np.unique(symbols, return_inverse=True)
     starts = np.cumsum(lengths + 1) - lengths - 1
     text = np.zeros(int((lengths + 1).sum()), np.int64)
     inside = np.ones(len(text), bool)
     inside[starts + lengths] = False
-    text[inside] = symbols + 1
+    text[inside] = ids + 1
     index = FMIndex(text)
     borders = index.shortened(size)
-    owner = np.repeat(docs, lengths + 1)[index.suffixes]
-    least = np.minimum.reduceat(owner, borders)
+    ends = np.append(borders[1:], len(text))
+    least = np.minimum.reduceat(np.repeat(docs, lengths + 1)[index.suffixes], borders)
 
-    found = [np.empty(max(0, n - size + 1), np.int64) for n in lengths]
+    windows = lengths - size + 1
+    found = np.empty(int(windows.sum()), np.int64)
+    slot = np.cumsum(windows) - 1  # of each stretch's last window
     at = starts + lengths - 1
     lo, hi = index.first[text[at]], index.first[text[at] + 1]
     for _ in range(size - 1):
         at = at - 1
         lo, hi = index.extended(text[at], lo, hi)
-    live, step = np.arange(len(stretches)), 0
-    while len(live):
+    while len(at):
         group = np.searchsorted(borders, lo, side="right") - 1
-        for i, value in zip(live.tolist(), least[group].tolist()):
-            found[i][lengths[i] - size - step] = value
-        step += 1
-        keep = lengths[live] - size - step >= 0
-        live, group, at = live[keep], group[keep], at[keep] - 1
-        ends = np.append(borders, len(text))
-        lo, hi = index.extended(text[at], borders[group], ends[group + 1])
+        found[slot] = least[group]
+        more = windows > 1
+        windows, group, at, slot = windows[more] - 1, group[more], at[more] - 1, slot[more] - 1
+        lo, hi = index.extended(text[at], borders[group], ends[group])
     return found
 
 
@@ -138,7 +135,7 @@ def anchors(texts: list[bytes], size: int = WINDOW, length: int = ANCHOR):
     h, at = grams(w, length)
     every = np.full(len(w.hash) + 1, np.iinfo(np.uint64).max, np.uint64)
     every[at] = h
-    _, windows = grams(w, size)
+    windows = np.flatnonzero(w.text[: max(len(w.text) - size + 1, 0)] == w.text[size - 1 :])
     best = every[windows]
     place = windows.copy()
     for i in range(1, size - length + 1):
@@ -148,6 +145,11 @@ def anchors(texts: list[bytes], size: int = WINDOW, length: int = ANCHOR):
     return w, best.view(np.int64), place, windows
 
 
+def runs(place: np.ndarray) -> np.ndarray:
+    """Where a stretch of windows with one anchor begins."""
+    return np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
+
+
 def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataFrame:
     """Stretches of words around anchors that two documents show: ``anchor``, whether it is
     ``frequent`` (then single windows), ``id`` and ``tie`` (a hash of the text) of the document,
@@ -157,10 +159,15 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
     def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, part in groups(batch["text"]):
-                w, best, _, windows = anchors(part, size)
-                pair = np.unique(np.stack([w.text[windows], best]), axis=1) if len(windows) else np.zeros((2, 0), np.int64)
-                rows = batch.iloc[first + pair[0]]
-                yield pd.DataFrame({"anchor": pair[1], "id": rows["id"].to_numpy(), "tie": rows["tie"].to_numpy()})
+                w, best, place, windows = anchors(part, size)
+                run = runs(place)
+                best, text = best[run], w.text[windows[run]]
+                order = np.lexsort((best, text))
+                best, text = best[order], text[order]
+                once = np.ones(len(best), bool)
+                once[1:] = (best[1:] != best[:-1]) | (text[1:] != text[:-1])
+                rows = first + text[once]
+                yield pd.DataFrame({"anchor": best[once], "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows]})
 
     shown = every.mapInPandas(marks, "anchor long, id long, tie long")
     often = shown.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > FREQUENT).alias("frequent"))
@@ -169,26 +176,33 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, part in groups(batch["text"]):
-                rows = batch.iloc[first : first + len(part)]
                 w, best, place, windows = anchors(part, size)
-                bounds = np.searchsorted(w.text[windows], np.arange(len(part) + 1))
-                begin = w.bounds()
-                symbol = (w.hash & np.uint64((1 << 8 * SYMBOL) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
-                out = []
-                for i in range(len(part)):
-                    own, at, of = windows[bounds[i] : bounds[i + 1]], best[bounds[i] : bounds[i + 1]], place[bounds[i] : bounds[i + 1]]
-                    cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else []
-                    kinds = {a["anchor"]: a["frequent"] for a in rows["anchors"].iloc[i]}
-                    for a, b in zip(cuts, [*cuts[1:], len(of)]):
-                        frequent = kinds.get(int(at[a]))
-                        if frequent is None:
-                            continue
-                        step = 1 if frequent else b - a
-                        for s in range(a, b, step):
-                            lo, hi = own[s], own[min(s + step, b) - 1] + size
-                            out.append((int(at[a]), bool(frequent), rows["id"].iloc[i], rows["tie"].iloc[i], int(lo - begin[i]), symbol[lo:hi].tobytes()))
-                if out:
-                    yield pd.DataFrame(out, columns=["anchor", "frequent", "id", "tie", "start", "words"])
+                begin, end = runs(place), np.append(runs(place)[1:], len(place))
+                text = w.text[windows[begin]]
+                # Which stretches are wanted: their text's anchors, as one sorted list per text.
+                kind = np.full(len(begin), -1)
+                cuts = np.searchsorted(text, np.arange(len(part) + 1))
+                for i, wanted in enumerate(batch["anchors"].iloc[first : first + len(part)]):
+                    names = np.array([a["anchor"] for a in wanted], np.int64)
+                    kinds = np.array([a["frequent"] for a in wanted], np.int64)
+                    order = np.argsort(names)
+                    own = best[begin[cuts[i] : cuts[i + 1]]]
+                    at = np.minimum(np.searchsorted(names[order], own), len(names) - 1)
+                    kind[cuts[i] : cuts[i + 1]] = np.where(names[order][at] == own, kinds[order][at], -1)
+                rare, often = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
+                single = np.concatenate([np.arange(b, e) for b, e in zip(begin[often], end[often])] or [np.zeros(0, np.int64)]).astype(np.int64)
+                lo = np.concatenate([windows[begin[rare]], windows[single]])
+                hi = np.concatenate([windows[end[rare] - 1], windows[single]]) + size
+                anchor = np.concatenate([best[begin[rare]], best[single]])
+                frequent = np.arange(len(lo)) >= len(rare)
+                symbol = (w.hash & np.uint64((1 << 8 * SYMBOL) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL].tobytes()
+                rows = first + w.text[lo]
+                if len(lo):
+                    yield pd.DataFrame({
+                        "anchor": anchor, "frequent": frequent, "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows],
+                        "start": lo - w.bounds()[w.text[lo]],
+                        "words": [symbol[a:b] for a, b in zip((lo * SYMBOL).tolist(), (hi * SYMBOL).tolist())],
+                    })
 
     return every.join(wanted, ["id", "tie"]).mapInPandas(cut, "anchor long, frequent boolean, id long, tie long, start int, words binary")
 
@@ -199,16 +213,19 @@ def search(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.D
     weight = 0
 
     def found(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = [np.frombuffer(x, np.uint8).reshape(-1, SYMBOL) for x in rows["words"]]
-        wide = np.zeros((sum(map(len, raw)), 8), np.uint8)
-        wide[:, :SYMBOL] = np.concatenate(raw)
-        flat = wide.view("<u8").ravel()
-        stretches = np.split(flat, np.cumsum([len(r) for r in raw])[:-1])
-        ids = rows["id"].to_numpy(np.int64)
-        least = least_documents(stretches, ids, size)
-        hits = [np.flatnonzero(x < i).astype(np.int32) + s for x, i, s in zip(least, ids, rows["start"])]
-        keep = np.array([len(h) > 0 for h in hits])
-        return pd.DataFrame({"id": ids[keep], "tie": rows["tie"].to_numpy()[keep], "hits": pd.Series([h for h in hits if len(h)], dtype=object)})
+        raw = np.frombuffer(b"".join(rows["words"]), np.uint8).reshape(-1, SYMBOL)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :SYMBOL] = raw
+        lengths, ids = rows["words"].str.len().to_numpy() // SYMBOL, rows["id"].to_numpy(np.int64)
+        windows = lengths - size + 1
+        least = least_documents(wide.view("<u8").ravel(), lengths, ids, size)
+        of = np.repeat(np.arange(len(rows)), windows)
+        hit = np.flatnonzero(least < ids[of])
+        place = rows["start"].to_numpy()[of] + np.arange(len(of)) - (np.cumsum(windows) - windows)[of]
+        cuts = np.flatnonzero(np.concatenate([[True], of[hit][1:] != of[hit][:-1]])) if len(hit) else []
+        hits = np.split(place[hit].astype(np.int32), cuts[1:]) if len(hit) else []
+        own = of[hit][cuts] if len(hit) else np.zeros(0, np.int64)
+        return pd.DataFrame({"id": ids[own], "tie": rows["tie"].to_numpy()[own], "hits": pd.Series(hits, dtype=object)})
 
     for batch in batches:
         held.append(batch)
