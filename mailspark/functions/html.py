@@ -1,13 +1,16 @@
 """HTML to Markdown as one chain of column expressions.
 
 A documented subset (headings, paragraphs, breaks, flat lists, links, images, bold,
-italics, inline code, rules, entities).  Tables lose their grid, nested lists their
+italics, code and preformatted blocks, rules, entities).  Tables lose their grid, nested lists their
 depth, and nothing is escaped: this is not a full converter and does not claim to
 equal one.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,9 @@ _BLOCKS = (
     "header|html|main|nav|ol|p|pre|section|table|tbody|tfoot|thead|tr|ul"
 )
 
+# The value of an attribute: in double or single quotes, or bare.
+_VALUE = r"""\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
 # (pattern, replacement), applied in this order.  An unclosed comment, script, style or title
 # runs to the end of the page, as in a browser; so every rule is linear in the page.
 RULES: tuple[tuple[str, str], ...] = (
@@ -30,12 +36,13 @@ RULES: tuple[tuple[str, str], ...] = (
     # white space of the source means nothing
     (r"[ \t\n\r\f]+", " "),
     # inline marks
-    (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', "![]($1)"),
+    (rf"(?i)<img\b(?=[^>]*?\balt={_VALUE})(?=[^>]*?\bsrc={_VALUE})[^>]*+>", "![$1$2$3]($4$5$6)"),
+    (rf"(?i)<img\b(?=[^>]*?\bsrc={_VALUE})[^>]*+>", "![]($1$2$3)"),
     (r"(?i)</?(?:strong|b)(?:\s[^>]*)?>", "**"),
     (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "*"),
     (r"(?i)</?(?:code|tt|kbd)(?:\s[^>]*)?>", "`"),
     (r"(?i)</?(?:span|font|u|small)(?:\s[^>]*)?>", ""),
-    (r'(?i)<a\b[^>]*?\bhref="([^"]*)"[^>]*>([^<]*)</a\s*>', "[$2]($1)"),
+    (rf"(?i)<a\b(?=[^>]*?\bhref={_VALUE})[^>]*+>([^<]*)</a\s*>", "[$4]($1$2$3)"),
     # line structure
     (r"(?i)<br\b[^>]*>", "\n"),
     (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
@@ -51,19 +58,8 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"</?[A-Za-z][^>]*>", ""),
 )
 
-# Named entities; the ampersand comes last so that nothing is decoded twice.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-)
+# The ampersand comes last so that nothing is decoded twice.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"apos": "'", "nbsp": " "}
 
 
 def _code_point(number: Column) -> Column:
@@ -73,38 +69,51 @@ def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
-def _decode_numeric(col: Column, pattern: str, prefix: str, base: int) -> Column:
+def _decode(col: Column, pattern: str, prefix: str, char_of) -> Column:
     """Replace each distinct code; a text without codes gives an empty list and stays."""
 
-    def codes(text: Column) -> Column:
-        return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-
     def decode(text: Column) -> Column:
-        return F.aggregate(
-            codes(text),
-            text,
-            lambda acc, n: F.replace(
-                acc, F.concat(F.lit(prefix), n, F.lit(";")), _code_point(F.conv(n, base, 10).cast("bigint"))
-            ),
-        )
+        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.aggregate(codes, text, lambda acc, n: F.coalesce(F.replace(acc, F.concat(F.lit(prefix), n, F.lit(";")), char_of(n)), acc))
 
     # The one-element array names the input, which is a long chain, exactly once.
     return F.transform(F.array(col), decode)[0]
 
 
 def decode_entities(col: Column) -> Column:
-    for name, char in ENTITIES:
-        col = F.replace(col, F.lit(name), F.lit(char))
-    col = _decode_numeric(col, r"&#(\d{1,7});", "&#", 10)
-    col = _decode_numeric(col, r"&#x([0-9A-Fa-f]{1,6});", "&#x", 16)
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string, string>")
+    number = lambda n, base: _code_point(F.conv(F.regexp_replace(n, "^0+(?=.)", ""), base, 10).try_cast("bigint"))
+    col = _decode(col, r"&([A-Za-z][A-Za-z0-9]*);", "&", lambda n: F.try_element_at(names, n))
+    col = _decode(col, r"&#(\d+);", "&#", lambda n: number(n, 10))
+    col = _decode(col, r"&#x([0-9A-Fa-f]+);", "&#x", lambda n: number(n, 16))
     return F.replace(col, F.lit("&amp;"), F.lit("&"))
 
 
+# Line ends and blanks of preformatted text, kept out of reach of the rules until the end.
+_KEPT = {"\n": "\ue000", " ": "\ue001", "\t": "\ue002"}
+
+
+def _fenced(col: Column) -> Column:
+    """Each ``<pre>`` as a fenced block, line by line; an unclosed one runs to the end."""
+
+    def fence(part: Column) -> Column:
+        inner = F.regexp_replace(part, r"(?i)</?(?:pre|code)\b[^>]*>", "")
+        inner = F.regexp_replace(F.regexp_replace(inner, r"\A[ \t]*\n", ""), r"\s+\z", "")
+        inner = F.translate(inner, "".join(_KEPT), "".join(_KEPT.values()))
+        line = F.lit(_KEPT["\n"])
+        return F.concat(F.lit("<p>```"), line, inner, line, F.lit("```</p>"))
+
+    parts = F.split(col, r"(?i)(?=<pre\b)|(?<=</pre>)", -1)
+    whole = F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"(?i)\A<pre\b"), fence(p)).otherwise(p)), "")
+    return F.when(col.rlike(r"(?i)<pre\b"), whole).otherwise(col)
+
+
 def html_to_markdown(col: Column) -> Column:
-    out = text.clean_text(col)
+    out = _fenced(text.clean_text(col))
     for pattern, replacement in RULES:
         out = F.regexp_replace(out, pattern, replacement)
     out = decode_entities(out)
     out = F.regexp_replace(out, r" *\n *", "\n")
     out = F.regexp_replace(out, r"\n{3,}", "\n\n")
+    out = F.translate(out, "".join(_KEPT.values()), "".join(_KEPT))
     return F.concat(text.strip(out), F.lit("\n"))

@@ -218,6 +218,7 @@ _HTML_RULES = [
         "",
     ),
     (r"[ \t\n\r\f]+", " "),
+    (r'(?i)<img src="([^"]*)" alt="([^"]*)">', r"![\2](\1)"),
     (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', r"![](\1)"),
     (r"(?i)</?(?:strong|b)(?:\s[^>]*)?>", "**"),
     (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "*"),
@@ -244,7 +245,7 @@ def _html_sql(x: str) -> str:
         pattern = pattern.replace("'", "''")
         x = f"regexp_replace({x}, '{pattern}', '{replacement}', 'g')"
     for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&copy;", "©"), ("&reg;", "®"),
+        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&reg;", "®"),
         ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&#39;", "''"), ("&#8217;", "’"), ("&#x27;", "''"),
         ("&#169;", "©"), ("&#64;", "@"), ("&amp;", "&"),
     ):
@@ -260,3 +261,17 @@ _PAGE = """concat(html, '<h2 class="x">Q&#38;A</h2><p>It&#8217;s <B>bold</B>, <e
 @query("h1_html_to_markdown", f"SELECT page_id, {_html_sql(_PAGE.replace('&#38;', '&amp;'))} AS markdown FROM pages")
 def h1(t: Tables):
     return D.html_to_markdown(t.pages.select("page_id", F.expr(_PAGE).alias("html")), "html").select("page_id", "markdown")
+
+
+# Blocks of code, alternative texts, attributes in every spelling, entities: expected by hand.
+_MARKED = r"""concat('<p>M&uuml;ller &euro;5 &#00000038; &#x2013; &amp;lt; &unknown;</p><pre class=x><code>line ', page_id, chr(10), '  if a &lt; b:', chr(10), '    *c*</code></pre>',
+  "<p><img alt='the fan' src=/f", page_id, '.png> <img src="g.png"> <a class=b href=', "'https://example.org/", page_id, "'>see</a> <a href=https://example.org>bare</a></p>")"""
+
+
+@query(
+    "h1_code_alt_links",
+    """SELECT page_id, concat('Müller €5 & – &lt; &unknown;', chr(10), chr(10), '```', chr(10), 'line ', page_id, chr(10), '  if a < b:', chr(10), '    *c*', chr(10), '```', chr(10), chr(10),
+              '![the fan](/f', page_id, '.png) ![](g.png) [see](https://example.org/', page_id, ') [bare](https://example.org)', chr(10)) AS markdown FROM pages""",
+)
+def h1_marked(t: Tables):
+    return D.html_to_markdown(t.pages.select("page_id", F.expr(_MARKED).alias("html")), "html").select("page_id", "markdown")

@@ -161,7 +161,7 @@ def test_header_block_variants(spark):
 def test_html(spark):
     pages = {
         "<h1>A</h1><p>b <b>c</b> <i>d</i><br>e</p>": "# A\n\nb **c** *d*\ne\n",
-        "<ul><li>one</li><li>two <a href='x'>l</a> <a href=\"/y\">m</a></li></ul>": "- one\n- two l [m](/y)\n",
+        "<ul><li>one</li><li>two <a href='x'>l</a> <a href=\"/y\">m</a></li></ul>": "- one\n- two [l](x) [m](/y)\n",
         "<p>&lt;tag&gt; &amp;amp; &#65;&#x4F60; &#0; &nbsp;x</p>": "<tag> &amp; A你 �  x\n",
         "a<!-- b --><script>c</script>d<style>e": "ad\n",
         "<img src=\"i.png\"><hr>x<header>y</header>": "![](i.png)\n\n---\n\nx\n\ny\n",
