@@ -72,9 +72,18 @@ def read_mail(
     ``target_key`` is the key of the Markdown document made from it.
     """
     df = read_files(spark, root, glob, recursive=True, on_empty=on_empty)
+    return df.withColumn("target_key", target_key(F.col("doc_key"), glob)).select("doc_key", "target_key", "content")
+
+
+def target_key(key: Column, glob: str) -> Column:
+    """The key of the Markdown document made from a mail file."""
     extension = glob.rpartition("*")[2]
-    target = F.concat(F.regexp_replace("doc_key", r"\Q" + extension + r"\E$", ""), F.lit(".md"))
-    return df.withColumn("target_key", target).select("doc_key", "target_key", "content")
+    return F.concat(F.regexp_replace(key, r"\Q" + extension + r"\E$", ""), F.lit(".md"))
+
+
+def mail_key(spark: SparkSession, path: Column, root: str, glob: str) -> Column:
+    """The same key from a scanned path, for streams of files."""
+    return target_key(_relative(path, _resolved(spark, root)), glob)
 
 
 def read_markdown(

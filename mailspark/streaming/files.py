@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailspark.sources.files import mail_key
+
 
 def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_trigger: int = 10_000) -> DataFrame:
-    """Mail files as a stream of ``doc_key, content``; the key is the path as scanned."""
+    """Mail files as a stream of ``doc_key, content``, with the keys that ``stages.convert`` gives."""
     return (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -17,7 +19,7 @@ def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_t
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(root)
-        .select(F.col("path").alias("doc_key"), "content")
+        .select(mail_key(spark, F.col("path"), root, glob).alias("doc_key"), "content")
     )
 
 

@@ -118,7 +118,7 @@ def i7(t: Tables):
         return scrub_rules(stream.withColumnRenamed("text", "markdown"), "markdown")
 
     for first_load in (True, False):
-        load = docs.filter((F.col("lang") == "en") == first_load)
+        load = docs.filter(F.col("lang").eqNullSafe("en") == first_load)
         load.write.mode("append").parquet(arriving)
         run_available(table_stream(t.spark, arriving, docs.schema), scrub, sink, checkpoint)
     return t.spark.read.parquet(sink)

@@ -328,3 +328,4 @@ def test_stream_takes_each_mail_once(spark, tmp_path):
     _write(inbox / "sub" / "2.eml", _mail("two", "y"))
     assert run() == ["one", "two"]
     assert run() == ["one", "two"]
+    assert sorted(r["doc_key"] for r in spark.read.parquet(sink).collect()) == ["1.md", "sub/2.md"]
