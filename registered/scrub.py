@@ -328,3 +328,50 @@ def x5(t: Tables):
 
 def last_message_client():
     return lambda messages, **_: messages[-1]["content"]
+
+
+def counting_client():
+    """Answers with the number of calls under way in its task, its own included."""
+    import threading
+    import time
+
+    lock, running = threading.Lock(), [0]
+
+    def answer(messages, **_):
+        with lock:
+            running[0] += 1
+            seen = running[0]
+        time.sleep(0.001)
+        with lock:
+            running[0] -= 1
+        return str(seen)
+
+    return answer
+
+
+@query("x3_bounded_calls", "SELECT doc_id, 'ok' AS status, TRUE AS within_bound FROM documents")
+def x3(t: Tables):
+    asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
+    answered = M.call_model(asked, counting_client, model="m", threads=3)
+    return answered.select("doc_id", "status", F.col("response").cast("int").between(1, 3).alias("within_bound"))
+
+
+def slow_client():
+    """Hangs on every text of a certain length."""
+    import time
+
+    def answer(messages, **_):
+        time.sleep(60 if len(messages[1]["content"]) % 500 == 7 else 0)
+        return "done"
+
+    return answer
+
+
+@query(
+    "x4_time_limit",
+    """SELECT doc_id, CASE WHEN length(text) % 500 = 7 THEN 'timeout' ELSE 'ok' END AS status, CASE WHEN length(text) % 500 <> 7 THEN 'done' END AS response FROM documents""",
+)
+def x4(t: Tables):
+    asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
+    answered = M.call_model(asked, slow_client, model="m", policy=M.CallPolicy(timeout=4.0), threads=8)
+    return answered.select("doc_id", "status", "response")
