@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -27,11 +28,27 @@ OVERLAP = 1_024
 #: The pattern looks no further than this beyond a piece ("'re" after "'", a blank's successor).
 MARGIN = 3
 #: Texts between certain borders that a worker keeps with their ids.
-CACHED = 200_000
+CACHED = 80_000
 #: Before a blank that a visible character follows there is always a border.
 _BLANK = re.compile(r" (?=\S)")
 
 
+@lru_cache(maxsize=2)
+def tokens(path: str) -> list[bytes | None]:
+    """The bytes of each rank; all that decoding needs."""
+    with open(path, "rb") as lines:
+        ranks = [(base64.b64decode(token), int(rank)) for token, rank in map(bytes.split, lines)]
+    out: list[bytes | None] = [None] * (max(rank for _, rank in ranks) + 1)
+    for token, rank in ranks:
+        out[rank] = token
+    return out
+
+
+def joined(ids: np.ndarray, path: str) -> bytes:
+    """The bytes that ids stand for."""
+    return b"".join(map(tokens(path).__getitem__, ids.tolist()))
+
+
 class Coder:
     """A vocabulary of ranks with its pattern."""
 
@@ -39,14 +56,9 @@ class Coder:
         import regex
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
+        self.ranks = {token: rank for rank, token in enumerate(tokens(path)) if token is not None}
         self.pattern = regex.compile(pattern)
-        self.ranks = ranks
-        self.merges = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.merges = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.known = _Known(self.packed_ids, cached)
 
     def piece(self, piece: str) -> list[int]:
@@ -57,7 +69,7 @@ class Coder:
 
     def packed_ids(self, text: str) -> bytes:
         ids = [i for piece in self.pattern.findall(text) for i in self.piece(piece)]
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text: stretches between certain borders recur, so their ids are kept."""
@@ -69,9 +81,6 @@ class Coder:
         """Where the pieces end."""
         return np.fromiter((m.end() for m in self.pattern.finditer(text)), np.int32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
-
 
 class _Known(dict):
     def __init__(self, make: Callable[[str], bytes], most: int):
@@ -125,21 +134,28 @@ def stitched(texts: list[str], ends: list[np.ndarray], step: int, match: Callabl
                 break
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The input columns (or those named) with ``ids`` array<int>, for every whole text.
+def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, decode: bool = False) -> DataFrame:
+    """The input columns (or those named) with ``ids`` array<int>, for every whole text; with
+    ``decode`` also ``raw``, the bytes that these ids stand for.
 
     Null and empty texts have no ids.  Repeated rows stay; a long text that many rows share is
     encoded once.  A result column replaces an input column of its name.
     """
     columns = docs.columns if columns is None else columns
 
-    @F.pandas_udf("array<int>")
-    def ids_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([coder(path, pattern).encode(t) for t in texts])
+    fields = "ids array<int>" + ", raw binary" * decode
+
+    def made(ids: list[np.ndarray]) -> dict:
+        return {"ids": ids} | ({"raw": [joined(i, path) for i in ids]} if decode else {})
+
+    @F.pandas_udf(fields)
+    def ids_of(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(made([coder(path, pattern).encode(t) for t in texts]))
 
     df = docs.select(packed(docs), F.coalesce(docs[text], F.lit("")).alias("text"))
     short = df.where(F.length("text") <= chunk)
-    short = unpacked(short.withColumn("ids", ids_of("text")), columns, {"ids": F.col("ids")})
+    names = ["ids", "raw"] if decode else ["ids"]
+    short = unpacked(short.withColumn("e", ids_of("text")), columns, {c: F.col("e").getField(c) for c in names})
 
     long = df.where(F.length("text") > chunk).withColumn("key", F.sha2("text", 256))
 
@@ -166,20 +182,20 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", column
                 k += 1
                 piece += texts[k][start + len(piece) - k * chunk : end - k * chunk]
             parts.append(c.known[piece])
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "ids": [np.frombuffer(b"".join(parts), np.int32)]})
+        return pd.DataFrame({"key": [group["key"].iloc[0]]} | made([np.frombuffer(b"".join(parts), np.int32)]))
 
     chunks = long.select("key", "text").dropDuplicates(["key"]).mapInPandas(cut, "key string, place int, text string")
     chunks = chunks.repartition("key", "place").mapInPandas(pieces, "key string, place int, text string, ends binary")
-    ids = chunks.groupBy("key").applyInPandas(join, "key string, ids array<int>")
-    long = unpacked(long.join(ids, "key"), columns, {"ids": F.col("ids")})
+    ids = chunks.groupBy("key").applyInPandas(join, f"key string, {fields}")
+    long = unpacked(long.join(ids, "key"), columns, {c: F.col(c) for c in names})
     return short.unionByName(long)
 
 
-def decoded(ids: Column, path: str, pattern: str) -> Column:
+def decoded(ids: Column, path: str) -> Column:
     """The bytes of an array of ids; null for null."""
 
     @F.pandas_udf("binary")
     def bytes_of(arrays: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None else coder(path, pattern).decode(np.asarray(a)) for a in arrays])
+        return pd.Series([None if a is None else joined(np.asarray(a), path) for a in arrays])
 
     return bytes_of(ids)

@@ -84,12 +84,12 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers as public
 
     path, pattern = public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN
-    encoded = byte_bpe.encoded(documents(spark, folder), path, pattern, columns=["doc_id"])
+    encoded = byte_bpe.encoded(documents(spark, folder), path, pattern, columns=["doc_id"], decode=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decoded(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
     )
 
 

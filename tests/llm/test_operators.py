@@ -135,7 +135,9 @@ def test_byte_bpe(docs, rows, none, vocabulary, chunk):
     path, pattern, plainly = vocabulary
     df = byte_bpe.encoded(docs, path, pattern, chunk=chunk, overlap=16)
     assert df.count() == docs.count() and df.columns == [*[c for c in docs.columns if c != "ids"], "ids"]
-    df = df.withColumn("raw", byte_bpe.decoded(df["ids"], path, pattern))
+    df = df.withColumn("raw", byte_bpe.decoded(df["ids"], path))
+    both = byte_bpe.encoded(docs, path, pattern, chunk=chunk, overlap=16, decode=True)
+    assert by_id(both, "ids", "raw") == by_id(df, "ids", "raw")
     for i, (ids, raw) in by_id(df, "ids", "raw").items():
         text = dict((r[0], r[1]) for r in rows)[i] or ""
         assert list(ids) == plainly.encode_ordinary(text) and bytes(raw) == text.encode()
