@@ -183,7 +183,8 @@ def by_group(df: DataFrame, key: str, work: Callable[[pd.DataFrame, np.ndarray],
             every = pd.concat(held, ignore_index=True)
             yield work(every, _tags(every[[key, "a", "b"]].to_numpy()))
 
-    return df.repartition(key, "a", "b").sortWithinPartitions(key, "a", "b").mapInPandas(stream, schema)
+    # By set inside a group: the least row of a component is its least set, in whatever group.
+    return df.repartition(key, "a", "b").sortWithinPartitions(key, "a", "b", "set").mapInPandas(stream, schema)
 
 
 def _tags(rows: np.ndarray) -> np.ndarray:
@@ -262,7 +263,8 @@ def joined(docs: DataFrame, name: str = "doc_id", text: str = "text", similarity
                 if fits:
                     yield rows.drop(columns="text").iloc[fits].assign(elements=[many[i].tobytes() for i in fits])
 
-    texts = every.join(wanted.withColumnRenamed("least", "id"), "id").select("set", "around", "copies", "text")
+    # Always by shuffle: what is wanted grows with the input, and the plan is to be the same at every size.
+    texts = every.join(wanted.withColumnRenamed("least", "id").hint("merge"), "id").select("set", "around", "copies", "text")
     held = texts.mapInPandas(whole, "set long, around long, copies long, elements binary").dropDuplicates(["set"])
     held = written(held)
 
