@@ -55,8 +55,8 @@ STAGES = [
     ("byte-level BPE encoding and decoding", to_tokens),
 ]
 
-#: The estimate of the rules' accuracies and BPE have no SQL form; tests/llm holds every stage
-#: against a brute-force version.
+#: The estimate of the rules' accuracies and BPE have no SQL form; tests/llm holds the operators
+#: of the stages against brute-force versions.
 ORACLE_SQL = None
 
 
