@@ -32,9 +32,11 @@ GROUP = 2_000_000
 class Encoder:
     """A tokenizers file; ids of stretches between certain borders are kept, for they recur.
 
-    Before a blank that a visible character follows a byte-level vocabulary always cuts."""
+    Before a blank that a visible character follows a byte-level vocabulary always cuts, but for
+    texts that hold an added token, which go to the tokenizer whole.  With ``plain`` the name of a
+    special token is text like any other; without, it is that token, the library's default."""
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, path: str, cached: int = CACHED, plain: bool = True):
         import os
         import re
 
@@ -42,9 +44,10 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         self.letters = Tokenizer.from_file(path)  # the pattern does not cut inside letters
-        self.letters.encode_special_tokens = True
+        self.letters.encode_special_tokens = plain
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain and t.special)]
         self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.blank = re.compile(r" (?=\S)")
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
@@ -70,7 +73,7 @@ class Encoder:
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
-        cut = [self.blank.split(text) for text in texts]
+        cut = [[text] if any(a in text for a in self.added) else self.blank.split(text) for text in texts]
         # Only the first stretch of a text has no leading blank; it is left to the tokenizer.
         heads = [np.array(m.ids, self.kind).tobytes() for m in self.tokenizer.encode_batch_fast([p.pop(0) for p in cut], add_special_tokens=False)]
         new = set(chain.from_iterable(cut)).difference(self.known)
@@ -88,7 +91,7 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, plain=False)
 
 
 def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str = "text") -> DataFrame:

@@ -241,6 +241,24 @@ def test_encoder_equals_the_library():
             assert np.frombuffer(ids, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_token_files_of_texts_with_added_tokens(spark):
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    path, out, rnd = public.path("byte_bpe_50k.json"), work_dir(spark, "tokens"), random.Random(12)
+    signs = [*"ab \n\t'é中", "  ", " don't", " <|endoftext|>", "<|endoftext|>", "<|endof"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>  y", "after them"]
+    texts += ["".join(rnd.choice(signs) for _ in range(rnd.randrange(0, 30))) for _ in range(60)]
+    token_files.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), out, path, end=2)
+    tokenizer, want, start = Tokenizer.from_file(path), [], 0
+    for doc, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        want.append((doc, start, len(ids), ids))
+        start += len(ids)
+    assert want[0][3] == [64, 220, 50256, 275, 2]
+    assert sorted((tuple(r) for r in token_files.read(spark, out).collect()), key=lambda r: r[1]) == want
+
+
 def test_jaccard_join(docs, rows, none):
     got = by_id(jaccard_join.joined(docs), "class_id", "n_links", key="id")
     assert got == plain.classes([(r[0], r[1]) for r in rows]) and any(n for _, n in got.values())
