@@ -32,6 +32,9 @@ _E = r"(?![0-9A-Za-z_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # Letters of scripts that write without blanks do not belong to an address beside them.
 _LOCAL = r"[\p{L}\p{N}._%+\-&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]"
+# A character of a word in scripts that write with blanks.
+WORD_CHAR = r"[\p{L}\p{N}_&&[^\p{IsHan}]]"
+_LETTER = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
 
 # A link ends where the next one begins, so that no text is read twice.
 URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1", "://")
@@ -143,13 +146,15 @@ def replace_names(col: Column, names: Column, placeholders: Column | str) -> Col
     """Replace names that stand by themselves, in array order.
 
     A name borders on no letter or digit and is no part of a compound ("Li-ion"); its words may
-    be parted by any white space.  Names in Han script are found inside running text.
+    be parted by any white space.  Han script is written without blanks: it is no border of a
+    name beside it, and names are found inside it where they begin or end in it themselves.
     """
 
     def pattern(name: Column) -> Column:
         words = F.regexp_replace(F.regexp_replace(name, r"([^\p{L}\p{N}\s\p{Z}])", r"\\$1"), r"[\s\p{Z}]+", r"[\\s\\p{Z}]+")
-        own = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?<![\p{L}\p{N}]-)"), words, F.lit(r"(?![\p{L}\p{N}_])(?!-[\p{L}\p{N}])"))
-        return F.when(name.rlike(r"^\p{IsHan}+$"), words).otherwise(own)
+        before = F.when(name.rlike(r"^\p{IsHan}"), "").otherwise(rf"(?<!{WORD_CHAR})(?<!{_LETTER}-)")
+        after = F.when(name.rlike(r"\p{IsHan}$"), "").otherwise(rf"(?!{WORD_CHAR})(?!-{_LETTER})")
+        return F.concat(before, words, after)
 
     if isinstance(placeholders, str):
         return F.aggregate(names, col, lambda acc, x: F.regexp_replace(acc, pattern(x), F.lit(placeholders)))

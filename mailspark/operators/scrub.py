@@ -56,8 +56,9 @@ def scrub_header_names(df: DataFrame, col: str, placeholder: str = "<NAME>") ->
     return df.withColumn(col, pii.replace_names(F.col(col), names, placeholder))
 
 
-_TOKEN = r"[\p{L}\p{N}#&'_.-]+"
 _HAN = r"\p{IsHan}+"
+_WORD = rf"{pii.WORD_CHAR}+"
+_EITHER = rf"\p{{IsHan}}|{pii.WORD_CHAR}+"
 
 
 def scrub_dictionary(
@@ -74,28 +75,39 @@ def scrub_dictionary(
     ``placeholder_col`` names a column of the dictionary with a placeholder per entry
     (organisations, addresses).  A dictionary may grow with the data, so it is neither collected
     nor forced into a broadcast: each text lists its distinct phrases, an equi-join keeps those
-    in the dictionary, and only these few come back to the text.  Names of several words are
-    looked up as word sequences of their own length, names in Han script as runs of characters.
+    in the dictionary, and only these few come back to the text.  Names are looked up as sequences
+    of words, in Han script as runs of characters, in mixed script as both; names and texts are
+    cut by one expression, and the join is by hash, so that signs in and around a name do not
+    count there: the name as it is written decides what is replaced.  A name without a letter or
+    digit is none.
     """
     mark = F.lit(placeholder) if placeholder_col is None else F.coalesce(F.col(placeholder_col), F.lit(placeholder))
     cleaned = names.select(F.regexp_replace(F.trim(F.col(name_col)), r"\s+", " ").alias("_name"), mark.alias("_mark"))
     cleaned = cleaned.filter("_name <> ''").groupBy("_name").agg(F.min("_mark").alias("_mark"))
-    han = F.col("_name").rlike(f"^{_HAN}$")
-    size = F.when(han, F.length("_name")).otherwise(F.size(F.split("_name", " ")))
-    kinds = [(r["han"], r["n"]) for r in cleaned.select(han.alias("han"), size.alias("n")).distinct().orderBy("han", "n").collect()]
-    tokens = F.transform(F.regexp_extract_all(F.col(col), F.lit(_TOKEN), F.lit(0)), lambda t: F.regexp_replace(t, r"^['.-]+|['.-]+$", ""))
-    runs = F.regexp_extract_all(F.col(col), F.lit(_HAN), F.lit(0))
-    texts = df.select(F.col(key), tokens.alias("_tokens"), runs.alias("_runs"))
-    found = [_pieces_of(F.col("_runs"), n) if is_han else _phrases(F.col("_tokens"), n) for is_han, n in kinds]
-    phrases = F.flatten(F.array(*found)) if found else F.array().cast("array<string>")
-    candidates = texts.select(F.col(key), F.explode_outer(F.array_distinct(phrases)).alias("_name")).where("_name IS NOT NULL")
-    hits = candidates.join(cleaned, "_name")
+    han, mixed = F.col("_name").rlike(f"^{_HAN}$"), F.col("_name").rlike(_HAN)
+    cleaned = cleaned.withColumn("_kind", F.when(han, "han").when(mixed, "mixed").otherwise("word"))
+    parts = F.when(han, _all(F.col("_name"), ".")).when(mixed, _all(F.col("_name"), _EITHER)).otherwise(_all(F.col("_name"), _WORD))
+    cleaned = cleaned.withColumn("_parts", parts).where(F.size("_parts") > 0)
+    phrase = F.when(han, F.col("_name")).otherwise(F.array_join("_parts", " "))
+    cleaned = cleaned.select("_name", "_mark", "_kind", F.size("_parts").alias("_n"), F.xxhash64(phrase).alias("_key"))
+    kinds = [(r["_kind"], r["_n"]) for r in cleaned.select("_kind", "_n").distinct().orderBy("_kind", "_n").collect()]
+    patterns = {"han": _HAN, "mixed": _EITHER, "word": _WORD}
+    texts = df.select(F.col(key), *[_all(F.col(col), p).alias(f"_{kind}") for kind, p in patterns.items() if kind in dict(kinds)])
+    makers = {"han": _pieces_of, "mixed": lambda tokens, n: F.filter(_phrases(tokens, n), lambda x: x.rlike(_HAN)), "word": _phrases}
+    found = [makers[kind](F.col(f"_{kind}"), n) for kind, n in kinds]
+    phrases = F.transform(F.flatten(F.array(*found)), lambda x: F.xxhash64(x)) if found else F.array().cast("array<bigint>")
+    candidates = texts.select(F.col(key), F.explode_outer(F.array_distinct(phrases)).alias("_key")).where("_key IS NOT NULL")
+    hits = candidates.join(cleaned, "_key")
     hit = F.struct(F.length("_name").alias("n"), F.col("_name").alias("value"), F.col("_mark").alias("mark"))
     per_text = hits.groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(hit))).alias("_hits"))
     replaced = pii.replace_names(F.col(col), F.col("_hits")["value"], F.col("_hits")["mark"])
     return df.join(per_text, key, "left").withColumn(col, F.when(F.col("_hits").isNull(), F.col(col)).otherwise(replaced)).drop("_hits")
 
 
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
 def _pieces_of(runs: Column, n: int) -> Column:
     """All sequences of ``n`` characters in the runs."""
 

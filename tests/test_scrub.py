@@ -98,6 +98,21 @@ def test_dictionary(spark, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_dictionary_names_with_signs_and_mixed_scripts(spark):
+    names = ["Acme Inc.", "J. R. Smith", "Smith Jr.", "Meyer, Schulz & Co", "A/S Jensen", "C+D GmbH", "ABC公司", "张伟Robotics", "李明", "Weber", "राम", "***", "Li"]
+    texts = {
+        "From Acme Inc., by J. R. Smith.": "From <NAME>, by <NAME>.",
+        "Smith Jr. met Meyer, Schulz & Co": "<NAME> met <NAME>",
+        "(A/S Jensen) and C+D GmbH.": "(<NAME>) and <NAME>.",
+        "请联系ABC公司谢谢，张伟Robotics的李明，电话Weber先生": "请联系<NAME>谢谢，<NAME>的<NAME>，电话<NAME>先生",
+        "Weber's, #Weber, Weber.Thanks and राम": "<NAME>'s, #<NAME>, <NAME>.Thanks and <NAME>",
+        "Acme Incorporated, J R Smithson, XABC公司, 李，明, Li-ion, Weberei, *** A, S": "Acme Incorporated, J R Smithson, XABC公司, 李，明, Li-ion, Weberei, *** A, S",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_key int, md string")
+    got = P.scrub_dictionary(docs, spark.createDataFrame([(n,) for n in names], "name string"), "md").orderBy("doc_key")
+    assert [r["md"] for r in got.collect()] == list(texts.values())
+
+
 def test_audit(spark):
     df = spark.createDataFrame([("a@b.de a@b.de 8.8.8.8", "<EMAIL> a@b.de 8.8.8.8"), ("x", "x")], "before string, after string")
     rows = {r["rule"]: tuple(r)[1:] for r in P.leak_audit(df, "before", "after").collect()}
