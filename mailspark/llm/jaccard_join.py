@@ -4,7 +4,9 @@ A text is the set of its word shingles, in a sketch of TOKENS min-wise tokens.
 runs all sets start together and are split DEPTH times: a path chooses each token position with
 probability 1 / (similarity * TOKENS), and sets that share the chosen token go on together, so
 that similar sets stay together about once in each step while others part.  Buckets are compared
-by brute force; the runs are repeated until a pair at the threshold is met in 99 of 100 cases.
+by brute force; the runs are repeated until a pair at the threshold is met and found alike with
+probability RECALL, 0.997, over all sketches that it may have.  Pairs that stand alone are lost
+with the rest; in larger groups other links save them.
 
 What the buckets find are candidate groups; inside them all pairs are compared exactly, on whole
 sets.  Large buckets and groups are cut into blocks, and every pair of blocks is a task of its
@@ -30,20 +32,35 @@ SIMILARITY = 0.8
 TOKENS = 64
 DEPTH = 3
 RECALL = 0.997
-#: Below the threshold by three standard errors of the sketch a pair is no candidate.
-SLACK = 0.15
 BLOCK = 512
 
 _FACTORS = mixed(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+def agreeing(similarity: float) -> np.ndarray:
+    """Probability of each number of agreeing tokens, 0 to TOKENS, in a pair at the threshold."""
+    return np.array([math.comb(TOKENS, a) * similarity**a * (1 - similarity) ** (TOKENS - a) for a in range(TOKENS + 1)])
+
+
+def least(similarity: float, recall: float = RECALL) -> int:
+    """Agreeing tokens below which a pair is no candidate; a quarter of what may be lost at the
+    threshold is lost here."""
+    return int(np.searchsorted(np.cumsum(agreeing(similarity)), (1 - recall) / 4, side="right"))
+
+
 def runs(similarity: float, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """Runs until a pair at the threshold has met with probability ``recall``: in a run a shared
-    path survives ``depth`` steps of a branching process with one successor on average."""
-    alive, same = 1.0, round(similarity * TOKENS)
+    """Runs until a pair at the threshold has met, and is no less alike than ``least``, with
+    probability ``recall``, averaged over the agreeing tokens: in a run a shared path survives
+    ``depth`` steps of a branching process with one successor on average."""
+    same = np.arange(TOKENS + 1)
+    alive = np.ones(TOKENS + 1)
     for _ in range(depth):
         alive = 1 - (1 - alive / (similarity * TOKENS)) ** same
-    return math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    weight = np.where(same >= least(similarity, recall), agreeing(similarity), 0)
+    times = 1
+    while weight @ (1 - (1 - alive) ** times) < recall:
+        times += 1
+    return times
 
 
 # --- sets, in numpy ---------------------------------------------------------------------------
@@ -213,7 +230,7 @@ def connected(links: DataFrame) -> DataFrame:
 
 def near_links(found: DataFrame, similarity: float) -> DataFrame:
     """Links ``u``, ``v`` between sets that met in a bucket and whose sketches are alike."""
-    times = runs(similarity)
+    times, enough = runs(similarity), least(similarity)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in filter(len, batches):
@@ -226,7 +243,7 @@ def near_links(found: DataFrame, similarity: float) -> DataFrame:
         a, b = [np.zeros(0, int)], [np.zeros(0, int)]
         for step in range(1, int(np.bincount(tag).max())):
             at = np.flatnonzero(tag[step:] == tag[:-step])
-            alike = (sketch[at] == sketch[at + step]).mean(1) >= similarity - SLACK
+            alike = (sketch[at] == sketch[at + step]).sum(1) >= enough
             a.append(at[alike])
             b.append(at[alike] + step)
         label = components(len(rows), np.concatenate(a), np.concatenate(b))

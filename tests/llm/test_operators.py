@@ -281,6 +281,28 @@ def test_jaccard_join_of_many_near_copies(spark):
     assert by_id(df, "class_id", "n_links", key="id") == plain.classes(rows)
 
 
+def test_runs_meet_pairs_at_the_threshold():
+    import math
+
+    met = lambda same, runs: 1 - (1 - same) ** runs
+    for similarity in (0.5, 0.8, 0.9):
+        at, total = similarity * jaccard_join.TOKENS, 0.0
+        for n in range(jaccard_join.least(similarity), jaccard_join.TOKENS + 1):
+            alive = 1.0
+            for _ in range(jaccard_join.DEPTH):
+                alive = 1 - (1 - alive / at) ** n
+            chance = math.comb(jaccard_join.TOKENS, n) * similarity**n * (1 - similarity) ** (jaccard_join.TOKENS - n)
+            total += chance * met(alive, jaccard_join.runs(similarity))
+        assert total >= jaccard_join.RECALL
+    rnd, pairs = np.random.default_rng(7), 2000
+    one = rnd.integers(0, 1 << 16, (pairs, jaccard_join.TOKENS)).astype(np.uint16)
+    two = np.where(rnd.random(one.shape) < 0.8, one, one + np.uint16(1))
+    of, path = jaccard_join.leaves(np.concatenate([one, two]), 0.8, jaccard_join.DEPTH, jaccard_join.runs(0.8))
+    seen = [set(zip((of[own] % pairs).tolist(), path[own].tolist())) for own in (of < pairs, of >= pairs)]
+    found = {i for i, _ in seen[0] & seen[1]} & set(np.flatnonzero((one == two).sum(1) >= jaccard_join.least(0.8)).tolist())
+    assert len(found) >= 0.994 * pairs
+
+
 def test_blocks_meet_in_pairs(spark):
     rows = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 7)] + [(3, i) for i in range(2)], "k long, node long")
     got = jaccard_join.blocks(rows, "k", "node", most=10).collect()
