@@ -33,9 +33,9 @@ def written(df: DataFrame) -> DataFrame:
     return materialise(df)
 
 
-def packed(docs: DataFrame, name: str = "row") -> Column:
-    """All columns as one struct, so that names made by an operator cannot clash with them."""
-    return F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns]).alias(name)
+def packed(docs: DataFrame, name: str = "row", columns: list[str] | None = None) -> Column:
+    """All columns (or those named) as one struct, so that names made by an operator cannot clash with them."""
+    return F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in (docs.columns if columns is None else columns)]).alias(name)
 
 
 def unpacked(df: DataFrame, columns: list[str], results: dict[str, Column], name: str = "row") -> DataFrame:

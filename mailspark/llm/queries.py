@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from mailspark.llm import byte_bpe, fingerprints, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity
-from mailspark.llm.common import documents, table
+from mailspark.llm import (
+    byte_bpe, clustering, fingerprints, jaccard_join, line_dedup, mixing, periodic_runs, quality_classifier, quality_rules, substring_dedup,
+    token_files, toxicity, url_filter,
+)
+from mailspark.llm.common import documents, table, words
 from mailspark.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +192,123 @@ FROM documents d LEFT JOIN sums s ON d.doc_id = s.doc_id
 @query("op4_substring_dedup", _WINDOWS_SQL)
 def _substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.deduplicated(documents(spark, folder)).select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _clusters_sql() -> str:
+    """Rounds as one CTE each: every vector's squared distance to every centroid, the nearest, the floors of the means."""
+    size, scale, clusters = clustering.SIZE, clustering.SCALE, clustering.CLUSTERS
+    sql = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: isfinite(x))) = {size}),
+parts AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM kept),
+first AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT *, sha256(concat('1:', vec_id)) AS h FROM kept ORDER BY h, v LIMIT {clusters})),
+c0 AS MATERIALIZED (SELECT c, unnest(v) AS y, generate_subscripts(v, 1) AS d FROM first)"""
+    for i in range(clustering.ROUNDS + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, struct_pack(far := far, c := c)) AS c, min(far) AS far
+  FROM (SELECT r, c, CAST(sum((x - y) * (x - y)) AS BIGINT) AS far FROM parts JOIN c{i} USING (d) GROUP BY r, c) GROUP BY r)"""
+        if i < clustering.ROUNDS:
+            sql += f""",
+m{i} AS (SELECT c, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts JOIN a{i} USING (r) GROUP BY c, d),
+c{i + 1} AS MATERIALIZED (
+  SELECT o.c, o.d, CASE WHEN n IS NULL THEN y ELSE (s - ((s % n) + n) % n) // n END AS y FROM c{i} o LEFT JOIN m{i} m ON o.c = m.c AND o.d = m.d)"""
+    last = clustering.ROUNDS
+    return sql + f""",
+digests AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS digest FROM c{last} GROUP BY c)
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, far AS distance, CAST(sum(far) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(far) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+FROM a{last} a JOIN kept USING (r) JOIN digests g ON g.c = a.c
+"""
+
+
+@query("op11_centroid_clustering", _clusters_sql())
+def _centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.clustered(table(spark, folder, "embeddings"), columns=["vec_id"])
+
+
+@query("op12_periodic_runs")
+def _periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth document by hash is made periodic from one of its words on; then all are searched."""
+    digits = F.col("doc_id").cast("string")
+    docs = documents(spark, folder).select("doc_id", "text", F.crc32(digits.cast("binary")).alias("h"))
+    docs = docs.select("doc_id", "text", F.when(F.col("h") % 10 == 0, words(F.col("text"))).alias("w"), F.floor(F.col("h") / 10).alias("g"))
+    docs = docs.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    docs = docs.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    edited = F.expr("array_join(transform(sequence(0, n - 1), i -> get(w, CAST(IF(i < a, i, a + (i - a) % p) AS INT))), ' ')")
+    docs = docs.select("doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs.found(docs, columns=["doc_id"])
+    # Runs come by start, then period: the first of the greatest exact ratio stays.
+    best = "aggregate(runs, CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>), (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    found = found.withColumn("best", F.expr(best))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[F.col("best")[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _url_sql() -> str:
+    def shrunk(level: str, key: str, m: str) -> str:
+        return f"SELECT {key}, (k + {m} * above) / (n + {m}) AS mean FROM {level}, {level}_m"
+
+    def strength(level: str) -> str:
+        weak, strong = url_filter.WEAKEST, url_filter.STRONGEST
+        return f"""{level}_m AS MATERIALIZED (
+  SELECT CASE WHEN coalesce(together, 0) = 0 OR (scatter - alone) / together <= 1 / ({strong} + 1) THEN {strong}::DOUBLE
+              ELSE greatest({weak}::DOUBLE, together / (scatter - alone) - 1) END AS m
+  FROM (SELECT sum(n * (k / n - above) * (k / n - above)) AS scatter, sum(above * (1 - above)) AS alone, sum(above * (1 - above) * (n - 1)) AS together
+        FROM {level} WHERE n > 0))"""
+
+    listed = "|".join(s.replace(".", r"\.") for s in sorted(url_filter.SUFFIXES, key=len, reverse=True))
+    longest = sorted(url_filter.RULES, key=lambda r: (-len(r[1]), r[1]))
+    fits = {text: f"(host = '{text.partition('/')[0]}' OR ends_with(host, '.{text.partition('/')[0]}')) AND starts_with(path, '/{text.partition('/')[2]}')" for _, text in longest}
+    rules = " ".join(f"WHEN {fits[text]} THEN '{text}'" for _, text in longest)
+    verdicts = " ".join(f"WHEN '{text}' THEN '{verdict}'" for verdict, text in longest)
+    return rf"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS MATERIALIZED (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+l AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT host, regexp_replace(host, '(?s)^.*@|\.?(:\d*)?$', '', 'g') AS bare, count(bad) AS n, count(*) FILTER (bad) AS k
+  FROM p LEFT JOIN l ON doc_id = TRY_CAST(regexp_extract(path, '^/[^/]*/([0-9]+)', 1) AS BIGINT) GROUP BY host),
+ended AS (
+  SELECT *, CASE WHEN regexp_matches(bare, '^(\d+(\.\d+){{3}}|\[.*)$') THEN bare ELSE regexp_extract(bare, '(?:^|\.)({listed}|[^.]*)$', 1) END AS suffix FROM counted),
+named AS MATERIALIZED (
+  SELECT *, CASE WHEN length(bare) <= length(suffix) + 1 THEN bare
+                 ELSE concat(string_split(left(bare, length(bare) - length(suffix) - 1), '.')[-1], '.', suffix) END AS domain FROM ended),
+total AS (SELECT (sum(k) + 0.5::DOUBLE) / (sum(n) + 1) AS above FROM named),
+tops AS MATERIALIZED (SELECT suffix, n, k, above FROM (SELECT suffix, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k FROM named GROUP BY suffix), total),
+{strength('tops')},
+top_means AS ({shrunk('tops', 'suffix', 'm')}),
+domains AS MATERIALIZED (SELECT domain, n, k, mean AS above FROM (SELECT suffix, domain, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k FROM named GROUP BY suffix, domain) JOIN top_means USING (suffix)),
+{strength('domains')},
+domain_means AS ({shrunk('domains', 'domain', 'm')}),
+hosts AS MATERIALIZED (SELECT host, n, k, mean AS above FROM (SELECT host, domain, n::DOUBLE AS n, k::DOUBLE AS k FROM named) JOIN domain_means USING (domain)),
+{strength('hosts')},
+rated AS (SELECT host, n, k, m, (k + m * above) / (n + m) AS rate FROM hosts, hosts_m),
+judged AS (
+  SELECT page_id, p.host, path, CASE {rules} END AS rule, n::BIGINT AS n_labelled, k::BIGINT AS n_bad,
+         CASE WHEN rate - {url_filter.BOUND} * sqrt(rate * (1 - rate) / (n + m + 1)) > {url_filter.LIMIT} THEN 'block' ELSE 'allow' END AS by_host
+  FROM p LEFT JOIN rated USING (host))
+SELECT page_id, host, path, rule, coalesce(CASE rule {verdicts} END, by_host) AS verdict, n_labelled, n_bad FROM judged
+"""
+
+
+@query("op13_url_filter", _url_sql())
+def _url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's outcome is that of the document its url names: bad where that is labelled poor or toxic."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    number = F.regexp_extract(url_filter.path(F.col("url")), "^/[^/]*/([0-9]+)", 1).try_cast("bigint")
+    known = pages.withColumn("of", number).join(labels, F.col("of") == F.col("doc_id"), "left")
+    judged = url_filter.judged(pages, url_filter.reputation(known), columns=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.col("n").alias("n_labelled"), F.col("k").alias("n_bad"))
