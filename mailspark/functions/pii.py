@@ -1,7 +1,7 @@
 """Personal-data rules: a table of patterns, applied in order by ``regexp_replace``.
 
-Values are read to their end, whatever their length, by possessive patterns, so that no tail
-stays in clear and a document is read in linear time.  Labels have borders, and a bare number
+Values are read to their end, whatever their length and with the signs inside them, by possessive
+patterns, so that no tail stays in clear and a document is read in linear time.  Labels have borders, and a bare number
 without structure or a label is never matched, so that versions, torques, ports and sizes in
 technical text survive.
 """
@@ -30,51 +30,91 @@ class Rule(NamedTuple):
 _B = r"(?<![0-9A-Za-z_])"
 _E = r"(?![0-9A-Za-z_])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-# Letters of scripts that write without blanks do not belong to an address beside them.
-_LOCAL = r"[\p{L}\p{N}._%+\-&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]"
+# Letters of scripts that write without blanks do not belong to an address beside them.  Plain
+# characters come first: a class without set operations is tested several times faster.
+_PLAIN = r"A-Za-z0-9._%+\-"
+_OTHER = r"[\p{L}\p{N}&&[^\x00-\x7F\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]]"
+_MARKS = r"'=!#$&*^`{}~"
 # A character of a word in scripts that write with blanks.
 WORD_CHAR = r"[\p{L}\p{N}_&&[^\p{IsHan}]]"
 _LETTER = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
 
+# Hosts of private file shares, and the public phrase put in place of a link.
+SHARE_HOSTS = (
+    "drive.google.com", "docs.google.com", "photos.google.com", "onedrive.live.com", "1drv.ms",
+    "sharepoint.com", "dropbox.com", "pan.baidu.com", "weiyun.com", "aliyundrive.com", "wetransfer.com",
+)
+SHARE_PHRASE = "附件中的现场资料"
+
+
+def share_link_pattern(hosts: Sequence[str] = SHARE_HOSTS) -> str:
+    names = "|".join(h.replace(".", r"\.") for h in hosts)
+    return rf"https?://(?:[A-Za-z0-9-]+\.)*(?:{names})(?:[/?#][^\s<>\"')\]]*)?"
+
+
+# Most rules begin with a look at one character: nearly all places in a text fail it.
+# The path of a link to a private share is as private as its query.
+SHARE_LINK = Rule("share_link", share_link_pattern(), "<LINK>", "://")
 # A link ends where the next one begins, so that no text is read twice.
 URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1", "://")
-EMAIL = Rule("email", rf"(?<!{_LOCAL}){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>", "@")
+_DOMAIN = rf"(?:[A-Za-z0-9-]|{_OTHER})++"
+EMAIL = Rule(
+    "email",
+    rf"(?<![{_PLAIN}])(?<!{_OTHER})(?:[{_PLAIN}]|{_OTHER})(?:[{_PLAIN}{_MARKS}]++|{_OTHER}++)*+@{_DOMAIN}(?:\.{_DOMAIN})+",
+    "<EMAIL>",
+    "@",
+)
+# Six digits with up to three signs between them; behind an area code in brackets six more.
 PHONE_LABEL = Rule(
     "phone_label",
-    rf"(?i)({_B}(?:phone|tel|fax|mobile|whatsapp)|电话|手机|传真)(\s?[.:：]?\s?)\+?\d(?:[ ()-]{{0,3}}\d){{5,}}+",
+    rf"(?=[pPtTfFmMwW电手传])({_B}(?i:phone|tel|fax|mobile|whatsapp)|电话|手机|传真)(\s?[.:：]?\s?)"
+    r"(?:\+?\d(?:[ ()./-]{0,3}\d){5,}+|\(\d{2,5}\)(?:[ ./-]{0,3}\d){6,}+)",
     "$1$2<PHONE>",
     "[0-9]",
 )
-PHONE_INTERNATIONAL = Rule("phone_international", r"\+(?=(?:[ .()-]{0,2}\d){7})(?:[ .()-]{0,2}\d)++\)?", "<PHONE>", r"\+")
+PHONE_INTERNATIONAL = Rule("phone_international", r"\+(?=(?:[ .()/-]{0,2}\d){7})(?:[ .()/-]{0,2}\d)++\)?", "<PHONE>", r"\+")
 PHONE_MOBILE = Rule("phone_mobile", rf"1(?<![0-9A-Za-z_]1)[3-9]\d{{9}}{_E}", "<PHONE>", "[0-9]")
-# With a colon any account counts; without one it must begin with a letter and hold a digit or "_".
+# With a colon any account counts; without one it must begin with a letter and hold a digit or "_",
+# begin with "@", or be a number of five digits or more.
 MESSENGER = Rule(
     "messenger",
-    rf"(?i)({_B}(?:wechat|weixin|qq|telegram)|微信)"
-    r"(\s?(?:id|no|号)?\s?[:：]\s?|\s?(?:id|no|号)?\s?(?:is\s|是)?\s?(?=@?[A-Z][A-Z-]*+[0-9_]))@?[A-Za-z0-9_-]{4,}+",
+    rf"(?=[wWqQtT微])({_B}(?i:wechat|weixin|qq|telegram)|微信)"
+    r"(\s?(?i:id|no|号)?\s?[:：]\s?|\s?(?i:id|no|号)?\s?(?:(?i:is)\s|是)?\s?(?=@[A-Za-z]|[A-Za-z][A-Za-z-]*+[0-9_]|\d{5}))@?[A-Za-z0-9_-]{4,}+",
     "$1$2<ACCOUNT>",
     "(?i)wechat|weixin|微信|qq|telegram",
 )
-# A bare word in running text ("in order 2024-01-01") is no label: it needs "no." or a mark.
+# A bare word in running text ("in order 2024-01-01") is no label: it needs "no." or a mark, or a number of
+# letters, "_" and digits.  A sign inside a number leads on to more of it.
+_NUMBER = r"(?=[A-Za-z0-9_./-]{4})(?=[A-Za-z_./-]*+\d)[A-Za-z0-9_-](?:[A-Za-z0-9_-]++|[./](?=[A-Za-z]*+\d))*+"
 ORDER = Rule(
     "order_id",
-    rf"(?i)({_B}(?:order|contract|invoice))(\s?(?:no\.|no|number|id)\s?[:：#]?\s?|\s?[:：#]\s?)(?=[A-Z-]*+\d)[A-Z0-9-]{{4,}}+"
-    r"|(订单|合同|发票)((?:号码|编号|号)?是?\s?[:：#]?\s?)(?=[A-Z-]*+\d)[A-Z0-9-]{4,}+",
+    rf"(?=[oOcCiI订合发])(?:({_B}(?i:order|contract|invoice))"
+    rf"(\s?(?i:no\.|no|number|id)\s?[:：#]?\s?|\s?[:：#]\s?|\s(?=[A-Za-z]++_\d)){_NUMBER}"
+    rf"|(订单|合同|发票)((?:号码|编号|号)?是?\s?[:：#]?\s?){_NUMBER})",
     "$1$2$3$4<ORDER_ID>",
     "[0-9]",
 )
 SERIAL_LABEL = Rule(
     "serial_label",
-    rf"(?i)({_B}(?:serial number|serial no\.|serial|S/N)|序列号)(\s?[:：#]\s?)[A-Z0-9-]{{5,}}+",
-    "$1$2<SERIAL>",
-    "[:：#]",
+    rf"(?=[sS序])(?:({_B}(?i:serial number|serial no\.|serial|S/N|SN)|序列号)(\s?[:：#]\s?)[A-Za-z0-9-]{{5,}}+"
+    rf"|({_B}(?i:serial number|serial no\.|S/N))(\s)(?=[A-Za-z-]*+\d)[A-Za-z0-9-]{{5,}}+)",
+    "$1$2$3$4<SERIAL>",
+    "[:：#]|(?i)serial n|S/N",
 )
 SERIAL = Rule("serial", r"SN-(?<![0-9A-Za-z_]SN-)[A-Z0-9]+(?:-[A-Z0-9]+)*", "<SERIAL>", "SN-")
 _VERSION = r"(?<!(?i:firmware|version|ver|release|build|fw|固件|版本)[ .:：]{0,2})"
-IP = Rule("ip", rf"(?=\d){_B}{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}{_E}", "<IP>", "[0-9]")
+# The first group of a longer address has three digits or four, so that no time and no "a::b" is one.
+_GROUP = "[0-9A-Fa-f]{1,4}"
+_IPV6 = (
+    rf"(?=[0-9A-Fa-f](?<![0-9A-Za-z_:.][0-9A-Fa-f])[0-9A-Fa-f]{{2,3}}:)(?=[A-Fa-f:]*+\d)"
+    rf"(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}}|(?:{_GROUP}:){{1,7}}:)(?![0-9A-Za-z_:])"
+)
+IP = Rule("ip", rf"(?=\d){_B}{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}{_E}|{_IPV6}", "<IP>", "[0-9]")
+# What follows an internal name belongs to it.
 INTERNAL_HOST = Rule(
     "internal_host",
-    rf"(?i)(?<![0-9A-Za-z_.-])(?:[a-z0-9][a-z0-9.-]*\.(?:corp|internal|intranet|lan|local|vpn)|vpn[a-z0-9-]*(?:\.[a-z0-9-]+)++){_E}",
+    rf"(?<![0-9A-Za-z_.-])(?:[A-Za-z0-9](?:[A-Za-z0-9-]*+\.)+?(?i:corp|internal|intranet|lan|local|vpn)(?![0-9A-Za-z_-])(?:\.[A-Za-z0-9-]++)*+"
+    rf"|(?i:vpn)[A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)++){_E}",
     "<HOST>",
     r"(?i)\.(?:corp|int|l)|vpn",
 )
@@ -86,10 +126,18 @@ NATIONAL_ID = Rule(
 )
 
 DEFAULT_RULES: tuple[Rule, ...] = (
-    URL_QUERY, EMAIL, NATIONAL_ID, ORDER, SERIAL_LABEL, SERIAL, IP, INTERNAL_HOST,
+    SHARE_LINK, URL_QUERY, EMAIL, NATIONAL_ID, ORDER, SERIAL_LABEL, SERIAL, IP, INTERNAL_HOST,
     MESSENGER, PHONE_LABEL, PHONE_INTERNATIONAL, PHONE_MOBILE,
 )
 
+# What any of the rules (or a card) needs in its line, and how a line ends whose last word is a label or the
+# sign behind one: the value may begin the next line.
+TRIGGER = r"[0-9@:：_+#]|\.(?=[A-Za-z0-9])|SN-"
+OPEN_END = (
+    r"(?:(?i:order|contract|invoice|no|number|id|is|phone|tel|fax|mobile|whatsapp|serial|S/N|SN|wechat|weixin|qq|telegram)"
+    r"|订单|合同|发票|号码|编号|号|是|电话|手机|传真|微信|序列号|[:：#])[.:：#]?\s?$"
+)
+
 CARD_PATTERN = rf"(?=\d){_B}\d(?:[ -]?\d){{12,18}}{_E}"
 PRIVATE_IP_PATTERN = (
     rf"{_B}(?:10\.{_OCTET}|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.{_OCTET}\.{_OCTET}{_E}"
@@ -124,8 +172,10 @@ def scrub_cards(col: Column) -> Column:
     return F.when(col.rlike(CARD_PATTERN), replace_all(col, card_numbers(col), "<CARD>")).otherwise(col)
 
 
-def strip_link_queries(col: Column, keep_hosts: Sequence[str] = ()) -> Column:
-    """Public links stay, their query goes, except for the hosts listed."""
+def strip_link_queries(col: Column, keep_hosts: Sequence[str] = (), private_hosts: Sequence[str] = SHARE_HOSTS) -> Column:
+    """Public links stay, their query goes, except for the hosts listed; links to private shares go as a whole."""
+    if private_hosts:
+        col = F.regexp_replace(col, share_link_pattern(private_hosts), SHARE_LINK.replacement)
     pattern = URL_QUERY.pattern
     if keep_hosts:
         hosts = "|".join(rf"\Q{h}\E" for h in keep_hosts)
@@ -154,7 +204,7 @@ def replace_names(col: Column, names: Column, placeholders: Column | str) -> Col
         words = F.regexp_replace(F.regexp_replace(name, r"([^\p{L}\p{N}\s\p{Z}])", r"\\$1"), r"[\s\p{Z}]+", r"[\\s\\p{Z}]+")
         before = F.when(name.rlike(r"^\p{IsHan}"), "").otherwise(rf"(?<!{WORD_CHAR})(?<!{_LETTER}-)")
         after = F.when(name.rlike(r"\p{IsHan}$"), "").otherwise(rf"(?!{WORD_CHAR})(?!-{_LETTER})")
-        return F.concat(before, words, after)
+        return F.concat(F.lit("(?="), words, F.lit(")"), before, words, after)  # most places fail the first letter
 
     if isinstance(placeholders, str):
         return F.aggregate(names, col, lambda acc, x: F.regexp_replace(acc, pattern(x), F.lit(placeholders)))
@@ -162,18 +212,5 @@ def replace_names(col: Column, names: Column, placeholders: Column | str) -> Col
     return F.aggregate(both, col, lambda acc, x: F.regexp_replace(acc, pattern(x["n"]), x["p"]))
 
 
-# Hosts of private file shares, and the public phrase put in place of a link.
-SHARE_HOSTS = (
-    "drive.google.com", "docs.google.com", "photos.google.com", "onedrive.live.com", "1drv.ms",
-    "sharepoint.com", "dropbox.com", "pan.baidu.com", "weiyun.com", "aliyundrive.com", "wetransfer.com",
-)
-SHARE_PHRASE = "附件中的现场资料"
-
-
-def share_link_pattern(hosts: Sequence[str] = SHARE_HOSTS) -> str:
-    names = "|".join(h.replace(".", r"\.") for h in hosts)
-    return rf"https?://(?:[A-Za-z0-9-]+\.)*(?:{names})(?:[/?#][^\s<>\"')\]]*)?"
-
-
 def replace_share_links(col: Column, hosts: Sequence[str] = SHARE_HOSTS, phrase: str = SHARE_PHRASE) -> Column:
     return F.regexp_replace(col, share_link_pattern(hosts), phrase)

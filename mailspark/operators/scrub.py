@@ -23,24 +23,53 @@ def scrub_expression(col: Column, rules: Sequence[Rule] = DEFAULT_RULES, cards:
     return out
 
 
+#: Stands for a line without anything the rules look for.
+_BLANK = "\0"
+
+
+def _scanned(df: DataFrame, col: str, out: str, rules: Sequence[Rule]) -> DataFrame:
+    """Add ``<out>lines``, the lines of a text, and ``out``, the text with each line blanked that no rule can hit.
+
+    One pass with one short pattern finds the lines that matter, so that the rules read these alone,
+    however many they are.  The line behind an open label is kept with it.  Rules of the caller's own
+    read the whole text.
+    """
+    if not set(rules) <= set(DEFAULT_RULES):
+        return df.withColumns({out: F.col(col), f"{out}lines": F.lit(None).cast("array<string>")})
+    lines, marks = F.col(f"{out}lines"), F.col(f"{out}marks")
+    df = df.withColumn(f"{out}lines", F.split(col, "\n", -1))
+    opened = lambda x: F.right(x, F.lit(16)).rlike(pii.OPEN_END)
+    df = df.withColumn(f"{out}marks", F.transform(lines, lambda x: F.when(opened(x), 2).when(x.rlike(pii.TRIGGER), 1).otherwise(0)))
+    wanted = lambda i: (F.get(marks, i) > 0) | F.coalesce(F.get(marks, i - 1) == 2, F.lit(False))
+    kept = F.transform(lines, lambda x, i: F.when(wanted(i), x).otherwise(F.lit(_BLANK)))
+    return df.withColumn(out, F.array_join(kept, "\n")).drop(f"{out}marks")
+
+
+def _whole(col: str, out: str) -> Column:
+    """The text again: the blanked lines as they were.  Rules keep the number of lines."""
+    lines = F.zip_with(F.split(out, "\n", -1), F.col(f"{out}lines"), lambda new, old: F.when(new == _BLANK, old).otherwise(new))
+    return F.when(F.col(f"{out}lines").isNull(), F.col(out)).otherwise(F.array_join(lines, "\n"))
+
+
 def scrub(df: DataFrame, col: str, rules: Sequence[Rule] = DEFAULT_RULES, cards: bool = True) -> DataFrame:
-    """The same over a table, faster: what a rule needs is looked up once per text, and texts
-    without a digit, an ``@`` or a link skip the rules that need one.
+    """The same over a table, faster: the rules read only the lines that hold something they look for,
+    and texts without a digit, an ``@`` or a link skip the rules that need one.
 
     Each rule is a projection of its own inside one generated loop; Spark does not merge
     them, since each names its input several times.
     """
     needs = {rule.needs: f"_needs{i}" for i, rule in enumerate(rules) if rule.needs}
     names = df.columns
-    df = df.withColumns({flag: F.col(col).rlike(pattern) for pattern, flag in needs.items()})
+    df = _scanned(df, col, "_scan", rules)
+    df = df.withColumns({flag: F.col("_scan").rlike(pattern) for pattern, flag in needs.items()})
     if cards:
-        df = df.withColumn(col, pii.scrub_cards(F.col(col)))
+        df = df.withColumn("_scan", pii.scrub_cards(F.col("_scan")))
     for rule in rules:
-        replaced = pii.apply_rule(F.col(col), rule)
+        replaced = pii.apply_rule(F.col("_scan"), rule)
         if rule.needs:
-            replaced = F.when(F.col(needs[rule.needs]), replaced).otherwise(F.col(col))
-        df = df.withColumn(col, replaced)
-    return df.select(*names)
+            replaced = F.when(F.col(needs[rule.needs]), replaced).otherwise(F.col("_scan"))
+        df = df.withColumn("_scan", replaced)
+    return df.withColumn(col, _whole(col, "_scan")).select(*names)
 
 
 def classify_ips(df: DataFrame, col: str) -> DataFrame:
@@ -56,9 +85,11 @@ def scrub_header_names(df: DataFrame, col: str, placeholder: str = "<NAME>") ->
     return df.withColumn(col, pii.replace_names(F.col(col), names, placeholder))
 
 
-_HAN = r"\p{IsHan}+"
-_WORD = rf"{pii.WORD_CHAR}+"
-_EITHER = rf"\p{{IsHan}}|{pii.WORD_CHAR}+"
+#: Names up to this number are carried to the texts whole; of more, only a filter of fixed size is.
+CARRIED = 50_000
+#: 64-bit words of that filter at most (a power of two): 8 MB.
+FILTER_WORDS = 2**20
+_TOKEN = rf"[A-Za-z0-9_]++|\p{{IsHan}}|{pii.WORD_CHAR}++"
 
 
 def scrub_dictionary(
@@ -69,72 +100,104 @@ def scrub_dictionary(
     name_col: str = "name",
     placeholder: str = "<NAME>",
     placeholder_col: str | None = None,
+    carried: int = CARRIED,
 ) -> DataFrame:
     """Replace the names of a dictionary table wherever they stand by themselves.
 
     ``placeholder_col`` names a column of the dictionary with a placeholder per entry
-    (organisations, addresses).  A dictionary may grow with the data, so it is neither collected
-    nor forced into a broadcast: each text lists its distinct phrases, an equi-join keeps those
-    in the dictionary, and only these few come back to the text.  Names are looked up as sequences
-    of words, in Han script as runs of characters, in mixed script as both; names and texts are
-    cut by one expression, and the join is by hash, so that signs in and around a name do not
-    count there: the name as it is written decides what is replaced.  A name without a letter or
-    digit is none.
+    (organisations, addresses).  Names and texts are cut by one expression into tokens: words, and
+    single characters of Han script.  A bit table of the first tokens of all names, built once, decides
+    at which places of a text phrases are formed at all; a phrase is looked up by the hash of its
+    tokens.  Signs in and around a name do not count there: the name as it is written decides
+    what is replaced.  A name without a letter or digit is none.
+
+    The dictionary is counted first.  Up to ``carried`` names go to the texts as a table of hash
+    slots, and no row of text or phrase is shuffled.  A larger one (it may grow with the data) stays
+    where it is: phrases that a second bit table lets through meet it in a join, and what they hit comes
+    back to the texts by ``key``.  Both ways give the same text.
     """
     mark = F.lit(placeholder) if placeholder_col is None else F.coalesce(F.col(placeholder_col), F.lit(placeholder))
-    cleaned = names.select(F.regexp_replace(F.trim(F.col(name_col)), r"\s+", " ").alias("_name"), mark.alias("_mark"))
-    cleaned = cleaned.filter("_name <> ''").groupBy("_name").agg(F.min("_mark").alias("_mark"))
-    han, mixed = F.col("_name").rlike(f"^{_HAN}$"), F.col("_name").rlike(_HAN)
-    cleaned = cleaned.withColumn("_kind", F.when(han, "han").when(mixed, "mixed").otherwise("word"))
-    parts = F.when(han, _all(F.col("_name"), ".")).when(mixed, _all(F.col("_name"), _EITHER)).otherwise(_all(F.col("_name"), _WORD))
-    cleaned = cleaned.withColumn("_parts", parts).where(F.size("_parts") > 0)
-    phrase = F.when(han, F.col("_name")).otherwise(F.array_join("_parts", " "))
-    cleaned = cleaned.select("_name", "_mark", "_kind", F.size("_parts").alias("_n"), F.xxhash64(phrase).alias("_key"))
-    kinds = [(r["_kind"], r["_n"]) for r in cleaned.select("_kind", "_n").distinct().orderBy("_kind", "_n").collect()]
-    patterns = {"han": _HAN, "mixed": _EITHER, "word": _WORD}
-    texts = df.select(F.col(key), *[_all(F.col(col), p).alias(f"_{kind}") for kind, p in patterns.items() if kind in dict(kinds)])
-    makers = {"han": _pieces_of, "mixed": lambda tokens, n: F.filter(_phrases(tokens, n), lambda x: x.rlike(_HAN)), "word": _phrases}
-    found = [makers[kind](F.col(f"_{kind}"), n) for kind, n in kinds]
-    phrases = F.transform(F.flatten(F.array(*found)), lambda x: F.xxhash64(x)) if found else F.array().cast("array<bigint>")
-    candidates = texts.select(F.col(key), F.explode_outer(F.array_distinct(phrases)).alias("_key")).where("_key IS NOT NULL")
-    hits = candidates.join(cleaned, "_key")
-    hit = F.struct(F.length("_name").alias("n"), F.col("_name").alias("value"), F.col("_mark").alias("mark"))
-    per_text = hits.groupBy(key).agg(F.reverse(F.array_sort(F.collect_list(hit))).alias("_hits"))
-    replaced = pii.replace_names(F.col(col), F.col("_hits")["value"], F.col("_hits")["mark"])
-    return df.join(per_text, key, "left").withColumn(col, F.when(F.col("_hits").isNull(), F.col(col)).otherwise(replaced)).drop("_hits")
-
-
-def _all(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-
-
-def _pieces_of(runs: Column, n: int) -> Column:
-    """All sequences of ``n`` characters in the runs."""
-
-    def pieces(run: Column) -> Column:
-        starts = F.when(F.length(run) >= n, F.sequence(F.lit(1), F.length(run) - (n - 1)))
-        return F.coalesce(F.transform(starts, lambda i: F.substring(run, i, F.lit(n))), F.array().cast("array<string>"))
-
-    return F.flatten(F.transform(runs, pieces))
-
-
-def _phrases(tokens: Column, n: int) -> Column:
-    """All runs of ``n`` tokens, joined by one blank."""
-    if n == 1:
-        return tokens
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1)))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.coalesce(runs, F.array().cast("array<string>"))
+    cleaned = names.select(F.regexp_replace(F.trim(F.col(name_col)), r"\s+", " ").alias("value"), mark.alias("mark"))
+    cleaned = cleaned.filter("value <> ''").groupBy("value").agg(F.min("mark").alias("mark"))
+    cleaned = cleaned.withColumn("parts", _tokens(F.col("value"))).where(F.size("parts") > 0)
+    cleaned = cleaned.select("value", "mark", F.size("parts").alias("n"), F.xxhash64("parts").alias("hash"), F.xxhash64(F.get("parts", F.lit(0))).alias("first"))
+    sizes = cleaned.groupBy("n").count().collect()  # one row per number of tokens in a name
+    count = sum(r["count"] for r in sizes)
+    if not count:
+        return df
+    words = 1
+    while words < min(FILTER_WORDS, count):  # 64 bits a name, as long as the table may grow
+        words *= 2
+    texts = df.withColumn("_tokens", _tokens(F.col(col)))
+    texts = texts.withColumn("_bits", _bit_table(cleaned.select("first"), words).scalar())
+    begins = F.transform("_tokens", lambda x, i: F.when(_has_bit(F.col("_bits"), F.xxhash64(x), words), i))
+    texts = texts.withColumn("_at", F.filter(begins, lambda i: i.isNotNull())).drop("_bits")
+
+    def phrases_of(n: int) -> Column:
+        return F.transform(F.filter("_at", lambda i: i + n <= F.size("_tokens")), lambda i: F.xxhash64(F.slice("_tokens", i + 1, n)))
+
+    phrases = [phrases_of(n) for n in sorted(r["n"] for r in sizes)]
+    texts = texts.withColumn("_phrases", F.array_distinct(F.concat(*phrases))).drop("_at", "_tokens")
+    hit = F.struct(F.length("value").alias("n"), "value", "mark", "hash")
+    if count <= carried:
+        slots = 2 * words
+        table = _array_of(cleaned.groupBy(_slot(F.col("hash"), slots).alias("slot")).agg(F.collect_list(hit).alias("item")), slots)
+        texts = texts.withColumn("_table", table.scalar())
+        found = F.transform("_phrases", lambda h: F.filter(F.get(F.col("_table"), _slot(h, slots)), lambda e: e["hash"] == h))
+        texts = texts.withColumn("_hits", F.flatten(F.filter(found, lambda x: x.isNotNull()))).drop("_table")
+        return _named(texts, col, df.columns)
+    texts = texts.withColumn("_bits", _bit_table(cleaned.select("hash"), words).scalar())
+    texts = texts.withColumn("_phrases", F.filter("_phrases", lambda h: _has_bit(F.col("_bits"), h, words))).drop("_bits")
+    hits = texts.select(key, F.explode("_phrases").alias("hash")).join(cleaned, "hash")
+    per_text = hits.groupBy(key).agg(F.collect_list(hit).alias("_hits"))
+    return _named(df.join(per_text, key, "left"), col, df.columns)
+
+
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+
+
+def _named(df: DataFrame, col: str, columns: list[str]) -> DataFrame:
+    """Replace what ``_hits`` lists, longest first."""
+    hits = F.reverse(F.array_sort("_hits"))
+    replaced = pii.replace_names(F.col(col), hits["value"], hits["mark"])
+    return df.withColumn(col, F.when(F.size("_hits") > 0, replaced).otherwise(F.col(col))).select(*columns)
+
+
+def _slot(hash: Column, slots: int) -> Column:
+    return hash.bitwiseAND(F.lit(slots - 1)).cast("int")
+
+
+def _array_of(items: DataFrame, size: int) -> DataFrame:
+    """One row with one array: ``item`` at the place ``slot``, null elsewhere.  ``size`` bounds it."""
+    every = items.sparkSession.range(size).select(F.col("id").cast("int").alias("slot"))
+    rows = every.join(items, "slot", "left").agg(F.array_sort(F.collect_list(F.struct("slot", "item"))).alias("rows"))
+    return rows.select(F.transform("rows", lambda x: x["item"]).alias("item"))
+
+
+def _bit_table(hashes: DataFrame, words: int) -> DataFrame:
+    """One row with an array of ``words`` integers, in which each hash has set a bit."""
+    hash = F.col(hashes.columns[0])
+    bit = F.expr("shiftleft(1L, CAST(hash & 63 AS INT))")
+    rows = hashes.select(hash.alias("hash")).groupBy(_slot(F.shiftrightunsigned("hash", 6), words).alias("slot")).agg(F.bit_or(bit).alias("item"))
+    return _array_of(rows, words)
+
+
+def _has_bit(bits: Column, hash: Column, words: int) -> Column:
+    word = F.coalesce(F.get(bits, _slot(F.shiftrightunsigned(hash, 6), words)), F.lit(0).cast("bigint"))
+    return F.getbit(word, hash.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
 def leak_audit(df: DataFrame, before: str, after: str, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """Per rule: hits before, hits after, texts with a residue.
 
     All counters are one global aggregate, unpivoted at the end: one row per task is
-    shuffled, whatever the number of texts.  What several rules need is looked up once per text.
+    shuffled, whatever the number of texts.  The rules read only the lines that hold something they
+    look for, and what several rules need is looked up once per text.
     """
     needs = {rule.needs: i for i, rule in enumerate(rules) if rule.needs}
-    df = df.select(F.col(before).alias("b"), F.col(after).alias("a"))
+    df = df.select(F.col(before).alias("before"), F.col(after).alias("after"))
+    df = _scanned(_scanned(df, "before", "b", rules), "after", "a", rules).select("b", "a")
     df = df.withColumns({name: F.col(name[1]).rlike(pattern) for pattern, i in needs.items() for name in (f"fb{i}", f"fa{i}")})
     counts, totals, cells = [], [], []
     for i, rule in enumerate(rules):

@@ -17,16 +17,27 @@ H = r"\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 
 
 class Tables:
-    """The parquet tables of one scale factor folder."""
+    """The parquet tables of one scale factor folder.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    ``parts`` is the number of partitions that ``spread`` deals a table into; where it is not given, it
+    is the session's number of shuffle partitions, which a cluster sets for its size.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, parts: int | None = None):
         self.spark = configure(spark)
         ship(spark, __package__)
         self.folder = folder.rstrip("/")
+        self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """A table (or some of its columns) dealt over all cores, for queries that cost much per row: a file of one
+        row group is one task, however large.  Operators leave partitions as they are."""
+        table = getattr(self, name)
+        return (table.select(*columns) if columns else table).repartition(self.parts)
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name``, with its SQL check if there is one."""

@@ -21,30 +21,41 @@ _LONG_NUMBER, _LONG_CODE, _LONG_NAME = "'" + "7" * 60 + "'", "'" + "A1" * 30 + "
 PIECES: list[tuple[str, str | None, str]] = [
     ("concat(chr(10), 'mail: ')", None, ""), ("concat(source, '.user+', doc_id, '@', lang, '-corp.example.com')", "email", "<EMAIL>"),
     ("'; cc '", None, ""), ("concat('müller', doc_id, '@firma.de')", "email", "<EMAIL>"),
+    ("', '", None, ""), ("concat('info', doc_id, '@müller.de')", "email", "<EMAIL>"), ("' or '", None, ""), ("concat('o''brien', doc_id, '@firma.de')", "email", "<EMAIL>"),
+    ("' ('", None, ""), ("concat('a=b', doc_id, '@firma.de')", "email", "<EMAIL>"), ("')'", None, ""),
     ("' 请将日志发送到'", None, ""), ("concat('support', doc_id, '@firma.de')", "email", "<EMAIL>"), ("'谢谢'", None, ""),
     ("concat(chr(10), 'call ')", None, ""), ("concat('+49-30-', 1000000 + doc_id)", "phone_international", "<PHONE>"),
     ("' or 电话'", None, ""), ("concat('13', 800000000 + doc_id)", "phone_label", "<PHONE>"), ("'元 or '", None, ""),
     ("concat('15', 800000000 + doc_id)", "phone_mobile", "<PHONE>"),
     ("' tel: '", None, ""), ("concat('030 ', 10000 + doc_id)", "phone_label", "<PHONE>"), ("', fax '", None, ""), (_LONG_NUMBER, "phone_label", "<PHONE>"),
+    ("'; phone: '", None, ""), ("concat('(555) 123 ', 10000 + doc_id)", "phone_label", "<PHONE>"), ("', Tel. '", None, ""), ("concat('030/', 1000000 + doc_id)", "phone_label", "<PHONE>"),
+    ("', Phone: '", None, ""), ("concat('555.123.', 1000 + doc_id)", "phone_label", "<PHONE>"), ("', '", None, ""), ("concat('+49/30/', 1000000 + doc_id)", "phone_international", "<PHONE>"),
     ("', Intel 13900 24 cores'", None, ""),
     ("concat(chr(10), 'WeChat: ')", None, ""), ("concat('wx_', doc_id, 'abc')", "messenger", "<ACCOUNT>"), ("' QQ号：'", None, ""),
     ("concat(10000 + doc_id, '')", "messenger", "<ACCOUNT>"), ("' Telegram id: '", None, ""), ("concat('@bot', doc_id)", "messenger", "<ACCOUNT>"),
     ("' 微信 '", None, ""), ("concat('wx_', doc_id)", "messenger", "<ACCOUNT>"), ("' WeChat ID is '", None, ""), ("concat('wx_', doc_id)", "messenger", "<ACCOUNT>"),
     ("' wechat: '", None, ""), (_LONG_NAME, "messenger", "<ACCOUNT>"), ("', WeChat works'", None, ""),
+    ("', QQ '", None, ""), ("concat(123400000 + doc_id, '')", "messenger", "<ACCOUNT>"), ("', Telegram '", None, ""), ("concat('@some', lang, 'body')", "messenger", "<ACCOUNT>"), ("', QQ group'", None, ""),
     ("concat(chr(10), 'Order No. ')", None, ""), ("concat('ABCDE-', 20240 + doc_id)", "order_id", "<ORDER_ID>"), ("', invoice #'", None, ""),
     ("concat(7000 + doc_id, '')", "order_id", "<ORDER_ID>"), ("' 合同编号：'", None, ""), ("concat('HT', 99000 + doc_id)", "order_id", "<ORDER_ID>"),
     ("' 发票号码：'", None, ""), ("concat(12340000 + doc_id, '')", "order_id", "<ORDER_ID>"), ("' 订单号是：'", None, ""),
     ("concat('A', 12340000 + doc_id)", "order_id", "<ORDER_ID>"), ("' order no. '", None, ""), (_LONG_NUMBER, "order_id", "<ORDER_ID>"),
+    ("', order no. '", None, ""), ("concat('AB', 12345 + doc_id, '/0815')", "order_id", "<ORDER_ID>"), ("', Order ID '", None, ""), ("concat('ORD_2024_', 77 + doc_id)", "order_id", "<ORDER_ID>"),
+    ("', contract '", None, ""), ("concat('C_', 77123 + doc_id)", "order_id", "<ORDER_ID>"), ("', invoice: '", None, ""), ("concat('INV.2024.', 55 + doc_id)", "order_id", "<ORDER_ID>"),
     ("' order 5 units, in order 2024-01-01, invoice 2024Q3, the recorder 12345'", None, ""),
     ("chr(10)", None, ""), ("concat('SN-HR-2024-', doc_id)", "serial", "<SERIAL>"), ("' serial number: '", None, ""),
     ("concat('X', 1000 + doc_id, 'Z')", "serial_label", "<SERIAL>"), ("' S/N#'", None, ""), ("concat(55555 + doc_id, '')", "serial_label", "<SERIAL>"),
     ("' serial: '", None, ""), (_LONG_CODE, "serial_label", "<SERIAL>"),
+    ("', S/N '", None, ""), ("concat('A1B2C', 1000 + doc_id)", "serial_label", "<SERIAL>"), ("', SN: '", None, ""), ("concat('ABC', 10000 + doc_id)", "serial_label", "<SERIAL>"),
+    ("', serial number '", None, ""), ("concat('ABC', 10000 + doc_id)", "serial_label", "<SERIAL>"), ("', serial RS232 cable'", None, ""),
     ("concat(chr(10), 'host ')", None, ""), ("concat('10.', doc_id % 256, '.3.4')", "ip", "<IP>"), ("' and '", None, ""),
     ("concat('172.', doc_id % 32, '.1.1')", "ip", "<IP>"), ("' v1.2.3 firmware 1.0.21.3 '", None, ""), ("concat('nas', doc_id, '.corp')", "internal_host", "<HOST>"),
     ("' '", None, ""), ("'vpn-gw.internal'", "internal_host", "<HOST>"), ("' '", None, ""), ("'vpn.firma.com'", "internal_host", "<HOST>"),
+    ("' '", None, ""), ("concat('nas', doc_id, '.corp.example.com')", "internal_host", "<HOST>"), ("', '", None, ""), ("concat('2001:db8::', doc_id % 10000)", "ip", "<IP>"), ("' at 12:34:56'", None, ""),
     ("concat(chr(10), 'id ')", None, ""), ("concat('110105', 1950 + doc_id % 50, '0', doc_id % 9 + 1, '12123X')", "national_id", "<ID_NUMBER>"),
     ("' card '", None, ""), ("'4111 1111 1111 1111'", "card", "<CARD>"), ("' and 4111111111111112'", None, ""),
     ("concat(chr(10), 'see https://docs.example.org/a', doc_id)", None, ""), ("concat('?token=s', doc_id, '&x=1')", "url_query", ""),
+    ("' and '", None, ""), ("concat('https://firma.sharepoint.com/p/tok', doc_id, '/x')", "share_link", "<LINK>"),
     ("' and https://example.org/b#c torque 12.5 Nm'", None, ""),
 ]
 PERSONAL = f"concat(text, {', '.join(piece for piece, _, _ in PIECES)})"
@@ -53,6 +64,7 @@ _W = r"\b"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # For the documents' own text, which holds e-mail addresses, numbers and keys, but none of the labels.
 RULES_RE2: dict[str, tuple[str, str]] = {
+    "share_link": (rf"https?://(?:[A-Za-z0-9-]+\.)*(?:{'|'.join(h.replace('.', '[.]') for h in pii.SHARE_HOSTS)})(?:[/?#][^\s<>]*)?", "<LINK>"),
     "url_query": (r"(https?://[^\s?#<>]+)\?[^\s<>)]+", r"\1"),
     "email": (r"[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "<EMAIL>"),
     "national_id": (rf"{_W}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_W}", "<ID_NUMBER>"),
@@ -107,7 +119,7 @@ def _expected(rules, text: str = "text") -> str:
 
 
 def _documents(t: Tables):
-    return t.documents.select("doc_id", F.expr(PERSONAL).alias("md"))
+    return t.spread("documents").select("doc_id", F.expr(PERSONAL).alias("md"))
 
 
 def _by_rules(query_name: str, *rules: pii.Rule):
@@ -126,7 +138,7 @@ _by_rules("p5_serial", pii.SERIAL_LABEL, pii.SERIAL)
 @query(
     "p6_ip_and_host",
     f"""SELECT doc_id, {_expected(['ip', 'internal_host'])} AS md, n_private + 1 + (doc_id % 32 >= 16)::INT AS n_private_ip,
-               n_total - n_private + (doc_id % 32 < 16)::INT AS n_public_ip
+               n_total - n_private + (doc_id % 32 < 16)::INT + 1 AS n_public_ip
         FROM (SELECT *, {_sql_hits('ip', 'text')} AS n_total,
                      len(list_filter(regexp_extract_all(text, '{RULES_RE2['ip'][0]}'),
                          lambda a: a LIKE '10.%' OR a LIKE '192.168.%' OR regexp_matches(a, '^172\\.(1[6-9]|2\\d|3[01])\\.'))) AS n_private
@@ -168,13 +180,13 @@ _CUSTOMER_NAMED = f"concat(text, chr(10), 'Contact ', {_CUSTOMER.format(string='
                ', (<NAME>). <NAME> and John met Johanna; <NAME> <NAME>先生，<NAME>，<ORG>') AS md FROM documents""",
 )
 def p8_dictionary(t: Tables):
-    docs = t.documents.select("doc_id", F.expr(_CUSTOMER_NAMED).alias("md"))
+    docs = t.spread("documents").select("doc_id", F.expr(_CUSTOMER_NAMED).alias("md"))
     more = t.spark.createDataFrame([("Jo", None), ("Anna Maria", None), ("李明", None), ("张伟", None), ("东海公司", "<ORG>")], "name string, mark string")
     names = t.customer.select(F.col("c_name").alias("name"), F.lit("<NAME>").alias("mark")).unionByName(more)
     return P.scrub_dictionary(docs, names, "md", key="doc_id", placeholder_col="mark")
 
 
-@query("p9_link_queries", f"SELECT doc_id, {_expected(['url_query'])} AS md FROM documents")
+@query("p9_link_queries", f"SELECT doc_id, {_expected(['share_link', 'url_query'])} AS md FROM documents")
 def p9(t: Tables):
     return _documents(t).select("doc_id", pii.strip_link_queries(F.col("md")).alias("md"))
 
@@ -200,7 +212,7 @@ _AUDIT = " UNION ALL ".join(
 )
 def p11(t: Tables):
     docs = _documents(t)
-    docs = docs.withColumn("clean", P.scrub_expression(F.col("md"), (pii.EMAIL, pii.IP), cards=False))
+    docs = P.scrub(docs.withColumn("clean", F.col("md")), "clean", (pii.EMAIL, pii.IP), cards=False)
     return P.leak_audit(docs, "md", "clean")
 
 

@@ -24,6 +24,15 @@ CASES = {
     "vpn.firma.com and " + "a" * 300 + ".corp": "<HOST> and <HOST>",
     "card 4111 1111 1111 1111 and 4111111111111112": "card <CARD> and 4111111111111112",
     "https://docs.example.org/a?token=s&x=1 https://example.org/b": "https://docs.example.org/a https://example.org/b",
+    "phone: (555) 123 4567, Tel. 030/1234567, Phone: 555.123.4567, +49/30/1234567.": "phone: <PHONE>, Tel. <PHONE>, Phone: <PHONE>, <PHONE>.",
+    "info@müller.de; o'brien@x.de a=b@x.de 'quoted@x.de'": "<EMAIL>; <EMAIL> <EMAIL> '<EMAIL>'",
+    "order no. AB12345/0815, Order ID ORD_2024_77, contract C_77123, invoice: INV.2024.55.": "order no. <ORDER_ID>, Order ID <ORDER_ID>, contract <ORDER_ID>, invoice: <ORDER_ID>.",
+    "S/N A1B2C3D4, SN: ABC12345, serial number ABC12345": "S/N <SERIAL>, SN: <SERIAL>, serial number <SERIAL>",
+    "QQ 123456789, Telegram @somebody": "QQ <ACCOUNT>, Telegram <ACCOUNT>",
+    "2001:db8::1, nas.corp.example.com, fe80::1ff:fe23:4567:890a 2001:0db8:85a3:0000:0000:8a2e:0370:7334": "<IP>, <HOST>, <IP> <IP>",
+    "see https://firma.sharepoint.com/p/tok123/x": "see <LINK>",
+    "plain line\nOrder no.\n12345\nplain line\nTel.\n030 123456\nx\nWeChat\nid\n:\nabcdef\ny": "plain line\nOrder no.\n<ORDER_ID>\nplain line\nTel.\n<PHONE>\nx\nWeChat\nid\n:\n<ACCOUNT>\ny",
+    "\0\nmail a@b.de\n\0": "\0\nmail <EMAIL>\n\0",
 }
 
 KEPT = [
@@ -36,6 +45,7 @@ KEPT = [
     "serial port /dev/ttyUSB0",
     "Intel 13900 24 cores, the recorder 12345, in order 2024-01-01, invoice 2024Q3",
     "firmware 1.0.21.3, version: 2.4.6.8, WeChat works, telegram 2024",
+    "QQ group, 12:34:56, a::b, std::add, 00:1A:2B:3C:4D:5E, serial RS232 cable, order RTX-4090",
 ]
 
 
@@ -52,6 +62,14 @@ def test_technical_text_survives(spark):
     assert _scrub(spark, KEPT) == KEPT
 
 
+def test_blanked_lines_change_nothing(spark):
+    """Reading only the lines that matter gives what the rules give on the whole text."""
+    texts = ["\n".join(x) for x in zip([*CASES, *KEPT], [*KEPT, *CASES] * 2, ["plain words.", ""] * 40)] + ["", "\n", "a\n\nb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, md string")
+    whole = [r["md"] for r in df.select("i", P.scrub_expression(F.col("md")).alias("md")).orderBy("i").collect()]
+    assert _scrub(spark, texts) == whole
+
+
 def test_idempotent(spark):
     once = _scrub(spark, list(CASES))
     assert _scrub(spark, once) == once
@@ -109,8 +127,16 @@ def test_dictionary_names_with_signs_and_mixed_scripts(spark):
         "Acme Incorporated, J R Smithson, XABC公司, 李，明, Li-ion, Weberei, *** A, S": "Acme Incorporated, J R Smithson, XABC公司, 李，明, Li-ion, Weberei, *** A, S",
     }
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_key int, md string")
-    got = P.scrub_dictionary(docs, spark.createDataFrame([(n,) for n in names], "name string"), "md").orderBy("doc_key")
-    assert [r["md"] for r in got.collect()] == list(texts.values())
+    for carried in (P.CARRIED, 3):  # as a table of slots, and through the join
+        got = P.scrub_dictionary(docs, spark.createDataFrame([(n,) for n in names], "name string"), "md", carried=carried).orderBy("doc_key")
+        assert [r["md"] for r in got.collect()] == list(texts.values())
+
+
+def test_dictionary_bit_table(spark):
+    rows = spark.range(500).select(F.xxhash64("id").alias("hash"))
+    df = spark.range(4000).withColumn("bits", P._bit_table(rows, 64).scalar())
+    seen = {r["id"] for r in df.where(P._has_bit(F.col("bits"), F.xxhash64("id"), 64)).select("id").collect()}
+    assert seen >= set(range(500)) and len(seen) < 1200
 
 
 def test_audit(spark):
