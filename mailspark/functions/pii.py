@@ -57,10 +57,10 @@ def share_link_pattern(hosts: Sequence[str] = SHARE_HOSTS) -> str:
 SHARE_LINK = Rule("share_link", share_link_pattern(), "<LINK>", "://")
 # A link ends where the next one begins, so that no text is read twice.
 URL_QUERY = Rule("url_query", r"(https?://(?:[^\s?#<>h]++|h(?!ttps?://))++)\?[^\s<>)]+", "$1", "://")
-_DOMAIN = rf"(?:[A-Za-z0-9-]|{_OTHER})++"
+_DOMAIN = rf"[A-Za-z0-9-{_OTHER}]++"
 EMAIL = Rule(
     "email",
-    rf"(?<![{_PLAIN}])(?<!{_OTHER})(?:[{_PLAIN}]|{_OTHER})(?:[{_PLAIN}{_MARKS}]++|{_OTHER}++)*+@{_DOMAIN}(?:\.{_DOMAIN})+",
+    rf"[{_PLAIN}{_OTHER}](?<![{_PLAIN}].)(?<!{_OTHER}.)[{_PLAIN}{_MARKS}{_OTHER}]*+@{_DOMAIN}(?:\.{_DOMAIN})+",
     "<EMAIL>",
     "@",
 )
@@ -81,7 +81,7 @@ MESSENGER = Rule(
     rf"(?=[wWqQtT微])({_B}(?i:wechat|weixin|qq|telegram)|微信)"
     r"(\s?(?i:id|no|号)?\s?[:：]\s?|\s?(?i:id|no|号)?\s?(?:(?i:is)\s|是)?\s?(?=@[A-Za-z]|[A-Za-z][A-Za-z-]*+[0-9_]|\d{5}))@?[A-Za-z0-9_-]{4,}+",
     "$1$2<ACCOUNT>",
-    "(?i)wechat|weixin|微信|qq|telegram",
+    "[wW][eE]|微信|[qQ][qQ]|[tT][eE]",
 )
 # A bare word in running text ("in order 2024-01-01") is no label: it needs "no." or a mark, or a number of
 # letters, "_" and digits.  A sign inside a number leads on to more of it.
@@ -109,18 +109,19 @@ _IPV6 = (
     rf"(?=[0-9A-Fa-f](?<![0-9A-Za-z_:.][0-9A-Fa-f])[0-9A-Fa-f]{{2,3}}:)(?=[A-Fa-f:]*+\d)"
     rf"(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}}|(?:{_GROUP}:){{1,7}}:)(?![0-9A-Za-z_:])"
 )
-IP = Rule("ip", rf"(?=\d){_B}{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}{_E}|{_IPV6}", "<IP>", "[0-9]")
+IP = Rule("ip", rf"(?=\d{{1,3}}\.\d{{1,3}}\.\d){_B}{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}{_E}|{_IPV6}", "<IP>", "[0-9]")
 # What follows an internal name belongs to it.
 INTERNAL_HOST = Rule(
     "internal_host",
-    rf"(?<![0-9A-Za-z_.-])(?:[A-Za-z0-9](?:[A-Za-z0-9-]*+\.)+?(?i:corp|internal|intranet|lan|local|vpn)(?![0-9A-Za-z_-])(?:\.[A-Za-z0-9-]++)*+"
-    rf"|(?i:vpn)[A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)++){_E}",
+    r"[A-Za-z0-9](?<![0-9A-Za-z_.-].)"
+    r"(?:[A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)*?\.(?i:corp|internal|intranet|lan|local|vpn)(?![0-9A-Za-z_-])(?:\.[A-Za-z0-9-]++)*+"
+    rf"|(?<=[vV])[pP][nN][A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++)++){_E}",
     "<HOST>",
-    r"(?i)\.(?:corp|int|l)|vpn",
+    r"\.[cCiIlLvV]|[vV][pP][nN]",
 )
 NATIONAL_ID = Rule(
     "national_id",
-    rf"(?=\d){_B}[1-9]\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_E}",
+    rf"[1-9](?<![0-9A-Za-z_].)\d{{5}}(?:18|19|20)\d\d(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])\d{{3}}[\dXx]{_E}",
     "<ID_NUMBER>",
     "[0-9]",
 )
@@ -132,11 +133,14 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 
 # What any of the rules (or a card) needs in its line, and how a line ends whose last word is a label or the
 # sign behind one: the value may begin the next line.
-TRIGGER = r"[0-9@:：_+#]|\.(?=[A-Za-z0-9])|SN-"
+TRIGGER, TRIGGER_TEXTS = r"[0-9@:_+#]|\.[A-Za-z0-9]", ("：", "SN-")
 OPEN_END = (
+    r"(?=[oOcCiInNpPtTfFmMwWsSqQ订合发号是电手传微序编:：#])"
     r"(?:(?i:order|contract|invoice|no|number|id|is|phone|tel|fax|mobile|whatsapp|serial|S/N|SN|wechat|weixin|qq|telegram)"
     r"|订单|合同|发票|号码|编号|号|是|电话|手机|传真|微信|序列号|[:：#])[.:：#]?\s?$"
 )
+#: Characters that OPEN_END spans at most.
+OPEN_LENGTH = 10
 
 CARD_PATTERN = rf"(?=\d){_B}\d(?:[ -]?\d){{12,18}}{_E}"
 PRIVATE_IP_PATTERN = (

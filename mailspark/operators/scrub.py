@@ -7,6 +7,7 @@ model stage, they do not equal it: free-form names still need a model or a dicti
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ _BLANK = "\0"
 def _scanned(df: DataFrame, col: str, out: str, rules: Sequence[Rule]) -> DataFrame:
     """Add ``<out>lines``, the lines of a text, and ``out``, the text with each line blanked that no rule can hit.
 
-    One pass with one short pattern finds the lines that matter, so that the rules read these alone,
+    One pass with short patterns finds the lines that matter, so that the rules read these alone,
     however many they are.  The line behind an open label is kept with it.  Rules of the caller's own
     read the whole text.
     """
@@ -38,8 +39,10 @@ def _scanned(df: DataFrame, col: str, out: str, rules: Sequence[Rule]) -> DataFr
         return df.withColumns({out: F.col(col), f"{out}lines": F.lit(None).cast("array<string>")})
     lines, marks = F.col(f"{out}lines"), F.col(f"{out}marks")
     df = df.withColumn(f"{out}lines", F.split(col, "\n", -1))
-    opened = lambda x: F.right(x, F.lit(16)).rlike(pii.OPEN_END)
-    df = df.withColumn(f"{out}marks", F.transform(lines, lambda x: F.when(opened(x), 2).when(x.rlike(pii.TRIGGER), 1).otherwise(0)))
+    opened = lambda x: F.right(x, F.lit(pii.OPEN_LENGTH)).rlike(pii.OPEN_END)
+    found = lambda x: reduce(Column.__or__, [x.contains(t) for t in pii.TRIGGER_TEXTS], x.rlike(pii.TRIGGER))
+    df = df.withColumn(f"{out}marks", F.transform(lines, lambda x: F.when(opened(x), 2).when(found(x), 1).otherwise(0)))
+    # Named twice, so that Spark does not merge it into the function, where it would be worked out for every line.
     wanted = lambda i: (F.get(marks, i) > 0) | F.coalesce(F.get(marks, i - 1) == 2, F.lit(False))
     kept = F.transform(lines, lambda x, i: F.when(wanted(i), x).otherwise(F.lit(_BLANK)))
     return df.withColumn(out, F.array_join(kept, "\n")).drop(f"{out}marks")
