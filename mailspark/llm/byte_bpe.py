@@ -9,6 +9,7 @@ depends only on what follows its start.  Decoding joins the bytes of the ids.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from array import array
 from bisect import bisect_right
@@ -17,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ OVERLAP = 1_024
 #: The pattern looks no further than this beyond a piece ("'re" after "'", a blank's successor).
 MARGIN = 3
 #: Texts between certain borders that a worker keeps with their ids.
-CACHED = 80_000
+CACHED = 40_000
 #: Before a blank that a visible character follows there is always a border.
 _BLANK = re.compile(r" (?=\S)")
 
@@ -134,27 +136,37 @@ def stitched(texts: list[str], ends: list[np.ndarray], step: int, match: Callabl
                 break
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, decode: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, decode: bool = False, digest: bool = False) -> DataFrame:
     """The input columns (or those named) with ``ids`` array<int>, for every whole text; with
-    ``decode`` also ``raw``, the bytes that these ids stand for.
+    ``decode`` also ``raw``, the bytes that these ids stand for, with ``digest`` only their ``raw_sha256``
+    (lowercase hex), so that no decoded text leaves its task.
 
     Null and empty texts have no ids.  Repeated rows stay; a long text that many rows share is
     encoded once.  A result column replaces an input column of its name.
     """
     columns = docs.columns if columns is None else columns
 
-    fields = "ids array<int>" + ", raw binary" * decode
-
-    def made(ids: list[np.ndarray]) -> dict:
-        return {"ids": ids} | ({"raw": [joined(i, path) for i in ids]} if decode else {})
-
-    @F.pandas_udf(fields)
-    def ids_of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(made([coder(path, pattern).encode(t) for t in texts]))
+    names = ["ids"] + ["raw"] * decode + ["raw_sha256"] * digest
+    kinds = {"ids": "array<int>", "raw": "binary", "raw_sha256": "string"}
+    fields = ", ".join(f"{n} {kinds[n]}" for n in names)
+
+    def made(ids: list[np.ndarray]) -> list[pa.Array]:
+        """Columns of ``names``; the ids of all texts lie in one array."""
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))]
+        if decode:
+            columns.append(pa.array([joined(i, path) for i in ids], pa.binary()))
+        if digest:
+            columns.append(pa.array([hashlib.sha256(joined(i, path)).hexdigest() for i in ids], pa.string()))
+        return columns
+
+    @F.arrow_udf(fields)
+    def ids_of(texts: pa.Array) -> pa.Array:
+        c = coder(path, pattern)
+        return pa.StructArray.from_arrays(made([c.encode(t.as_py()) for t in texts]), names)
 
     df = docs.select(packed(docs), F.coalesce(docs[text], F.lit("")).alias("text"))
     short = df.where(F.length("text") <= chunk)
-    names = ["ids", "raw"] if decode else ["ids"]
     short = unpacked(short.withColumn("e", ids_of("text")), columns, {c: F.col("e").getField(c) for c in names})
 
     long = df.where(F.length("text") > chunk).withColumn("key", F.sha2("text", 256))
@@ -182,7 +194,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", column
                 k += 1
                 piece += texts[k][start + len(piece) - k * chunk : end - k * chunk]
             parts.append(c.known[piece])
-        return pd.DataFrame({"key": [group["key"].iloc[0]]} | made([np.frombuffer(b"".join(parts), np.int32)]))
+        columns = made([np.frombuffer(b"".join(parts), np.int32)])
+        return pd.DataFrame({"key": [group["key"].iloc[0]]} | {n: c.to_pylist() for n, c in zip(names, columns)})
 
     chunks = long.select("key", "text").dropDuplicates(["key"]).mapInPandas(cut, "key string, place int, text string")
     chunks = chunks.repartition("key", "place").mapInPandas(pieces, "key string, place int, text string, ends binary")

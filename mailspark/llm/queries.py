@@ -87,12 +87,12 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers as public
 
     path, pattern = public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN
-    encoded = byte_bpe.encoded(documents(spark, folder), path, pattern, columns=["doc_id"], decode=True)
+    encoded = byte_bpe.encoded(documents(spark, folder), path, pattern, columns=["doc_id"], digest=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("raw", 256).alias("decoded_sha256"),
+        F.col("raw_sha256").alias("decoded_sha256"),
     )
 
 
@@ -103,7 +103,7 @@ def _token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs, out = documents(spark, folder), work_dir(spark, "tokens")
     token_files.write(docs, out, public.path("byte_bpe_50k.json"), end=2)
 
-    return token_files.read(spark, out).select(F.col("doc").alias("doc_id"), "start", F.col("n_tokens").cast("long").alias("n_tokens"), token_files.crc32(F.col("ids")).alias("ids_crc32"))
+    return token_files.read(spark, out, checksum=True).select(F.col("doc").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
 
 
 @query("op1_quality_classifier")
@@ -132,14 +132,14 @@ def _fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 _LINES_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, no, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words
+  SELECT doc_id, no, line
   FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS no FROM documents)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 runs AS (
   SELECT doc_id, no, lead(no) OVER w AS last, line || chr(10) || lead(line) OVER w AS run FROM lines
   WINDOW w AS (PARTITION BY doc_id ORDER BY no)
-  UNION ALL SELECT doc_id, no, no, line FROM lines WHERE n_words >= 50),
+  UNION ALL SELECT doc_id, no, no, line FROM lines WHERE length(line) >= 40),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, no) AS place FROM runs WHERE run IS NOT NULL),
 gone AS (

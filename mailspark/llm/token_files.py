@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = 256
@@ -25,8 +25,8 @@ PER_SHARD = 16_384
 MOST_SHARDS = 4_096
 MOST_DOCS = 1_000_000
 #: Stretches a worker keeps with their ids; characters it encodes at once.
-CACHED = 250_000
-GROUP = 2_000_000
+CACHED = 150_000
+GROUP = 1_000_000
 
 
 class Encoder:
@@ -89,6 +89,10 @@ class Encoder:
         return [head + b"".join(map(get, rest)) + tail for head, rest in zip(heads, cut)]
 
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     return Encoder(path, plain=False)
@@ -99,10 +103,13 @@ def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str
     groups of texts of bounded size."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ends = batch["text"].str.len().cumsum() // GROUP
-            for _, group in batch.groupby(ends.to_numpy()):
-                yield pd.DataFrame({"doc": group["doc"], "tie": group["tie"], "ids": encoder(path).encode(group["text"].tolist(), end)})
+        try:
+            for batch in batches:
+                ends = batch["text"].str.len().cumsum() // GROUP
+                for _, group in batch.groupby(ends.to_numpy()):
+                    yield pd.DataFrame({"doc": group["doc"], "tie": group["tie"], "ids": encoder(path).encode(group["text"].tolist(), end)})
+        finally:  # workers live on into the stages that follow
+            encoder(path).forget()
 
     texts = docs.select(docs[name].cast("long").alias("doc"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))
     return texts.mapInPandas(encode, "doc long, tie long, ids binary")
@@ -222,8 +229,9 @@ def ids_of_ranks(spark: SparkSession, folder: str) -> np.ndarray:
     return np.array([r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))], np.int64)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """``doc``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``, from the files."""
+def read(spark: SparkSession, folder: str, checksum: bool = False) -> DataFrame:
+    """``doc``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``, from the files; with
+    ``checksum`` not the ids, but ``crc32``, unsigned, of them as little-endian unsigned 32-bit integers."""
     table = spark.sparkContext.broadcast(ids_of_ranks(spark, folder).astype(np.uint32))
     blocks = spark.read.parquet(f"{folder}/blocks")
     tokens = blocks.groupBy("shard").agg(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")).alias("tokens"))
@@ -236,16 +244,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
             for docs, sizes, control, data, start in zip(batch["docs"], batch["sizes"], batch["control"], batch["data"], batch["start"]):
                 ids = table.value[unpacked(control, data, int(np.sum(sizes)))]
                 ends = np.cumsum(sizes)
-                yield pd.DataFrame({"doc": pd.array(docs, "Int64"), "start": start + ends - sizes, "n_tokens": sizes, "ids": np.split(ids.astype(np.int32), ends[:-1])})
-
-    return placed.mapInPandas(decode, "doc long, start long, n_tokens long, ids array<int>")
-
-
-def crc32(ids: Column) -> Column:
-    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
-
-    @F.pandas_udf("long")
-    def checksum(arrays: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(a).astype("<u4").tobytes()) for a in arrays])
-
-    return checksum(ids)
+                own = {"doc": pd.array(docs, "Int64"), "start": start + ends - sizes, "n_tokens": sizes}
+                if checksum:
+                    raw = memoryview(ids.astype("<u4").tobytes())
+                    last = {"crc32": [zlib.crc32(raw[4 * (e - n) : 4 * e]) for n, e in zip(sizes, ends)]}
+                else:
+                    last = {"ids": np.split(ids.astype(np.int32), ends[:-1])}
+                yield pd.DataFrame(own | last)
+
+    return placed.mapInPandas(decode, "doc long, start long, n_tokens long, " + ("crc32 long" if checksum else "ids array<int>"))

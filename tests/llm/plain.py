@@ -55,14 +55,14 @@ def substring(docs, size=13):
     return out
 
 
-def lines(docs, size=2, long=50):
+def lines(docs, size=2, long=40):
     """id -> text without repeated runs of lines."""
     first, runs = {}, defaultdict(list)
     for i, t in docs:
         own = [(n, x) for n, x in enumerate((t or "").split("\n")) if WORD.search(x)]
         for j in range(len(own)):
             parts = [own[j : j + size]] if j + size <= len(own) else []
-            parts += [own[j : j + 1]] if len(words(own[j][1])) >= long else []
+            parts += [own[j : j + 1]] if len(own[j][1]) >= long else []
             for part in parts:
                 key = tuple(x for _, x in part)
                 at = (i, part[0][0])

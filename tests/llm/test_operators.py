@@ -203,6 +203,22 @@ def test_line_dedup_random(spark):
         assert by_id(df, "text") == plain.lines(rows, size)
 
 
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    rows = [(2, "aa bb\ncc dd\nff"), (2, "uniq one\nuniq two\nff"), (1, "aa bb\ncc dd"), (3, "汉" * 40), (4, "汉" * 40), (5, "x" * 39), (6, "x" * 39), (7, "uniq one\nuniq two\nff"), (2, "aa bb\ncc dd\nff")]
+    docs = spark.createDataFrame([(i, t, "own", "own", "own", "own") for i, t in rows], "doc_id long, text string, gone string, __id string, __l string, __gone string")
+    df = line_dedup.deduplicated(docs)
+    assert set(df.columns) == {*docs.columns, "__lines"}
+    got = sorted((r["doc_id"], r["text"]) for r in df.collect() if r["gone"] == r["__id"] == r["__l"] == "own")
+    assert got == sorted([(2, "ff"), (2, "ff"), (2, "uniq one\nuniq two\nff"), (1, "aa bb\ncc dd"), (3, "汉" * 40), (4, ""), (5, "x" * 39), (6, "x" * 39), (7, "")])
+
+
+def test_line_dedup_deals_hot_runs(spark, monkeypatch):
+    rows = [(i, f"the very same long line of boilerplate here, again\nown {i} a\nmore {i % 9}\nend") for i in range(80)]
+    want = plain.lines(rows)
+    monkeypatch.setattr(line_dedup, "HOT", 20)
+    assert by_id(line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")), "text") == want
+
+
 def test_token_coding():
     for n in (0, 1, 3, 4, 5, 1000):
         ranks = np.random.default_rng(n).integers(0, 2**32, n) >> np.random.default_rng(n + 1).integers(0, 32, n)
@@ -216,6 +232,8 @@ def test_token_files(spark, docs, rows, none):
     path, out = public.path("byte_bpe_50k.json"), work_dir(spark, "tokens")
     token_files.write(docs, out, path, end=2, block=4)
     got = [tuple(r) for r in token_files.read(spark, out).collect()]
+    sums = {r["start"]: r["crc32"] for r in token_files.read(spark, out, checksum=True).collect()}
+    assert sums == {start: zlib.crc32(np.array(ids, "<u4").tobytes()) for _, start, _, ids in got}
     tokenizer = Tokenizer.from_file(path)
     ids = lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
     want, start = [], 0
