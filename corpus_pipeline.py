@@ -39,11 +39,11 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     path, pattern = public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN
-    encoded = byte_bpe.encoded(docs, path, pattern, columns=["doc_id", "source"], decode=True)
+    encoded = byte_bpe.encoded(docs, path, pattern, columns=["doc_id", "source"], digest=True)
     return encoded.select(
         "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("raw", 256).alias("decoded_sha256"),
+        F.col("raw_sha256").alias("decoded_sha256"),
     )
 
 

@@ -15,8 +15,9 @@ _SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Dates are compared as instants, never in the zone of the machine.
     "spark.sql.session.timeZone": "UTC",
-    # Long documents cross the Python border in small batches.
+    # Documents cross the Python border in small batches, long ones (mails with attachments) in smaller ones.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
