@@ -68,18 +68,22 @@ def scrub(
     answered = answered.withColumnRenamed("status", "call_status").drop("markdown", "messages")
     result = scrubbed_text(answered)
     result = result.withColumn("status", F.when(F.col("call_status") == "ok", F.col("status")).otherwise(F.col("call_status")))
-    return _finish(result, spark, "scrub", batch, out, ledger)
+    done = _finish(result, spark, "scrub", batch, out, ledger)
+    clean = L.with_hash(done.filter(F.col("status") == "ok"), "markdown")  # what may pass, by its text
+    L.write_entries(L.entries(clean, "scrubbed"), ledger, f"scrubbed-{batch}")
+    return done
 
 
 def distil(
     spark: SparkSession, documents: DataFrame, connect, system: str, out: str, ledger: str, batch: str,
     limit: int | None = None, when: str = "before_skip", **call,
 ) -> DataFrame | None:
-    """Scrubbed documents through the distil model to QA records.  Documents whose scrub is
-    not in the ledger never get here."""
+    """Scrubbed documents through the distil model to QA records.  Texts that did not come out of
+    the scrub, word for word and under their key, never get here: raw text under a key that has passed
+    has another hash."""
     book = L.read_ledger(spark, ledger)
-    passed = L.gate(documents.select("doc_key", "markdown"), book, "scrub")
-    due = L.due(L.with_hash(passed, "markdown"), book, "distil", limit=limit, when=when)
+    passed = L.gate(L.with_hash(documents.select("doc_key", "markdown"), "markdown"), book, "scrubbed")
+    due = L.due(passed, book, "distil", limit=limit, when=when)
     if L.nothing_due(due):
         return None
     call = {"policy": M.distil_policy(), "tier": "scrubbed"} | call

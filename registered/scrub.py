@@ -270,6 +270,21 @@ def p14(t: Tables):
     return L.gate(t.documents.select("doc_id", "text"), L.entries(results, "scrub"), "scrub", key="doc_id")
 
 
+@query(
+    "p14_gate_by_text",
+    """SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0)
+       AND (doc_id % 3 <> 0 OR coalesce(text, '') = coalesce(translate(text, 'abc', 'xyz'), ''))""",
+)
+def p14_by_text(t: Tables):
+    """Every third document is offered raw under a key whose scrub has passed: it stays out."""
+    key, clean = F.col("doc_id").cast("string").alias("doc_key"), F.translate("text", "abc", "xyz")
+    status = F.when(F.col("toxic") == 0, "ok").otherwise("bad_json").alias("status")
+    scrubbed = t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id").select(key, clean.alias("markdown"), status)
+    ledger = L.entries(L.with_hash(scrubbed, "markdown"), "scrubbed")
+    offered = t.documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(clean).alias("markdown"))
+    return L.gate(L.with_hash(offered, "markdown"), ledger, "scrubbed", key="doc_id").select("doc_id")
+
+
 def echo_client():
     """A stand-in for a model: upper-cases ASCII letters of the document and answers in JSON."""
     import json
