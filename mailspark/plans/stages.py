@@ -20,7 +20,7 @@ from mailspark.operators.tabular import column_list, tabular_rows, to_table
 from mailspark.session import materialise
 from mailspark.sinks.csv import write_csv
 from mailspark.sinks.documents import read_documents, write_documents
-from mailspark.sources.files import path_exists, read_mail
+from mailspark.sources.files import list_mail, path_exists, read_listed, read_mail
 from mailspark.sources.jsonl import parse_lines, read_jsonl
 
 
@@ -48,11 +48,27 @@ def _finish(df: DataFrame, spark: SparkSession, stage: str, batch: str, out: str
 def convert(spark: SparkSession, root: str, out: str, ledger: str, batch: str, overwrite: bool = False, **flags) -> DataFrame:
     """Mail files below ``root`` to Markdown documents.
 
-    Each run reads all files to see by their hash which are new or changed.  For an archive
-    that only grows, ``streaming.files`` lists files and reads the new ones alone."""
-    mails = read_mail(spark, root).select(F.col("target_key").alias("doc_key"), "content")
-    mails = L.pending(L.with_hash(mails, "content"), L.read_ledger(spark, ledger), "convert", overwrite=overwrite)
-    return _finish(mail_to_markdown(mails, **flags), spark, "convert", batch, out, ledger)
+    Files are listed first, without their content.  One whose length and time of change are in the
+    ledger (stage ``listed``) is not read; one that is read, but has the content it had, is not
+    converted.  Files that failed are due again.  The driver, which lists them anyway, names the files to
+    read; where that is more than half, the folder is read as a whole."""
+    book = L.read_ledger(spark, ledger)
+    files = list_mail(spark, root).withColumnRenamed("stamp", "input_hash")
+    total = files.count()
+    files = materialise(L.pending(files, book, "listed", overwrite=overwrite))
+    paths = [r["path"] for r in files.select("path").limit(total // 2 + 1).collect()]
+    if 2 * len(paths) > total:
+        mails = read_mail(spark, root).select(F.col("target_key").alias("doc_key"), "content").join(files.select("doc_key"), "doc_key", "left_semi")
+    elif paths:
+        mails = read_listed(spark, root, paths)
+    else:
+        mails = spark.createDataFrame([], "doc_key string, content binary")
+    mails = L.pending(L.with_hash(mails, "content"), book, "convert", overwrite=overwrite)
+    done = _finish(mail_to_markdown(mails, **flags), spark, "convert", batch, out, ledger)
+    failed = done.filter(~F.col("status").isin(*L.CLOSING)).select("doc_key")
+    seen = files.join(failed, "doc_key", "left_anti").withColumn("status", F.lit("ok"))
+    L.write_entries(L.entries(seen, "listed"), ledger, f"listed-{batch}")
+    return done
 
 
 def scrub(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,24 @@ def read_mail(
     return df.withColumn("target_key", target_key(F.col("doc_key"), glob)).select("doc_key", "target_key", "content")
 
 
+def list_mail(spark: SparkSession, root: str, glob: str = "*.eml", on_empty: str = "error") -> DataFrame:
+    """The same files without their content, which is not read: ``path, doc_key`` (of the Markdown document), ``stamp``
+    (length and time of the last change)."""
+    if not path_exists(spark, root):
+        raise EmptyInput(f"no such folder: {root}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(_resolved(spark, root))
+    stamp = F.concat_ws("@", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+    df = files.select("path", mail_key(spark, F.col("path"), root, glob).alias("doc_key"), stamp.alias("stamp"))
+    return check_not_empty(df, f"{glob} in {root}", on_empty)
+
+
+def read_listed(spark: SparkSession, root: str, paths: list[str], glob: str = "*.eml") -> DataFrame:
+    """``doc_key, content`` of the files at ``paths`` (as ``list_mail`` spells them) alone."""
+    named = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]  # signs of patterns in file names
+    files = spark.read.format("binaryFile").load(named)
+    return files.select(mail_key(spark, F.col("path"), root, glob).alias("doc_key"), "content")
+
+
 def target_key(key: Column, glob: str) -> Column:
     """The key of the Markdown document made from a mail file."""
     extension = glob.rpartition("*")[2]

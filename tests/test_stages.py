@@ -274,6 +274,31 @@ def rewrite_client():
     return lambda messages, **_: '{"resolution": "请重启", "category": null}'
 
 
+def test_convert_reads_only_what_changed(spark, tmp_path):
+    """Unchanged files are known by length and time and not read; changed, new and failed ones are."""
+    import os
+
+    inbox, md, ledger = tmp_path / "in", str(tmp_path / "md"), str(tmp_path / "ledger")
+    for name in ("1.eml", "sub/2 [x].eml", "3{a}.eml", "4.eml", "5.eml"):
+        _write(inbox / name, _mail("Subject", f"Body of {name[0]} here"))
+    run = lambda batch: {r["doc_key"] for r in stages.convert(spark, str(inbox), md, ledger, batch).collect()}
+    texts = lambda: {r["doc_key"]: r["markdown"] for r in read_documents(spark, md).collect()}
+    assert run("b1") == {"1.md", "sub/2 [x].md", "3{a}.md", "4.md", "5.md"}
+    times = os.stat(inbox / "1.eml")
+    _write(inbox / "1.eml", _mail("Subject", "Body of 9 here"))  # as long, and as old: it is not looked at
+    os.utime(inbox / "1.eml", ns=(times.st_atime_ns, times.st_mtime_ns))
+    assert run("b2") == set() and "Body of 1" in texts()["1.md"]
+    _write(inbox / "sub/2 [x].eml", _mail("Subject", "Body changed and longer"))
+    os.utime(inbox / "4.eml", ns=(1, 1_700_000_000_000_000_000))  # another time, the content it had: read, not converted
+    assert run("b3") == {"sub/2 [x].md"} and "changed" in texts()["sub/2 [x].md"]
+    os.utime(inbox / "1.eml", ns=(1, 1_700_000_000_000_000_000))
+    _write(inbox / "6.eml", _mail("Subject", "New"))
+    assert run("b4") == {"1.md", "6.md"} and "Body of 9" in texts()["1.md"]
+    assert run("b5") == set() and len(texts()) == 6
+    listed = L.read_ledger(spark, ledger).where("stage = 'listed'").groupBy("key").count().collect()
+    assert {r["key"]: r["count"] for r in listed} == {"1.md": 2, "sub/2 [x].md": 2, "3{a}.md": 1, "4.md": 2, "5.md": 1, "6.md": 1}
+
+
 def test_mail_to_csv(spark, tmp_path):
     """All stages in a row, run twice: the second run finds only the new mail."""
     inbox, ledger = tmp_path / "in", str(tmp_path / "ledger")
