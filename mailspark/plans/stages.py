@@ -22,6 +22,7 @@ from mailspark.sinks.csv import write_csv
 from mailspark.sinks.documents import read_documents, write_documents
 from mailspark.sources.files import list_mail, path_exists, read_listed, read_mail
 from mailspark.sources.jsonl import parse_lines, read_jsonl
+from mailspark.streaming.files import mail_stream, run_batches
 
 
 def mail_to_markdown(mails: DataFrame, **flags) -> DataFrame:
@@ -52,7 +53,7 @@ def convert(spark: SparkSession, root: str, out: str, ledger: str, batch: str, o
     ledger (stage ``listed``) is not read; one that is read, but has the content it had, is not
     converted.  Files that failed are due again.  The driver, which lists them anyway, names the files to
     read; where that is more than half, the folder is read as a whole."""
-    book = L.read_ledger(spark, ledger)
+    book = _book(spark, ledger, batch)
     files = list_mail(spark, root).withColumnRenamed("stamp", "input_hash")
     total = files.count()
     files = materialise(L.pending(files, book, "listed", overwrite=overwrite))
@@ -63,6 +64,18 @@ def convert(spark: SparkSession, root: str, out: str, ledger: str, batch: str, o
         mails = read_listed(spark, root, paths)
     else:
         mails = spark.createDataFrame([], "doc_key string, content binary")
+    return _converted(spark, files, mails, out, ledger, batch, overwrite, **flags)
+
+
+def _book(spark: SparkSession, ledger: str, batch: str) -> DataFrame:
+    """What other batches have done: a batch that is run again is done from the start."""
+    own = [f"{stage}-{batch}" for stage in ("convert", "listed")]
+    return L.read_ledger(spark, ledger, with_batch=True).filter(~F.col("batch").isin(*own)).drop("batch")
+
+
+def _converted(spark, files: DataFrame, mails: DataFrame, out: str, ledger: str, batch: str, overwrite: bool = False, **flags) -> DataFrame:
+    """Convert ``mails`` (``doc_key, content``) whose content is new, and enter ``files`` (``doc_key, input_hash``) as seen."""
+    book = _book(spark, ledger, batch)
     mails = L.pending(L.with_hash(mails, "content"), book, "convert", overwrite=overwrite)
     done = _finish(mail_to_markdown(mails, **flags), spark, "convert", batch, out, ledger)
     failed = done.filter(~F.col("status").isin(*L.CLOSING)).select("doc_key")
@@ -71,6 +84,27 @@ def convert(spark: SparkSession, root: str, out: str, ledger: str, batch: str, o
     return done
 
 
+def convert_stream(
+    spark: SparkSession, root: str, out: str, ledger: str, checkpoint: str, name: str = "stream", files_per_trigger: int = 10_000, **flags
+) -> None:
+    """``convert`` for the files that have arrived since the last run, in micro-batches, then stop.
+
+    Each micro-batch is a batch of the document table and of the ledger, named after its number, so that one
+    that is replayed after a crash replaces what it left and adds nothing.  A stream knows a file by its path, so
+    it sees new files alone; ``convert`` may take turns with it over one folder and finds the changed
+    ones, since both skip what the ledger knows.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        files = materialise(batch.select("doc_key", F.col("stamp").alias("input_hash")))
+        due = L.pending(files, _book(session, ledger, f"{name}-{number}"), "listed").select("doc_key")
+        mails = batch.select("doc_key", "content").join(due, "doc_key", "left_semi")
+        _converted(session, files, mails, out, ledger, f"{name}-{number}", **flags)
+
+    run_batches(mail_stream(spark, root, files_per_trigger=files_per_trigger, stamps=True), one, checkpoint)
+
+
 def scrub(
     spark: SparkSession, documents: DataFrame, connect, system: str, out: str, ledger: str, batch: str,
     overwrite: bool = False, limit: int | None = None, **call,

@@ -83,11 +83,15 @@ def list_mail(spark: SparkSession, root: str, glob: str = "*.eml", on_empty: str
     if not path_exists(spark, root):
         raise EmptyInput(f"no such folder: {root}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(_resolved(spark, root))
-    stamp = F.concat_ws("@", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
-    df = files.select("path", mail_key(spark, F.col("path"), root, glob).alias("doc_key"), stamp.alias("stamp"))
+    df = files.select("path", mail_key(spark, F.col("path"), root, glob).alias("doc_key"), file_stamp().alias("stamp"))
     return check_not_empty(df, f"{glob} in {root}", on_empty)
 
 
+def file_stamp() -> Column:
+    """Length and time of the last change of a scanned file."""
+    return F.concat_ws("@", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))
+
+
 def read_listed(spark: SparkSession, root: str, paths: list[str], glob: str = "*.eml") -> DataFrame:
     """``doc_key, content`` of the files at ``paths`` (as ``list_mail`` spells them) alone."""
     named = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]  # signs of patterns in file names

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailspark.sources.files import mail_key
+from mailspark.sources.files import file_stamp, mail_key
 
 
-def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_trigger: int = 10_000) -> DataFrame:
-    """Mail files as a stream of ``doc_key, content``, with the keys that ``stages.convert`` gives."""
+def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_trigger: int = 10_000, stamps: bool = False) -> DataFrame:
+    """Mail files as a stream of ``doc_key, content``, with the keys that ``stages.convert`` gives; with ``stamps`` also
+    ``stamp``, length and time of the last change as ``list_mail`` spells them."""
+    stamp = [file_stamp().alias("stamp")] if stamps else []
     return (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -19,7 +21,7 @@ def mail_stream(spark: SparkSession, root: str, glob: str = "*.eml", files_per_t
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(root)
-        .select(mail_key(spark, F.col("path"), root, glob).alias("doc_key"), "content")
+        .select(mail_key(spark, F.col("path"), root, glob).alias("doc_key"), "content", *stamp)
     )
 
 
@@ -45,3 +47,11 @@ def run_available(
         .start(sink)
     )
     query.awaitTermination()
+
+
+def run_batches(source: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand all that has arrived since the last run to ``each``, batch by batch with its number, then stop.
+
+    A batch whose end the checkpoint has not seen is handed over again with the same number."""
+    query = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
