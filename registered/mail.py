@@ -260,7 +260,7 @@ _PAGE = """concat(html, '<h2 class="x">Q&#38;A</h2><p>It&#8217;s <B>bold</B>, <e
 
 @query("h1_html_to_markdown", f"SELECT page_id, {_html_sql(_PAGE.replace('&#38;', '&amp;'))} AS markdown FROM pages")
 def h1(t: Tables):
-    return D.html_to_markdown(t.pages.select("page_id", F.expr(_PAGE).alias("html")), "html").select("page_id", "markdown")
+    return D.html_to_markdown(t.spread("pages").select("page_id", F.expr(_PAGE).alias("html")), "html").select("page_id", "markdown")
 
 
 # Blocks of code, alternative texts, attributes in every spelling, entities: expected by hand.
@@ -274,4 +274,4 @@ _MARKED = r"""concat('<p>M&uuml;ller &euro;5 &#00000038; &#x2013; &amp;lt; &unkn
               '![the fan](/f', page_id, '.png) ![](g.png) [see](https://example.org/', page_id, ') [bare](https://example.org)', chr(10)) AS markdown FROM pages""",
 )
 def h1_marked(t: Tables):
-    return D.html_to_markdown(t.pages.select("page_id", F.expr(_MARKED).alias("html")), "html").select("page_id", "markdown")
+    return D.html_to_markdown(t.spread("pages").select("page_id", F.expr(_MARKED).alias("html")), "html").select("page_id", "markdown")

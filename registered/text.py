@@ -96,7 +96,7 @@ CONTACT_RE2 = "|".join(
 
 
 def _documents(t: Tables, expression: str):
-    return t.documents.select("doc_id", F.expr(expression).alias("md"))
+    return t.spread("documents").select("doc_id", F.expr(expression).alias("md"))
 
 
 @query(
