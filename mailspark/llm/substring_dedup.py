@@ -5,11 +5,15 @@ with a smaller id.
 
 Every window has an anchor, the word group with the least hash in it; equal windows have equal
 anchors.  Only stretches around anchors that two documents show can hold such a window.  These
-stretches are dealt into shards by anchor; each shard is indexed (suffix order, wavelet matrix over
-its Burrows-Wheeler transform) and its stretches are streamed against the index: backward search
-gives the matching statistics, and each interval of WINDOW words or more tells the least document
-that it starts in.  Windows around very frequent anchors are told apart word by word in a combined
-minimum instead, so that no shard grows with them.
+stretches are dealt into shards by anchor; equal ones become one with the least document; the
+rest is indexed (wavelet matrix over the Burrows-Wheeler transform, the suffix order is not kept)
+and streamed against the index: backward search gives the matching statistics, and each interval
+of WINDOW words or more tells the least document that it starts in.
+
+Stretches around frequent anchors go the same way, but equal ones are combined before they are
+dealt, so that a shard gets the different ones only, and what the index finds goes back to the
+documents by a salted join.  An anchor with very many different stretches is cut further, into
+its windows.
 """
 
 from __future__ import annotations
@@ -28,10 +32,14 @@ from mailspark.llm.hashing import grams, groups, words
 WINDOW = 13
 #: Words of an anchor.
 ANCHOR = 4
-#: Documents that show an anchor, from which on its windows are compared by aggregation.
+#: Stretches of an anchor, from which on equal ones are combined before they are dealt to shards.
 FREQUENT = 2_000
+#: Different stretches of a frequent anchor, from which on it is cut into its windows.
+DIFFERENT = 2_000
 #: Words that are indexed together, about.
-INDEXED = 400_000
+INDEXED = 100_000
+#: Tasks over which the documents of a frequent stretch are spread (bits of a mask).
+SALTS = 32
 #: Bytes of a word's hash that stand for it in a shard.
 SYMBOL = 6
 _SPACES = re.compile(f"{SPACE}+")
@@ -39,38 +47,45 @@ _SPACES = re.compile(f"{SPACE}+")
 
 class FMIndex:
     """Occurrences of word sequences of up to 16 words in an array of symbols 1, 2, ...; a 0 ends
-    each stretch."""
+    each stretch.  ``borders`` are those, in the order of suffixes, of suffixes that agree in
+    ``size`` words (9 to 16), and ``least`` the least of ``docs`` (one per symbol) between them."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, docs: np.ndarray, size: int):
         n = len(symbols)
-        self.text = symbols
-        rank, self.eighth = symbols.astype(np.int64), None
+        rank = eighth = symbols.astype(np.int64)
         for step in (1, 2, 4, 8):
             if step == 8:
-                self.eighth = rank
+                eighth = rank
             ahead = np.zeros(n, np.int64)
             ahead[: n - step] = rank[step:] + 1
             pair = rank * (int(ahead.max(initial=0)) + 1) + ahead
             order = np.argsort(pair, kind="stable")
             rank = np.zeros(n, np.int64)
             rank[order] = np.cumsum(np.concatenate([[0], pair[order][1:] != pair[order][:-1]]))
-        self.suffixes = order
+        ahead = np.zeros(n, np.int64)
+        ahead[: n - (size - 8)] = eighth[size - 8 :] + 1
+        a, b = eighth[order], ahead[order]
+        self.borders = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        self.least = np.minimum.reduceat(docs[order], self.borders)
+        self.size = n
         self.levels = max(1, int(symbols.max(initial=1)).bit_length())
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=(1 << self.levels)))])
         level = symbols[order - 1]  # the Burrows-Wheeler transform
         self.bits, self.ones, self.zeros = [], [], []
         for shift in range(self.levels - 1, -1, -1):
             bit = (level >> shift & 1).astype(bool)
             packed = np.packbits(np.append(bit, np.zeros(-n % 64 + 64, bool)), bitorder="little").view("<u8")
             self.bits.append(packed)
-            self.ones.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)]))
+            self.ones.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)]).astype(np.int32))
             self.zeros.append(n - int(bit.sum()))
             level = np.concatenate([level[~bit], level[bit]])
+        every = np.arange(1 << self.levels)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=len(every)))])
+        self.shift = self.first[:-1] - self.occurrences(every, np.zeros_like(every))
 
     def occurrences(self, symbol: np.ndarray, upto: np.ndarray) -> np.ndarray:
         """How often each symbol stands before each position of the transform, plus its start in
         the last level: differences of two are counts."""
-        at = upto.copy()
+        at = upto
         for i, shift in enumerate(range(self.levels - 1, -1, -1)):
             word, rest = at >> 6, (at & 63).astype(np.uint64)
             one = self.ones[i][word] + np.bitwise_count(self.bits[i][word] & ((np.uint64(1) << rest) - np.uint64(1)))
@@ -79,15 +94,9 @@ class FMIndex:
 
     def extended(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of suffixes with one more word in front."""
-        start = self.occurrences(symbol, np.zeros_like(lo))
-        return self.first[symbol] + self.occurrences(symbol, lo) - start, self.first[symbol] + self.occurrences(symbol, hi) - start
-
-    def shortened(self, size: int) -> np.ndarray:
-        """Borders, in the order of suffixes, of those that agree in ``size`` words (9 to 16)."""
-        ahead = np.zeros(len(self.text), np.int64)
-        ahead[: len(self.text) - (size - 8)] = self.eighth[size - 8 :] + 1
-        a, b = self.eighth[self.suffixes], ahead[self.suffixes]
-        return np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        both = self.occurrences(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        shift = self.shift[symbol]
+        return shift + both[: len(lo)], shift + both[len(lo) :]
 
 
 def least_documents(symbols: np.ndarray, lengths: np.ndarray, docs: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -103,10 +112,8 @@ def least_documents(symbols: np.ndarray, lengths: np.ndarray, docs: np.ndarray,
     inside = np.ones(len(text), bool)
     inside[starts + lengths] = False
     text[inside] = ids + 1
-    index = FMIndex(text)
-    borders = index.shortened(size)
-    ends = np.append(borders[1:], len(text))
-    least = np.minimum.reduceat(np.repeat(docs, lengths + 1)[index.suffixes], borders)
+    index = FMIndex(text, np.repeat(docs, lengths + 1), size)
+    borders, ends = index.borders, np.append(index.borders[1:], index.size)
 
     windows = lengths - size + 1
     found = np.empty(int(windows.sum()), np.int64)
@@ -118,7 +125,7 @@ def least_documents(symbols: np.ndarray, lengths: np.ndarray, docs: np.ndarray,
         lo, hi = index.extended(text[at], lo, hi)
     while len(at):
         group = np.searchsorted(borders, lo, side="right") - 1
-        found[slot] = least[group]
+        found[slot] = index.least[group]
         more = windows > 1
         windows, group, at, slot = windows[more] - 1, group[more], at[more] - 1, slot[more] - 1
         lo, hi = index.extended(text[at], borders[group], ends[group])
@@ -152,8 +159,8 @@ def runs(place: np.ndarray) -> np.ndarray:
 
 def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataFrame:
     """Stretches of words around anchors that two documents show: ``anchor``, whether it is
-    ``frequent`` (then single windows), ``id`` and ``tie`` (a hash of the text) of the document,
-    the number of the first word, and the ``words`` as symbols."""
+    ``frequent``, ``id`` and ``tie`` (a hash of the text) of the document, the number of the first
+    word, the ``words`` as symbols, and ``uid``, a hash of them."""
     every = docs.where(docs[name].isNotNull()).select(docs[name].cast("long").alias("id"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))
 
     def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,11 +173,14 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
                 best, text = best[order], text[order]
                 once = np.ones(len(best), bool)
                 once[1:] = (best[1:] != best[:-1]) | (text[1:] != text[:-1])
-                rows = first + text[once]
-                yield pd.DataFrame({"anchor": best[once], "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows]})
-
-    shown = every.mapInPandas(marks, "anchor long, id long, tie long")
-    often = shown.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > FREQUENT).alias("frequent"))
+                rows, at = first + text[once], np.flatnonzero(once)
+                yield pd.DataFrame({
+                    "anchor": best[once], "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows],
+                    "n": np.diff(np.append(at, len(once))).astype(np.int32),
+                })
+
+    shown = every.mapInPandas(marks, "anchor long, id long, tie long, n int")
+    often = shown.groupBy("anchor").agg(F.count("*").alias("docs"), F.sum("n").alias("all")).where("docs > 1").select("anchor", (F.col("all") > FREQUENT).alias("frequent"))
     wanted = shown.join(often, "anchor").groupBy("id", "tie").agg(F.collect_list(F.struct("anchor", "frequent")).alias("anchors"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,72 +199,136 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
                     own = best[begin[cuts[i] : cuts[i + 1]]]
                     at = np.minimum(np.searchsorted(names[order], own), len(names) - 1)
                     kind[cuts[i] : cuts[i + 1]] = np.where(names[order][at] == own, kinds[order][at], -1)
-                rare, often = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-                single = np.concatenate([np.arange(b, e) for b, e in zip(begin[often], end[often])] or [np.zeros(0, np.int64)]).astype(np.int64)
-                lo = np.concatenate([windows[begin[rare]], windows[single]])
-                hi = np.concatenate([windows[end[rare] - 1], windows[single]]) + size
-                anchor = np.concatenate([best[begin[rare]], best[single]])
-                frequent = np.arange(len(lo)) >= len(rare)
+                which = np.flatnonzero(kind >= 0)
+                lo, hi = windows[begin[which]], windows[end[which] - 1] + size
                 symbol = (w.hash & np.uint64((1 << 8 * SYMBOL) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL].tobytes()
                 rows = first + w.text[lo]
                 if len(lo):
                     yield pd.DataFrame({
-                        "anchor": anchor, "frequent": frequent, "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows],
+                        "anchor": best[begin[which]], "frequent": kind[which] == 1, "id": batch["id"].to_numpy()[rows], "tie": batch["tie"].to_numpy()[rows],
                         "start": lo - w.bounds()[w.text[lo]],
                         "words": [symbol[a:b] for a, b in zip((lo * SYMBOL).tolist(), (hi * SYMBOL).tolist())],
                     })
 
-    return every.join(wanted, ["id", "tie"]).mapInPandas(cut, "anchor long, frequent boolean, id long, tie long, start int, words binary")
+    found = every.join(wanted, ["id", "tie"]).mapInPandas(cut, "anchor long, frequent boolean, id long, tie long, start int, words binary")
+    return found.withColumn("uid", F.xxhash64("words"))
 
 
-def search(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.DataFrame]:
-    """Stretches in order of anchor, whole anchors at a time, against an index of them."""
+def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in order of anchor, whole anchors at a time, about INDEXED words together."""
     held: list[pd.DataFrame] = []
     weight = 0
+    for batch in batches:
+        # Anchors' ends in the batch, and the words up to them.
+        names = batch["anchor"].to_numpy()
+        sums = np.cumsum(batch["words"].str.len().to_numpy()) // SYMBOL
+        begin = 0
+        while begin < len(batch):
+            before = int(sums[begin - 1]) if begin else 0
+            end = int(np.searchsorted(sums, before + INDEXED - weight)) + 1 if weight < INDEXED else begin
+            if held and weight >= INDEXED and names[begin] != held[-1]["anchor"].iloc[-1]:
+                yield pd.concat(held, ignore_index=True)
+                held, weight = [], 0
+                continue
+            # On to the end of the anchor at hand.
+            end = min(max(end, begin + 1), len(batch))
+            other = np.flatnonzero(names[end:] != names[end - 1])
+            end = end + int(other[0]) if len(other) else len(batch)
+            held.append(batch.iloc[begin:end])
+            weight += int(sums[end - 1]) - before
+            begin = end
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def indexed(rows: pd.DataFrame, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least documents of the windows of all different stretches, end to end; of each row the
+    first of its windows there, and their number."""
+    same, different = pd.factorize(rows["words"])
+    low = np.full(len(different), np.iinfo(np.int64).max)
+    np.minimum.at(low, same, ids)
+    raw = np.frombuffer(b"".join(different), np.uint8).reshape(-1, SYMBOL)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :SYMBOL] = raw
+    lengths = np.array([len(x) for x in different], np.int64) // SYMBOL
+    windows = lengths - size + 1
+    least = least_documents(wide.view("<u8").ravel(), lengths, low, size)
+    return least, (np.cumsum(windows) - windows)[same], windows[same]
 
-    def found(rows: pd.DataFrame) -> pd.DataFrame:
-        raw = np.frombuffer(b"".join(rows["words"]), np.uint8).reshape(-1, SYMBOL)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :SYMBOL] = raw
-        lengths, ids = rows["words"].str.len().to_numpy() // SYMBOL, rows["id"].to_numpy(np.int64)
-        windows = lengths - size + 1
-        least = least_documents(wide.view("<u8").ravel(), lengths, ids, size)
-        of = np.repeat(np.arange(len(rows)), windows)
-        hit = np.flatnonzero(least < ids[of])
-        place = rows["start"].to_numpy()[of] + np.arange(len(of)) - (np.cumsum(windows) - windows)[of]
-        cuts = np.flatnonzero(np.concatenate([[True], of[hit][1:] != of[hit][:-1]])) if len(hit) else []
-        hits = np.split(place[hit].astype(np.int32), cuts[1:]) if len(hit) else []
-        own = of[hit][cuts] if len(hit) else np.zeros(0, np.int64)
-        return pd.DataFrame({"id": ids[own], "tie": rows["tie"].to_numpy()[own], "hits": pd.Series(hits, dtype=object)})
 
-    for batch in batches:
-        held.append(batch)
-        weight += int(batch["words"].str.len().sum()) // SYMBOL
-        if weight < INDEXED:
-            continue
-        rows = pd.concat(held, ignore_index=True)
-        last = rows["anchor"].to_numpy() != rows["anchor"].iloc[-1]
-        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
-        held = [rows.iloc[cut:]]
-        weight = int(held[0]["words"].str.len().sum()) // SYMBOL
-        if cut:
-            yield found(rows.iloc[:cut].reset_index(drop=True))
-    if held and sum(map(len, held)):
-        yield found(pd.concat(held, ignore_index=True))
+def search(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.DataFrame]:
+    """Of the stretches' documents, the windows that also start in one with a smaller id."""
+    for rows in shards(batches):
+        ids = rows["id"].to_numpy(np.int64)
+        least, first, windows = indexed(rows, ids, size)
+        of = np.repeat(np.arange(len(rows)), windows)
+        step = np.arange(len(of)) - (np.cumsum(windows) - windows)[of]
+        hit = np.flatnonzero(least[first[of] + step] < ids[of])
+        if len(hit):
+            place = (rows["start"].to_numpy()[of[hit]] + step[hit]).astype(np.int32)
+            cuts = np.flatnonzero(np.concatenate([[True], of[hit][1:] != of[hit][:-1]]))
+            own = of[hit][cuts]
+            yield pd.DataFrame({"id": ids[own], "tie": rows["tie"].to_numpy()[own], "hits": pd.Series(np.split(place, cuts[1:]), dtype=object)})
+
+
+def search_combined(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.DataFrame]:
+    """Of stretches with their least and greatest document, the least document of each window;
+    only those that count against one of the stretch's documents."""
+    for rows in shards(batches):
+        least, first, windows = indexed(rows, rows["low"].to_numpy(np.int64), size)
+        each = [least[a : a + n] for a, n in zip(first.tolist(), windows.tolist())]
+        late = np.array([x.min() for x in each]) < rows["high"].to_numpy(np.int64)
+        if late.any():
+            yield pd.DataFrame({
+                "anchor": rows["anchor"][late], "uid": rows["uid"][late], "salts": rows["salts"][late],
+                "least": pd.Series(each, dtype=object)[late],
+            })
+
+
+def frequent_hits(stretches: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``id``, ``tie`` and ``hits`` of stretches around frequent anchors.
+
+    Equal stretches are one row with their least and greatest document before they meet in a
+    shard.  An anchor with more than DIFFERENT of them is cut into its windows, each a stretch and
+    an anchor by itself.  A stretch goes back to its documents once for each salt that they have.
+    """
+    span, step = size * SYMBOL, F.col("at") * SYMBOL
+    salted = stretches.withColumn("salt", F.pmod(F.xxhash64("id", "tie"), F.lit(SALTS)).cast("int"))
+    bounds = [F.min("low").alias("low"), F.max("high").alias("high"), F.bit_or("salts").alias("salts")]
+    one = salted.select("anchor", "words", F.col("id").alias("low"), F.col("id").alias("high"), F.expr("shiftleft(1L, salt)").alias("salts"))
+    whole = written(one.groupBy("anchor", "words").agg(*bounds))
+    wide = written(whole.groupBy("anchor").count().where(F.col("count") > DIFFERENT).select("anchor"))
+
+    def cut(df: DataFrame) -> DataFrame:
+        at = F.explode(F.sequence(F.lit(0), ((F.length("words") - span) / SYMBOL).cast("int"))).alias("at")
+        df = df.join(wide, "anchor", "left_semi").select("*", at)
+        df = df.withColumn("words", F.substring("words", step + 1, F.lit(span)))
+        return df.withColumn("anchor", F.xxhash64("words")).withColumn("uid", F.col("anchor"))
+
+    single = cut(whole).groupBy("anchor", "words").agg(*bounds)
+    pieces = whole.join(wide, "anchor", "left_anti").unionByName(single).withColumn("uid", F.xxhash64("words"))
+    pieces = pieces.repartition("anchor").sortWithinPartitions("anchor")
+    least = pieces.mapInPandas(search_combined, "anchor long, uid long, salts long, least array<long>")
+    salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.expr("salts").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != 0)
+    least = least.select("anchor", "uid", F.explode(salts).alias("salt"), "least")
+
+    columns = ["anchor", "uid", "salt", "id", "tie", "start"]
+    places = cut(salted).withColumn("start", F.col("start") + F.col("at")).select(columns)
+    places = salted.join(wide, "anchor", "left_anti").select(columns).unionByName(places)
+    hits = "transform(filter(sequence(0, size(least) - 1), j -> least[j] < id), j -> start + j)"
+    return places.join(least, ["anchor", "uid", "salt"]).select("id", "tie", F.expr(hits).alias("hits")).where(F.size("hits") > 0)
 
 
 def deduplicated(docs: DataFrame, name: str = "doc_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """``id``, ``text`` (the kept words joined by a blank), ``n_words`` and ``n_removed``.
 
-    Null and empty texts have no words.  Documents without an id keep all and take no part.
-    Windows of equal ids do not count against each other.
+    ``name`` is a column of integers.  Null and empty texts have no words.  Documents without an
+    id keep all and take no part.  Windows of equal ids do not count against each other.
     """
     stretches = written(suspects(docs, name, text, size))
-    rare = stretches.where("NOT frequent").drop("frequent").repartition("anchor").sortWithinPartitions("anchor")
-    hits = rare.mapInPandas(search, "id long, tie long, hits array<int>")
-    often = stretches.where("frequent")
-    least = often.groupBy("words").agg(F.min("id").alias("least"))
-    late = often.join(least, "words").where("id > least").select("id", "tie", F.array("start").alias("hits"))
+    rare = stretches.where("NOT frequent").select("anchor", "id", "tie", "start", "words")
+    hits = rare.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(search, "id long, tie long, hits array<int>")
+    late = frequent_hits(stretches.where("frequent"), size)
     gone = hits.unionByName(late).groupBy("id", "tie").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     gone = gone.select(F.col("id").alias("own"), F.col("tie").alias("own_tie"), "hits")
 

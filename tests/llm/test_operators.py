@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,42 @@ def test_substring_dedup_of_frequent_windows(spark, monkeypatch):
     assert by_id(df, "n_words", "n_removed", "text", key="id") == plain.substring(rows)
 
 
+def test_substring_dedup_cuts_anchors_with_many_different_stretches(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FREQUENT", 3)
+    monkeypatch.setattr(substring_dedup, "DIFFERENT", 2)
+    rnd = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(9))
+    around = lambda n: " ".join(rnd.choice("xyz") for _ in range(n))
+    rows = [(i // 2, f"{around(8)} {passage} {around(8)}") for i in range(200)]
+    rows += [(300 + i, rows[7][1]) for i in range(40)] + [(500, " ".join([passage] * 40)), (501, " ".join([passage] * 60))]
+    df = substring_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r["id"], r["n_words"], r["n_removed"], r["text"]) for r in df.collect())
+    size, first = 13, {}
+    for i, text in rows:
+        w = text.split()
+        for j in range(len(w) - size + 1):
+            key = tuple(w[j : j + size])
+            first[key] = min(i, first.get(key, i))
+    expected = []
+    for i, text in rows:
+        w = text.split()
+        gone = {k for j in range(len(w) - size + 1) if first[tuple(w[j : j + size])] < i for k in range(j, j + size)}
+        expected.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    assert got == sorted(expected)
+    assert sum(n for _, _, n, _ in got) > 1000
+
+
+def test_shards_hold_whole_anchors(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "INDEXED", 60)
+    rnd = random.Random(6)
+    names = sorted(rnd.randrange(40) for _ in range(300))
+    rows = pd.DataFrame({"anchor": names, "no": range(300), "words": [b"x" * substring_dedup.SYMBOL * rnd.randrange(13, 20) for _ in names]})
+    cuts = sorted(rnd.randrange(1, 300) for _ in range(12))
+    parts = list(substring_dedup.shards(rows.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, 300])))
+    assert pd.concat(parts)["no"].tolist() == list(range(300))
+    assert len(parts) > 10 and sum(p["anchor"].nunique() for p in parts) == len(set(names))
+
+
 def test_fm_index_matches_plain_search():
     rnd = np.random.default_rng(1)
     parts = [rnd.integers(0, 3, rnd.integers(13, 25)).astype(np.uint64) for _ in range(60)]
