@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailspark.session import materialise
+from mailspark.sources.files import path_exists
 
 ANSWER_FIELDS = [
     T.StructField("response", T.StringType()),
@@ -129,6 +130,8 @@ def call_model(
     public_endpoint: bool = True,
     on_error: str = "status",
     answers_path: str | None = None,
+    log: str | None = None,
+    waves: int = 4,
 ) -> DataFrame:
     """Add ``response, status, attempts, error`` to a table with ``messages``.
 
@@ -141,6 +144,11 @@ def call_model(
     moved), and the answers come back by an equi-join on the hash.  Either way answers are
     written out before anything reads them, so no later action pays for a call twice.
 
+    ``log`` names a table of answers that outlives the run: requests (by hash of messages, model
+    and options) with a good answer in it are not called, all others are, in ``waves`` jobs that
+    append to it.  A run that dies is started again with the same log and pays for the wave
+    that it was in, not for those before.
+
     ``threads`` calls run at once in each task; the cluster's slots bound the tasks.
     ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls.
     """
@@ -163,6 +171,28 @@ def call_model(
                         raise RuntimeError(f"model call failed ({answer[1]}): {answer[3]}")
                 yield answers
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batches, hashes = tee(batches)
+        for batch, answers in zip(hashes, answers_of(b["messages"] for b in batches)):
+            rows = [(h, *answer) for h, answer in zip(batch["request_hash"], answers)]
+            yield pd.DataFrame(rows, columns=names).astype({"attempts": "int32"})
+
+    if log is not None:
+        asked = F.sha2(F.to_json(F.struct("messages", *[F.lit(v).alias(k) for k, v in options.items()])), 256)
+        requests = df.select(asked.alias("request_hash"), "messages")
+        requests = requests.dropDuplicates(["request_hash"]) if dedupe else requests
+        for wave in range(max(1, waves)):
+            due = requests.filter(F.pmod(F.xxhash64("request_hash"), F.lit(max(1, waves))) == wave)
+            if path_exists(df.sparkSession, log):
+                good = df.sparkSession.read.schema(schema).parquet(log).filter("status = 'ok'")
+                due = due.join(good.select("request_hash").distinct(), "request_hash", "left_anti")
+            due = due if concurrency is None else due.coalesce(max(1, concurrency))
+            due.mapInPandas(run, schema).write.mode("append").parquet(log)
+        # The good answer of a request, where it has one; failed tries stay in the log.
+        best = F.max_by(F.struct(*names[1:]), F.struct(F.col("status") == "ok", "response", "attempts"))
+        answers = df.sparkSession.read.schema(schema).parquet(log).groupBy(F.col("request_hash").alias("_request")).agg(best.alias("_answer"))
+        return df.withColumn("_request", asked).join(answers, "_request", "left").select(*df.columns, "_answer.*")
+
     if not dedupe:
 
         @F.pandas_udf(T.StructType(ANSWER_FIELDS))
@@ -178,12 +208,5 @@ def call_model(
     distinct = hashed.groupBy("request_hash").agg(F.first("messages").alias("messages"))
     if concurrency is not None:
         distinct = distinct.repartition(max(1, concurrency), "request_hash")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batches, hashes = tee(batches)
-        for batch, answers in zip(hashes, answers_of(b["messages"] for b in batches)):
-            rows = [(h, *answer) for h, answer in zip(batch["request_hash"], answers)]
-            yield pd.DataFrame(rows, columns=names).astype({"attempts": "int32"})
-
     answers = materialise(distinct.mapInPandas(run, schema), answers_path)
     return hashed.join(answers, "request_hash", "left")

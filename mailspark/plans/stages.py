@@ -2,7 +2,8 @@
 
 Every stage reads what is due (an anti join before anything expensive), writes its result
 as one batch, then the ledger rows of that batch.  A job that dies in between is run again
-with the same batch name and replaces what it left.
+with the same batch name and replaces what it left; the answers of models that it has
+already got are taken from the batch's answer log, beside the ledger.
 """
 
 from __future__ import annotations
@@ -38,6 +39,11 @@ def mail_to_markdown(mails: DataFrame, **flags) -> DataFrame:
     )
 
 
+def _answer_log(ledger: str, stage: str, batch: str) -> str:
+    """Where a batch keeps the answers that it has paid for."""
+    return f"{ledger.rstrip('/')}-answers/{stage}-{batch}"
+
+
 def _finish(df: DataFrame, spark: SparkSession, stage: str, batch: str, out: str, ledger: str, keep=("ok",)) -> DataFrame:
     """Write a stage's documents and its ledger rows from one materialised result."""
     done = materialise(df)
@@ -110,10 +116,11 @@ def scrub(
     overwrite: bool = False, limit: int | None = None, **call,
 ) -> DataFrame | None:
     """Markdown documents through the scrub model; only good answers become documents."""
-    due = L.due(L.with_hash(documents, "markdown"), L.read_ledger(spark, ledger), "scrub", limit=limit, overwrite=overwrite)
+    due = materialise(L.due(L.with_hash(documents, "markdown"), L.read_ledger(spark, ledger), "scrub", limit=limit, overwrite=overwrite))
     if L.nothing_due(due):
         return None
     call = {"policy": M.scrub_policy(), "json_mode": True, "tier": "raw", "public_endpoint": False} | call
+    call = {"log": None if overwrite else _answer_log(ledger, "scrub", batch)} | call
     answered = M.call_model(scrub_request(due, system), connect, **call)
     answered = answered.withColumnRenamed("status", "call_status").drop("markdown", "messages")
     result = scrubbed_text(answered)
@@ -133,10 +140,10 @@ def distil(
     has another hash."""
     book = L.read_ledger(spark, ledger)
     passed = L.gate(L.with_hash(documents.select("doc_key", "markdown"), "markdown"), book, "scrubbed")
-    due = L.due(passed, book, "distil", limit=limit, when=when)
+    due = materialise(L.due(passed, book, "distil", limit=limit, when=when))
     if L.nothing_due(due):
         return None
-    call = {"policy": M.distil_policy(), "tier": "scrubbed"} | call
+    call = {"policy": M.distil_policy(), "tier": "scrubbed", "log": _answer_log(ledger, "distil", batch)} | call
     answered = M.call_model(distil_request(due, system), connect, **call).drop("markdown", "messages")
     listed = extract_items(answered.withColumnRenamed("status", "call_status"))
     status = F.when(F.col("call_status") == "ok", F.col("status")).otherwise(F.col("call_status"))
@@ -156,14 +163,14 @@ def rewrite(
     key = F.concat_ws("#", "file", F.col("item_no").cast("string"))
     record = F.to_json(F.struct(*[c for c in qa.columns if c != "item_no"]), {"ignoreNullFields": "false"})
     keyed = L.with_hash(qa.withColumn("doc_key", key).withColumn("line", record), "line")
-    due = L.due(keyed, L.read_ledger(spark, ledger), "rewrite", limit=limit, when="after_skip", overwrite=not resume)
+    due = materialise(L.due(keyed, L.read_ledger(spark, ledger), "rewrite", limit=limit, when="after_skip", overwrite=not resume))
     gone = None
     if path_exists(spark, out):  # items whose document does not give them any more
         gone = read_documents(spark, out).select("doc_key").join(keyed.select("doc_key"), "doc_key", "left_anti")
         gone = materialise(gone)
     if L.nothing_due(due) and (gone is None or gone.isEmpty()):
         return None
-    call = {"policy": M.rewrite_policy(), "json_mode": True} | call
+    call = {"policy": M.rewrite_policy(), "json_mode": True, "log": _answer_log(ledger, "rewrite", batch) if resume else None} | call
     answered = M.call_model(rewrite_request(due, system), connect, **call).withColumnRenamed("status", "call_status")
     merged = merge_record(parse_lines(answered.drop("messages")))
     merged = merged.select("doc_key", "file", "item_no", "input_hash", "attempts", "error", "status", F.to_json("record").alias("line"))

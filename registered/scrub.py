@@ -312,6 +312,33 @@ def x1(t: Tables):
     return A.scrubbed_text(answered).select("doc_id", "status", "markdown", "attempts")
 
 
+def first_half_client():
+    """Answers short texts; the connection is lost at the others, and with it the run."""
+
+    def answer(messages, **_):
+        if len(messages[1]["content"]) % 2:
+            raise ConnectionError("lost")
+        return "first run"
+
+    return answer
+
+
+def second_run_client():
+    return lambda messages, **_: "second run"
+
+
+@query(
+    "x1_resumed_answers",
+    "SELECT doc_id, 'ok' AS status, CASE WHEN length(text) % 2 = 1 THEN 'second run' ELSE 'first run' END AS response FROM documents",
+)
+def x1_resumed(t: Tables):
+    """Two runs over one answer log: the second calls what the first has no answer for."""
+    asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
+    log = work_dir(t.spark, "answers")
+    M.call_model(asked, first_half_client, model="m", log=log)
+    return M.call_model(asked, second_run_client, model="m", log=log).select("doc_id", "status", "response")
+
+
 def flaky_client():
     """Fails on the first two tries of each request of three, for good on every fourth length."""
     from collections import Counter

@@ -57,6 +57,36 @@ def test_call_model_once_per_request(spark, tmp_path):
     assert sorted(Path(log).read_text().split()) == ["a", "b", "c"]
 
 
+def test_answer_log_survives_a_killed_run(spark, tmp_path):
+    """Each request that was answered before the run died is called once."""
+    calls, log, texts = tmp_path / "calls", str(tmp_path / "log"), [f"t{i}" for i in range(40)] + ["t1", "t1"]
+    calls.mkdir()
+
+    def connect(last):
+        def fn(messages, **_):
+            text = messages[1]["content"]
+            if text == last:
+                raise RuntimeError("killed")
+            with open(calls / text, "a") as f:
+                f.write("x")
+            return text.upper()
+
+        return lambda: fn
+
+    asked = _asked(spark, texts)
+    options = {"model": "m", "log": log, "on_error": "fail", "dedupe": True, "waves": 8}
+    with pytest.raises(Exception, match="killed"):
+        M.call_model(asked, connect("t7"), **options)
+    answered = {r["request_hash"]: r["response"] for r in spark.read.parquet(log).collect()} if Path(log).exists() else {}
+    before = set(answered.values())
+    got = M.call_model(asked, connect(None), **options)
+    assert _answers(got) == {i: (x.upper(), "ok", 1, None) for i, x in enumerate(texts)} and "request_hash" not in got.columns
+    assert {x for x in before if (calls / x.lower()).read_text() != "x"} == set()
+    M.call_model(asked, connect("t7"), **options)  # nothing left to call
+    M.call_model(asked, connect(None), **(options | {"model": "n"}))  # another model is another request
+    assert len((calls / "t7").read_text()) == 2 and all(len((calls / x).read_text()) >= 2 for x in set(texts))
+
+
 def test_call_model_in_place(spark, tmp_path):
     log = str(tmp_path / "calls")
 
