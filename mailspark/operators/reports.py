@@ -16,6 +16,17 @@ def count_status(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("stage", "status").agg(F.count("*").alias("n"))
 
 
+def count_run(inputs: DataFrame, done: DataFrame, key: str = "doc_key") -> DataFrame:
+    """Rows per status of one run, with ``skip`` for the inputs that it did not take up.  ``done``
+    has a ``key`` and a ``status``.  ``ok`` and ``skip``
+    are there with 0, too."""
+    taken = done.select(F.col(key).alias("_taken")).distinct()
+    skipped = inputs.join(taken, inputs[key] == taken["_taken"], "left_anti").select(F.lit("skip").alias("status"))
+    counts = done.select("status").unionByName(skipped).groupBy("status").agg(F.count("*").alias("n"))
+    kinds = inputs.sparkSession.createDataFrame([("ok",), ("skip",)], "status string")
+    return counts.join(kinds, "status", "full").select("status", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
 def count_records(qa: DataFrame, file: str = "file") -> DataFrame:
     """Distinct files that have records, and records in total.
 

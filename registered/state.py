@@ -142,6 +142,17 @@ def a1(t: Tables):
     return reports.count_status(_ledger(t))
 
 
+@query(
+    "a1_count_run",
+    """SELECT 'ok' AS status, count(*) FILTER (WHERE quality = 1) AS n FROM labels UNION ALL SELECT 'bad_json', count(*) FILTER (WHERE quality <> 1) FROM labels
+       UNION ALL SELECT 'skip', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def a1_run(t: Tables):
+    """A run that takes up the labelled documents and skips the others."""
+    done = t.labels.select("doc_id", F.when(F.col("quality") == 1, "ok").otherwise("bad_json").alias("status"))
+    return reports.count_run(t.documents.select("doc_id"), done, key="doc_id")
+
+
 @query("a2_count_records", "SELECT count(DISTINCT doc_id) AS files, count(*) AS records FROM (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM labels WHERE quality = 1)")
 def a2(t: Tables):
     records = t.labels.select(F.expr(_KEY).alias("file"), F.explode(F.sequence(F.lit(0), F.col("quality"))).alias("item_no"))
