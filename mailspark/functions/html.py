@@ -1,15 +1,15 @@
 """HTML to Markdown as one chain of column expressions.
 
 A documented subset (headings, paragraphs, breaks, flat lists, links, images, bold,
-italics, code and preformatted blocks, rules, entities).  Tables lose their grid, nested lists their
-depth, and nothing is escaped: this is not a full converter and does not claim to
+italics, code and preformatted blocks, rules, entities).  Of tables the rows stay, with bars between
+cells; nested lists lose their depth, and nothing is escaped: this is not a full converter and does not claim to
 equal one.
 """
 
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,13 +36,15 @@ RULES: tuple[tuple[str, str], ...] = (
     # white space of the source means nothing
     (r"[ \t\n\r\f]+", " "),
     # inline marks
-    (rf"(?i)<img\b(?=[^>]*?\balt={_VALUE})(?=[^>]*?\bsrc={_VALUE})[^>]*+>", "![$1$2$3]($4$5$6)"),
-    (rf"(?i)<img\b(?=[^>]*?\bsrc={_VALUE})[^>]*+>", "![]($1$2$3)"),
+    (rf"(?i)<img\b(?=[^>]*? alt ?={_VALUE})(?=[^>]*? src ?={_VALUE})[^>]*+>", "![$1$2$3]($4$5$6)"),
+    (rf"(?i)<img\b(?=[^>]*? src ?={_VALUE})[^>]*+>", "![]($1$2$3)"),
     (r"(?i)</?(?:strong|b)(?:\s[^>]*)?>", "**"),
     (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "*"),
     (r"(?i)</?(?:code|tt|kbd)(?:\s[^>]*)?>", "`"),
     (r"(?i)</?(?:span|font|u|small)(?:\s[^>]*)?>", ""),
-    (rf"(?i)<a\b(?=[^>]*?\bhref={_VALUE})[^>]*+>([^<]*)</a\s*>", "[$4]($1$2$3)"),
+    (rf"(?i)<a\b(?=[^>]*? href ?={_VALUE})[^>]*+>([^<]*)</a\s*>", "[$4]($1$2$3)"),
+    # cells of a row
+    (r"(?i)</t[dh]\s*> ?<t[dh]\b[^>]*>", " | "),
     # line structure
     (r"(?i)<br\b[^>]*>", "\n"),
     (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
@@ -58,8 +60,8 @@ RULES: tuple[tuple[str, str], ...] = (
     (r"</?[A-Za-z][^>]*>", ""),
 )
 
-# The ampersand comes last so that nothing is decoded twice.
-ENTITIES = {name: chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"apos": "'", "nbsp": " "}
+# The ampersand comes last so that nothing is decoded twice; no-break spaces become blanks.
+ENTITIES = {name[:-1]: char.replace("\xa0", " ") for name, char in html5.items() if name.endswith(";") and char != "&"} | {"AMP": "&amp;"}
 
 
 def _code_point(number: Column) -> Column:
@@ -103,7 +105,8 @@ def _fenced(col: Column) -> Column:
         line = F.lit(_KEPT["\n"])
         return F.concat(F.lit("<p>```"), line, inner, line, F.lit("```</p>"))
 
-    parts = F.split(col, r"(?i)(?=<pre\b)|(?<=</pre>)", -1)
+    closed = F.regexp_replace(col, r"(?i)</pre\s[^>]*>", "</pre>")
+    parts = F.split(closed, r"(?i)(?=<pre\b)|(?<=</pre>)", -1)
     whole = F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"(?i)\A<pre\b"), fence(p)).otherwise(p)), "")
     return F.when(col.rlike(r"(?i)<pre\b"), whole).otherwise(col)
 

@@ -263,6 +263,20 @@ def h1(t: Tables):
     return D.html_to_markdown(t.spread("pages").select("page_id", F.expr(_PAGE).alias("html")), "html").select("page_id", "markdown")
 
 
+# Attributes whose names end like others, table cells, end tags with blanks, names of HTML5: expected by hand.
+_LOOKALIKE = r"""concat('<p><img data-src="real.jpg" src="/i', page_id, '.gif"><a data-href="no" href = "/y">yes</a> <a data-href="no">none</a> &lbrace;x&rbrace;&NotEqualTilde;&AMP;lt;</p>',
+  '<table><tr><th>a</th><th class="n">b</th></tr><tr><td>1</td> <td>', page_id, '</td></tr></table><pre>x', chr(10), 'y</pre ><p>behind</p>')"""
+
+
+@query(
+    "h1_lookalikes_cells",
+    """SELECT page_id, concat('![](/i', page_id, '.gif)[yes](/y) none {x}', chr(8770), chr(824), '&lt;', chr(10), chr(10), 'a | b', chr(10), chr(10), '1 | ', page_id, chr(10), chr(10),
+              '```', chr(10), 'x', chr(10), 'y', chr(10), '```', chr(10), chr(10), 'behind', chr(10)) AS markdown FROM pages""",
+)
+def h1_lookalikes(t: Tables):
+    return D.html_to_markdown(t.spread("pages").select("page_id", F.expr(_LOOKALIKE).alias("html")), "html").select("page_id", "markdown")
+
+
 # Blocks of code, alternative texts, attributes in every spelling, entities: expected by hand.
 _MARKED = r"""concat('<p>M&uuml;ller &euro;5 &#00000038; &#x2013; &amp;lt; &unknown;</p><pre class=x><code>line ', page_id, chr(10), '  if a &lt; b:', chr(10), '    *c*</code></pre>',
   "<p><img alt='the fan' src=/f", page_id, '.png> <img src="g.png"> <a class=b href=', "'https://example.org/", page_id, "'>see</a> <a href=https://example.org>bare</a></p>")"""
