@@ -43,3 +43,9 @@ def unpacked(df: DataFrame, columns: list[str], results: dict[str, Column], name
     own = {c.lower() for c in results}
     kept = [F.col(name).getField(c).alias(c) for c in columns if c.lower() not in own]
     return df.select(*kept, *[value.alias(c) for c, value in results.items()])
+
+
+def narrowed(columns: list[str], name: str = "row") -> Column:
+    """Only the named columns of the packed ones.  Without columns there is one of its own, since a struct needs a field."""
+    kept = [F.col(name).getField(c).alias(c) for c in columns]
+    return F.struct(*(kept or [F.lit(0).alias("_")])).alias(name)

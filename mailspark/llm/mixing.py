@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import packed, unpacked, words, written
+from mailspark.llm.common import narrowed, packed, unpacked, words, written
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -137,9 +137,9 @@ def mix(docs: DataFrame, columns: list[str] | None = None, name: str = "doc_id",
     df = weighed(docs, name, text, source)
     sizes = written(df.select("source", "size", "priority"))
     plan = decisions(sizes, weights, most).withColumnRenamed("source", "s")
-    if plan.count() <= SMALL:  # a row per source; of more sources none is hot enough to matter to the skew join
+    if plan.count() <= SMALL:  # a row per source, counted; beyond, a hot source is left to the runtime skew join
         plan = F.broadcast(plan)
-    df = df.select(F.struct(F.lit(0).alias("_"), *[F.col("row").getField(c).alias(c) for c in columns]).alias("row"), "source", "size", "priority")
+    df = df.select(narrowed(columns), "source", "size", "priority")
     df = df.join(plan, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("bucket", bucket())
     results = {"size": F.col("size"), "source_size": F.col("source_size"), "target": F.col("target"), "times": F.col("epochs") + taken_in_part().cast("long")}
     return unpacked(df, columns, results)

@@ -23,6 +23,9 @@ from mailspark.llm.hashing import grams, groups, words
 SAMPLE = 2_000
 RANK = 48
 NEIGHBOURS = 15
+#: Steps of a vector's components.  Cosines are sums of multiples of 1 / GRID ** 2 below 2, thus exact
+#: in 32-bit floats: they do not depend on the block that a text is in.
+GRID = 2048
 #: Similarity to this power weights a neighbour.
 SHARPNESS = 8
 #: From this score on a text counts as good.
@@ -83,8 +86,10 @@ class Model:
     labels: np.ndarray
 
     def place(self, shares: np.ndarray) -> np.ndarray:
-        v = (shares * self.weights) @ self.axes
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        """Vectors of length one, in steps of 1 / GRID."""
+        v = (shares.astype(np.float64) * self.weights) @ self.axes.astype(np.float64)
+        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        return (np.rint(v * GRID) / GRID).astype(np.float32)
 
     def score(self, texts: list[bytes], block: int = 512) -> np.ndarray:
         """Between 0 and 1 for every text; 0.5 where there is no labelled text at all."""
@@ -93,8 +98,10 @@ class Model:
         out = []
         for i in range(0, len(texts), block):
             near = self.place(term_shares(texts[i : i + block])) @ self.vectors.T
-            k = min(NEIGHBOURS, near.shape[1])
-            best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+            n = near.shape[1]
+            k = min(NEIGHBOURS, n)
+            rank = np.arange(n) - (near.astype(np.float64) * GRID**2).astype(np.int64) * n  # ties: the earlier row
+            best = np.sort(np.argpartition(rank, k - 1, axis=1)[:, :k], axis=1)
             weight = np.maximum(np.take_along_axis(near, best, 1), 1e-3).astype(np.float64) ** SHARPNESS
             out.append((weight * self.labels[best]).sum(1) / weight.sum(1))
         return np.concatenate(out) if out else np.zeros(0)
@@ -115,7 +122,7 @@ def fit(shares: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
     _, _, v = np.linalg.svd(small.T @ small)
     axes = (q @ v.T)[:, :rank].astype(np.float32)
     model = Model(weights, axes, np.zeros((0, axes.shape[1]), np.float32), labels.astype(np.float64))
-    return Model(weights, axes, model.place(shares).astype(np.float32), labels.astype(np.float64))
+    return Model(weights, axes, model.place(shares), labels.astype(np.float64))
 
 
 def held_out(name: Column) -> Column:
@@ -161,7 +168,8 @@ def learnt(texts: DataFrame) -> Model:
 def scored(docs: DataFrame, model: Model, text: str = "text", columns: list[str] | None = None) -> DataFrame:
     """The input columns (or those named) with ``score`` and ``predicted``.
 
-    Null and empty texts are scored as texts without terms.  Equal texts have equal scores.
+    Null and empty texts are scored as texts without terms.  Equal texts have equal scores, and
+    of labelled texts that are equally near the earlier ones vote.
     Result columns replace input columns of their name.
     """
     columns = docs.columns if columns is None else columns

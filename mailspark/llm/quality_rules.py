@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import SPACE, packed, unpacked, words, written
+from mailspark.llm.common import SPACE, narrowed, packed, unpacked, words, written
 
 SYMBOLS = r"[#*$%&|<>]"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bangs")
@@ -48,9 +48,11 @@ BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the input columns) and MEASURES of every whole text; null counts as empty.
 
-    Words of a repeated window: windows of three words are compared by a 64-bit hash whose low
-    bits, as many as the word count has, give way to the position; sorting brings equal windows
-    together, and the words that such windows cover are counted once.
+    Words of a repeated window: windows of three words are sorted by a 64-bit hash whose low
+    bits, as many as the word count has, give way to the position.  Windows of one hash are
+    neighbours then; each is compared with the next two word by word, so that windows that only
+    share a hash do not count, and one of them between two equal ones does not part those.  The
+    words that equal windows cover are counted once.
     """
     df = docs.select(packed(docs), F.coalesce(docs[text], F.lit("")).alias("text"))
     df = df.select("row", "text", words(F.col("text")).alias("w"), F.split("text", "\n", -1).alias("l"))
@@ -61,8 +63,13 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     window = "(xxhash64(w[i], w[i + 1], w[i + 2]) & high) | CAST(i AS BIGINT)"
     df = df.withColumn("keys", F.expr(f"sort_array(IF(n >= 3, transform(sequence(0, n - 3), i -> {window}), CAST(array() AS array<bigint>)))"))
-    df = df.withColumn("twins", F.expr("IF(n > 3, filter(sequence(0, n - 4), i -> ((keys[i] ^ keys[i + 1]) & high) = 0L), CAST(array() AS array<int>))"))
-    df = df.withColumn("at", F.expr("sort_array(array_union(transform(twins, i -> keys[i] & ~high), transform(twins, i -> keys[i + 1] & ~high)))"))
+    for name, step in (("twins", 1), ("next", 2)):
+        a, b = "CAST(keys[i] & ~high AS INT)", f"CAST(keys[i + {step}] & ~high AS INT)"
+        same = " AND ".join([f"((keys[i] ^ keys[i + {step}]) & high) = 0L"] + [f"w[{a} + {j}] = w[{b} + {j}]" for j in range(3)])
+        pairs = f"filter(sequence(0, n - {3 + step}), i -> {same})"
+        ends = f"array_union(transform({{0}}, i -> keys[i] & ~high), transform({{0}}, i -> keys[i + {step}] & ~high))"
+        df = df.withColumn(name, F.expr(f"IF(n >= {3 + step}, {pairs}, CAST(array() AS array<int>))")).withColumn(name, F.expr(ends.format(name)))
+    df = df.withColumn("at", F.expr("sort_array(array_union(twins, next))"))
     covered = "aggregate(transform(at, (p, i) -> least(3L, coalesce(get(at, i + 1) - p, 3L))), 0L, (a, x) -> a + x)"
     whole = lambda c: c.cast("long")
     return df.select(
@@ -128,7 +135,7 @@ def judged(docs: DataFrame, text: str = "text", columns: list[str] | None = None
     """
     columns = docs.columns if columns is None else columns
     df = measured(docs, text)
-    df = written(df.withColumn("row", F.struct(F.lit(0).alias("_"), *[F.col("row").getField(c).alias(c) for c in columns])))
+    df = written(df.withColumn("row", narrowed(columns)))
     votes = F.array(*[r.vote() for r in rules])
     counts = df.groupBy(votes.alias("votes")).count().collect()  # at most 3 ** len(rules) rows
     model = estimate([(tuple(r["votes"]), r["count"]) for r in counts], len(rules))

@@ -29,6 +29,9 @@ TERMS = 512
 LEAST = 3
 LEAN = 6.0
 FOLDS = 5
+#: Languages that are categories of their own, at most, the most frequent ones; toxic texts of all
+#: others count in the last category alone.
+LANGUAGES = 20
 TOXIC_FROM = 0.5
 
 
@@ -100,7 +103,7 @@ class Chain:
         return x[:, x.shape[1] - len(self.models) :]
 
 
-def fit(ids: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...], folds: int = FOLDS) -> Chain:
+def fit(ids: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...], folds: int = FOLDS) -> Chain:
     """A chain from the distinct terms of each text with their counts and a 0/1 row of labels.
 
     The last category stands for toxicity as a whole and selects the terms: those in at least
@@ -118,9 +121,9 @@ def fit(ids: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...],
     known = np.sort(every[good])
 
     x = np.zeros((len(ids), len(known)))
-    for i, own in enumerate(ids):
-        at = np.searchsorted(own, known)
-        x[i] = (at < len(own)) & (own[np.minimum(at, max(len(own) - 1, 0))] == known) if len(own) else False
+    for i, (own, n) in enumerate(zip(ids, counts)):
+        _, at, here = np.intersect1d(known, own, assume_unique=True, return_indices=True)
+        x[i, at] = n[here]
     x = np.log1p(x)
     fold = np.arange(len(ids)) % folds
     models, fed, unseen = [], x, x
@@ -139,10 +142,11 @@ def fit(ids: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...],
 def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], name: str = "doc_id", text: str = "text", toxic: int = TOXIC, other: int = OTHER) -> DataFrame:
     """``text`` and ``labels`` array<int> of a bounded sample: up to ``toxic`` texts of each
     category and ``other`` texts of none, by a hash of their ids.  ``categories`` are
-    conditions over documents and labels; the last stands for toxicity as a whole.
+    conditions over the columns of ``doc`` and ``label``, a row of each table; the last stands for
+    toxicity as a whole.
     """
-    both = docs.select(docs[name].alias("__name"), *[docs[c] for c in docs.columns if c not in (name, text)], docs[text].alias("__text"))
-    known = labels.withColumnRenamed(name, "__name").dropDuplicates(["__name"])
+    both = docs.select(docs[name].alias("__name"), packed(docs, "doc", [c for c in docs.columns if c != text]), docs[text].alias("__text"))
+    known = labels.select(labels[name].alias("__name"), packed(labels, "label")).dropDuplicates(["__name"])
     marks = F.array(*[F.coalesce(c, F.lit(False)).cast("int") for c in categories.values()])
     narrow = both.drop("__text").join(known, "__name").select("__name", marks.alias("labels"))
     size = len(categories)
@@ -163,15 +167,17 @@ def learnt(texts: DataFrame, categories: tuple[str, ...]) -> Chain:
         for batch in batches:
             for at, part in groups(batch["text"]):
                 h, text = terms(part)
-                own = [np.unique(h[text == i]).tobytes() for i in range(len(part))]
-                yield pd.DataFrame({"ids": own, "labels": batch["labels"].iloc[at : at + len(part)].tolist()})
+                own = [np.unique(h[text == i], return_counts=True) for i in range(len(part))]
+                columns = {"ids": [i.tobytes() for i, _ in own], "counts": [n.astype(np.int64).tobytes() for _, n in own]}
+                yield pd.DataFrame(columns | {"labels": batch["labels"].iloc[at : at + len(part)].tolist()})
 
-    rows = texts.mapInPandas(find, "ids binary, labels array<int>").collect()  # a bounded sample
-    rows.sort(key=lambda r: (bytes(r["ids"]), r["labels"]))
+    rows = texts.mapInPandas(find, "ids binary, counts binary, labels array<int>").collect()  # a bounded sample
+    rows.sort(key=lambda r: (bytes(r["ids"]), bytes(r["counts"]), r["labels"]))
     rng = np.random.default_rng(11).permutation(len(rows))  # folds must not follow the order
     rows = [rows[i] for i in rng]
     labels = np.array([r["labels"] for r in rows], np.int64).reshape(len(rows), len(categories))
-    return fit([np.frombuffer(r["ids"], np.uint64) for r in rows], labels, categories)
+    ids = [np.frombuffer(r["ids"], np.uint64) for r in rows]
+    return fit(ids, [np.frombuffer(r["counts"], np.int64) for r in rows], labels, categories)
 
 
 def scored(docs: DataFrame, chain: Chain, text: str = "text", columns: list[str] | None = None) -> DataFrame:
@@ -195,10 +201,11 @@ def scored(docs: DataFrame, chain: Chain, text: str = "text", columns: list[str]
     return unpacked(df, columns, {"categories": F.map_from_arrays(names, F.col("p")), "score": score, "toxic": score >= TOXIC_FROM})
 
 
-def by_language(docs: DataFrame, labels: DataFrame, name: str = "doc_id", lang: str = "lang", label: str = "toxic", most: int = 20) -> dict[str, Column]:
+def by_language(docs: DataFrame, labels: DataFrame, name: str = "doc_id", lang: str = "lang", label: str = "toxic", most: int = LANGUAGES) -> dict[str, Column]:
     """Categories where only one label is given: toxic in each language with toxic labels, the
     ``most`` frequent ones, then toxic at all."""
-    marked = labels.where(F.col(label) == 1).select(name).distinct()
-    found = docs.select(name, lang).join(marked, name).where(F.col(lang).isNotNull()).groupBy(lang).count()
-    langs = sorted(r[lang] for r in found.orderBy(F.desc("count"), lang).limit(most).collect())
-    return {f"{label}_{x}": (F.col(label) == 1) & (F.col(lang) == x) for x in langs} | {label: F.col(label) == 1}
+    marked = labels.where(labels[label] == 1).select(labels[name].alias("name")).distinct()
+    found = docs.select(docs[name].alias("name"), docs[lang].alias("lang")).join(marked, "name").where("lang IS NOT NULL").groupBy("lang").count()
+    langs = sorted(r["lang"] for r in found.orderBy(F.desc("count"), "lang").limit(most).collect())
+    is_toxic = F.col("label").getField(label) == 1
+    return {f"{label}_{x}": is_toxic & (F.col("doc").getField(lang) == x) for x in langs} | {label: is_toxic}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -65,6 +67,56 @@ def test_quality_measures(docs, rows):
     assert not any(k and f for k, f in by_id(df, "kept", "base_failed").values())
 
 
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """With so short a hash that most windows share one, only windows of equal words count, but for
+    those parted by two or more others."""
+    texts = [(0, "a b c d e f g a b c"), (1, " ".join("abcdefghijklmnopqrstuvwxyz")), (2, "x y z x y z x y z"), (3, "a a a"), (4, "a a a a"), (5, "")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.row.doc_id: r.n_repeat_words for r in quality_rules.measured(df).collect()}
+    assert got == {i: plain.measures(t)[4] for i, t in texts}
+    whole = quality_rules.F.expr
+    monkeypatch.setattr(quality_rules.F, "expr", lambda x: whole(x.replace("xxhash64(w[i], w[i + 1], w[i + 2])", "0L")))
+    got = {r.row.doc_id: r.n_repeat_words for r in quality_rules.measured(df).collect()}
+    assert got[1] == got[5] == 0 and got[4] == 4 and got[3] == 0
+
+
+def plain_posteriors(votes, rounds=200):
+    """Expectation-maximisation over single documents: p(good) of each."""
+    prior, right = 0.8, [0.8] * len(votes[0])
+    for turn in range(rounds + 1):
+        p = []
+        for own in votes:
+            good, bad = prior, 1 - prior
+            for v, a in zip(own, right):
+                good *= {1: a, -1: 1 - a, 0: 1}[v]
+                bad *= {1: 1 - a, -1: a, 0: 1}[v]
+            p.append(good / (good + bad))
+        if turn == rounds:
+            return p
+        for j in range(len(right)):
+            cast = [(x if own[j] > 0 else 1 - x) for own, x in zip(votes, p) if own[j]]
+            right[j] = min(0.98, max(0.55, sum(cast) / len(cast))) if cast else right[j]
+        prior = min(0.98, max(0.02, sum(p) / len(p)))
+
+
+def test_quality_verdicts_equal_plain(docs):
+    got = quality_rules.judged(docs).collect()
+    for r, p in zip(got, plain_posteriors([tuple(r.votes) for r in got])):
+        assert abs(r.p_good - p) < 1e-5 and (abs(p - 0.5) < 1e-4 or r.kept == (not r.base_failed and p >= 0.5))
+
+
+def test_columns_named_like_the_operators_own(spark, docs):
+    wide = docs.withColumns({"_": F.lit("u"), "toxic": F.lit(1), "__name": F.lit("n"), "__text": F.lit("t"), "label": F.lit("l"), "row": F.lit("r")})
+    assert {r["_"] for r in quality_rules.judged(wide).collect()} == {"u"} == {r["_"] for r in mixing.mix(wide).collect()}
+    known, labels = _labelled(spark)
+    known = known.withColumns({"toxic": F.lit(0), "__name": F.lit("n"), "__text": F.lit("t"), "quality": F.lit(0), "label": F.lit("l"), "doc": F.lit("d")})
+    categories = toxicity.by_language(known, labels)
+    texts = toxicity.sample(known, labels, categories)
+    assert texts.where("array_max(labels) = 1").count() > 50
+    got = toxicity.scored(known, toxicity.learnt(texts, tuple(categories))).collect()
+    assert all(r.toxic == (r.doc_id is not None and r.doc_id < 400 and r.doc_id % 5 == 0) and r["__name"] == "n" for r in got)
+
+
 def test_quality_rules_learn_accuracies():
     rnd = np.random.default_rng(3)
     truth, right = rnd.random(20_000) < 0.7, [0.95, 0.9, 0.8, 0.65]
@@ -444,6 +496,56 @@ def test_toxicity(spark, docs, none):
     assert not any(r.toxic for r in toxicity.scored(known, untaught).collect())
 
 
+def plain_votes(model, texts):
+    grid, out = quality_classifier.GRID, []
+    known = [[round(float(x) * grid) for x in v] for v in model.vectors]
+    for text in texts:
+        own = [round(float(x) * grid) for x in model.place(quality_classifier.term_shares([(text or "").encode()]))[0]]
+        near = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in enumerate(known))[: quality_classifier.NEIGHBOURS]
+        weight = [(max(-c / grid**2, 1e-3) ** quality_classifier.SHARPNESS, model.labels[i]) for c, i in near]
+        out.append(sum(w * y for w, y in weight) / sum(w for w, _ in weight))
+    return out
+
+
+def test_quality_votes_equal_plain(spark):
+    """The vote of every text against cosines worked out one by one."""
+    known, labels = _labelled(spark, 120)
+    model = quality_classifier.learnt(quality_classifier.sample(known, labels, "quality"))
+    got = [(r.text, r.score) for r in quality_classifier.scored(known, model).collect()]
+    assert [s for _, s in got] == pytest.approx(plain_votes(model, [t for t, _ in got]), abs=1e-9)
+
+
+def plain_chain(chain, text):
+    """Probabilities of one text, category after category."""
+    seen = Counter(int(h) for h in toxicity.terms([(text or "").encode()])[0])
+    x = [math.log(1 + seen[int(k)]) for k in chain.known]
+    for model in chain.models:
+        z = sum(a * b for a, b in zip(x, model.weights)) + model.bias
+        x.append(1 / (1 + math.exp(-min(30, max(-30, z)))))
+    return x[len(chain.known) :]
+
+
+def test_chain_equals_plain(spark):
+    known, labels = _labelled(spark)
+    categories = toxicity.by_language(known, labels)
+    chain = toxicity.learnt(toxicity.sample(known, labels, categories), tuple(categories))
+    for r in toxicity.scored(known, chain).collect():
+        assert [r.categories[c] for c in categories] == pytest.approx(plain_chain(chain, r.text), abs=1e-6)
+
+
+def test_training_sees_counts_as_scoring_does():
+    texts = [b"vile vile vile word", b"vile other word", b"word word", b"plain words here"] * 3
+    found = [toxicity.terms([t])[0] for t in texts]
+    own = [np.unique(h, return_counts=True) for h in found]
+    labels = np.array([[1], [1], [0], [0]] * 3)
+    chain = toxicity.fit([i for i, _ in own], [n for _, n in own], labels, ("toxic",))
+    x = chain.counts(texts)
+    at = int(np.searchsorted(chain.known, toxicity.terms([b"vile"])[0][0]))
+    assert x[0, at] == np.log1p(3) and x[1, at] == np.log1p(1)
+    fitted = toxicity.linear(x, labels[:, 0].astype(float))
+    assert np.allclose(fitted.weights, chain.models[0].weights)
+
+
 def test_held_out_follows_the_checksum(spark):
     import zlib
 
