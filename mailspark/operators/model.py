@@ -125,6 +125,7 @@ def call_model(
     policy: CallPolicy = CallPolicy(),
     concurrency: int | None = None,
     threads: int = 1,
+    in_flight: int | None = None,
     dedupe: bool = False,
     tier: str = "scrubbed",
     public_endpoint: bool = True,
@@ -151,8 +152,14 @@ def call_model(
 
     ``threads`` calls run at once in each task; the cluster's slots bound the tasks.
     ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls.
+    ``in_flight`` bounds the calls of the whole cluster, whatever its slots: it is shared out to so
+    many tasks that their threads add up to no more.  Speculative tasks would call beside it.
     """
     check_tier(tier, public_endpoint)
+    if in_flight is not None:
+        threads = max(1, min(threads, in_flight))
+        tasks = max(1, in_flight // threads)
+        concurrency = tasks if concurrency is None else min(concurrency, tasks)
     options = {"model": model, "temperature": temperature, "json_mode": json_mode}
     schema = T.StructType([T.StructField("request_hash", T.StringType()), *ANSWER_FIELDS])
     names = schema.fieldNames()

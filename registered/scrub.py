@@ -3,6 +3,7 @@ put in by one expression that both engines run."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mailspark.functions import pii
@@ -384,30 +385,35 @@ def last_message_client():
     return lambda messages, **_: messages[-1]["content"]
 
 
-def counting_client():
-    """Answers with the number of calls under way in its task, its own included."""
-    import threading
+def logging_client():
+    """Answers with the microseconds at which the call began and ended."""
     import time
 
-    lock, running = threading.Lock(), [0]
-
     def answer(messages, **_):
-        with lock:
-            running[0] += 1
-            seen = running[0]
+        begun = time.time_ns() // 1000
         time.sleep(0.001)
-        with lock:
-            running[0] -= 1
-        return str(seen)
+        return f"{begun} {time.time_ns() // 1000}"
 
     return answer
 
 
 @query("x3_bounded_calls", "SELECT doc_id, 'ok' AS status, TRUE AS within_bound FROM documents")
 def x3(t: Tables):
-    asked = t.documents.select("doc_id", R.messages("", F.col("text")).alias("messages"))
-    answered = M.call_model(asked, counting_client, model="m", threads=3)
-    return answered.select("doc_id", "status", F.col("response").cast("int").between(1, 3).alias("within_bound"))
+    """Six calls at once over all tasks.  The sweep goes through slots of 50 ms, each with the calls
+    that reach into it, and looks at how many are under way when one begins."""
+    slot = 50_000
+    asked = t.documents.repartition(8).select("doc_id", R.messages("", F.col("text")).alias("messages"))
+    calls = M.call_model(asked, logging_client, model="m", threads=2, in_flight=6)
+    times = F.split("response", " ").cast("array<bigint>")
+    calls = calls.select("doc_id", "status", times[0].alias("begun"), times[1].alias("ended"))
+    at = calls.withColumn("slot", F.explode(F.expr(f"sequence(begun div {slot}, ended div {slot})")))
+    began = F.struct(F.greatest("begun", F.col("slot") * slot).alias("time"), F.lit(1).alias("step"))
+    over = F.struct(F.col("ended").alias("time"), F.lit(-1).alias("step"))
+    events = at.select("*", F.inline(F.array(began, over)))
+    swept = W.partitionBy("slot").orderBy("time", "step").rowsBetween(W.unboundedPreceding, W.currentRow)
+    events = events.withColumn("running", F.sum("step").over(swept))
+    events = events.where(f"step = 1 AND slot = begun div {slot}")
+    return events.select("doc_id", "status", F.col("running").between(1, 6).alias("within_bound"))
 
 
 def slow_client():

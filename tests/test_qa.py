@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mailspark.functions.jsontext import parse_json, parse_object
 from mailspark.operators import contracts as C
+from mailspark.operators import model as M
 from mailspark.operators import records as N
 from mailspark.operators import requests as R
 from mailspark.operators import responses as A
@@ -210,3 +211,19 @@ def test_running_max(spark, width, levels):
     for g, p, v in sorted(rows, key=lambda r: (r[0], r[1])):
         top[g] = max((x for x in (top.get(g), v) if x is not None), default=None)
         assert got[(g, p)] == top[g]
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_calls_in_flight_are_shared_out_to_tasks(spark, dedupe):
+    """Seven calls at once with two threads a task: three tasks, however many partitions there are."""
+
+    def connect():
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        return lambda messages, **_: str(task)
+
+    df = spark.range(200).repartition(16).selectExpr("id", "array(struct('user' AS role, CAST(id AS string) AS content)) AS messages")
+    for bound, threads, tasks in ((7, 2, 3), (1, 4, 1), (5, 8, 1)):
+        got = M.call_model(df, connect, model="m", in_flight=bound, threads=threads, dedupe=dedupe).collect()
+        assert len(got) == 200 and 1 <= len({r.response for r in got}) <= tasks
