@@ -145,3 +145,18 @@ def test_audit(spark):
     assert rows["email"] == (2, 1, 1) and rows["ip"] == (1, 1, 1) and rows["order_id"] == (0, 0, 0)
     empty = {r["rule"]: tuple(r)[1:] for r in P.leak_audit(df.filter("false"), "before", "after").collect()}
     assert empty["email"] == (0, 0, 0)
+
+
+def test_dictionary_tables_stay_out_of_the_rows(spark):
+    """A bit table as a column of the texts is copied into every row, and a test for phrases ahead of them cuts each text anew."""
+    docs = spark.createDataFrame([(1, "Ask Ann Lee Weber or Weber"), (2, "nobody"), (3, None)], "doc_key int, text string")
+    docs = docs.select("doc_key", F.concat("text", F.lit(".")).alias("md"))
+    names = spark.createDataFrame([("Weber",), ("Ann Lee Weber",)], "name string")
+    for carried in (P.CARRIED, 1):
+        got = P.scrub_dictionary(docs, names, "md", carried=carried)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert " AS _bits#" not in plan and " AS _table#" not in plan
+        of_texts = [line for line in plan.splitlines() if "regexp_extract_all(" in line and "_marked#" in line]
+        assert len(of_texts) == 1 and of_texts[0].count("regexp_extract_all(") == 1
+        assert plan.count("regexp_extract_all(concat(text") + plan.count("regexp_extract_all(md") == 1
+        assert [r["md"] for r in got.orderBy("doc_key").collect()] == ["Ask <NAME> or <NAME>.", "nobody.", None]
