@@ -9,6 +9,7 @@ from __future__ import annotations
 import queue
 import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -30,6 +31,10 @@ ANSWER_FIELDS = [
 ]
 
 
+#: Requests, and characters in them, that a task takes up before the oldest of them is answered.
+AHEAD, AHEAD_CHARS = 8_192, 64 << 20
+
+
 @dataclass(frozen=True)
 class CallPolicy:
     """How often to try, how long to wait in between (doubling from ``wait_min`` up to
@@ -150,7 +155,8 @@ def call_model(
     append to it.  A run that dies is started again with the same log and pays for the wave
     that it was in, not for those before.
 
-    ``threads`` calls run at once in each task; the cluster's slots bound the tasks.
+    ``threads`` calls run at once in each task, which takes up later requests while a slow call holds
+    up an earlier one (AHEAD bounds how many); the cluster's slots bound the tasks.
     ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls.
     ``in_flight`` bounds the calls of the whole cluster, whatever its slots: it is shared out to so
     many tasks that their threads add up to no more.  Speculative tasks would call beside it.
@@ -166,17 +172,30 @@ def call_model(
     width = max(1, threads)
 
     def answers_of(columns: Iterator[pd.Series]) -> Iterator[list[tuple]]:
-        fn = None
-        with ThreadPoolExecutor(width) as callers:
+        fn, waiting = None, deque()
+        ahead, room = (AHEAD, AHEAD_CHARS) if width > 1 else (0, 0)
+        callers = ThreadPoolExecutor(width)
+
+        def oldest() -> list[tuple]:
+            answers = [call.result() for call in waiting.popleft()[0]]
+            for answer in answers:
+                if on_error == "fail" and answer[1] != "ok":
+                    raise RuntimeError(f"model call failed ({answer[1]}): {answer[3]}")
+            return answers
+
+        try:
             for column in columns:
                 if fn is None and len(column):
                     fn = connect()
                 requests = [[dict(m) for m in messages] for messages in column]
-                answers = list(callers.map(lambda m: _call_once(fn, m, options, policy), requests))
-                for answer in answers:
-                    if on_error == "fail" and answer[1] != "ok":
-                        raise RuntimeError(f"model call failed ({answer[1]}): {answer[3]}")
-                yield answers
+                size = sum(len(m.get("content") or "") for messages in requests for m in messages) if ahead else 0
+                waiting.append(([callers.submit(_call_once, fn, m, options, policy) for m in requests], len(requests), size))
+                while waiting and (sum(w[1] for w in waiting) > ahead or sum(w[2] for w in waiting) > room or all(c.done() for c in waiting[0][0])):
+                    yield oldest()
+            while waiting:
+                yield oldest()
+        finally:
+            callers.shutdown(cancel_futures=True)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batches, hashes = tee(batches)

@@ -413,3 +413,27 @@ def test_stream_takes_each_mail_once(spark, tmp_path):
     assert run() == ["one", "two"]
     assert run() == ["one", "two"]
     assert sorted(r["doc_key"] for r in spark.read.parquet(sink).collect()) == ["1.md", "sub/2.md"]
+
+
+def test_a_hanging_call_holds_up_no_later_batch(spark):
+    """Each batch has a call that hangs; the other threads go on with the batches behind it."""
+
+    def connect():
+        def fn(messages, **_):
+            text = messages[1]["content"]
+            if int(text) % 10 == 0:
+                time.sleep(30)
+            return text
+
+        return fn
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        begun = time.time()
+        got = _answers(M.call_model(_asked(spark, [str(i) for i in range(100)]).coalesce(1), connect, model="m", policy=M.CallPolicy(timeout=2.0), threads=10))
+        assert time.time() - begun < 15  # one batch after the other: 20 seconds at least
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [got[i][1] for i in range(100)] == ["timeout" if i % 10 == 0 else "ok" for i in range(100)]
+    assert [got[i][0] for i in range(100)] == [None if i % 10 == 0 else str(i) for i in range(100)]
