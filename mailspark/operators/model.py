@@ -7,6 +7,7 @@ simultaneous calls, one call per distinct request, and a row status in place of
 from __future__ import annotations
 
 import queue
+import re
 import threading
 import time
 from collections import deque
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailspark.session import materialise
+from mailspark.session import materialise, work_dir
 from mailspark.sources.files import path_exists
 
 ANSWER_FIELDS = [
@@ -120,6 +121,28 @@ def _call_once(fn, messages, options, policy: CallPolicy):
     return None, "error", 0, "no attempt allowed"
 
 
+#: Bytes of written requests that one task reads, where the number of tasks is bounded.
+PER_TASK = 128 << 20
+
+
+def _waves(requests: DataFrame, tasks: int, per_task: int | None = None) -> Iterator[DataFrame]:
+    """The requests, written out once, in parts of at most ``tasks`` partitions that read ``per_task`` bytes each, about.
+
+    Few tasks thus never share out a whole table, and what makes the requests keeps all its tasks."""
+    spark, path, most = requests.sparkSession, work_dir(requests.sparkSession, "requests"), tasks * (per_task or PER_TASK)
+    materialise(requests, path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length").collect()  # one row per written part
+    parts, size = [[]], 0
+    for path, length in sorted(map(tuple, files)):
+        if parts[-1] and size + length > most:
+            parts, size = [*parts, []], 0
+        parts[-1].append(re.sub(r"([\[\]{}*?\\])", r"\\\1", path))
+        size += length
+    for part in filter(None, parts):
+        rows = spark.read.schema(requests.schema).parquet(*part)
+        yield rows.coalesce(tasks) if len(part) >= tasks else rows.repartition(tasks)
+
+
 def call_model(
     df: DataFrame,
     connect: Callable[[], Callable[..., str]],
@@ -157,7 +180,8 @@ def call_model(
 
     ``threads`` calls run at once in each task, which takes up later requests while a slow call holds
     up an earlier one (AHEAD bounds how many); the cluster's slots bound the tasks.
-    ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls.
+    ``concurrency`` bounds them further, for trial runs and endpoints that allow few calls: requests
+    are then written out and called in one job after another, each with so many tasks of bounded input.
     ``in_flight`` bounds the calls of the whole cluster, whatever its slots: it is shared out to so
     many tasks that their threads add up to no more.  Speculative tasks would call beside it.
     """
@@ -212,13 +236,22 @@ def call_model(
             if path_exists(df.sparkSession, log):
                 good = df.sparkSession.read.schema(schema).parquet(log).filter("status = 'ok'")
                 due = due.join(good.select("request_hash").distinct(), "request_hash", "left_anti")
-            due = due if concurrency is None else due.coalesce(max(1, concurrency))
-            due.mapInPandas(run, schema).write.mode("append").parquet(log)
+            for part in [due] if concurrency is None else _waves(due, max(1, concurrency)):
+                part.mapInPandas(run, schema).write.mode("append").parquet(log)
         # The good answer of a request, where it has one; failed tries stay in the log.
         best = F.max_by(F.struct(*names[1:]), F.struct(F.col("status") == "ok", "response", "attempts"))
         answers = df.sparkSession.read.schema(schema).parquet(log).groupBy(F.col("request_hash").alias("_request")).agg(best.alias("_answer"))
         return df.withColumn("_request", asked).join(answers, "_request", "left").select(*df.columns, "_answer.*")
 
+    def answered(requests: DataFrame, called: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        if concurrency is None:
+            return materialise(called(requests), answers_path)
+        out, mode = answers_path or work_dir(df.sparkSession, "table"), "overwrite"
+        for part in _waves(requests, max(1, concurrency)):
+            called(part).write.mode(mode).parquet(out)
+            mode = "append"
+        return df.sparkSession.read.schema(called(requests).schema).parquet(out)
+
     if not dedupe:
 
         @F.pandas_udf(T.StructType(ANSWER_FIELDS))
@@ -226,13 +259,9 @@ def call_model(
             for answers in answers_of(columns):
                 yield pd.DataFrame(answers, columns=names[1:]).astype({"attempts": "int32"})
 
-        spread = df if concurrency is None else df.coalesce(max(1, concurrency))
-        called = spread.withColumn("_answer", call.asNondeterministic()("messages"))
-        return materialise(called.select(*df.columns, "_answer.*"), answers_path)
+        return answered(df, lambda part: part.withColumn("_answer", call.asNondeterministic()("messages")).select(*df.columns, "_answer.*"))
 
     hashed = df.withColumn("request_hash", F.sha2(F.to_json("messages"), 256))
     distinct = hashed.groupBy("request_hash").agg(F.first("messages").alias("messages"))
-    if concurrency is not None:
-        distinct = distinct.repartition(max(1, concurrency), "request_hash")
-    answers = materialise(distinct.mapInPandas(run, schema), answers_path)
+    answers = answered(distinct, lambda part: part.mapInPandas(run, schema))
     return hashed.join(answers, "request_hash", "left")

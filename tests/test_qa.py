@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +228,27 @@ def test_calls_in_flight_are_shared_out_to_tasks(spark, dedupe):
     for bound, threads, tasks in ((7, 2, 3), (1, 4, 1), (5, 8, 1)):
         got = M.call_model(df, connect, model="m", in_flight=bound, threads=threads, dedupe=dedupe).collect()
         assert len(got) == 200 and 1 <= len({r.response for r in got}) <= tasks
+
+
+@pytest.mark.parametrize("how", ["plain", "dedupe", "log"])
+def test_bounded_calls_read_bounded_parts(spark, tmp_path, monkeypatch, how):
+    """A bound on tasks must not share the whole table out to so few of them."""
+
+    def connect():
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        return lambda messages, **_: f"{context.stageId()} {context.partitionId()}"
+
+    monkeypatch.setattr(M, "PER_TASK", 4_000, raising=False)
+    df = spark.range(3000).repartition(30).selectExpr("id", "array(struct('user' AS role, CAST(id AS string) AS content)) AS messages")
+    options = {"dedupe": True} if how == "dedupe" else {"log": str(tmp_path / "log")} if how == "log" else {}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or this little table is one part
+    try:
+        got = M.call_model(df, connect, model="m", in_flight=3, **options).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.id for r in got) == list(range(3000))
+    of_task = Counter(r.response for r in got)
+    of_stage = Counter(task.split()[0] for task in of_task)
+    assert len(of_stage) > 1 and max(of_stage.values()) <= 3 and max(of_task.values()) <= 600
