@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import packed, unpacked
+from mailspark.llm.common import packed, unpacked, written
 from mailspark.llm.hashing import groups, words
 
 #: Labelled texts that are learnt from, at most: toxic ones of each category, and others.
@@ -61,7 +61,8 @@ def linear(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 80) -> L
         return Linear(np.zeros(x.shape[1]), 5.0 if len(y) and y[0] else -5.0)
     n = np.array([max((y == 0).sum(), 1), max((y == 1).sum(), 1)], np.float64)
     c = (len(y) / 2 / n)[y.astype(int)].astype(np.float32)
-    x1 = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
+    x1 = np.ones((len(x), x.shape[1] + 1), np.float32)
+    x1[:, :-1] = x
     v = np.ones(x1.shape[1])
     for _ in range(20):  # the largest curvature bounds the step
         v = x1.T @ (c * (x1 @ v))
@@ -115,27 +116,37 @@ def fit(ids: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, cat
     others, n_other = np.unique(np.concatenate([i for i, t in zip(ids, toxic) if not t] or [none]), return_counts=True)
     at = np.minimum(np.searchsorted(others, every), max(len(others) - 1, 0))
     n_clean = np.where(others[at] == every, n_other[at], 0) if len(others) else np.zeros(len(every))
+    known = leaning(every, n_toxic, n_clean, toxic)
+    return trained(known, [found_of(known, own, n) for own, n in zip(ids, counts)], labels, categories, folds)
+
+
+def leaning(every: np.ndarray, n_toxic: np.ndarray, n_clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The terms that a chain knows, of ascending ones with the numbers of toxic and other texts of each."""
     lean = (n_toxic + 0.1) / (toxic.sum() + 1) / ((n_clean + 0.5) / ((~toxic).sum() + 1))
     good = np.flatnonzero((n_toxic >= LEAST) & (lean >= LEAN))
     good = good[np.argsort(-n_toxic[good] * np.log(lean[good]), kind="stable")[:TERMS]]
-    known = np.sort(every[good])
-
-    x = np.zeros((len(ids), len(known)))
-    for i, (own, n) in enumerate(zip(ids, counts)):
-        _, at, here = np.intersect1d(known, own, assume_unique=True, return_indices=True)
-        x[i, at] = n[here]
-    x = np.log1p(x)
-    fold = np.arange(len(ids)) % folds
-    models, fed, unseen = [], x, x
+    return np.sort(every[good])
+
+
+def found_of(known: np.ndarray, own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the known terms in a text and how often it has them."""
+    _, at, here = np.intersect1d(known, own, assume_unique=True, return_indices=True)
+    return at, n[here]
+
+
+def trained(known: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, categories: tuple[str, ...], folds: int = FOLDS) -> Chain:
+    """A chain from the known terms of each text."""
+    k = len(known)
+    x = np.zeros((len(found), k + len(categories)))  # one table: known terms, then the probabilities of one category after another
+    for i, (at, n) in enumerate(found):
+        x[i, at] = np.log1p(n)
+    fold, models = np.arange(len(x)) % folds, []
     for j in range(len(categories)):
-        y = labels[:, j].astype(np.float64)
-        model = linear(unseen, y)
-        p = np.zeros(len(y))
+        y, unseen = labels[:, j].astype(np.float64), x[:, : k + j]
+        models.append(linear(unseen, y))
         for f in range(folds):
             out = fold == f
-            p[out] = linear(unseen[~out], y[~out]).predict(unseen[out]) if out.any() and (~out).any() else 0.5
-        models.append(model)
-        unseen = np.hstack([unseen, p[:, None]])
+            x[out, k + j] = linear(unseen[~out], y[~out]).predict(unseen[out]) if out.any() and (~out).any() else 0.5
     return Chain(known, categories, tuple(models))
 
 
@@ -161,7 +172,8 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], na
 
 
 def learnt(texts: DataFrame, categories: tuple[str, ...]) -> Chain:
-    """A chain from ``text`` and ``labels`` of a bounded sample; terms are found in tasks."""
+    """A chain from ``text`` and ``labels`` of a bounded sample.  Terms are found and counted in tasks; the driver
+    sees the counts of those in LEAST toxic texts, and of each text the terms that the models know."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -171,13 +183,32 @@ def learnt(texts: DataFrame, categories: tuple[str, ...]) -> Chain:
                 columns = {"ids": [i.tobytes() for i, _ in own], "counts": [n.astype(np.int64).tobytes() for _, n in own]}
                 yield pd.DataFrame(columns | {"labels": batch["labels"].iloc[at : at + len(part)].tolist()})
 
-    rows = texts.mapInPandas(find, "ids binary, counts binary, labels array<int>").collect()  # a bounded sample
-    rows.sort(key=lambda r: (bytes(r["ids"]), bytes(r["counts"]), r["labels"]))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            toxic = np.array([row[-1] == 1 for row in batch["labels"]])
+            sides = [np.unique(np.frombuffer(b"".join(batch["ids"][side]), np.int64), return_counts=True) for side in (toxic, ~toxic)]
+            for (own, n), name, rest in zip(sides, ("n_toxic", "n_other"), ("n_other", "n_toxic")):
+                yield pd.DataFrame({"id": own, name: n, rest: 0})[["id", "n_toxic", "n_other"]]
+
+    def known_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            own = [found_of(shared.value, np.frombuffer(i, np.uint64), np.frombuffer(n, np.int64)) for i, n in zip(batch["ids"], batch["counts"])]
+            yield pd.DataFrame({"at": [at.astype(np.uint16).tobytes() for at, _ in own], "n": [n.astype(np.uint32).tobytes() for _, n in own], "labels": batch["labels"].tolist()})
+
+    found = written(texts.mapInPandas(find, "ids binary, counts binary, labels array<int>"))  # a bounded sample
+    counted = found.mapInPandas(count, "id long, n_toxic long, n_other long").groupBy("id").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_other").alias("n_other"))
+    toxic = np.array([r["toxic"] for r in found.select(F.element_at("labels", -1).alias("toxic")).collect()], bool)
+    lean = (F.col("n_toxic") + 0.1) / float(toxic.sum() + 1) / ((F.col("n_other") + 0.5) / float((~toxic).sum() + 1))
+    often = counted.where((F.col("n_toxic") >= LEAST) & (lean >= 0.999 * LEAN)).toPandas()  # a little more than ``leaning`` takes
+    every = often["id"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(every)
+    known = leaning(every[order], often["n_toxic"].to_numpy(np.int64)[order], often["n_other"].to_numpy(np.int64)[order], toxic)
+    shared = found.sparkSession.sparkContext.broadcast(known)
+    rows = found.orderBy("ids", "counts", "labels").mapInPandas(known_of, "at binary, n binary, labels array<int>").collect()
     rng = np.random.default_rng(11).permutation(len(rows))  # folds must not follow the order
     rows = [rows[i] for i in rng]
     labels = np.array([r["labels"] for r in rows], np.int64).reshape(len(rows), len(categories))
-    ids = [np.frombuffer(r["ids"], np.uint64) for r in rows]
-    return fit(ids, [np.frombuffer(r["counts"], np.int64) for r in rows], labels, categories)
+    return trained(known, [(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.uint32)) for r in rows], labels, categories)
 
 
 def scored(docs: DataFrame, chain: Chain, text: str = "text", columns: list[str] | None = None) -> DataFrame:

@@ -231,3 +231,29 @@ def test_periodic_query_equals_plain(spark, folder):
         assert r["runs_sha256"] == sha("".join(f"{s},{n},{q}\n" for s, n, q in found))
         assert r["collapsed_sha256"] == sha(" ".join(w for k, w in enumerate(words) if k not in gone))
     assert made > 5
+
+
+def test_toxicity_driver_sees_only_known_terms(spark, monkeypatch):
+    """What comes to the driver is bounded by the terms that the models know, not by those of the sample."""
+    from mailspark.llm import toxicity
+
+    texts = [(" ".join(f"w{i}x{j}" for j in range(300)) + (" vile scum" if i % 4 == 0 else " kind"), [int(i % 4 == 0)]) for i in range(40)]
+    df = spark.createDataFrame(texts, "text string, labels array<int>")
+    seen, collect = [], type(df).collect
+
+    def watched(self):
+        rows = collect(self)
+        seen.append(sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))))
+        return rows
+
+    monkeypatch.setattr(type(df), "collect", watched)
+    chain = toxicity.learnt(df, ("toxic",))
+    assert sum(seen) < 100_000  # all terms of the sample: 40 texts, 300 words, 16 bytes a term at least
+    own = []
+    for text, _ in texts:
+        h, _ = toxicity.terms([text.encode()])
+        own.append(np.unique(h, return_counts=True))
+    plain = toxicity.fit([i for i, _ in own], [n for _, n in own], np.array([mark for _, mark in texts]), ("toxic",))
+    assert len(chain.known) and np.array_equal(chain.known, plain.known)
+    few = toxicity.learnt(df.limit(0), ("toxic",))
+    assert not len(few.known) and few.predict(np.zeros((1, 0)))[0, 0] < 0.5
