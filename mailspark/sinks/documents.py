@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
+from collections.abc import Iterator
+from itertools import chain
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +78,72 @@ def write_changed(df: DataFrame, path: str, batch: str, key: str = "doc_key") ->
 def export_folder(df: DataFrame, path: str, key: str = "doc_key", col: str = "markdown") -> None:
     """One text file per document, in a folder named after its key.
 
-    Written by Spark's own text sink, so it works on every file system.  Meant for
-    hand-over of small results; a table is the better home for documents."""
+    On a local or mounted disk tasks write the files (see ``_write_files``), elsewhere Spark's own text
+    sink.  Rows of one key that lie in one partition are lines of one file; callers that want one file
+    per key deal their rows by it.  A table is the better home for documents."""
     stripped = F.regexp_replace(F.col(col), r"\n\z", "")
-    df.select(F.col(key).alias("doc"), stripped.alias("value")).write.mode("overwrite").partitionBy("doc").text(path)
+    if not _on_disk(df.sparkSession, path):
+        df.select(F.col(key).alias("doc"), stripped.alias("value")).write.mode("overwrite").partitionBy("doc").text(path)
+        return
+    name = F.col(key).cast("string")
+    rows = df.select(F.when(name != "", name).otherwise(NO_KEY).alias("doc"), stripped.cast("binary").alias("value"))
+    _write_files(rows.sortWithinPartitions("doc"), path)
+
+
+#: Folder of the rows without a key, and the signs a folder name cannot hold, as in Spark's own sinks.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+_UNSAFE = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """File system and qualified path."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(jpath)
+
+
+def _on_disk(spark: SparkSession, path: str) -> bool:
+    return _hadoop(spark, path)[0].getScheme() == "file"
+
+
+def _write_files(rows: DataFrame, path: str) -> None:
+    """Files of ``doc`` (neighbouring rows of one are lines of one file ``doc=.../*.txt``; null: a file of its own in
+    ``path`` itself) and ``value`` (binary), in place of what ``path`` held.
+
+    Spark's sink starts a process per file here to set its permissions, and renames all folders one after
+    the other at the end.  Tasks write the files themselves, each under a name that a second attempt gives it
+    again; they lie in a folder beside ``path`` which takes its place when all are there."""
+    spark, job = rows.sparkSession, uuid.uuid4().hex
+    fs, target = _hadoop(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{job}")
+    folder = beside.toUri().getPath()
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get()
+        files, of, file, attempt, name = 0, None, None, "", ""
+        os.makedirs(folder, exist_ok=True)
+        for doc, line in chain.from_iterable(zip(batch["doc"], batch["value"]) for batch in batches):
+            if file is None or doc is None or doc != of:
+                if file is not None:
+                    file.close()
+                    os.replace(attempt, name)
+                own = folder if doc is None else f"{folder}/doc={_UNSAFE.sub(lambda c: f'%{ord(c[0]):02X}', doc)}"
+                os.makedirs(own, exist_ok=True)
+                part = f"part-{task.partitionId():05d}-{job}-c{files:06d}.txt"
+                attempt, name = f"{own}/.{part}-{task.taskAttemptId()}", f"{own}/{part}"
+                file, of, files = open(attempt, "wb"), doc, files + 1
+            file.write((line or b"") + b"\n")
+        if file is not None:
+            file.close()
+            os.replace(attempt, name)
+        yield pd.DataFrame({"files": [files]})
+
+    try:
+        fs.mkdirs(beside)
+        rows.mapInPandas(write, "files long").write.format("noop").mode("overwrite").save()
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(beside, "_SUCCESS")).close()
+        fs.delete(target, True)
+        if not fs.rename(beside, target):
+            raise OSError(f"cannot rename {beside} to {target}")
+    finally:
+        fs.delete(beside, True)

@@ -16,10 +16,11 @@ from registered.text import FORWARD_SQL, FORWARDS
 
 
 def _turn_folder(t: Tables, name: str) -> str:
-    """One folder per turn with one text file in it."""
+    """One folder per turn with one text file in it.  Turns are dealt by their key: a file costs far more than its bytes, and a
+    table of few bytes is one task."""
     path = work_dir(t.spark, name)
     turns = t.conversations.select(F.concat_ws("-", "conv_id", "turn").alias("doc_key"), F.col("text").alias("markdown"))
-    export_folder(turns, path)
+    export_folder(turns.repartition(t.parts, "doc_key"), path)
     return path
 
 
