@@ -90,6 +90,14 @@ def export_folder(df: DataFrame, path: str, key: str = "doc_key", col: str = "ma
     _write_files(rows.sortWithinPartitions("doc"), path)
 
 
+def export_files(df: DataFrame, path: str, col: str = "value") -> None:
+    """One text file per row, all in one folder; written as by ``export_folder``."""
+    if not _on_disk(df.sparkSession, path):
+        df.select(col).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+        return
+    _write_files(df.select(F.lit(None).cast("string").alias("doc"), F.col(col).cast("binary").alias("value")), path)
+
+
 #: Folder of the rows without a key, and the signs a folder name cannot hold, as in Spark's own sinks.
 NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 _UNSAFE = re.compile(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""")

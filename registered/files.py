@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailspark.session import work_dir
 from mailspark.sinks.csv import BOM, write_csv
-from mailspark.sinks.documents import export_folder, read_documents, update_documents, write_changed, write_documents
+from mailspark.sinks.documents import export_files, export_folder, read_documents, update_documents, write_changed, write_documents
 from mailspark.sinks.jsonl import write_qa, write_rewritten
 from mailspark.sources.files import check_not_empty, decode_text, read_mail, read_markdown
 from mailspark.sources.jsonl import read_jsonl
@@ -41,7 +41,7 @@ def s1(t: Tables):
 def s2(t: Tables):
     path = work_dir(t.spark, "s2")
     turns = t.conversations.select(F.expr("concat(conv_id, ' ', turn, chr(10), text)").alias("value"))
-    turns.write.option("maxRecordsPerFile", 1).text(path)
+    export_files(turns.repartition(t.parts), path)
     head = F.split(F.substring_index("markdown", "\n", 1), " ")
     docs = read_markdown(t.spark, path, glob="*.txt")
     return docs.select(head[0].cast("bigint").alias("conv_id"), head[1].cast("bigint").alias("turn"), "markdown")
