@@ -9,7 +9,9 @@ work of a lost executor is repeated as a whole.  The ranks lie beside them in ``
 
 from __future__ import annotations
 
+import gc
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -39,32 +41,69 @@ class Encoder:
     def __init__(self, path: str, cached: int = CACHED, plain: bool = True):
         import os
         import re
+        import string
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        self.letters = Tokenizer.from_file(path)  # the pattern does not cut inside letters
-        self.letters.encode_special_tokens = plain
+        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain and t.special)]
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.blank = re.compile(r" (?=\S)")
+        # Where the library's pattern cuts stretches of common signs: Latin letters, digits, other ASCII signs but for the
+        # apostrophe of its contractions, single line feeds.
+        marks = re.escape(string.punctuation.replace("'", ""))
+        self.cuts_as_known = self.tokenizer.normalizer is None and type(self.model).__name__ == "BPE" and self._cuts_as_known(path)
+        self.piece = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[%s]+|\n|\0" % marks)
+        self.common = re.compile(r"(?!\n)(?:[A-Za-zÀ-ÖØ-öø-ſ0-9%s]|\n(?!\s))+" % marks)
+        sign = {own: own for own in [*range(33, 127), *range(161, 173), *range(174, 256)]}  # the signs that stand for bytes
+        self.signs = {byte: chr(sign.get(byte, 256 + i)) for i, byte in enumerate(sorted(range(256), key=lambda b: (b in sign, b)))}
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.bytes_of[number] = len(token)  # a byte-level token has a character for each byte
         self.cached, self.known, self.older = cached, {}, {}
 
-    def fresh(self, texts: list[str], tokenizer=None, row: int = 256) -> list[bytes]:
+    @staticmethod
+    def _cuts_as_known(path: str) -> bool:
+        """Whether the file has the byte-level pattern that ``common`` is made for, with no blank put ahead."""
+        import json
+
+        with open(path, encoding="utf-8") as file:
+            own = json.load(file)["pre_tokenizer"] or {}
+        return own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
+
+    def of_model(self, pieces: list[str]) -> Iterator[list[int]]:
+        """Ids of pieces that the pattern does not cut, by the library's model alone."""
+        spelled = "\0".join(pieces).encode().decode("latin-1").translate(self.signs).split(self.signs[0]) if pieces else []
+        tokenize = self.model.tokenize
+        return ([token.id for token in tokenize(piece)] for piece in spelled)
+
+    def of_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of a blank and a stretch of letters, for each."""
+        code = np.dtype(self.kind).char
+        return (array(code, ids).tobytes() for ids in self.of_model([" " + word for word in words]))
+
+    def of_pieces(self, stretches: list[str]) -> list[bytes]:
+        """Ids of a blank and a stretch of common signs, for each; every different piece goes to the model once."""
+        pieces = self.piece.findall("".join(f" {stretch}\0" for stretch in stretches))
+        different = list(set(pieces).difference("\0"))
+        known = dict(zip(different, self.of_model(different)), **{"\0": [-1]})
+        ids = np.array(list(chain.from_iterable(map(known.__getitem__, pieces))), np.int64)
+        size, ends = np.dtype(self.kind).itemsize, np.flatnonzero(ids < 0)
+        raw, ends = ids[ids >= 0].astype(self.kind).tobytes(), ((ends - np.arange(len(ends))) * size).tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+    def fresh(self, texts: list[str], row: int = 256) -> list[bytes]:
         """Ids of texts, each of which is cut for itself.
 
         They go to the tokenizer in rows; the bytes that ids stand for tell where a text ends."""
-        out, tokenizer = [], tokenizer or self.tokenizer
+        out = []
         for start in range(0, len(texts), 64 * row):
             part = texts[start : start + 64 * row]
             rows = [part[i : i + row] for i in range(0, len(part), row)]
-            made = tokenizer.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False)
+            made = self.tokenizer.encode_batch_fast(rows, is_pretokenized=True, add_special_tokens=False)
             ids = np.concatenate([np.array(m.ids, self.kind) for m in made])
             ends = np.cumsum([len(text.encode()) for text in part])
             cuts = [0, *(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1).tolist()]
@@ -73,22 +112,38 @@ class Encoder:
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
-        cut = [[text] if any(a in text for a in self.added) else self.blank.split(text) for text in texts]
-        # Only the first stretch of a text has no leading blank; it is left to the tokenizer.
-        heads = [np.array(m.ids, self.kind).tobytes() for m in self.tokenizer.encode_batch_fast([p.pop(0) for p in cut], add_special_tokens=False)]
+        cut = [[text] if any(a in text for a in self.added) else text.split(" ") for text in texts]
+        heads = [p.pop(0) for p in cut]
         new = set(chain.from_iterable(cut)).difference(self.known)
+        # White space after a blank belongs to the stretch before it; no known stretch begins with any.
+        white = {stretch for stretch in new if not stretch or stretch[0].isspace()}
+        if white:
+            for i, rest in enumerate(cut):
+                if not white.isdisjoint(rest):
+                    cut[i] = self.blank.split(texts[i])
+                    heads[i] = cut[i].pop(0)
+                    new.update(stretch for stretch in cut[i] if stretch not in self.known)
+            new -= white
+        # Only the first stretch of a text has no leading blank; it is left to the tokenizer.
+        heads = [np.array(m.ids, self.kind).tobytes() for m in self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
         if len(self.known) + len(new) > self.cached:  # what is not asked for again leaves with the older half
             self.older, self.known = self.known, {}
             new = set(chain.from_iterable(cut))
-        again = new.intersection(self.older)
-        self.known.update((text, self.older[text]) for text in again)
-        new -= again
-        for own, tokenizer in (([w for w in new if w.isalpha()], self.letters), ([w for w in new if not w.isalpha()], self.tokenizer)):
-            self.known.update(zip(own, self.fresh([" " + w for w in own], tokenizer)))
+        if self.older:
+            again = [stretch for stretch in new if stretch in self.older]
+            self.known.update((stretch, self.older[stretch]) for stretch in again)
+            new.difference_update(again)
+        own = [stretch for stretch in new if stretch.isalpha()] if self.cuts_as_known else []
+        self.known.update(zip(own, self.of_words(own)))
+        new.difference_update(own)
+        own = [stretch for stretch in new if self.common.fullmatch(stretch)] if self.cuts_as_known else []
+        self.known.update(zip(own, self.of_pieces(own)))
+        new.difference_update(own)
+        own = list(new)
+        self.known.update(zip(own, self.fresh([" " + stretch for stretch in own])))
         get, tail = self.known.__getitem__, np.array([end], self.kind).tobytes()
         return [head + b"".join(map(get, rest)) + tail for head, rest in zip(heads, cut)]
 
-
     def forget(self) -> None:
         self.known, self.older = {}, {}
 
@@ -103,12 +158,14 @@ def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str
     groups of texts of bounded size."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gc.disable()  # millions of strings and no cycles: its rounds cost more than they free
         try:
             for batch in batches:
                 ends = batch["text"].str.len().cumsum() // GROUP
                 for _, group in batch.groupby(ends.to_numpy()):
                     yield pd.DataFrame({"doc": group["doc"], "tie": group["tie"], "ids": encoder(path).encode(group["text"].tolist(), end)})
         finally:  # workers live on into the stages that follow
+            gc.enable()
             encoder(path).forget()
 
     texts = docs.select(docs[name].cast("long").alias("doc"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))
@@ -195,12 +252,9 @@ def write(docs: DataFrame, folder: str, path: str, end: int, name: str = "doc_id
 
     cuts = borders(ids.select(F.col("doc").alias("k")))
 
-    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in filter(len, batches):
-            own = [table.value[np.frombuffer(i, kind)] for i in batch["ids"]]
-            control, data = zip(*map(packed, own))
-            shard = np.searchsorted(cuts, batch["doc"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64), side="left")
-            yield pd.DataFrame({"shard": shard, "doc": batch["doc"], "tie": batch["tie"], "n": list(map(len, own)), "control": control, "data": data})
+    @F.pandas_udf("int")
+    def shard_of(doc: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, doc.to_numpy(np.int64), side="left"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, shard, place, before = pd.DataFrame(), None, 0, 0
@@ -211,13 +265,14 @@ def write(docs: DataFrame, folder: str, path: str, end: int, name: str = "doc_id
                 held = held.iloc[len(own) :]
                 if own["shard"].iloc[0] != shard:
                     shard, place, before = own["shard"].iloc[0], 0, 0
-                ranks = [unpacked(c, d, n) for c, d, n in zip(own["control"], own["data"], own["n"])]
-                control, data = packed(np.concatenate(ranks))
+                sizes = own["ids"].str.len() // np.dtype(kind).itemsize
+                control, data = packed(table.value[np.frombuffer(b"".join(own["ids"]), kind)])
                 doc = [None if pd.isna(d) else int(d) for d in own["doc"]]
-                yield pd.DataFrame({"shard": [shard], "place": [place], "before": [before], "docs": [doc], "sizes": [own["n"].tolist()], "control": [control], "data": [data]})
-                place, before = place + 1, before + int(own["n"].sum())
+                yield pd.DataFrame({"shard": [shard], "place": [place], "before": [before], "docs": [doc], "sizes": [sizes.tolist()], "control": [control], "data": [data]})
+                place, before = place + 1, before + int(sizes.sum())
 
-    coded = ids.mapInPandas(code, "shard int, doc long, tie long, n int, control binary, data binary")
+    first = F.lit(np.iinfo(np.int64).min)  # documents without an id
+    coded = ids.select(shard_of(F.coalesce("doc", first)).alias("shard"), "doc", "tie", "ids")
     coded = coded.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc"), "tie")
     blocks = coded.mapInPandas(join, "shard int, place int, before long, docs array<long>, sizes array<int>, control binary, data binary")
     blocks.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/blocks")

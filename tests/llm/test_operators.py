@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -348,6 +349,25 @@ def test_encoder_equals_the_library():
             assert np.frombuffer(ids, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_encoder_meets_different_pieces_once():
+    """Stretches of common signs go to the library's model piece by piece, each piece once; the rest as before."""
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    path, rnd = public.path("byte_bpe_50k.json"), random.Random(4)
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    signs = [*"abéßſĀ×÷ªºñ10²½.,;:_#*'\"%()\n\0\t\r\x85\xa0　中", "\n\n", ".\n", "'s", "n't", "  ", " \n", "\n ", *[" "] * 12]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(0, 40))) for _ in range(3000)]
+    for text, ids in zip(texts, encoder.encode(texts, 2)):
+        assert np.frombuffer(ids, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+    asked = []
+    encoder.forget()
+    encoder.fresh = lambda own: asked.extend(own) or [b""] * len(own)
+    encoder.encode(["x one, two.\nÉtwo 12;one, don't"], 2)
+    assert asked == [" don't"]
+
+
 def test_token_files_of_texts_with_added_tokens(spark):
     import public_tokenizers as public
     from tokenizers import Tokenizer
