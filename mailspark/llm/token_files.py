@@ -10,6 +10,7 @@ work of a lost executor is repeated as a whole.  The ranks lie beside them in ``
 from __future__ import annotations
 
 import gc
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +29,19 @@ BLOCK = 256
 PER_SHARD = 16_384
 MOST_SHARDS = 4_096
 MOST_DOCS = 1_000_000
-#: Stretches a worker keeps with their ids; characters it encodes at once.
+#: Pieces a worker keeps with their ids; bytes it encodes at once.
 CACHED = 150_000
-GROUP = 1_000_000
+GROUP = 16_000_000
+#: A blank that white space or nothing follows: what Python's ``re`` takes for white space, in terms of RE2.
+BLANKS = r" (?:[\pZ\t-\r\x1c-\x1f\x{85}]|\z)"
+#: Kinds of UTF-8 bytes between which the byte-level pattern cuts: Latin letters (of one and two bytes), digits, other ASCII signs
+#: but for the apostrophe of its contractions, and line feeds, each by itself; 0 is the blank ahead of a stretch.
+UNCOMMON = 9
+SIGNS = np.full(256, UNCOMMON, np.uint8)
+SIGNS[[*string.ascii_letters.encode(), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = 1
+SIGNS[[*string.digits.encode()]] = 2
+SIGNS[[*string.punctuation.replace("'", "").encode()]] = 3
+SIGNS[10] = 4
 
 
 class Encoder:
@@ -41,7 +54,6 @@ class Encoder:
     def __init__(self, path: str, cached: int = CACHED, plain: bool = True):
         import os
         import re
-        import string
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -51,12 +63,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain and t.special)]
         self.blank = re.compile(r" (?=\S)")
-        # Where the library's pattern cuts stretches of common signs: Latin letters, digits, other ASCII signs but for the
-        # apostrophe of its contractions, single line feeds.
-        marks = re.escape(string.punctuation.replace("'", ""))
         self.cuts_as_known = self.tokenizer.normalizer is None and type(self.model).__name__ == "BPE" and self._cuts_as_known(path)
-        self.piece = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[%s]+|\n|\0" % marks)
-        self.common = re.compile(r"(?!\n)(?:[A-Za-zÀ-ÖØ-öø-ſ0-9%s]|\n(?!\s))+" % marks)
         sign = {own: own for own in [*range(33, 127), *range(161, 173), *range(174, 256)]}  # the signs that stand for bytes
         self.signs = {byte: chr(sign.get(byte, 256 + i)) for i, byte in enumerate(sorted(range(256), key=lambda b: (b in sign, b)))}
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
@@ -67,33 +74,59 @@ class Encoder:
 
     @staticmethod
     def _cuts_as_known(path: str) -> bool:
-        """Whether the file has the byte-level pattern that ``common`` is made for, with no blank put ahead."""
+        """Whether the file has the byte-level pattern that SIGNS are made for, with no blank put ahead."""
         import json
 
         with open(path, encoding="utf-8") as file:
             own = json.load(file)["pre_tokenizer"] or {}
         return own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
 
-    def of_model(self, pieces: list[str]) -> Iterator[list[int]]:
+    def of_model(self, pieces: list[str]) -> Iterator[bytes]:
         """Ids of pieces that the pattern does not cut, by the library's model alone."""
         spelled = "\0".join(pieces).encode().decode("latin-1").translate(self.signs).split(self.signs[0]) if pieces else []
-        tokenize = self.model.tokenize
-        return ([token.id for token in tokenize(piece)] for piece in spelled)
-
-    def of_words(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of a blank and a stretch of letters, for each."""
-        code = np.dtype(self.kind).char
-        return (array(code, ids).tobytes() for ids in self.of_model([" " + word for word in words]))
-
-    def of_pieces(self, stretches: list[str]) -> list[bytes]:
-        """Ids of a blank and a stretch of common signs, for each; every different piece goes to the model once."""
-        pieces = self.piece.findall("".join(f" {stretch}\0" for stretch in stretches))
-        different = list(set(pieces).difference("\0"))
-        known = dict(zip(different, self.of_model(different)), **{"\0": [-1]})
-        ids = np.array(list(chain.from_iterable(map(known.__getitem__, pieces))), np.int64)
-        size, ends = np.dtype(self.kind).itemsize, np.flatnonzero(ids < 0)
-        raw, ends = ids[ids >= 0].astype(self.kind).tobytes(), ((ends - np.arange(len(ends))) * size).tolist()
-        return [raw[i:j] for i, j in zip([0, *ends], ends)]
+        tokenize, code = self.model.tokenize, np.dtype(self.kind).char
+        return (array(code, [token.id for token in tokenize(piece)]).tobytes() for piece in spelled)
+
+    def ids_of(self, pieces: list[str], other: set[str]) -> list[bytes]:
+        """Ids of different pieces; those not met of late go to the library, all but ``other`` to its model alone."""
+        ids = list(map(self.known.get, pieces))
+        new = [i for i, found in enumerate(ids) if found is None]
+        before = self.older
+        if len(self.known) + len(new) > self.cached:  # what is not asked for again leaves with the older half
+            self.older, self.known = self.known, {}
+        for i in new:
+            ids[i] = before.get(pieces[i])
+        lacking = [pieces[i] for i in new if ids[i] is None]
+        for make, own in ((self.of_model, [p for p in lacking if p not in other]), (self.fresh, [p for p in lacking if p in other])):
+            self.known.update(zip(own, make(own)))
+        for i in new:
+            ids[i] = self.known.setdefault(pieces[i], ids[i])
+        return ids
+
+    def of_stretches(self, stretches: pa.Array) -> pa.Array:
+        """Ids of a blank and a stretch, for each; every different piece of stretches of common signs is looked up once."""
+        spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), stretches, pa.scalar("", pa.large_string()))
+        bounds = np.frombuffer(spaced.buffers()[1], np.int64)[: len(spaced) + 1]
+        raw = np.frombuffer(spaced.buffers()[2] or b"", np.uint8)[: bounds[-1]]
+        first, signs = bounds[:-1], SIGNS[raw]
+        signs[first] = 0
+        line = signs[1:] == SIGNS[10]
+        odd = signs == UNCOMMON
+        odd[1:] |= (signs[:-1] == SIGNS[10]) & line  # white space stays together
+        odd[1:] |= (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))  # signs of multiplication and division
+        odd = np.logical_or.reduceat(odd, first) if self.cuts_as_known and len(first) else np.ones(len(first), bool)
+        begins = np.ones(len(raw), bool)
+        begins[1:] = ((signs[1:] != signs[:-1]) & (signs[:-1] > 0)) | line
+        begins &= ~np.repeat(odd, np.diff(bounds))
+        begins[first] = True
+        starts = np.flatnonzero(begins)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw))), spaced.buffers()[2]]).dictionary_encode()
+        names, which = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        places = np.searchsorted(starts, first)  # of the stretches' first pieces
+        other = {name for name in (names[i] for i in which[places[odd]].tolist()) if not (self.cuts_as_known and name[1:].isalpha())}
+        ids = pa.array(self.ids_of(names, other), pa.large_binary()).take(pieces.indices)
+        sums = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
+        return laid(sums[np.append(places, len(ids))], ids.buffers()[2])
 
     def fresh(self, texts: list[str], row: int = 256) -> list[bytes]:
         """Ids of texts, each of which is cut for itself.
@@ -110,44 +143,55 @@ class Encoder:
             out += [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
         return out
 
-    def encode(self, texts: list[str], end: int) -> list[bytes]:
-        """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
-        cut = [[text] if any(a in text for a in self.added) else text.split(" ") for text in texts]
-        heads = [p.pop(0) for p in cut]
-        new = set(chain.from_iterable(cut)).difference(self.known)
-        # White space after a blank belongs to the stretch before it; no known stretch begins with any.
-        white = {stretch for stretch in new if not stretch or stretch[0].isspace()}
-        if white:
-            for i, rest in enumerate(cut):
-                if not white.isdisjoint(rest):
-                    cut[i] = self.blank.split(texts[i])
-                    heads[i] = cut[i].pop(0)
-                    new.update(stretch for stretch in cut[i] if stretch not in self.known)
-            new -= white
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Stretches of the texts end to end, the blanks between them left out; their numbers, and whose they are."""
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        # White space after a blank belongs to the stretch before it.
+        odd = whole | pc.match_substring_regex(texts, BLANKS).to_numpy(zero_copy_only=False)
+        plain = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        which = np.flatnonzero(odd)
+        other = [[text] if w else self.blank.split(text) for text, w in zip(texts.take(pa.array(which)).to_pylist(), whole[which])]
+        values = pa.concat_arrays([plain.flatten(), pa.array(list(chain.from_iterable(other)), pa.large_string())])
+        return values, np.concatenate([pc.list_value_length(plain).to_numpy(), np.array([len(o) for o in other], np.int64)]), np.concatenate([np.flatnonzero(~odd), which])
+
+    def encode_array(self, texts: pa.Array, end: int) -> pa.Array:
+        """Ids of each text (large strings, none null) and the end id, as little-endian unsigned integers of ``kind``."""
+        n = len(texts)
+        values, counts, whose = self.cut(texts)
+        first = np.cumsum(counts) - counts
+        later = np.ones(len(values), bool)
+        later[first] = False
+        different = values.filter(pa.array(later)).dictionary_encode()
+        made = self.of_stretches(different.dictionary)
+        n_made = len(made)
         # Only the first stretch of a text has no leading blank; it is left to the tokenizer.
-        heads = [np.array(m.ids, self.kind).tobytes() for m in self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
-        if len(self.known) + len(new) > self.cached:  # what is not asked for again leaves with the older half
-            self.older, self.known = self.known, {}
-            new = set(chain.from_iterable(cut))
-        if self.older:
-            again = [stretch for stretch in new if stretch in self.older]
-            self.known.update((stretch, self.older[stretch]) for stretch in again)
-            new.difference_update(again)
-        own = [stretch for stretch in new if stretch.isalpha()] if self.cuts_as_known else []
-        self.known.update(zip(own, self.of_words(own)))
-        new.difference_update(own)
-        own = [stretch for stretch in new if self.common.fullmatch(stretch)] if self.cuts_as_known else []
-        self.known.update(zip(own, self.of_pieces(own)))
-        new.difference_update(own)
-        own = list(new)
-        self.known.update(zip(own, self.fresh([" " + stretch for stretch in own])))
-        get, tail = self.known.__getitem__, np.array([end], self.kind).tobytes()
-        return [head + b"".join(map(get, rest)) + tail for head, rest in zip(heads, cut)]
+        heads = self.tokenizer.encode_batch_fast(values.take(pa.array(first)).to_pylist(), add_special_tokens=False)
+        heads = [np.array(m.ids, self.kind).tobytes() for m in heads]
+        made = pa.concat_arrays([made, pa.array([*heads, np.array([end], self.kind).tobytes()], pa.large_binary())])
+        # Numbers of all that is laid end to end: each text's head, its stretches, the end id.
+        first, last = first + np.arange(n), first + np.arange(n) + counts
+        which, later = np.empty(len(values) + n, np.int64), np.ones(len(values) + n, bool)
+        which[first], which[last] = n_made + np.arange(n), n_made + n
+        later[first] = later[last] = False
+        which[later] = different.indices.to_numpy()
+        ids = made.take(pa.array(which))
+        sums = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1]
+        return laid(sums[[*first, len(ids)]], ids.buffers()[2]).take(pa.array(np.argsort(whose)))
+
+    def encode(self, texts: list[str], end: int) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.large_string()), end).to_pylist()
 
     def forget(self) -> None:
         self.known, self.older = {}, {}
 
 
+def laid(sums: np.ndarray, data: pa.Buffer) -> pa.Array:
+    """Binary values that lie end to end in ``data``, from each of ``sums`` to the next."""
+    return pa.Array.from_buffers(pa.large_binary(), len(sums) - 1, [None, pa.py_buffer(sums.astype(np.int64)), data])
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     return Encoder(path, plain=False)
@@ -157,19 +201,29 @@ def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str
     """``doc``, ``tie``, ``ids`` (binary) of every whole text; each task meets the tokenizer with
     groups of texts of bounded size."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def coded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        doc, tie, text = (pa.concat_arrays([batch.column(name) for batch in held]) for name in ("doc", "tie", "text"))
+        ids = encoder(path).encode_array(text.cast(pa.large_string()), end)
+        return pa.RecordBatch.from_arrays([doc, tie, ids.cast(pa.binary())], ["doc", "tie", "ids"])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # millions of strings and no cycles: its rounds cost more than they free
         try:
+            held, size = [], 0
             for batch in batches:
-                ends = batch["text"].str.len().cumsum() // GROUP
-                for _, group in batch.groupby(ends.to_numpy()):
-                    yield pd.DataFrame({"doc": group["doc"], "tie": group["tie"], "ids": encoder(path).encode(group["text"].tolist(), end)})
+                held.append(batch)
+                size += batch.nbytes
+                if size >= GROUP:
+                    yield coded(held)
+                    held, size = [], 0
+            if held:
+                yield coded(held)
         finally:  # workers live on into the stages that follow
             gc.enable()
             encoder(path).forget()
 
     texts = docs.select(docs[name].cast("long").alias("doc"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    return texts.mapInPandas(encode, "doc long, tie long, ids binary")
+    return texts.mapInArrow(encode, "doc long, tie long, ids binary")
 
 
 # --- the coding -----------------------------------------------------------------------------
@@ -179,9 +233,18 @@ def packed(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ranks below 2 ** 32: little-endian bytes without the
     upper zero ones."""
     ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    rows = ranks.view(np.uint8).reshape(-1, 4)
-    data = rows[np.arange(4) < size[:, None]]
+    most = int(ranks.max(initial=0))
+    size = np.ones(len(ranks), np.uint8)
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF):
+        if most > limit:
+            size += ranks > limit
+    ends = np.cumsum(size, dtype=np.int64)
+    start = ends - size
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[start] = ranks.astype(np.uint8)
+    for i in range(1, int(size.max(initial=1))):
+        has = np.flatnonzero(size > i)
+        data[start[has] + i] = (ranks[has] >> np.uint32(8 * i)).astype(np.uint8)
     code = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     code[: len(ranks)] = size - 1
     code = code.reshape(-1, 4)
@@ -198,9 +261,9 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
     size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
     start = np.cumsum(size) - size
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
-    ranks = np.zeros(n, np.uint32)
-    for i in range(4):
-        has = size > i
+    ranks = raw[start].astype(np.uint32)
+    for i in range(1, int(size.max(initial=1))):
+        has = np.flatnonzero(size > i)
         ranks[has] |= raw[start[has] + i].astype(np.uint32) << np.uint32(8 * i)
     return ranks
 

@@ -368,6 +368,22 @@ def test_encoder_meets_different_pieces_once():
     assert asked == [" don't"]
 
 
+def test_encoder_asks_once_for_a_word_with_and_without_signs():
+    from types import SimpleNamespace
+
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    path, asked = public.path("byte_bpe_50k.json"), []
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    own = encoder.model
+    encoder.model = SimpleNamespace(tokenize=lambda piece: asked.append(piece) or own.tokenize(piece))
+    texts = ["x one two, one, (two) one.\nTwo été 12,", "y one two été. 12 12.", "", "one  two \n", "×÷ a×b a÷b é×é", "a\n\nb c\nd e\n f\n"]
+    for text, ids in [*zip(texts, encoder.encode(texts, 2)), *zip(texts[::-1], encoder.encode(texts[::-1], 2))]:
+        assert np.frombuffer(ids, encoder.kind).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+    assert len(asked) == len(set(asked)) and {"Ġone", "Ġtwo", ","} <= set(asked)
+
+
 def test_token_files_of_texts_with_added_tokens(spark):
     import public_tokenizers as public
     from tokenizers import Tokenizer
