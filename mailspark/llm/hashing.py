@@ -8,8 +8,6 @@ from dataclasses import dataclass
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -73,23 +71,22 @@ def words(texts: list[bytes], lower: bool = False) -> Words:
     """Words as in ``common.words``; ``lower`` folds ASCII letters for the hashes."""
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     raw = np.frombuffer(b"".join(texts), np.uint8)
-    own = ~_SPACE[raw]
+    own = (raw != 0x20) & (raw - np.uint8(0x09) > 4)  # 9 to 13 and the blank stand between words
     begins = own.copy()
     begins[1:] &= ~own[:-1]
     inner = offsets[:-1][(offsets[:-1] > 0) & (offsets[:-1] < len(raw))]
     begins[inner] = own[inner]
     start = np.flatnonzero(begins)
-    at = np.flatnonzero(own)
-    first = np.searchsorted(at, start)
-    length = np.diff(np.append(first, len(at)))
-    value = raw[at]
+    value = raw[own]
+    first = np.cumsum(own)[start] - 1
+    length = np.diff(np.append(first, len(value)))
     if lower:
         value = value + ((value >= 65) & (value <= 90)) * np.uint8(32)
-    place = np.arange(len(at)) - np.repeat(first, length)
+    place = np.arange(len(value)) - np.repeat(first, length)
     value = (value.astype(np.uint64) + np.uint64(1)) * powers(int(length.max(initial=0)))[place]
     sums = np.cumsum(value, dtype=np.uint64)
     total = sums[first + length - 1] - np.where(first > 0, sums[first - 1], np.uint64(0)) if len(start) else np.zeros(0, np.uint64)
-    text = np.searchsorted(offsets, start, side="right") - 1
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, offsets)))
     return Words(raw, offsets, start, length, text, mixed(total + length.astype(np.uint64) * _BASE), sums)
 
 

@@ -18,15 +18,18 @@ its windows.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
+from itertools import compress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailspark.llm.common import SPACE, written
+from mailspark.llm.common import written
 from mailspark.llm.hashing import grams, groups, words
 
 WINDOW = 13
@@ -42,7 +45,6 @@ INDEXED = 100_000
 SALTS = 32
 #: Bytes of a word's hash that stand for it in a shard.
 SYMBOL = 6
-_SPACES = re.compile(f"{SPACE}+")
 
 
 class FMIndex:
@@ -59,7 +61,7 @@ class FMIndex:
             ahead = np.zeros(n, np.int64)
             ahead[: n - step] = rank[step:] + 1
             pair = rank * (int(ahead.max(initial=0)) + 1) + ahead
-            order = np.argsort(pair, kind="stable")
+            order = np.argsort(pair)
             rank = np.zeros(n, np.int64)
             rank[order] = np.cumsum(np.concatenate([[0], pair[order][1:] != pair[order][:-1]]))
         ahead = np.zeros(n, np.int64)
@@ -142,14 +144,14 @@ def anchors(texts: list[bytes], size: int = WINDOW, length: int = ANCHOR):
     h, at = grams(w, length)
     every = np.full(len(w.hash) + 1, np.iinfo(np.uint64).max, np.uint64)
     every[at] = h
-    windows = np.flatnonzero(w.text[: max(len(w.text) - size + 1, 0)] == w.text[size - 1 :])
-    best = every[windows]
-    place = windows.copy()
+    n = max(len(w.text) - size + 1, 0)
+    best, ahead = every[:n], np.zeros(n, np.int8)
     for i in range(1, size - length + 1):
-        other = every[windows + i]
-        less = other < best
-        best, place = np.where(less, other, best), np.where(less, windows + i, place)
-    return w, best.view(np.int64), place, windows
+        other = every[i : n + i]
+        ahead[other < best] = i
+        best = np.minimum(best, other)
+    windows = np.flatnonzero(w.text[:n] == w.text[size - 1 :])
+    return w, best[windows].view(np.int64), windows + ahead[windows], windows
 
 
 def runs(place: np.ndarray) -> np.ndarray:
@@ -157,6 +159,12 @@ def runs(place: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
 
 
+def among(values: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which of the values are names; there is one name at least."""
+    names = np.sort(names)
+    return names[np.minimum(np.searchsorted(names, values), len(names) - 1)] == values
+
+
 def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataFrame:
     """Stretches of words around anchors that two documents show: ``anchor``, whether it is
     ``frequent``, ``id`` and ``tie`` (a hash of the text) of the document, the number of the first
@@ -181,7 +189,7 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
 
     shown = every.mapInPandas(marks, "anchor long, id long, tie long, n int")
     often = shown.groupBy("anchor").agg(F.count("*").alias("docs"), F.sum("n").alias("all")).where("docs > 1").select("anchor", (F.col("all") > FREQUENT).alias("frequent"))
-    wanted = shown.join(often, "anchor").groupBy("id", "tie").agg(F.collect_list(F.struct("anchor", "frequent")).alias("anchors"))
+    wanted = shown.join(often, "anchor").groupBy("id", "tie").agg(F.collect_list("anchor").alias("anchors"), F.collect_list(F.expr("IF(frequent, anchor, NULL)")).alias("often"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -192,13 +200,11 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
                 # Which stretches are wanted: their text's anchors, as one sorted list per text.
                 kind = np.full(len(begin), -1)
                 cuts = np.searchsorted(text, np.arange(len(part) + 1))
-                for i, wanted in enumerate(batch["anchors"].iloc[first : first + len(part)]):
-                    names = np.array([a["anchor"] for a in wanted], np.int64)
-                    kinds = np.array([a["frequent"] for a in wanted], np.int64)
-                    order = np.argsort(names)
+                for i in range(len(part)):
                     own = best[begin[cuts[i] : cuts[i + 1]]]
-                    at = np.minimum(np.searchsorted(names[order], own), len(names) - 1)
-                    kind[cuts[i] : cuts[i + 1]] = np.where(names[order][at] == own, kinds[order][at], -1)
+                    kind[cuts[i] : cuts[i + 1]] += among(own, batch["anchors"].iloc[first + i])
+                    if len(batch["often"].iloc[first + i]):
+                        kind[cuts[i] : cuts[i + 1]] += among(own, batch["often"].iloc[first + i])
                 which = np.flatnonzero(kind >= 0)
                 lo, hi = windows[begin[which]], windows[end[which] - 1] + size
                 symbol = (w.hash & np.uint64((1 << 8 * SYMBOL) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SYMBOL].tobytes()
@@ -214,68 +220,74 @@ def suspects(docs: DataFrame, name: str, text: str, size: int = WINDOW) -> DataF
     return found.withColumn("uid", F.xxhash64("words"))
 
 
-def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows in order of anchor, whole anchors at a time, about INDEXED words together."""
-    held: list[pd.DataFrame] = []
-    weight = 0
+def shards(batches: Iterator, lengths: Callable = lambda rows: rows["words"].str.len(), cut: Callable = lambda rows, a, b: rows.iloc[a:b], join: Callable = partial(pd.concat, ignore_index=True)) -> Iterator:
+    """Rows in order of anchor, whole anchors at a time, about INDEXED words together; how batches of the kind at hand (pandas')
+    tell the bytes of their words, are cut and joined."""
+    held: list = []
+    weight, last = 0, None
     for batch in batches:
         # Anchors' ends in the batch, and the words up to them.
-        names = batch["anchor"].to_numpy()
-        sums = np.cumsum(batch["words"].str.len().to_numpy()) // SYMBOL
+        names = np.asarray(batch["anchor"])
+        sums = np.cumsum(np.asarray(lengths(batch))) // SYMBOL
         begin = 0
-        while begin < len(batch):
+        while begin < len(names):
             before = int(sums[begin - 1]) if begin else 0
             end = int(np.searchsorted(sums, before + INDEXED - weight)) + 1 if weight < INDEXED else begin
-            if held and weight >= INDEXED and names[begin] != held[-1]["anchor"].iloc[-1]:
-                yield pd.concat(held, ignore_index=True)
+            if held and weight >= INDEXED and names[begin] != last:
+                yield join(held)
                 held, weight = [], 0
                 continue
             # On to the end of the anchor at hand.
-            end = min(max(end, begin + 1), len(batch))
+            end = min(max(end, begin + 1), len(names))
             other = np.flatnonzero(names[end:] != names[end - 1])
-            end = end + int(other[0]) if len(other) else len(batch)
-            held.append(batch.iloc[begin:end])
-            weight += int(sums[end - 1]) - before
+            end = end + int(other[0]) if len(other) else len(names)
+            held.append(cut(batch, begin, end))
+            weight, last = weight + int(sums[end - 1]) - before, names[end - 1]
             begin = end
     if held:
-        yield pd.concat(held, ignore_index=True)
+        yield join(held)
 
 
-def indexed(rows: pd.DataFrame, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Least documents of the windows of all different stretches, end to end; of each row the
+def indexed(words: pa.Array, ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least documents of the windows of all different stretches, end to end; of each stretch the
     first of its windows there, and their number."""
-    same, different = pd.factorize(rows["words"])
+    coded = words.cast(pa.large_binary()).dictionary_encode()
+    same, different = coded.indices.to_numpy(), coded.dictionary
     low = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(low, same, ids)
-    raw = np.frombuffer(b"".join(different), np.uint8).reshape(-1, SYMBOL)
+    bounds = np.frombuffer(different.buffers()[1], np.int64)[: len(different) + 1]
+    raw = np.frombuffer(different.buffers()[2], np.uint8)[: bounds[-1]].reshape(-1, SYMBOL)
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, :SYMBOL] = raw
-    lengths = np.array([len(x) for x in different], np.int64) // SYMBOL
+    lengths = np.diff(bounds) // SYMBOL
     windows = lengths - size + 1
     least = least_documents(wide.view("<u8").ravel(), lengths, low, size)
     return least, (np.cumsum(windows) - windows)[same], windows[same]
 
 
-def search(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.DataFrame]:
+def search(batches: Iterator[pa.RecordBatch], size: int = WINDOW) -> Iterator[pa.RecordBatch]:
     """Of the stretches' documents, the windows that also start in one with a smaller id."""
-    for rows in shards(batches):
-        ids = rows["id"].to_numpy(np.int64)
-        least, first, windows = indexed(rows, ids, size)
-        of = np.repeat(np.arange(len(rows)), windows)
+    lengths, cut = lambda rows: pc.binary_length(rows["words"]), lambda rows, a, b: rows.slice(a, b - a)
+    for rows in shards(batches, lengths, cut, lambda held: pa.Table.from_batches(held).combine_chunks()):
+        ids, tie, start, words = (rows[name].chunk(0) for name in ("id", "tie", "start", "words"))
+        ids, start = ids.to_numpy(), start.to_numpy()
+        least, first, windows = indexed(words, ids, size)
+        of = np.repeat(np.arange(len(ids)), windows)
         step = np.arange(len(of)) - (np.cumsum(windows) - windows)[of]
         hit = np.flatnonzero(least[first[of] + step] < ids[of])
         if len(hit):
-            place = (rows["start"].to_numpy()[of[hit]] + step[hit]).astype(np.int32)
+            place = (start[of[hit]] + step[hit]).astype(np.int32)
             cuts = np.flatnonzero(np.concatenate([[True], of[hit][1:] != of[hit][:-1]]))
             own = of[hit][cuts]
-            yield pd.DataFrame({"id": ids[own], "tie": rows["tie"].to_numpy()[own], "hits": pd.Series(np.split(place, cuts[1:]), dtype=object)})
+            hits = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(hit)).astype(np.int32)), pa.array(place))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[own]), tie.take(pa.array(own)), hits], ["id", "tie", "hits"])
 
 
 def search_combined(batches: Iterator[pd.DataFrame], size: int = WINDOW) -> Iterator[pd.DataFrame]:
     """Of stretches with their least and greatest document, the least document of each window;
     only those that count against one of the stretch's documents."""
     for rows in shards(batches):
-        least, first, windows = indexed(rows, rows["low"].to_numpy(np.int64), size)
+        least, first, windows = indexed(pa.array(rows["words"], pa.large_binary()), rows["low"].to_numpy(np.int64), size)
         each = [least[a : a + n] for a, n in zip(first.tolist(), windows.tolist())]
         late = np.array([x.min() for x in each]) < rows["high"].to_numpy(np.int64)
         if late.any():
@@ -327,7 +339,7 @@ def deduplicated(docs: DataFrame, name: str = "doc_id", text: str = "text", size
     """
     stretches = written(suspects(docs, name, text, size))
     rare = stretches.where("NOT frequent").select("anchor", "id", "tie", "start", "words")
-    hits = rare.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(search, "id long, tie long, hits array<int>")
+    hits = rare.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(search, "id long, tie long, hits array<int>")
     late = frequent_hits(stretches.where("frequent"), size)
     gone = hits.unionByName(late).groupBy("id", "tie").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     gone = gone.select(F.col("id").alias("own"), F.col("tie").alias("own_tie"), "hits")
@@ -336,20 +348,19 @@ def deduplicated(docs: DataFrame, name: str = "doc_id", text: str = "text", size
         for batch in batches:
             out, n, removed = [], [], []
             for t, hits in zip(batch["text"], batch["hits"]):
-                own = _SPACES.split(t)
-                own = [x for x in own if x]
+                own = t.encode().split()  # of bytes, at the very signs of SPACE
                 n.append(len(own))
                 if hits is None or not len(hits):
-                    out.append(" ".join(own))
+                    out.append(b" ".join(own).decode())
                     removed.append(0)
                     continue
                 change = np.zeros(len(own) + 1, np.int64)
                 starts = np.unique(np.asarray(hits))
-                np.add.at(change, starts, 1)
-                np.add.at(change, starts + size, -1)
+                change[starts] += 1
+                change[starts + size] -= 1
                 stay = np.cumsum(change)[:-1] == 0
-                out.append(" ".join([x for x, s in zip(own, stay.tolist()) if s]))
-                removed.append(int((~stay).sum()))
+                out.append(b" ".join(compress(own, stay.tolist())).decode())
+                removed.append(len(own) - int(stay.sum()))
             yield pd.DataFrame({"id": batch["id"], "text": out, "n_words": n, "n_removed": removed})
 
     every = docs.select(docs[name].cast("long").alias("id"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))

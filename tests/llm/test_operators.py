@@ -262,6 +262,38 @@ def test_shards_hold_whole_anchors(monkeypatch):
     assert len(parts) > 10 and sum(p["anchor"].nunique() for p in parts) == len(set(names))
 
 
+def test_substring_search_takes_and_gives_arrow_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(substring_dedup, "INDEXED", 200)
+    rnd, rows, first = random.Random(9), [], {}
+    for anchor in range(12):
+        for _ in range(rnd.randrange(1, 9)):
+            rows.append((anchor, rnd.randrange(30), len(rows), rnd.randrange(50), bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(13, 18)))))
+    for anchor, i, _, _, w in rows:
+        for j in range(len(w) - 12):
+            first[anchor, w[j : j + 13]] = min(i, first.get((anchor, w[j : j + 13]), i))
+    # Equal words of other anchors meet only where they share an index, so the anchor is part of each word.
+    spelled = [b"".join(bytes([c, anchor, 0, 0, 0, 0]) for c in w) for anchor, *_, w in rows]
+    table = pa.table({"anchor": [r[0] for r in rows], "id": [r[1] for r in rows], "tie": [r[2] for r in rows], "start": pa.array([r[3] for r in rows], pa.int32()), "words": pa.array(spelled, pa.binary())})
+    got = {(r["id"], r["tie"]): r["hits"] for batch in substring_dedup.search(iter(table.to_batches(max_chunksize=7))) for r in batch.to_pylist()}
+    want = {(i, tie): [start + j for j in range(len(w) - 12) if first[anchor, w[j : j + 13]] < i] for anchor, i, tie, start, w in rows}
+    assert got == {k: v for k, v in want.items() if v} and len(got) < len(want)
+
+
+def test_words_of_many_texts():
+    from mailspark.llm import hashing
+
+    rnd = random.Random(10)
+    texts = ["", "a", "a b", " ", *("".join(rnd.choice("ab\x00\x08\t\n\x0b\x0c\r\x0e\x1f \x85é!") for _ in range(rnd.randrange(30))) for _ in range(200)), "", "end"]
+    raw = [t.encode() for t in texts]
+    for part in ([], [b""], [b" "], [b"x"], raw):
+        w = hashing.words(part)
+        got = [(t, w.raw[a : a + n].tobytes()) for t, a, n in zip(w.text.tolist(), w.start.tolist(), w.length.tolist())]
+        assert got == [(i, x) for i, t in enumerate(part) for x in t.split()]
+        assert len(set(zip(w.hash.tolist(), (x for _, x in got)))) == len(set(w.hash.tolist())) == len({x for _, x in got})
+
+
 def test_fm_index_matches_plain_search():
     rnd = np.random.default_rng(1)
     parts = [rnd.integers(0, 3, rnd.integers(13, 25)).astype(np.uint64) for _ in range(60)]
