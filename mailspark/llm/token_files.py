@@ -13,7 +13,7 @@ import gc
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -29,9 +29,11 @@ BLOCK = 256
 PER_SHARD = 16_384
 MOST_SHARDS = 4_096
 MOST_DOCS = 1_000_000
-#: Pieces a worker keeps with their ids; bytes it encodes at once.
+#: Pieces a worker keeps with their ids; bytes it encodes at once (what is made on the way takes several times that).
 CACHED = 150_000
-GROUP = 16_000_000
+GROUP = 4_000_000
+#: Bytes of a row group of the files, which its writer and its readers hold at once.
+ROW_GROUP = 16 << 20
 #: A blank that white space or nothing follows: what Python's ``re`` takes for white space, in terms of RE2.
 BLANKS = r" (?:[\pZ\t-\r\x1c-\x1f\x{85}]|\z)"
 #: Kinds of UTF-8 bytes between which the byte-level pattern cuts: Latin letters (of one and two bytes), digits, other ASCII signs
@@ -197,30 +199,37 @@ def encoder(path: str) -> Encoder:
     return Encoder(path, plain=False)
 
 
-def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``tie``, ``ids`` (binary) of every whole text; each task meets the tokenizer with
-    groups of texts of bounded size."""
+def in_groups(batches: Iterable[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
+    """The batches (``doc``, ``tie``, ``text``) with ``ids`` in place of the text, GROUP bytes at once."""
 
     def coded(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         doc, tie, text = (pa.concat_arrays([batch.column(name) for batch in held]) for name in ("doc", "tie", "text"))
         ids = encoder(path).encode_array(text.cast(pa.large_string()), end)
         return pa.RecordBatch.from_arrays([doc, tie, ids.cast(pa.binary())], ["doc", "tie", "ids"])
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # millions of strings and no cycles: its rounds cost more than they free
-        try:
-            held, size = [], 0
-            for batch in batches:
-                held.append(batch)
-                size += batch.nbytes
-                if size >= GROUP:
-                    yield coded(held)
-                    held, size = [], 0
-            if held:
+    gc.disable()  # millions of strings and no cycles: its rounds cost more than they free
+    try:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= GROUP:
                 yield coded(held)
-        finally:  # workers live on into the stages that follow
-            gc.enable()
-            encoder(path).forget()
+                held, size = [], 0
+        if held:
+            yield coded(held)
+    finally:  # workers live on into the stages that follow
+        gc.enable()
+        encoder(path).forget()
+        pa.default_memory_pool().release_unused()
+
+
+def ids_of(docs: DataFrame, path: str, end: int, name: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc``, ``tie``, ``ids`` (binary) of every whole text; each task meets the tokenizer with
+    groups of texts of bounded size."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from in_groups(batches, path, end)
 
     texts = docs.select(docs[name].cast("long").alias("doc"), F.xxhash64(docs[text]).alias("tie"), F.coalesce(docs[text], F.lit("")).alias("text"))
     return texts.mapInArrow(encode, "doc long, tie long, ids binary")
@@ -336,9 +345,11 @@ def write(docs: DataFrame, folder: str, path: str, end: int, name: str = "doc_id
 
     first = F.lit(np.iinfo(np.int64).min)  # documents without an id
     coded = ids.select(shard_of(F.coalesce("doc", first)).alias("shard"), "doc", "tie", "ids")
-    coded = coded.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc"), "tie")
+    # One shard a task: by hash some tasks would get several and others none.
+    coded = coded.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc"), "tie")
     blocks = coded.mapInPandas(join, "shard int, place int, before long, docs array<long>, sizes array<int>, control binary, data binary")
-    blocks.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/blocks")
+    small = {"compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.page.size.row.check.min": 1}  # a row is large, so each is looked at
+    blocks.write.mode("overwrite").options(**small).parquet(f"{folder}/blocks")
 
 
 def ids_of_ranks(spark: SparkSession, folder: str) -> np.ndarray:

@@ -6,9 +6,11 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -416,6 +418,46 @@ def test_encoder_asks_once_for_a_word_with_and_without_signs():
     assert len(asked) == len(set(asked)) and {"Ġone", "Ġtwo", ","} <= set(asked)
 
 
+def test_token_files_deal_one_shard_a_task(spark, monkeypatch):
+    import public_tokenizers as public
+
+    monkeypatch.setattr(token_files, "PER_SHARD", 4)
+    docs, out = spark.range(96).selectExpr("id AS doc_id", "repeat(concat(id, ' word '), 9) AS text"), work_dir(spark, "tokens")
+    token_files.write(docs, out, public.path("byte_bpe_50k.json"), end=2)
+    files = spark.read.parquet(f"{out}/blocks").groupBy(F.input_file_name().alias("file")).agg(F.collect_set("shard").alias("shards")).collect()
+    assert len(files) > 12 and all(len(f["shards"]) == 1 for f in files)
+    assert [r["doc"] for r in token_files.read(spark, out).orderBy("start").collect()] == list(range(96))
+
+
+def test_token_files_hold_small_row_groups(spark, monkeypatch):
+    import public_tokenizers as public
+    from pyarrow import parquet
+
+    monkeypatch.setattr(token_files, "ROW_GROUP", 1 << 16, raising=False)
+    text = " ".join(random.Random(11).choices([f"{a}{b}{c}" for a in "abcdefgh" for b in "aeiou" for c in "lmnrst"], k=8_000))
+    docs, out = spark.range(24).selectExpr("id AS doc_id", "id AS n").withColumn("text", F.lit(text)), work_dir(spark, "tokens")
+    token_files.write(docs, out, public.path("byte_bpe_50k.json"), end=2, block=1)
+    (file,) = Path(out.removeprefix("file:"), "blocks").glob("*.parquet")
+    groups = parquet.ParquetFile(file).metadata
+    assert groups.num_rows == 24 and groups.num_row_groups > 4
+    assert token_files.read(spark, out, checksum=True).select("n_tokens", "crc32").distinct().count() == 1
+
+
+def test_token_files_encode_in_small_memory():
+    import public_tokenizers as public
+
+    rnd, default = random.Random(12), pa.default_memory_pool()
+    known = ["".join(rnd.choices("abcdefghij", k=rnd.randrange(2, 9))) for _ in range(3_000)]
+    texts = [" ".join(rnd.choices(known, k=350)) for _ in range(7_000)]  # 15 MB
+    batches = [pa.record_batch({"doc": list(range(i, i + 250)), "tie": [0] * 250, "text": texts[i : i + 250]}) for i in range(0, 7_000, 250)]
+    pa.set_memory_pool(pool := pa.proxy_memory_pool(default))
+    try:
+        made = [(batch.num_rows, batch.nbytes) for batch in token_files.in_groups(batches, public.path("byte_bpe_50k.json"), 2)]
+    finally:
+        pa.set_memory_pool(default)
+    assert sum(n for n, _ in made) == 7_000 and pool.max_memory() < 60 << 20, pool.max_memory() >> 20
+
+
 def test_token_files_of_texts_with_added_tokens(spark):
     import public_tokenizers as public
     from tokenizers import Tokenizer
