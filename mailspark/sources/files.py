@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailspark.sources import disk
+
 
 class EmptyInput(ValueError):
     """The input folder or file is missing or holds no rows."""
@@ -33,8 +36,6 @@ def _resolved(spark: SparkSession, root: str) -> str:
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.getScheme() == "file":
-        import os
-
         return "file:" + os.path.realpath(fs.makeQualified(path).toUri().getPath())
     return fs.makeQualified(path).toString()
 
@@ -50,12 +51,15 @@ def read_files(
 ) -> DataFrame:
     """``doc_key, content`` of all files below ``root`` that match ``glob``.
 
-    ``doc_key`` is the path relative to the root.  Content is binary; many small files
-    share one partition (``spark.sql.files.openCostInBytes`` governs how many).
+    ``doc_key`` is the path relative to the root.  Content is binary.  On a local or mounted disk tasks list
+    and read the files (see ``sources.disk``); elsewhere Spark's own scan does, where many small files share one
+    partition (``spark.sql.files.openCostInBytes`` governs how many).
     """
     if not path_exists(spark, root):
         raise EmptyInput(f"no such folder: {root}")
     root = _resolved(spark, root)
+    if root.startswith("file:") and os.path.isdir(root.removeprefix("file:")):
+        return _read_disk(spark, root.removeprefix("file:"), glob, recursive, on_empty)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     df = files.load(root)
     if not recursive:
@@ -67,6 +71,16 @@ def read_files(
     return check_not_empty(df, f"{glob} in {root}", on_empty)
 
 
+def _read_disk(spark: SparkSession, root: str, glob: str, recursive: bool, on_empty: str) -> DataFrame:
+    """``read_files`` below a folder on disk, under Spark's settings for files that are gone or cannot be read."""
+    files, number, size = disk.list_files(spark, root, glob, recursive)
+    check_not_empty(files, f"{glob} in file:{root}", on_empty)
+    ignore = {"Missing": FileNotFoundError, "Corrupt": OSError}
+    ignored = tuple(error for kind, error in ignore.items() if spark.conf.get(f"spark.sql.files.ignore{kind}Files") == "true")
+    df = disk.deal(files, number, size).select(_relative(F.col("path"), root).alias("doc_key"), disk.content(F.col("path"), ignored).alias("content"))
+    return df.filter("content IS NOT NULL") if ignored else df
+
+
 def read_mail(
     spark: SparkSession, root: str, glob: str = "*.eml", on_empty: str = "error"
 ) -> DataFrame:
