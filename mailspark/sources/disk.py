@@ -33,10 +33,17 @@ def _hidden(name: str) -> bool:
     return not name.isascii() and any("\ud800" <= c <= "\udfff" for c in name)
 
 
-def _entries(folder: str) -> Iterator[tuple[str, str, int]]:
-    """``name, path, length`` of what counts in a folder, length -1 for sub-folders.  Links are followed."""
-    with os.scandir(folder) as entries:
-        for entry in entries:
+def _entries(folder: str, missing: bool) -> Iterator[tuple[str, str, int]]:
+    """``name, path, length`` of what counts in a folder, length -1 for sub-folders.  Links are followed.  With
+    ``missing`` a folder that is gone is an empty one."""
+    try:
+        found = os.scandir(folder)
+    except FileNotFoundError:
+        if missing:
+            return
+        raise
+    with found:
+        for entry in found:
             if _hidden(entry.name):
                 continue
             try:
@@ -49,7 +56,7 @@ def _entries(folder: str) -> Iterator[tuple[str, str, int]]:
                     raise
 
 
-def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool) -> tuple[DataFrame, int, int]:
+def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool, missing: bool = False) -> tuple[DataFrame, int, int]:
     """``path, length`` of the files in a folder whose names match, their number and bytes; kept in the work folder.
 
     The entries of one folder are listed by one task, as a stream.  Every round lists the folders that the round
@@ -61,7 +68,7 @@ def list_files(spark: SparkSession, folder: str, glob: str, recursive: bool) ->
         for start in chain.from_iterable(batch["path"] for batch in batches):
             todo = [start]
             while todo:
-                for name, path, length in _entries(todo.pop()):
+                for name, path, length in _entries(todo.pop(), missing):
                     if length >= 0:
                         if wanted.fullmatch(name):
                             rows.append((path, length))
@@ -97,8 +104,8 @@ def deal(files: DataFrame, number: int, size: int) -> DataFrame:
     return files.repartition(max(1, min(number, max(spark.sparkContext.defaultParallelism, -(-number // FILES), -(-size // most)))))
 
 
-def content(path: Column, ignored: tuple[type[OSError], ...] = ()) -> Column:
-    """The bytes of the file at each path; null where reading fails with one of the errors to ignore."""
+def content(path: Column, missing: bool = False, corrupt: bool = False) -> Column:
+    """The bytes of the file at each path; null where it is gone or cannot be read, if that is to be passed over."""
 
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -107,7 +114,9 @@ def content(path: Column, ignored: tuple[type[OSError], ...] = ()) -> Column:
                 try:
                     held.append(_read(name))
                     size += len(held[-1])
-                except ignored:
+                except OSError as error:
+                    if not (missing if isinstance(error, FileNotFoundError) else corrupt):
+                        raise
                     held.append(None)
                 if size >= HELD:
                     yield pa.array(held, pa.binary())

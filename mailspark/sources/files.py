@@ -73,12 +73,12 @@ def read_files(
 
 def _read_disk(spark: SparkSession, root: str, glob: str, recursive: bool, on_empty: str) -> DataFrame:
     """``read_files`` below a folder on disk, under Spark's settings for files that are gone or cannot be read."""
-    files, number, size = disk.list_files(spark, root, glob, recursive)
+    missing, corrupt = (spark.conf.get(f"spark.sql.files.ignore{kind}Files") == "true" for kind in ("Missing", "Corrupt"))
+    files, number, size = disk.list_files(spark, root, glob, recursive, missing)
     check_not_empty(files, f"{glob} in file:{root}", on_empty)
-    ignore = {"Missing": FileNotFoundError, "Corrupt": OSError}
-    ignored = tuple(error for kind, error in ignore.items() if spark.conf.get(f"spark.sql.files.ignore{kind}Files") == "true")
-    df = disk.deal(files, number, size).select(_relative(F.col("path"), root).alias("doc_key"), disk.content(F.col("path"), ignored).alias("content"))
-    return df.filter("content IS NOT NULL") if ignored else df
+    content = disk.content(F.col("path"), missing, corrupt).alias("content")
+    df = disk.deal(files, number, size).select(_relative(F.col("path"), root).alias("doc_key"), content)
+    return df.filter("content IS NOT NULL") if missing or corrupt else df
 
 
 def read_mail(

@@ -97,3 +97,20 @@ def test_few_bytes_are_held_at_once(spark, tmp_path, monkeypatch):
     for name, content in names.items():
         _write(tmp_path, name, content)
     assert _rows(read_files(spark, str(tmp_path), "*.md", recursive=False)) == sorted(names.items())
+
+
+def test_the_driver_holds_no_files_of_a_mail_folder(spark, tree):
+    root, names = tree
+    mails = read_mail(spark, root, glob="*.txt")
+    assert sorted((r["doc_key"], r["target_key"], bytes(r["content"])) for r in mails.collect()) == sorted(
+        (n, n.removesuffix(".txt") + ".md", n.encode()) for n in names
+    )
+    assert not [f for f in mails.inputFiles() if f.endswith(".txt")]
+
+
+def test_tasks_grow_with_files_and_bytes_not_with_a_cost_per_file(spark, tmp_path):
+    files = spark.range(10).selectExpr("concat('f', id) path", "id length")
+    tasks = lambda number, size: disk.deal(files, number, size).rdd.getNumPartitions()
+    cores, most = spark.sparkContext.defaultParallelism, 128 << 20
+    assert [tasks(0, 0), tasks(1, 5), tasks(2_000, 5)] == [1, 1, cores]
+    assert tasks(100 * disk.FILES, 5) == 100 and tasks(5_000, 50 * most) == 50
